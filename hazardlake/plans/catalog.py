@@ -54,3 +54,620 @@ def article_sentences_per_page(spark, sf):
     sents = S.page_sentences(load(spark, sf, "pages", "page_id", "html"))
     kept = S.boilerplate_filter(sents, "page_id", "sentence", BOILERPLATE_MIN_PAGES)
     return kept.groupBy("page_id").agg(F.count("*").alias("n_sentences"))
+
+
+# --- event feed and event log (events table) -------------------------------
+# events: value = magnitude, event_type = alert level, ts = event time,
+# props JSON {"k": n} = a nested feed property.
+
+from hazardlake import schemas  # noqa: E402
+from hazardlake.functions import text as TX  # noqa: E402
+from hazardlake.functions import timefmt as TF  # noqa: E402
+from hazardlake.operators import dedupe as D  # noqa: E402
+from hazardlake.operators import retention as R  # noqa: E402
+from hazardlake.operators.common import broadcast_if_small  # noqa: E402
+from hazardlake.sources import feed as FD  # noqa: E402
+
+FEED_MIN_MAG = 50.0
+FEED_SINCE = "2024-01-10"
+FEED_LEVEL = "error"
+FEED_LEVELS = ["click", "error", "purchase"]
+LOG_SPLIT = "2024-01-20"        # stored log: events before this time
+BATCH_START = "2024-01-15"      # incoming batch: events from this time (overlap)
+RETENTION_ASOF = "2001-09-01 00:00:00"
+RETENTION_DAYS = 400
+
+
+def _features(spark, sf):
+    """events as nested feed features (properties + geometry)."""
+    ev = load(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    k = F.from_json("props", "k BIGINT")["k"]
+    return ev.select(
+        "event_id",
+        F.struct(
+            F.concat(F.lit("Site "), F.col("user_id").cast("string"), F.lit(", Region "),
+                     k.cast("string")).alias("place"),
+            F.col("value").alias("mag"),
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
+            F.lit(None).cast("int").alias("felt"), F.lit(None).cast("double").alias("cdi"),
+            F.lit(None).cast("double").alias("mmi"),
+            F.col("event_type").alias("alert"),
+            F.concat(F.lit("https://feed.example/event/"), F.col("event_id").cast("string")).alias("url"),
+        ).alias("properties"),
+        F.struct(F.array(k.cast("double"), (F.col("user_id") / 10.0).cast("double"),
+                         F.col("value")).alias("coordinates")).alias("geometry"))
+
+
+def _flat(spark, sf):
+    f = _features(spark, sf)
+    return FD.flatten_features(f).withColumn("event_id", FD.event_id_of(F.col("url")).cast("bigint"))
+
+
+FLAT_COLS = ["event_id", "place", "country", "magnitude", "rupture_time", "alert",
+             "longitude", "latitude", "depth"]
+
+
+@query
+def feature_flatten(spark, sf):
+    return _flat(spark, sf).select(*FLAT_COLS)
+
+
+@query
+def feed_filter(spark, sf):
+    return FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVEL, FEED_SINCE).select(*FLAT_COLS)
+
+
+@query
+def feed_union_levels(spark, sf):
+    return FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE).select(*FLAT_COLS)
+
+
+@query
+def count_by_level(spark, sf):
+    f = FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE)
+    return f.groupBy("alert").agg(F.count("*").alias("n"))
+
+
+def _log(spark, sf):
+    ev = load(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value")
+    return ev.withColumn("day", TF.day_key(F.col("ts")).cast("string"))
+
+
+LOG_KEYS = ["user_id", "event_type", "day"]
+
+
+@query
+def dedupe_keep_first(spark, sf):
+    return D.keep_first(_log(spark, sf), LOG_KEYS, "event_id")
+
+
+def _log_and_batch(spark, sf):
+    log = _log(spark, sf)
+    stored = log.where(F.col("ts") < F.lit(LOG_SPLIT).cast("timestamp_ntz"))
+    batch = log.where(F.col("ts") >= F.lit(BATCH_START).cast("timestamp_ntz"))
+    return stored, batch
+
+
+@query
+def upsert_latest(spark, sf):
+    stored, batch = _log_and_batch(spark, sf)
+    return D.upsert_latest(stored, batch, LOG_KEYS, "event_id")
+
+
+@query
+def append_new_only(spark, sf):
+    stored, batch = _log_and_batch(spark, sf)
+    return D.new_rows_only(stored, batch, ["event_id"])
+
+
+def _orders_log(spark, sf):
+    return load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+
+
+@query
+def retention_flag(spark, sf):
+    o = _orders_log(spark, sf).select("o_orderkey", "o_orderdate")
+    return R.retention_flag(o, RETENTION_ASOF, RETENTION_DAYS, time_col="o_orderdate")
+
+
+@query
+def active_events(spark, sf):
+    return R.active_events(_orders_log(spark, sf), RETENTION_ASOF, RETENTION_DAYS,
+                           time_col="o_orderdate")
+
+
+@query
+def event_day_key(spark, sf):
+    o = _orders_log(spark, sf)
+    return o.select("o_orderkey", TF.day_key(F.col("o_orderdate")).cast("string").alias("rupture_date"),
+                    TF.path_time(F.col("o_orderdate")).alias("path_time"))
+
+
+# --- places, coordinates, zones ---------------------------------------------
+# Place strings are derived from supplier/customer names and nations:
+# "<key % 90> km <compass[key % 16]> of <name>, <nation>", every 10th key
+# left as "<name>, <nation>" (the unparsable form).
+
+from hazardlake.functions import geo as G  # noqa: E402
+from hazardlake.operators import geo as GO  # noqa: E402
+from hazardlake.operators import narrate as N  # noqa: E402
+
+# Fixed zone boxes (zone, lat_min, lat_max, lon_min, lon_max) for the tests.
+ZONES = [
+    ("America/Port-au-Prince", 17.0, 20.5, -75.0, -71.5),
+    ("America/Mexico_City", 14.0, 33.0, -118.0, -86.0),
+    ("America/New_York", 24.0, 48.0, -90.0, -67.0),
+    ("America/Santiago", -56.0, -17.0, -76.0, -66.0),
+    ("Europe/London", 49.0, 61.0, -8.0, 2.0),
+    ("Europe/Athens", 34.0, 42.0, 19.0, 30.0),
+    ("Asia/Karachi", 23.0, 37.0, 60.0, 78.0),
+    ("Asia/Kolkata", 6.0, 36.0, 68.0, 97.0),
+    ("Asia/Shanghai", 18.0, 54.0, 73.0, 135.0),
+    ("Asia/Tokyo", 24.0, 46.0, 122.0, 146.0),
+    ("Australia/Melbourne", -39.5, -34.0, 140.0, 150.0),
+    ("Pacific/Auckland", -47.5, -34.0, 166.0, 179.0),
+]
+
+
+def zones_df(spark):
+    return spark.createDataFrame(ZONES, "zone string, lat_min double, lat_max double, "
+                                        "lon_min double, lon_max double")
+
+
+def derived_place(key, name, nation):
+    dir_ = F.element_at(TX.compass_abbrevs(), (key % 16 + 1).cast("int"))
+    full = F.concat((key % 90).cast("string"), F.lit(" km "), dir_, F.lit(" of "), name,
+                    F.lit(", "), nation)
+    return F.when(key % 10 == 0, F.concat(name, F.lit(", "), nation)).otherwise(full)
+
+
+def derived_lat(key):
+    return ((key * 37) % 18001).cast("double") / 100.0 - 90.0
+
+
+def derived_lon(key):
+    return ((key * 53) % 36001).cast("double") / 100.0 - 180.0
+
+
+def _nation(spark, sf):
+    return broadcast_if_small(load(spark, sf, "nation", "n_nationkey", "n_name"))
+
+
+def _supplier_places(spark, sf):
+    s = load(spark, sf, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    s = s.join(_nation(spark, sf), s.s_nationkey == F.col("n_nationkey"))
+    return s.select("s_suppkey", derived_place(F.col("s_suppkey"), F.col("s_name"),
+                                               F.col("n_name")).alias("place"))
+
+
+@query
+def country_extract(spark, sf):
+    p = _supplier_places(spark, sf)
+    return p.select("s_suppkey", "place", TX.country_of(F.col("place")).alias("country"))
+
+
+@query
+def place_parse(spark, sf):
+    p = _supplier_places(spark, sf).select("s_suppkey", TX.place_parts(F.col("place")).alias("p"))
+    return p.select("s_suppkey", "p.distance_km", "p.direction", "p.city")
+
+
+@query
+def compass_decode(spark, sf):
+    p = _supplier_places(spark, sf).select(
+        "s_suppkey", TX.place_parts(F.col("place"))["direction"].alias("direction"))
+    return p.select("s_suppkey", "direction", TX.compass_word(F.col("direction")).alias("direction_name"))
+
+
+def _customer_points(spark, sf):
+    c = load(spark, sf, "customer", "c_custkey")
+    return c.select("c_custkey", derived_lat(F.col("c_custkey")).alias("latitude"),
+                    derived_lon(F.col("c_custkey")).alias("longitude"))
+
+
+@query
+def hemisphere_format(spark, sf):
+    c = _customer_points(spark, sf)
+    return c.select("c_custkey", G.coordinate_text(F.col("latitude"), F.col("longitude")).alias("coordinates"))
+
+
+@query
+def tz_range_join(spark, sf):
+    z = GO.assign_zone(_customer_points(spark, sf), zones_df(spark), "c_custkey")
+    return z.select("c_custkey", "tz")
+
+
+def _order_events(spark, sf):
+    """orders as events: place/coordinates from the customer, zone by box."""
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    c = load(spark, sf, "customer", "c_custkey", "c_name", "c_nationkey")
+    c = c.join(_nation(spark, sf), c.c_nationkey == F.col("n_nationkey"))
+    pts = c.select("c_custkey", "c_name", F.col("n_name").alias("country"),
+                   derived_lat(F.col("c_custkey")).alias("latitude"),
+                   derived_lon(F.col("c_custkey")).alias("longitude"))
+    pts = GO.assign_zone(pts, zones_df(spark), "c_custkey")
+    ev = o.join(pts, o.o_custkey == pts.c_custkey)
+    return ev.select(
+        F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("rupture_time"),
+        derived_place(F.col("o_orderkey"), F.col("c_name"), F.col("country")).alias("place"),
+        "country", "latitude", "longitude", "tz",
+        ((F.col("o_orderkey") % 91).cast("double") / 10.0).alias("magnitude"),
+        ((F.col("o_orderkey") % 7001).cast("double") / 100.0).alias("depth"))
+
+
+@query
+def local_time(spark, sf):
+    ev = _order_events(spark, sf)
+    return ev.select(F.col("event_id").alias("o_orderkey"), "tz",
+                     TF.local_time(F.col("rupture_time"), F.coalesce("tz", F.lit("UTC"))).alias("local_time"))
+
+
+@query
+def event_narrative(spark, sf):
+    return N.event_narratives(_order_events(spark, sf), key="event_id")
+
+
+@query
+def url_derive(spark, sf):
+    p = load(spark, sf, "pages", "page_id", "url")
+    host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
+    return p.select(
+        "page_id",
+        F.concat("url", F.lit("/shakemap/intensity")).alias("intensity_url"),
+        F.concat("url", F.lit("/region-info")).alias("region_url"),
+        F.concat("url", F.lit("/pager")).alias("pager_url"),
+        F.concat(host, F.lit("+earthquake")).alias("post_query"),
+        F.concat(F.lit('+("earthquake" AND "'), host, F.lit('")')).alias("news_query"))
+
+
+# --- documents: lines, sentences, keywords ---------------------------------
+
+from hazardlake.functions import html as H  # noqa: E402
+from hazardlake.operators import match as M  # noqa: E402
+
+TITLE_KEYWORDS = ["der", "of", "de"]
+LINE_MARKER = "La "
+LINK_SUFFIX = "."
+
+
+def _docs(spark, sf, *cols):
+    return load(spark, sf, "documents", "doc_id", *cols)
+
+
+def _doc_sentences(spark, sf):
+    return S.split_sentences(_docs(spark, sf, "text"), "text", ["doc_id"], by_line=True)
+
+
+@query
+def doc_lines(spark, sf):
+    return S.doc_lines(_docs(spark, sf, "text"))
+
+
+@query
+def lines_after_marker(spark, sf):
+    return S.lines_after_marker(_docs(spark, sf, "text"), LINE_MARKER)
+
+
+@query
+def sentence_min_words(spark, sf):
+    s = _doc_sentences(spark, sf)
+    return s.groupBy("doc_id").agg(
+        F.count("*").alias("n_sentences"),
+        F.count_if(TX.has_min_words(F.col("sentence"))).alias("n_kept"))
+
+
+@query
+def sentence_distinct(spark, sf):
+    return S.first_occurrences(_doc_sentences(spark, sf), ["doc_id"])
+
+
+@query
+def keyword_filter(spark, sf):
+    d = _docs(spark, sf, "text").select("doc_id", TX.first_line(F.col("text")).alias("title"))
+    return M.keyword_filter(d, F.col("title"), TITLE_KEYWORDS)
+
+
+@query
+def link_extract(spark, sf):
+    p = load(spark, sf, "pages", "page_id", "html")
+    hits = H.links_with_suffix(F.col("html"), LINK_SUFFIX)
+    return p.select("page_id",
+                    F.try_element_at(hits, F.lit(1)).alias("link_1"),
+                    F.try_element_at(hits, F.lit(2)).alias("link_2"),
+                    F.size(H.links(F.col("html"))).alias("n_links"))
+
+
+def _reference_lines(spark, sf):
+    """A references section per page whose URL is broken across lines:
+    whole on one line, split in two, or split with a stray space."""
+    p = load(spark, sf, "pages", "page_id", "url")
+    n = F.length("url")
+    cut = (n / 2).cast("int")
+    head, tail = F.substring("url", 1, cut), F.substring("url", cut + 1, 1 << 20)
+    variant = n % 3
+    body = (F.when(variant == 2, F.concat(F.lit("See "), F.col("url"), F.lit("\nAccessed.")))
+            .when(variant == 1, F.concat(F.lit("See "), head, F.lit("\n"), tail))
+            .otherwise(F.concat(F.lit("See "), head, F.lit("\n "), tail)))
+    return p.select(F.col("page_id").alias("doc_id"),
+                    F.concat(F.lit("References\n"), body).alias("text"))
+
+
+@query
+def url_line_stitch(spark, sf):
+    known = load(spark, sf, "pages", "url")
+    return S.url_line_stitch(_reference_lines(spark, sf), known)
+
+
+# --- events <-> articles, posts, pages --------------------------------------
+
+POSTS_PER_EVENT = 10
+ARTICLES_PER_PAGE = 20
+RELEVANCE_PAGE = 1
+RADIUS_KM = 500.0
+
+
+def _order_keys(spark, sf):
+    o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    c = load(spark, sf, "customer", "c_custkey", "c_nationkey")
+    c = c.join(_nation(spark, sf), c.c_nationkey == F.col("n_nationkey"))
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        "o_orderkey", TF.day_key(F.col("o_orderdate")).alias("rupture_date"),
+        F.col("n_name").alias("country"))
+
+
+def _articles(spark, sf):
+    li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
+              "l_extendedprice")
+    s = load(spark, sf, "supplier", "s_suppkey", "s_nationkey")
+    s = s.join(_nation(spark, sf), s.s_nationkey == F.col("n_nationkey"))
+    return li.join(s, li.l_suppkey == s.s_suppkey).select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("article_id"),
+        TF.day_key(F.col("l_shipdate")).alias("rupture_date"), F.col("n_name").alias("country"),
+        F.col("l_extendedprice").alias("relevance"))
+
+
+@query
+def event_article_join(spark, sf):
+    arts = M.top_n_per_key_articles(_articles(spark, sf), ["rupture_date", "country"],
+                                    [F.desc("relevance"), F.asc("article_id")], ARTICLES_PER_PAGE)
+    return (_order_keys(spark, sf).join(arts, ["rupture_date", "country"])
+            .select("o_orderkey", "article_id", "rank"))
+
+
+@query
+def article_page_join(spark, sf):
+    lab = load(spark, sf, "labels", "doc_id", "quality", "toxic")
+    docs = _docs(spark, sf, "n_chars")
+    return (lab.join(docs, "doc_id", "left")
+            .select("doc_id", "quality", "toxic", "n_chars",
+                    F.col("n_chars").isNotNull().alias("has_page")))
+
+
+def _bench_terms(spark, sf):
+    b = load(spark, sf, "benchmark", "item_id", "text")
+    tk = TX.tokens(F.col("text"))
+    return b.select("item_id", F.array_distinct(F.array(F.element_at(tk, 1), F.element_at(tk, -1))).alias("terms"))
+
+
+def _posts(spark, sf):
+    c = load(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    return c.where(F.col("role") == "user").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("post_id"), "text")
+
+
+@query
+def event_post_match(spark, sf):
+    m = M.all_terms_match(_bench_terms(spark, sf), _posts(spark, sf), "item_id", "terms",
+                          "post_id", "text")
+    return m.groupBy("item_id").agg(F.count("*").alias("n_posts"))
+
+
+@query
+def post_search(spark, sf):
+    m = M.all_terms_match(_bench_terms(spark, sf), _posts(spark, sf), "item_id", "terms",
+                          "post_id", "text")
+    return M.first_n_posts(m, "item_id", [F.asc("post_id")], POSTS_PER_EVENT)
+
+
+@query
+def news_search(spark, sf):
+    d = _docs(spark, sf, "text", "lang", "source").where(F.col("lang") == "en")
+    phrase = F.lower("text")
+    d = d.where(F.contains(phrase, F.lit("the")) & F.contains(phrase, F.lit("and")))
+    d = d.select("doc_id", F.col("source").alias("source_name"), TX.first_line(F.col("text")).alias("title"))
+    return M.keyword_filter(d, F.col("title"), TITLE_KEYWORDS)
+
+
+@query
+def relevance_page(spark, sf):
+    scores = M.tfidf_scores(_docs(spark, sf, "text"), _bench_terms(spark, sf), "doc_id", "text",
+                            "item_id", "terms")
+    return M.relevance_page(scores, "item_id", "doc_id", RELEVANCE_PAGE, ARTICLES_PER_PAGE)
+
+
+@query
+def geo_radius_join(spark, sf):
+    s = load(spark, sf, "supplier", "s_suppkey").select(
+        "s_suppkey", derived_lat(F.col("s_suppkey") * 7 + 3).alias("latitude"),
+        derived_lon(F.col("s_suppkey") * 11 + 5).alias("longitude"))
+    pairs = GO.within_radius(s, _customer_points(spark, sf), RADIUS_KM, "s_suppkey", "c_custkey")
+    return pairs.withColumn("dist_km", F.round("dist_km", 3))
+
+
+# --- impact charts ------------------------------------------------------------
+# Detected label boxes derived from lineitem: event = order, chart by line
+# status, x from the part key, w from quantity, h from line number, text =
+# "<discount in percent>%", box order = line number.
+
+from hazardlake.functions.lookups import CLASS_NAMES  # noqa: E402
+from hazardlake.operators import classify as CL  # noqa: E402
+from hazardlake.operators import impact as IM  # noqa: E402
+from hazardlake.operators import summarize as SM  # noqa: E402
+
+
+def _boxes(spark, sf):
+    li = load(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+              "l_discount", "l_linestatus")
+    return li.select(
+        F.col("l_orderkey").alias("event_id"),
+        F.when(F.col("l_linestatus") == "O", F.lit("fatality")).otherwise(F.lit("loss")).alias("chart"),
+        F.col("l_linenumber").alias("box_order"),
+        (F.col("l_partkey") % 640).cast("int").alias("x"), F.lit(0).alias("y"),
+        (F.col("l_quantity") * 2).cast("int").alias("w"),
+        (F.col("l_linenumber") * 4).alias("h"),
+        F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%")).alias("text"))
+
+
+@query
+def box_bucket(spark, sf):
+    b = IM.box_bins(_boxes(spark, sf), ["event_id", "chart"])
+    return b.select("event_id", "chart", *[F.col("bins")[i].alias(f"b{i}") for i in range(7)])
+
+
+@query
+def impact_sentence(spark, sf):
+    return IM.impact_sentences(_boxes(spark, sf), ["event_id"]).select(
+        "event_id", "fatality_text", "loss_text")
+
+
+# --- classification, votes, sections, summaries ------------------------------
+
+
+@query
+def argmax_label(spark, sf):
+    e = load(spark, sf, "embeddings", "vec_id", "embedding")
+    logits = F.slice("embedding", 1, len(CLASS_NAMES))
+    return e.select("vec_id", CL.argmax(logits).alias("pred_idx"),
+                    CL.class_name(CL.argmax(logits)).alias("label"),
+                    CL.argmax(F.col("embedding")).alias("argmax_all"))
+
+
+LANG_CLASS = {"de": "buildings", "es": "infrastructure", "en": "other", "fr": "resilience"}
+
+
+def _doc_votes(spark, sf):
+    """Three rule classifiers per document, one vote row per (doc, model)."""
+    d = _docs(spark, sf, "text", "lang")
+    names = F.array(*[F.lit(n) for n in CLASS_NAMES])
+    by_words = F.element_at(names, (TX.word_count(F.col("text")) % 4 + 1).cast("int"))
+    by_lang = F.try_element_at(F.create_map(*[F.lit(x) for kv in LANG_CLASS.items() for x in kv]), F.col("lang"))
+    periods = F.length("text") - F.length(F.replace(F.col("text"), F.lit("."), F.lit("")))
+    by_punct = F.element_at(names, (periods % 4 + 1).cast("int"))
+    return d.select("doc_id", F.explode(F.array(by_words, by_lang, by_punct)).alias("label"))
+
+
+@query
+def majority_vote(spark, sf):
+    v = CL.majority_vote(_doc_votes(spark, sf), "doc_id")
+    lab = load(spark, sf, "labels", "doc_id", "quality")
+    return v.join(lab, "doc_id")
+
+
+@query
+def sentence_classify(spark, sf):
+    docs = _docs(spark, sf, "text")
+    lab = load(spark, sf, "labels", "doc_id", "quality")
+    train = docs.join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
+    model = CL.text_classifier("text", "label", num_features=1 << 16, max_iter=20).fit(train)
+    return CL.classify(model, docs, ["doc_id"])
+
+
+def _labelled_doc_sentences(spark, sf):
+    s = _doc_sentences(spark, sf)
+    names = F.array(*[F.lit(n) for n in CLASS_NAMES])
+    return s.withColumn("label", F.element_at(names, (TX.word_count(F.col("sentence")) % 4 + 1).cast("int")))
+
+
+@query
+def label_sections(spark, sf):
+    return SM.label_sections(_labelled_doc_sentences(spark, sf), ["doc_id"])
+
+
+SUMMARY_RATIO = 0.2
+
+
+def _page_sentence_groups(spark, sf):
+    p = load(spark, sf, "pages", "page_id", "url", "html")
+    p = p.withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1))
+    s = S.page_sentences(p.select("page_id", "html")).join(p.select("page_id", "lang"), "page_id")
+    return s.select("lang", (F.col("page_id") * 1_000_000 + F.col("para_pos") * 1000
+                             + F.col("sent_pos")).alias("sent_id"), "sentence")
+
+
+@query
+def textrank_summary(spark, sf):
+    return SM.summarize(_page_sentence_groups(spark, sf), ["lang"], "sent_id", "sentence",
+                        ratio=SUMMARY_RATIO).withColumn("score", F.round("score", 6))
+
+
+# --- activity over time, streaming, sinks ------------------------------------
+
+from hazardlake.operators import activity as AC  # noqa: E402
+from hazardlake.operators import report as RP  # noqa: E402
+from hazardlake.streaming import ingest as SI  # noqa: E402
+
+HIT_TYPE = "error"
+RUPTURE = "2024-01-10 00:00:00"
+SESSION_GAP = "30 minutes"
+
+
+def _hits(spark, sf):
+    ev = load(spark, sf, "events", "ts", "user_id", "event_type")
+    return ev.where(F.col("event_type") == HIT_TYPE)
+
+
+@query
+def tumbling_counts(spark, sf):
+    return AC.window_counts(_hits(spark, sf), "ts", "1 hour")
+
+
+@query
+def sliding_counts(spark, sf):
+    return AC.window_counts(_hits(spark, sf), "ts", "1 hour", "15 minutes")
+
+
+@query
+def session_bursts(spark, sf):
+    return AC.session_counts(_hits(spark, sf), "ts", SESSION_GAP, ["user_id"])
+
+
+@query
+def resilience_curve(spark, sf):
+    ev = load(spark, sf, "events", "ts", "event_type")
+    return AC.resilience_curve(ev, "ts", ["event_type"], RUPTURE)
+
+
+@query
+def stream_ingest_dedupe(spark, sf):
+    """events replayed as a file stream, de-duplicated per (user, type,
+    minute) within a watermark, written once by an availableNow run."""
+    src = f"{sf.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(src).schema
+    stream = (SI.read_landed(spark, src, schema)
+              .select("user_id", "event_type", "ts")
+              .withColumn("minute", F.date_trunc("minute", F.col("ts").cast("timestamp"))))
+    dedup = SI.dedupe_stream(stream, "minute", ["user_id", "event_type", "minute"], "1 hour")
+    out, ckpt = SI.scratch_path(spark, "stream-out"), SI.scratch_path(spark, "stream-ckpt")
+    SI.run_available_now(dedup.select("user_id", "event_type", "minute"), out, ckpt)
+    return spark.read.parquet(out).select(
+        "user_id", "event_type", F.col("minute").cast("timestamp_ntz").alias("minute"))
+
+
+@query
+def partitioned_sink(spark, sf):
+    from hazardlake.operators.sinks import write_partitioned
+    ev = load(spark, sf, "events", "event_id", "ts", "event_type", "value")
+    ev = ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    path = SI.scratch_path(spark, "by-day")
+    write_partitioned(ev.select("event_id", "value", "day", "event_type"), path, ["day", "event_type"])
+    back = spark.read.option("basePath", path).parquet(path)
+    return back.select("event_id", F.col("day").cast("string").alias("day"), "event_type", "value")
+
+
+@query
+def report_assemble(spark, sf):
+    ev = _order_events(spark, sf)
+    narr = N.event_narratives(ev, key="event_id")
+    impact = IM.impact_sentences(_boxes(spark, sf), ["event_id"])
+    secs = SM.label_sections(_labelled_doc_sentences(spark, sf), ["doc_id"]).withColumnRenamed("doc_id", "event_id")
+    return RP.assemble_reports(ev, "event_id", narr, secs, impact)

@@ -82,3 +82,290 @@ ORACLE["boilerplate_filter"] = BOILERPLATE
 ORACLE["page_text_concat"] = f"""
   SELECT page_id, array_to_string(list_transform({pieces('html')}, lambda p: {clean_fragment('p')}), '') AS text
   FROM pages"""
+
+
+# --- event feed and event log ----------------------------------------------
+
+FLAT = """
+  SELECT event_id, place, string_split(place, ', ')[-1] AS country, value AS magnitude,
+         make_timestamp((epoch_us(ts) // 1000) * 1000) AS rupture_time, event_type AS alert,
+         CAST(k AS DOUBLE) AS longitude, CAST(user_id AS DOUBLE) / 10.0 AS latitude,
+         value AS depth
+  FROM (SELECT *, 'Site ' || CAST(user_id AS VARCHAR) || ', Region ' || CAST(k AS VARCHAR) AS place
+        FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events))"""
+FLAT_COLS = ("event_id, place, country, magnitude, rupture_time, alert, longitude, "
+             "latitude, depth")
+
+ORACLE["feature_flatten"] = f"SELECT {FLAT_COLS} FROM ({FLAT})"
+ORACLE["feed_filter"] = f"""
+  SELECT {FLAT_COLS} FROM ({FLAT})
+  WHERE magnitude >= {C.FEED_MIN_MAG} AND alert = {q(C.FEED_LEVEL)}
+    AND rupture_time >= TIMESTAMP '{C.FEED_SINCE}'"""
+LEVELS = ", ".join(q(x) for x in C.FEED_LEVELS)
+ORACLE["feed_union_levels"] = f"""
+  SELECT {FLAT_COLS} FROM ({FLAT})
+  WHERE magnitude >= {C.FEED_MIN_MAG} AND alert IN ({LEVELS})
+    AND rupture_time >= TIMESTAMP '{C.FEED_SINCE}'"""
+ORACLE["count_by_level"] = f"""
+  SELECT alert, count(*) AS n FROM ({FLAT})
+  WHERE magnitude >= {C.FEED_MIN_MAG} AND alert IN ({LEVELS})
+    AND rupture_time >= TIMESTAMP '{C.FEED_SINCE}'
+  GROUP BY alert"""
+
+LOG = "SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events"
+ORACLE["dedupe_keep_first"] = f"""
+  SELECT * FROM ({LOG})
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day ORDER BY event_id) = 1"""
+STORED = f"SELECT * FROM ({LOG}) WHERE ts < TIMESTAMP '{C.LOG_SPLIT}'"
+BATCH = f"SELECT * FROM ({LOG}) WHERE ts >= TIMESTAMP '{C.BATCH_START}'"
+ORACLE["upsert_latest"] = f"""
+  SELECT event_id, ts, user_id, event_type, value, day FROM (
+    SELECT *, 0 AS src FROM ({STORED}) UNION ALL SELECT *, 1 AS src FROM ({BATCH}))
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day
+                             ORDER BY event_id DESC, src DESC) = 1"""
+ORACLE["append_new_only"] = f"""
+  SELECT * FROM ({BATCH}) b WHERE NOT EXISTS (SELECT 1 FROM ({STORED}) s WHERE s.event_id = b.event_id)"""
+
+BOUND = f"(TIMESTAMP '{C.RETENTION_ASOF}' - INTERVAL {C.RETENTION_DAYS} DAY)"
+ORACLE["retention_flag"] = f"""
+  SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate < {BOUND} THEN false ELSE true END AS collect_data
+  FROM orders"""
+ORACLE["active_events"] = f"""
+  SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE NOT (o_orderdate < {BOUND})"""
+ORACLE["event_day_key"] = """
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS rupture_date,
+         strftime(o_orderdate, '%Y-%m-%d_%H:%M:%S') AS path_time
+  FROM orders"""
+
+
+# --- places, coordinates, zones ---------------------------------------------
+
+from hazardlake.functions.lookups import COMPASS_WORDS  # noqa: E402
+
+ABBREVS = "[" + ", ".join(q(k) for k in COMPASS_WORDS) + "]"
+
+
+def place_expr(key: str, name: str, nation: str) -> str:
+    return (f"CASE WHEN {key} % 10 = 0 THEN {name} || ', ' || {nation} "
+            f"ELSE CAST({key} % 90 AS VARCHAR) || ' km ' || {ABBREVS}[{key} % 16 + 1] || ' of ' "
+            f"|| {name} || ', ' || {nation} END")
+
+
+def compass_case(expr: str) -> str:
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in COMPASS_WORDS.items())
+    return f"CASE {expr} {whens} END"
+
+
+def lat_expr(key: str) -> str:
+    return f"(CAST(({key} * 37) % 18001 AS DOUBLE) / 100.0 - 90.0)"
+
+
+def lon_expr(key: str) -> str:
+    return f"(CAST(({key} * 53) % 36001 AS DOUBLE) / 100.0 - 180.0)"
+
+
+def deg(expr: str) -> str:
+    return f"CAST(CAST(abs({expr}) AS DECIMAL(10,4)) AS VARCHAR)"
+
+
+def coords(lat: str, lon: str) -> str:
+    return (f"{deg(lat)} || '°' || CASE WHEN {lat} > 0 THEN 'N' ELSE 'S' END || ', ' || "
+            f"{deg(lon)} || '°' || CASE WHEN {lon} > 0 THEN 'E' ELSE 'W' END")
+
+
+PR = q(T.PLACE_RE)
+SUPPLIER_PLACES = f"""
+  SELECT s_suppkey, {place_expr('s_suppkey', 's_name', 'n_name')} AS place
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+ORACLE["country_extract"] = f"""
+  SELECT s_suppkey, place, string_split(place, ', ')[-1] AS country FROM ({SUPPLIER_PLACES})"""
+ORACLE["place_parse"] = f"""
+  SELECT s_suppkey,
+         CASE WHEN regexp_matches(place, {PR}) THEN CAST(regexp_extract(place, {PR}, 1) AS INTEGER) END AS distance_km,
+         CASE WHEN regexp_matches(place, {PR}) THEN regexp_extract(place, {PR}, 2) END AS direction,
+         CASE WHEN regexp_matches(place, {PR}) THEN regexp_extract(place, {PR}, 3) END AS city
+  FROM ({SUPPLIER_PLACES})"""
+ORACLE["compass_decode"] = f"""
+  SELECT s_suppkey, direction, {compass_case('direction')} AS direction_name FROM (
+    SELECT s_suppkey, CASE WHEN regexp_matches(place, {PR}) THEN regexp_extract(place, {PR}, 2) END AS direction
+    FROM ({SUPPLIER_PLACES}))"""
+ORACLE["hemisphere_format"] = f"""
+  SELECT c_custkey, {coords('lat', 'lon')} AS coordinates
+  FROM (SELECT c_custkey, {lat_expr('c_custkey')} AS lat, {lon_expr('c_custkey')} AS lon FROM customer)"""
+
+ZONES_SQL = "(VALUES " + ", ".join(
+    f"({q(z)}, {a}, {b}, {c}, {d})" for z, a, b, c, d in C.ZONES) + ") AS z(zone, lat_min, lat_max, lon_min, lon_max)"
+
+
+def zone_of(lat: str, lon: str) -> str:
+    return (f"(SELECT zone FROM {ZONES_SQL} WHERE {lat} BETWEEN lat_min AND lat_max "
+            f"AND {lon} BETWEEN lon_min AND lon_max "
+            f"ORDER BY (lat_max - lat_min) * (lon_max - lon_min), zone LIMIT 1)")
+
+
+CUST_POINTS = f"""
+  SELECT c_custkey, c_name, c_nationkey, lat, lon, {zone_of('lat', 'lon')} AS tz FROM (
+    SELECT c_custkey, c_name, c_nationkey, {lat_expr('c_custkey')} AS lat, {lon_expr('c_custkey')} AS lon
+    FROM customer)"""
+ORACLE["tz_range_join"] = f"SELECT c_custkey, tz FROM ({CUST_POINTS})"
+
+ORDER_EVENTS = f"""
+  SELECT o_orderkey AS event_id, o_orderdate AS rupture_time,
+         {place_expr('o_orderkey', 'c_name', 'n_name')} AS place, n_name AS country, lat, lon, tz,
+         CAST(o_orderkey % 91 AS DOUBLE) / 10.0 AS magnitude,
+         CAST(o_orderkey % 7001 AS DOUBLE) / 100.0 AS depth
+  FROM orders JOIN ({CUST_POINTS}) cp ON o_custkey = cp.c_custkey
+  JOIN nation ON cp.c_nationkey = n_nationkey"""
+
+
+def local_ts(ts: str, tz: str) -> str:
+    return f"timezone(coalesce({tz}, 'UTC'), timezone('UTC', {ts}))"
+
+
+ORACLE["local_time"] = f"""
+  SELECT event_id AS o_orderkey, tz, {local_ts('rupture_time', 'tz')} AS local_time FROM ({ORDER_EVENTS})"""
+
+
+def place_sentence(p: str) -> str:
+    d = f"regexp_extract({p}, {PR}, 2)"
+    return (f"CASE WHEN regexp_matches({p}, {PR}) THEN "
+            f"CAST(CAST(regexp_extract({p}, {PR}, 1) AS INTEGER) AS VARCHAR) || ' km ' || "
+            f"coalesce({compass_case(d)}, {d}) || ' of ' || regexp_extract({p}, {PR}, 3) ELSE {p} END")
+
+
+ORACLE["event_narrative"] = f"""
+  SELECT event_id, lt AS local_time,
+    'On ' || strftime(lt, '%B %-d, %Y') || ', at approximately ' || strftime(lt, '%H:%M')
+    || ' local time, a magnitude ' || CAST(CAST(magnitude AS DECIMAL(4,1)) AS VARCHAR)
+    || ' earthquake, with a depth of ' || CAST(CAST(depth AS DECIMAL(8,2)) AS VARCHAR)
+    || ' km, struck ' || {place_sentence('place')} || '. '
+    || 'The coordinate of epicenter of the earthquake was ' || {coords('lat', 'lon')} || '.' AS narrative
+  FROM (SELECT *, {local_ts('rupture_time', 'tz')} AS lt FROM ({ORDER_EVENTS}))"""
+
+HOST = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
+ORACLE["url_derive"] = f"""
+  SELECT page_id, url || '/shakemap/intensity' AS intensity_url, url || '/region-info' AS region_url,
+         url || '/pager' AS pager_url, {HOST} || '+earthquake' AS post_query,
+         '+("earthquake" AND "' || {HOST} || '")' AS news_query
+  FROM pages"""
+
+
+# --- documents: lines, sentences, keywords ---------------------------------
+
+def positions(lst: str) -> str:
+    return f"CAST(unnest(range(0, len({lst}))) AS INTEGER)"
+
+
+DOC_LINES = f"""
+  SELECT doc_id, {positions('ls')} AS line_no, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)"""
+ORACLE["doc_lines"] = DOC_LINES
+ORACLE["lines_after_marker"] = f"""
+  SELECT doc_id, line_no, line FROM (
+    SELECT doc_id, {positions('ls')} AS line_no, unnest(ls) AS line, f FROM (
+      SELECT doc_id, ls, list_position(list_transform(ls, lambda l: instr(l, {q(C.LINE_MARKER)}) > 0), true) AS f
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))
+  WHERE f IS NOT NULL AND f > 0 AND line_no >= f - 1"""
+
+DOC_SENTENCES = f"""
+  SELECT doc_id, {positions('ss')} AS sent_pos, unnest(ss) AS sentence
+  FROM (SELECT doc_id, {line_sentences('text')} AS ss FROM documents)"""
+ORACLE["sentence_min_words"] = f"""
+  SELECT doc_id, count(*) AS n_sentences, count(*) FILTER (WHERE {min_words('sentence')}) AS n_kept
+  FROM ({DOC_SENTENCES}) GROUP BY doc_id"""
+ORACLE["sentence_distinct"] = f"""
+  SELECT doc_id, min(sent_pos) AS sent_pos, sentence FROM ({DOC_SENTENCES}) GROUP BY doc_id, sentence"""
+
+KW = "[" + ", ".join(q(k) for k in C.TITLE_KEYWORDS) + "]"
+
+
+def title_hit(title: str) -> str:
+    return f"list_has_any(string_split_regex(lower({title}), '\\s+'), {KW})"
+
+
+ORACLE["keyword_filter"] = f"""
+  SELECT doc_id, title FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents)
+  WHERE {title_hit('title')}"""
+ORACLE["link_extract"] = f"""
+  SELECT page_id, hits[1] AS link_1, hits[2] AS link_2, CAST(len(ls) AS INTEGER) AS n_links FROM (
+    SELECT page_id, ls, list_filter(ls, lambda x: ends_with(x, {q(C.LINK_SUFFIX)})) AS hits FROM (
+      SELECT page_id, regexp_extract_all(html, {q(H.HREF_RE)}, 1) AS ls FROM pages))"""
+
+REF_DOCS = """
+  SELECT page_id AS doc_id, 'References' || chr(10) || CASE
+      WHEN n % 3 = 2 THEN 'See ' || url || chr(10) || 'Accessed.'
+      WHEN n % 3 = 1 THEN 'See ' || substring(url, 1, cut) || chr(10) || substring(url, cut + 1)
+      ELSE 'See ' || substring(url, 1, cut) || chr(10) || ' ' || substring(url, cut + 1) END AS text
+  FROM (SELECT page_id, url, length(url) AS n, length(url) // 2 AS cut FROM pages)"""
+ORACLE["url_line_stitch"] = f"""
+  WITH l AS (SELECT doc_id, {positions('ls')} AS line_no, unnest(ls) AS line, ls
+             FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM ({REF_DOCS}))),
+  t AS (SELECT doc_id, line_no, substring(line, instr(line, 'http')) AS tail,
+               substring(line, instr(line, 'http')) || coalesce(ls[line_no + 2], '') AS joined
+        FROM l WHERE instr(line, 'http') > 0),
+  c AS (SELECT doc_id, line_no, CAST(unnest(range(0, 6)) AS INTEGER) AS cand_no,
+               unnest([tail, joined, replace(tail, ' ', ''), replace(joined, ' ', ''),
+                       replace(tail, ' ', '.'), replace(joined, ' ', '.')]) AS url FROM t)
+  SELECT doc_id, line_no, min(cand_no) AS cand_no, arg_min(url, cand_no) AS url
+  FROM c WHERE url IN (SELECT url FROM pages) GROUP BY doc_id, line_no"""
+
+
+# --- events <-> articles, posts, pages --------------------------------------
+
+ORACLE["event_article_join"] = f"""
+  WITH ev AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS rupture_date, n_name AS country
+              FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  ar AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS article_id,
+                CAST(l_shipdate AS DATE) AS rupture_date, n_name AS country, l_extendedprice AS relevance
+         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
+  top AS (SELECT *, row_number() OVER (PARTITION BY rupture_date, country
+                                       ORDER BY relevance DESC, article_id) AS rk FROM ar QUALIFY rk <= {C.ARTICLES_PER_PAGE})
+  SELECT o_orderkey, article_id, CAST(rk AS INTEGER) AS rank FROM ev JOIN top USING (rupture_date, country)"""
+ORACLE["article_page_join"] = """
+  SELECT l.doc_id, quality, toxic, n_chars, n_chars IS NOT NULL AS has_page
+  FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id"""
+
+TOKENS = f"regexp_extract_all(lower(text), {q(T.TOKEN_RE)}, 0)"
+BENCH_TERMS = f"""
+  SELECT item_id, list_distinct([tk[1], tk[-1]]) AS terms FROM (SELECT item_id, {TOKENS} AS tk FROM benchmark)"""
+POSTS = f"""
+  SELECT conv_id * 1000 + turn AS post_id, list_distinct({TOKENS}) AS ptoks
+  FROM conversations WHERE role = 'user'"""
+MATCHES = f"""
+  SELECT item_id, post_id FROM ({BENCH_TERMS}) bt, ({POSTS}) ps
+  WHERE len(terms) > 0 AND list_has_all(ptoks, terms)"""
+ORACLE["event_post_match"] = f"SELECT item_id, count(*) AS n_posts FROM ({MATCHES}) GROUP BY item_id"
+ORACLE["post_search"] = f"""
+  SELECT item_id, post_id, CAST(rk AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY post_id) AS rk FROM ({MATCHES}))
+  WHERE rk <= {C.POSTS_PER_EVENT}"""
+ORACLE["news_search"] = f"""
+  SELECT doc_id, source AS source_name, title FROM (
+    SELECT doc_id, source, split_part(text, chr(10), 1) AS title, lower(text) AS lt
+    FROM documents WHERE lang = 'en')
+  WHERE contains(lt, 'the') AND contains(lt, 'and') AND {title_hit('title')}"""
+ORACLE["relevance_page"] = f"""
+  WITH qt AS (SELECT DISTINCT item_id, unnest(terms) AS token FROM ({BENCH_TERMS})),
+  toks AS (SELECT doc_id, unnest({TOKENS}) AS token FROM documents),
+  tf AS (SELECT doc_id, token, count(*) AS tf FROM toks WHERE token IN (SELECT token FROM qt) GROUP BY ALL),
+  dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+  n AS (SELECT count(*) AS n FROM documents),
+  w AS (SELECT doc_id, token, tf * ln(n.n / df) AS w FROM tf JOIN dfreq USING (token), n),
+  s AS (SELECT item_id, doc_id, round(sum(w), 6) AS score FROM qt JOIN w USING (token) GROUP BY ALL)
+  SELECT item_id, doc_id, score, CAST(rk AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rk FROM s)
+  WHERE rk > {(C.RELEVANCE_PAGE - 1) * C.ARTICLES_PER_PAGE} AND rk <= {C.RELEVANCE_PAGE * C.ARTICLES_PER_PAGE}"""
+
+
+def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    from hazardlake.functions.geo import EARTH_RADIUS_KM
+    return (f"({2 * EARTH_RADIUS_KM} * asin(least(1.0, sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) "
+            f"+ cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)))))")
+
+
+ORACLE["geo_radius_join"] = f"""
+  SELECT s_suppkey, c_custkey, round(d, 3) AS dist_km FROM (
+    SELECT s_suppkey, c_custkey, {haversine('elat', 'elon', 'plat', 'plon')} AS d FROM
+      (SELECT s_suppkey, {lat_expr('(s_suppkey * 7 + 3)')} AS elat, {lon_expr('(s_suppkey * 11 + 5)')} AS elon FROM supplier),
+      (SELECT c_custkey, {lat_expr('c_custkey')} AS plat, {lon_expr('c_custkey')} AS plon FROM customer))
+  WHERE d <= {C.RADIUS_KM}"""
