@@ -47,8 +47,9 @@ def probability_sentence(bins: Column, kind: str) -> Column:
     labelled = F.transform(bins, lambda v, i: F.struct(
         F.element_at(names, i + 1).alias("r"), v.alias("v")))
     kept = F.filter(labelled, lambda e: F.coalesce(e["v"], F.lit(0)) != 0)
+    before, after = PROBABILITY_PHRASE.split("{}")
     phrases = F.transform(kept, lambda e: F.concat(
-        e["r"], F.format_string(PROBABILITY_PHRASE.replace("{}", "%d"), e["v"])))
+        e["r"], F.lit(before), e["v"].cast("string"), F.lit(after)))
     total = F.aggregate(bins, F.lit(0), lambda acc, v: acc + F.coalesce(v, F.lit(0)))
     return F.when((total == 0) | (F.size(kept) == 0), F.lit("")).otherwise(
         F.concat(F.lit(prefix + " "), _join_with_and(phrases), F.lit(".")))

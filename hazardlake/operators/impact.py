@@ -21,14 +21,18 @@ def _labelled(boxes: DataFrame, keys: list[str], order_col: str) -> DataFrame:
 
 
 def _bins(order_col: str, cond=None):
-    """Seven conditional ``max_by``s: per bin, the value of the last box."""
+    """Seven conditional ``max_by``s: per bin, the value of the last box.
+
+    The ordering is (box order, value): boxes sharing an order position are
+    resolved by their value, so the result never depends on row order.
+    """
     out = []
+    last = F.struct(F.col(order_col), F.col("_v"))
     for b in range(I.N_BINS):
         hit = F.col("_bin") == b
         if cond is not None:
             hit = hit & cond
-        out.append(F.coalesce(F.max_by(F.when(hit, F.col("_v")), F.when(hit, F.col(order_col))),
-                              F.lit(0)))
+        out.append(F.coalesce(F.max_by(F.when(hit, F.col("_v")), F.when(hit, last)), F.lit(0)))
     return F.array(*out)
 
 

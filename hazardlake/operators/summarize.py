@@ -36,7 +36,7 @@ def _incidences(sentences: DataFrame, keys: list[str], id_col: str, text_col: st
 
 def textrank_scores(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
                     damping: float = 0.85, iterations: int = 20,
-                    checkpoint_every: int = 5) -> DataFrame:
+                    checkpoint_every: int = 1) -> DataFrame:
     """(keys..., id_col, score) for every sentence; isolated ones get 1-d."""
     inc = _incidences(sentences, keys, id_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
     gk = keys + ["_t"]

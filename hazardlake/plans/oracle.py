@@ -369,3 +369,174 @@ ORACLE["geo_radius_join"] = f"""
       (SELECT s_suppkey, {lat_expr('(s_suppkey * 7 + 3)')} AS elat, {lon_expr('(s_suppkey * 11 + 5)')} AS elon FROM supplier),
       (SELECT c_custkey, {lat_expr('c_custkey')} AS plat, {lon_expr('c_custkey')} AS plon FROM customer))
   WHERE d <= {C.RADIUS_KM}"""
+
+
+# --- impact charts ------------------------------------------------------------
+
+from hazardlake.functions import impact as I  # noqa: E402
+from hazardlake.functions.lookups import (  # noqa: E402
+    CLASS_NAMES, FATALITY_PREFIX, FATALITY_RANGES, IMPACT_X_THRESHOLDS, LOSS_PREFIX,
+    LOSS_RANGES, PROBABILITY_PHRASE)
+
+BOXES = """
+  SELECT l_orderkey AS event_id, CASE WHEN l_linestatus = 'O' THEN 'fatality' ELSE 'loss' END AS chart,
+         l_linenumber AS box_order, CAST(l_partkey % 640 AS INTEGER) AS x,
+         CAST(l_quantity * 2 AS INTEGER) AS w, l_linenumber * 4 AS h,
+         CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '%' AS text
+  FROM lineitem"""
+BIN = "CASE " + " ".join(f"WHEN x > {t} THEN {i}" for i, t in reversed(list(enumerate(IMPACT_X_THRESHOLDS, 1)))) + " ELSE 0 END"
+LABELLED = f"""
+  SELECT * FROM (
+    SELECT event_id, chart, box_order, {BIN} AS bin,
+           CASE WHEN instr(text, '%') > 0 THEN TRY_CAST(regexp_extract(text, {q(I.PERCENT_RE)}, 1) AS INTEGER) END AS v
+    FROM ({BOXES}) WHERE w < 60 AND h < 20)
+  WHERE v IS NOT NULL"""
+
+
+def bin_value(b: int, extra: str = "") -> str:
+    return f"coalesce(arg_max(v, row(box_order, v)) FILTER (WHERE bin = {b}{extra}), 0)"
+
+
+ORACLE["box_bucket"] = f"""
+  SELECT event_id, chart, {', '.join(f'{bin_value(b)} AS b{b}' for b in range(7))}
+  FROM ({LABELLED}) GROUP BY event_id, chart"""
+
+
+def sentence_sql(arr: str, prefix: str, ranges: list[str]) -> str:
+    rl = "[" + ", ".join(q(r) for r in ranges) + "]"
+    before, after = PROBABILITY_PHRASE.split("{}")
+    ph = (f"list_filter(list_transform(range(1, 8), lambda i: CASE WHEN {arr}[i] <> 0 THEN "
+          f"{rl}[i] || {q(before)} || CAST({arr}[i] AS VARCHAR) || {q(after)} END), lambda p: p IS NOT NULL)")
+    return (f"CASE WHEN list_sum({arr}) = 0 OR len({ph}) = 0 THEN '' "
+            f"WHEN len({ph}) = 1 THEN {q(prefix + ' ')} || {ph}[1] || '.' "
+            f"ELSE {q(prefix + ' ')} || array_to_string({ph}[1:len({ph}) - 1], ', ') || ', and ' || {ph}[-1] || '.' END")
+
+
+IMPACT = f"""
+  SELECT event_id, {sentence_sql('fb', FATALITY_PREFIX, FATALITY_RANGES)} AS fatality_text,
+         {sentence_sql('lb', LOSS_PREFIX, LOSS_RANGES)} AS loss_text FROM (
+    SELECT event_id,
+      [{', '.join(bin_value(b, " AND chart = 'fatality'") for b in range(7))}] AS fb,
+      [{', '.join(bin_value(b, " AND chart = 'loss'") for b in range(7))}] AS lb
+    FROM ({LABELLED}) GROUP BY event_id)"""
+ORACLE["impact_sentence"] = IMPACT
+
+
+# --- classification, votes, sections ----------------------------------------
+
+NAMES = "[" + ", ".join(q(n) for n in CLASS_NAMES) + "]"
+ORACLE["argmax_label"] = f"""
+  SELECT vec_id, CAST(list_position(l, list_max(l)) - 1 AS BIGINT) AS pred_idx,
+         {NAMES}[list_position(l, list_max(l))] AS label,
+         CAST(list_position(embedding, list_max(embedding)) - 1 AS BIGINT) AS argmax_all
+  FROM (SELECT vec_id, embedding, embedding[1:{len(CLASS_NAMES)}] AS l FROM embeddings)"""
+
+LANG_CASE = "CASE lang " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in C.LANG_CLASS.items()) + " END"
+ORACLE["majority_vote"] = f"""
+  WITH v AS (SELECT doc_id, unnest([{NAMES}[len(string_split(text, ' ')) % 4 + 1], {LANG_CASE},
+                                    {NAMES}[(length(text) - length(replace(text, '.', ''))) % 4 + 1]]) AS label
+             FROM documents),
+  c AS (SELECT doc_id, label, count(*) AS votes FROM v GROUP BY ALL),
+  best AS (SELECT doc_id, label, votes FROM c
+           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY votes DESC, list_position({NAMES}, label)) = 1)
+  SELECT best.doc_id, label, votes, quality FROM best JOIN labels USING (doc_id)"""
+
+SECTION_CASE = "CASE trim(label) " + " ".join(
+    f"WHEN {q(lab)} THEN {q(s)}" for s, lab in __import__('hazardlake.functions.lookups', fromlist=['x']).SECTION_LABELS) + " END"
+SECTIONS = f"""
+  SELECT doc_id, section, count(*) AS n_sentences, string_agg(sentence, ' ' ORDER BY sent_pos) AS section_text
+  FROM (SELECT *, {SECTION_CASE} AS section FROM (
+          SELECT *, {NAMES}[len(string_split(sentence, ' ')) % 4 + 1] AS label FROM ({DOC_SENTENCES})))
+  WHERE section IS NOT NULL GROUP BY doc_id, section"""
+ORACLE["label_sections"] = SECTIONS
+
+
+# --- activity over time, streaming, sinks ------------------------------------
+
+HITS = f"SELECT user_id, ts FROM events WHERE event_type = {q(C.HIT_TYPE)}"
+ORACLE["tumbling_counts"] = f"""
+  SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, count(*) AS n
+  FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM ({HITS})) GROUP BY ws"""
+ORACLE["sliding_counts"] = f"""
+  SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, count(*) AS n FROM (
+    SELECT ts, time_bucket(INTERVAL 15 MINUTE, ts) - k * INTERVAL 15 MINUTE AS ws
+    FROM ({HITS}), range(0, 4) AS r(k))
+  WHERE ws <= ts AND ts < ws + INTERVAL 1 HOUR GROUP BY ws"""
+ORACLE["session_bursts"] = f"""
+  WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL
+                                       OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
+             FROM ({HITS}) WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+  s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n
+  FROM s GROUP BY user_id, sid"""
+ORACLE["resilience_curve"] = f"""
+  WITH hh AS (SELECT event_type, CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '{C.RUPTURE}')) / 3600000000.0) AS INTEGER) AS h
+              FROM events),
+  spine AS (SELECT event_type, CAST(unnest(range(-72, 240)) AS INTEGER) AS h FROM (SELECT DISTINCT event_type FROM events)),
+  cnt AS (SELECT event_type, h, count(*) AS y FROM hh WHERE h >= -72 AND h < 240 GROUP BY ALL),
+  curve AS (SELECT s.event_type, s.h, CAST(coalesce(y, 0) AS DOUBLE) AS y FROM spine s LEFT JOIN cnt USING (event_type, h)),
+  base AS (SELECT event_type, avg(y) AS m, stddev_pop(y) AS sd FROM curve WHERE h < 0 GROUP BY event_type),
+  c AS (SELECT curve.*, m, sd, avg(y) OVER (PARTITION BY event_type ORDER BY h ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS trail
+        FROM curve JOIN base USING (event_type)),
+  t0 AS (SELECT event_type, min(h) AS t0 FROM c WHERE h >= 0 AND y > m + 2.0 * sd GROUP BY event_type),
+  t1 AS (SELECT c.event_type, min(h) AS t1 FROM c JOIN t0 USING (event_type) WHERE h > t0 AND trail <= m GROUP BY c.event_type)
+  SELECT base.event_type, round(m, 6) AS baseline_mean, round(sd, 6) AS baseline_sd, t0, t1, t1 - t0 AS recovery_h
+  FROM base LEFT JOIN t0 USING (event_type) LEFT JOIN t1 USING (event_type)"""
+ORACLE["stream_ingest_dedupe"] = """
+  SELECT DISTINCT user_id, event_type, date_trunc('minute', ts) AS minute FROM events"""
+ORACLE["partitioned_sink"] = """
+  SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, event_type, value FROM events"""
+
+ORACLE["report_assemble"] = f"""
+  WITH ev AS ({ORDER_EVENTS}), narr AS ({ORACLE['event_narrative']}), imp AS ({IMPACT}), sec AS ({SECTIONS})
+  SELECT ev.event_id, 'Earthquake Report for ' || ev.country || ' on ' || strftime(ev.rupture_time, '%Y-%m-%d') AS title,
+         narr.narrative, coalesce(b.section_text, '') AS buildings_text,
+         coalesce(i.section_text, '') AS infrastructure_text,
+         coalesce(r.section_text, '') || chr(10) || chr(10) || coalesce(imp.loss_text, '') AS resilience_text,
+         imp.fatality_text, imp.loss_text
+  FROM ev LEFT JOIN narr ON narr.event_id = ev.event_id
+  LEFT JOIN imp ON imp.event_id = ev.event_id
+  LEFT JOIN sec b ON b.doc_id = ev.event_id AND b.section = 'Buildings'
+  LEFT JOIN sec i ON i.doc_id = ev.event_id AND i.section = 'Infrastructure'
+  LEFT JOIN sec r ON r.doc_id = ev.event_id AND r.section = 'Resilience'"""
+
+
+# --- TextRank summary (20 unrolled, materialised iterations) ----------------
+
+def _textrank_sql(iterations: int = 20, damping: float = 0.85) -> str:
+    sents = f"""
+      SELECT lang, min(sent_id) AS sent_id, sentence FROM (
+        SELECT regexp_extract(p.url, '^https?://[^/]+/([a-z]{{2}})/', 1) AS lang,
+               s.page_id * 1000000 + s.para_pos * 1000 + s.sent_pos AS sent_id, s.sentence
+        FROM ({PAGE_SENTENCES}) s JOIN pages p ON p.page_id = s.page_id)
+      GROUP BY lang, sentence"""
+    toks = f"list_distinct(regexp_extract_all(lower(sentence), {q(T.TOKEN_RE)}, 0))"
+    ctes = [
+        f"s AS MATERIALIZED ({sents})",
+        f"inc AS MATERIALIZED (SELECT lang, sent_id, 1.0 / sqrt(len(tk)) AS a, unnest(tk) AS t "
+        f"FROM (SELECT lang, sent_id, {toks} AS tk FROM s) WHERE len(tk) > 0)",
+        "st AS MATERIALIZED (SELECT lang, t, sum(a) AS sa FROM inc GROUP BY lang, t)",
+        "r0 AS MATERIALIZED (SELECT lang, sent_id, first(a) AS a, first(a) * sum(sa) - 1.0 AS w, 1.0 AS r "
+        "FROM inc JOIN st USING (lang, t) GROUP BY lang, sent_id)",
+    ]
+    for k in range(iterations):
+        ctes += [
+            f"x{k} AS MATERIALIZED (SELECT lang, sent_id, a, w, CASE WHEN w > 1e-12 THEN r / w ELSE 0.0 END AS x FROM r{k})",
+            f"u{k} AS MATERIALIZED (SELECT inc.lang, inc.t, sum(x{k}.a * x{k}.x) AS u FROM inc "
+            f"JOIN x{k} USING (lang, sent_id) GROUP BY inc.lang, inc.t)",
+            f"su{k} AS MATERIALIZED (SELECT inc.lang, inc.sent_id, sum(u) AS su FROM inc "
+            f"JOIN u{k} USING (lang, t) GROUP BY inc.lang, inc.sent_id)",
+            f"r{k + 1} AS MATERIALIZED (SELECT lang, sent_id, a, w, {1 - damping} + {damping} * "
+            f"greatest(0.0, a * coalesce(su, 0.0) - x) AS r FROM x{k} LEFT JOIN su{k} USING (lang, sent_id))",
+        ]
+    final = f"""
+      scored AS (SELECT s.lang, s.sent_id, s.sentence, coalesce(r, {1 - damping}) AS score,
+                        count(*) OVER (PARTITION BY s.lang) AS n
+                 FROM s LEFT JOIN r{iterations} USING (lang, sent_id))
+      SELECT lang, sent_id, sentence, round(score, 6) AS score FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY round(score, 9) DESC, sent_id) AS rk FROM scored)
+      WHERE rk <= CASE WHEN n <= 1 THEN n ELSE ceil(n * {C.SUMMARY_RATIO}) END"""
+    return "WITH " + ",\n".join(ctes) + ",\n" + final
+
+
+ORACLE["textrank_summary"] = _textrank_sql()
