@@ -643,7 +643,7 @@ def stream_ingest_dedupe(spark, sf):
     minute) within a watermark, written once by an availableNow run."""
     src = f"{sf.rstrip('/')}/events.parquet"
     schema = spark.read.parquet(src).schema
-    stream = (SI.read_landed(spark, src, schema)
+    stream = (SI.read_landed(spark, sf, schema, glob="events.parquet")
               .select("user_id", "event_type", "ts")
               .withColumn("minute", F.date_trunc("minute", F.col("ts").cast("timestamp"))))
     dedup = SI.dedupe_stream(stream, "minute", ["user_id", "event_type", "minute"], "1 hour")

@@ -24,8 +24,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+    """A file stream over the landing folder ``path`` (files matching ``glob``)."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
