@@ -11,6 +11,18 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when it arrives in too few partitions.
+
+    For CPU-heavy per-row work (HTML regexes, sentence splitting,
+    tokenising) on a source read as a handful of splits. When the input
+    already has at least ``defaultParallelism`` partitions -- the normal case
+    on a large input -- this is a no-op and adds no shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
@@ -62,6 +74,31 @@ def rank_within_groups(df: DataFrame, keys: list[str], order: list, pos_col: str
             .drop("_pid", "_mid", "_m0", "_off"))
 
 
+def bucketed_copy(df: DataFrame, cols: list[str], buckets: int, label: str):
+    """Write ``df`` once as a table bucketed by ``cols`` under the shared
+    checkpoint folder and return (table DataFrame, table name).
+
+    For a large table joined again and again on the same key (iterations):
+    the bucketed scan reports its hash partitioning, so each join shuffles
+    only the other, smaller side; the files also outlive lost executors.
+    Drop the table with ``drop_table`` when done (the files stay with the
+    checkpoint folder).
+    """
+    import uuid
+    from hazardlake.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    name = f"hazardlake_{label}_{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    # One writer task per bucket -> one file per bucket.
+    (df.repartition(buckets, *cols).write.bucketBy(buckets, *cols).mode("overwrite")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name), name
+
+
+def drop_table(spark, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's shared ``spark.checkpoint.dir``.
 

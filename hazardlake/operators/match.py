@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.functions import text as T
-from hazardlake.operators.common import top_n_per_key
+from hazardlake.operators.common import spread, top_n_per_key
 
 
 def keyword_filter(df: DataFrame, text: Column, keywords: list[str],
@@ -27,7 +27,7 @@ def keyword_filter(df: DataFrame, text: Column, keywords: list[str],
 
 def token_index(docs: DataFrame, key: str, text_col: str) -> DataFrame:
     """Distinct (key, token) rows of a text column."""
-    return docs.select(key, F.explode(F.array_distinct(T.tokens(F.col(text_col)))).alias("token"))
+    return spread(docs).select(key, F.explode(F.array_distinct(T.tokens(F.col(text_col)))).alias("token"))
 
 
 def all_terms_match(events: DataFrame, posts: DataFrame, event_key: str, terms_col: str,
@@ -49,7 +49,7 @@ def all_terms_match(events: DataFrame, posts: DataFrame, event_key: str, terms_c
               .select(event_key, "_d.token", "_d._terms"))
     cands = driver.join(idx, "token").select(event_key, post_key, "_terms")
     # Verify the other terms against each candidate post's token set.
-    post_tokens = posts.select(post_key, F.array_distinct(T.tokens(F.col(text_col))).alias("_ptoks"))
+    post_tokens = spread(posts).select(post_key, F.array_distinct(T.tokens(F.col(text_col))).alias("_ptoks"))
     return (cands.join(post_tokens, post_key)
             .where(F.forall("_terms", lambda t: F.array_contains(F.col("_ptoks"), t)))
             .select(event_key, post_key))
@@ -71,7 +71,7 @@ def tfidf_scores(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: st
     q_terms = (queries.select(query_key, F.explode(F.array_distinct(terms_col)).alias("token"))
                .distinct())
     vocab = q_terms.select("token").distinct()
-    toks = (docs.select(doc_key, F.explode(T.tokens(F.col(text_col))).alias("token"))
+    toks = (spread(docs).select(doc_key, F.explode(T.tokens(F.col(text_col))).alias("token"))
             .join(vocab, "token", "left_semi"))
     tf = toks.groupBy(doc_key, "token").agg(F.count("*").alias("_tf"))
     dfreq = tf.groupBy("token").agg(F.count("*").alias("_df"))

@@ -14,21 +14,33 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions import html as H
 from hazardlake.functions import text as T
+from hazardlake.operators.common import spread
 
 
 def page_paragraphs(pages: DataFrame, key: str = "page_id", html_col: str = "html",
                     keep_empty: bool = False) -> DataFrame:
-    """(key, para_pos, paragraph) for every ``<p>`` of every page."""
-    out = (pages.select(key, F.posexplode(H.paragraph_pieces(F.col(html_col))).alias("para_pos", "piece"))
-           .select(key, "para_pos", H.clean_fragment(F.col("piece")).alias("paragraph")))
-    return out if keep_empty else out.where(F.col("paragraph") != "")
+    """(key, para_pos, paragraph) for every ``<p>`` of every page.
+
+    ``para_pos`` is the index of the ``<p>`` piece. Empty paragraphs are
+    dropped inside the array (one evaluation of the cleaning regexes per
+    piece; a row filter on the cleaned column would be pushed below the
+    projection and evaluate them twice).
+    """
+    src = spread(pages.select(key, html_col))
+    if keep_empty:
+        return (src.select(key, F.posexplode(H.paragraph_pieces(F.col(html_col))).alias("para_pos", "piece"))
+                .select(key, "para_pos", H.clean_fragment(F.col("piece")).alias("paragraph")))
+    cleaned = F.transform(H.paragraph_pieces(F.col(html_col)),
+                          lambda x, i: F.struct(i.alias("para_pos"), H.clean_fragment(x).alias("paragraph")))
+    kept = F.filter(cleaned, lambda e: e["paragraph"] != "")
+    return src.select(key, F.inline(kept))
 
 
 def split_sentences(df: DataFrame, text_col: str, keys: list[str],
                     pos_col: str = "sent_pos", by_line: bool = False) -> DataFrame:
     """One row per sentence of ``text_col``; ``pos_col`` is 0-based."""
     arr = T.line_sentences(F.col(text_col)) if by_line else T.sentences(F.col(text_col))
-    return df.select(*keys, F.posexplode(arr).alias(pos_col, "sentence"))
+    return spread(df).select(*keys, F.posexplode(arr).alias(pos_col, "sentence"))
 
 
 def min_words(df: DataFrame, col: str = "sentence", n: int = 2) -> DataFrame:
@@ -39,7 +51,8 @@ def min_words(df: DataFrame, col: str = "sentence", n: int = 2) -> DataFrame:
 def page_sentences(pages: DataFrame, key: str = "page_id", html_col: str = "html",
                    min_word_count: int = 2) -> DataFrame:
     """(key, para_pos, sent_pos, sentence): the article text of each page."""
-    paras = page_paragraphs(pages, key, html_col)
+    # Empty paragraphs yield no sentences, so they need no separate filter.
+    paras = page_paragraphs(pages, key, html_col, keep_empty=True)
     return min_words(split_sentences(paras, "paragraph", [key, "para_pos"]), "sentence",
                      min_word_count)
 
@@ -66,7 +79,7 @@ def boilerplate_filter(sentences: DataFrame, page_col: str = "page_id",
 def page_text_concat(pages: DataFrame, key: str = "page_id", html_col: str = "html",
                      sep: str = "") -> DataFrame:
     """(key, text): all paragraph texts of a page joined, in order."""
-    return pages.select(key, H.page_text(F.col(html_col), sep).alias("text"))
+    return spread(pages).select(key, H.page_text(F.col(html_col), sep).alias("text"))
 
 
 def first_occurrences(sentences: DataFrame, keys: list[str], pos_col: str = "sent_pos",
@@ -78,7 +91,7 @@ def first_occurrences(sentences: DataFrame, keys: list[str], pos_col: str = "sen
 
 def doc_lines(docs: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, line_no, line): a text split into lines, 0-based."""
-    return docs.select(key, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
+    return spread(docs).select(key, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
 
 
 def lines_after_marker(docs: DataFrame, marker: str, key: str = "doc_id",
@@ -90,7 +103,7 @@ def lines_after_marker(docs: DataFrame, marker: str, key: str = "doc_id",
     """
     lines = F.split(F.col(text_col), "\n")
     first = F.array_position(F.transform(lines, lambda l: F.instr(l, marker) > 0), True)
-    return (docs.select(key, lines.alias("_lines"), first.alias("_first"))
+    return (spread(docs).select(key, lines.alias("_lines"), first.alias("_first"))
             .where(F.col("_first") > 0)
             .select(key, F.posexplode("_lines").alias("line_no", "line"), "_first")
             .where(F.col("line_no") >= F.col("_first") - 1)

@@ -11,57 +11,137 @@ becomes two sums over (sentence, token) incidences:
 ``U_t = sum_{i has t} a_i r_i / W_i`` per (group, token), then
 ``sum_{i != j} ... = a_j * sum_{t in j} U_t - r_j / W_j`` per sentence.
 No sentence pair is ever materialised: the work per iteration is linear in
-the number of incidences, whatever the size of a group, and hot tokens are
-pre-aggregated on the map side.
+the number of incidences, whatever the size of a group, the incidences
+themselves never move after the first layout, and hot tokens are salted.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
+from pyspark.sql import types as T_
 
 from hazardlake.functions import text as T
 from hazardlake.functions.lookups import SECTION_LABELS
-from hazardlake.operators.common import checkpoint, rank_within_groups
+from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
+                                         rank_within_groups, spread)
 
 
 def _incidences(sentences: DataFrame, keys: list[str], id_col: str, text_col: str) -> DataFrame:
     toks = F.array_distinct(T.tokens(F.col(text_col)))
-    base = sentences.select(*keys, id_col, toks.alias("_toks"))
+    base = spread(sentences).select(*keys, id_col, toks.alias("_toks"))
     a = F.lit(1.0) / F.sqrt(F.size("_toks").cast("double"))
     return (base.where(F.size("_toks") > 0)
             .select(*keys, id_col, a.alias("_a"), F.explode("_toks").alias("_t")))
 
 
-def textrank_scores(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
-                    damping: float = 0.85, iterations: int = 20,
-                    checkpoint_every: int = 1) -> DataFrame:
-    """(keys..., id_col, score) for every sentence; isolated ones get 1-d."""
-    inc = _incidences(sentences, keys, id_col, text_col).persist(StorageLevel.MEMORY_AND_DISK)
-    gk = keys + ["_t"]
-    sk = keys + [id_col]
+# Groups with at most this many (sentence, token) incidences are ranked
+# inside one task (numpy); larger groups run the distributed iteration.
+LOCAL_MAX_INCIDENCES = 1_000_000
+
+
+def _local_rank(keys: list[str], id_col: str, damping: float, iterations: int):
+    """Per-group numpy version of the same factorised iteration."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sid, s_idx = np.unique(pdf[id_col].to_numpy(), return_inverse=True)
+        _, t_idx = np.unique(pdf["_t"].to_numpy(), return_inverse=True)
+        a = np.zeros(len(sid))
+        a[s_idx] = pdf["_a"].to_numpy()
+        s_t = np.bincount(t_idx, weights=a[s_idx])
+        w = a * np.bincount(s_idx, weights=s_t[t_idx], minlength=len(sid)) - 1.0
+        r = np.ones(len(sid))
+        for _ in range(iterations):
+            x = np.where(w > 1e-12, r / np.where(w > 1e-12, w, 1.0), 0.0)
+            u = np.bincount(t_idx, weights=(a * x)[s_idx])
+            su = np.bincount(s_idx, weights=u[t_idx], minlength=len(sid))
+            r = (1.0 - damping) + damping * np.maximum(0.0, a * su - x)
+        out = pd.DataFrame({id_col: sid, "score": r})
+        for k in keys:
+            out.insert(0, k, pdf[k].iloc[0])
+        return out[keys + [id_col, "score"]]
+    return run
+
+
+def _distributed_rank(inc: DataFrame, keys: list[str], id_col: str, damping: float,
+                      iterations: int, salt_buckets: int | None) -> DataFrame:
+    """The iteration as DataFrame jobs, for groups of any size.
+
+    The (sentence, token) incidences are laid out once, in two bucketed
+    copies -- by sentence and by (token, salt) -- and never move again. Each
+    iteration only shuffles per-token sums (to the token copy) and
+    per-sentence sums (to the sentence copy). Tokens held by more than
+    ~1/(4P) of all incidences are salted over ``salt_buckets`` buckets so no
+    task streams a hot token's incidences alone; their per-token sum is
+    replicated per salt. The per-sentence state is checkpointed every
+    iteration (lineage cut).
+    """
+    spark = inc.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = salt_buckets or parts
+    sk, gk = keys + [id_col], keys + ["_t"]
+    total = inc.count()
+    hot = max(1, total // (parts * 4))
+    tok = checkpoint(inc.groupBy(*gk).agg(F.sum("_a").alias("_s"), F.count("*").alias("_n"))
+                     .select(*gk, "_s", F.when(F.col("_n") > hot, F.lit(salts)).otherwise(F.lit(1)).alias("_ns")))
+    salted = (inc.join(tok, gk)
+              .withColumn("_salt", F.pmod(F.xxhash64(*sk), F.col("_ns")).cast("int")))
+    cols = list(dict.fromkeys(sk + gk))
+    by_sent, t1 = bucketed_copy(salted.select(*cols, "_a"), sk, parts, "inc_by_sentence")
+    by_tok, t2 = bucketed_copy(salted.select(*cols, "_salt"), gk + ["_salt"], parts, "inc_by_token")
     # W_i = a_i * sum_{t in i} S_t - 1, with S_t = sum_{k has t} a_k.
-    s_t = inc.groupBy(*gk).agg(F.sum("_a").alias("_s"))
-    node = (inc.join(s_t, gk).groupBy(*sk)
-            .agg(F.first("_a").alias("_a"), F.sum("_s").alias("_ss"))
-            .select(*sk, "_a", (F.col("_a") * F.col("_ss") - 1.0).alias("_w")))
-    node = checkpoint(node.withColumn("_r", F.lit(1.0)))
-    for it in range(1, iterations + 1):
+    node = checkpoint(salted.groupBy(*sk).agg(F.first("_a").alias("_a"), F.sum("_s").alias("_ss"))
+                      .select(*sk, "_a", (F.col("_a") * F.col("_ss") - 1.0).alias("_w"),
+                              F.lit(1.0).alias("_r")))
+    salt_of = tok.select(*gk, "_ns")
+    for _ in range(iterations):
         x = F.when(F.col("_w") > 1e-12, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
         nx = node.select(*sk, "_a", "_w", x.alias("_x"))
-        u = (inc.join(nx.select(*sk, (F.col("_a") * F.col("_x")).alias("_y")), sk)
+        # sentence -> token: U_t = sum a_i x_i (partial sums leave each task)
+        u = (by_sent.join(nx.select(*sk, (F.col("_a") * F.col("_x")).alias("_y")), sk)
              .groupBy(*gk).agg(F.sum("_y").alias("_u")))
-        su = inc.join(u, gk).groupBy(*sk).agg(F.sum("_u").alias("_su"))
-        node = (nx.join(su, sk, "left")
-                .select(*sk, "_a", "_w",
-                        (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
-                            F.lit(0.0), F.col("_a") * F.coalesce("_su", F.lit(0.0)) - F.col("_x"))
-                         ).alias("_r")))
-        if it % checkpoint_every == 0 or it == iterations:
-            node = checkpoint(node)
-    inc.unpersist()
-    scored = node.select(*sk, F.col("_r").alias("score"))
+        u_rep = (u.join(salt_of, gk)
+                 .select(*gk, "_u", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt")))
+        # token -> sentence: sum_{t in j} U_t
+        su = by_tok.join(u_rep, gk + ["_salt"]).groupBy(*sk).agg(F.sum("_u").alias("_su"))
+        node = checkpoint(
+            nx.join(su, sk, "left")
+            .select(*sk, "_a", "_w",
+                    (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
+                        F.lit(0.0), F.col("_a") * F.coalesce("_su", F.lit(0.0)) - F.col("_x"))
+                     ).alias("_r")))
+    drop_table(spark, t1)
+    drop_table(spark, t2)
+    return node.select(*sk, F.col("_r").alias("score"))
+
+
+def textrank_scores(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
+                    damping: float = 0.85, iterations: int = 20,
+                    salt_buckets: int | None = None,
+                    local_max_incidences: int = LOCAL_MAX_INCIDENCES) -> DataFrame:
+    """(keys..., id_col, score) for every sentence; isolated ones get 1-d.
+
+    Groups are split by a size check, like a broadcast threshold: a group
+    with at most ``local_max_incidences`` incidences (a proven bound) is
+    ranked in one task with numpy; every larger group runs the distributed
+    iteration, which has no size limit. Both compute the same numbers.
+    """
+    spark = sentences.sparkSession
+    sk = keys + [id_col]
+    inc = checkpoint(_incidences(sentences, keys, id_col, text_col))
+    sizes = inc.groupBy(*keys).agg(F.count("*").alias("_m"))
+    small = sizes.where(F.col("_m") <= local_max_incidences).select(*keys)
+    large = checkpoint(sizes.where(F.col("_m") > local_max_incidences).select(*keys))
+    key_fields = [f for f in inc.schema.fields if f.name in sk]
+    out_schema = T_.StructType(key_fields + [T_.StructField("score", T_.DoubleType())])
+    scored = (inc.join(small, keys, "left_semi").groupBy(*keys)
+              .applyInPandas(_local_rank(keys, id_col, damping, iterations), out_schema))
+    if not large.isEmpty():
+        big = _distributed_rank(inc.join(large, keys, "left_semi"), keys, id_col, damping,
+                                iterations, salt_buckets)
+        scored = scored.unionByName(big)
+    scored = checkpoint(scored)
     return (sentences.select(*sk).join(scored, sk, "left")
             .select(*sk, F.coalesce("score", F.lit(1.0 - damping)).alias("score")))
 

@@ -32,10 +32,16 @@ def _brute_textrank(sents, d=0.85, iters=20):
     return r
 
 
-def test_factorised_textrank_equals_pairwise_pagerank(spark):
+import pytest
+
+
+@pytest.mark.parametrize("local_max", [SM.LOCAL_MAX_INCIDENCES, 0])
+def test_factorised_textrank_equals_pairwise_pagerank(spark, local_max):
+    # local_max=0 forces the distributed (bucketed, salted) iteration.
     df = spark.createDataFrame([("g", i, s) for i, s in enumerate(SENTS)] + [("h", 0, "Alone here.")],
                                "grp string, id int, sentence string")
-    got = {(r.grp, r.id): r.score for r in SM.textrank_scores(df, ["grp"], "id", "sentence").collect()}
+    got = {(r.grp, r.id): r.score for r in SM.textrank_scores(
+        df, ["grp"], "id", "sentence", local_max_incidences=local_max, salt_buckets=3).collect()}
     want = _brute_textrank(SENTS)
     for i in range(len(SENTS)):
         assert abs(got[("g", i)] - want[i]) < 1e-9
