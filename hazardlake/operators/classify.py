@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardlake.functions.lookups import CLASS_NAMES
+from hazardlake.operators.common import spread
 
 
 def argmax(scores: Column) -> Column:
@@ -67,7 +68,7 @@ def text_classifier(text_col: str = "text", label_col: str = "label", num_featur
 def classify(model: PipelineModel, df: DataFrame, keep: list[str],
              names: list[str] | None = None) -> DataFrame:
     """(keep..., pred_idx, label?, confidence) for every row of ``df``."""
-    out = model.transform(df)
+    out = model.transform(spread(df))
     from pyspark.ml.functions import vector_to_array
     probs = vector_to_array(F.col("probability"))
     res = out.select(*keep, F.col("prediction").cast("int").alias("pred_idx"),

@@ -38,11 +38,12 @@ def narrative(local_ts: Column, magnitude: Column, depth: Column, place: Column,
 def event_narratives(events: DataFrame, key: str = "event_id", zone_col: str = "tz",
                      time_col: str = "rupture_time", magnitude: str = "magnitude",
                      depth: str = "depth", place: str = "place", lat: str = "latitude",
-                     lon: str = "longitude", default_zone: str = "UTC") -> DataFrame:
-    """(key, local_time, narrative) for every event."""
+                     lon: str = "longitude", default_zone: str = "UTC",
+                     carry: list[str] | None = None) -> DataFrame:
+    """(key, local_time, narrative, carry...) for every event."""
     zone = F.coalesce(F.col(zone_col), F.lit(default_zone))
     local = TF.local_time(F.col(time_col), zone)
     return events.select(
-        key, local.alias("local_time"),
+        key, *(carry or []), local.alias("local_time"),
         narrative(local, F.col(magnitude), F.col(depth), F.col(place), F.col(lat),
                   F.col(lon)).alias("narrative"))

@@ -18,11 +18,16 @@ def assemble_reports(events: DataFrame, key: str, narratives: DataFrame | None =
                      country_col: str = "country", time_col: str = "rupture_time") -> DataFrame:
     """Left-join the per-event parts on ``key`` (each part has one row per key).
 
+    When ``events`` already carries a ``narrative`` column (computed in the
+    same projection), pass ``narratives=None`` and it is kept as is.
+
     ``sections`` is long (key, section, section_text) and is pivoted here on
     the fixed section list; the Resilience section gets the loss text of the
     impact part appended after a blank line.
     """
-    out = events.select(key, report_title(F.col(country_col), F.col(time_col)).alias("title"))
+    has_narr = narratives is not None or "narrative" in events.columns
+    out = events.select(key, report_title(F.col(country_col), F.col(time_col)).alias("title"),
+                        *(["narrative"] if narratives is None and has_narr else []))
     if narratives is not None:
         out = out.join(narratives.select(key, "narrative"), key, "left")
     if impact is not None:
@@ -33,7 +38,7 @@ def assemble_reports(events: DataFrame, key: str, narratives: DataFrame | None =
             for s, _ in SECTION_LABELS])
         out = out.join(wide, key, "left")
     cols = [key, "title"]
-    if narratives is not None:
+    if has_narr:
         cols.append("narrative")
     loss = F.coalesce(F.col("loss_text"), F.lit("")) if impact is not None else F.lit("")
     if sections is not None:

@@ -65,7 +65,7 @@ from hazardlake.functions import text as TX  # noqa: E402
 from hazardlake.functions import timefmt as TF  # noqa: E402
 from hazardlake.operators import dedupe as D  # noqa: E402
 from hazardlake.operators import retention as R  # noqa: E402
-from hazardlake.operators.common import broadcast_if_small  # noqa: E402
+from hazardlake.operators.common import broadcast_if_small, spread  # noqa: E402
 from hazardlake.sources import feed as FD  # noqa: E402
 
 FEED_MIN_MAG = 50.0
@@ -567,7 +567,7 @@ def majority_vote(spark, sf):
 def sentence_classify(spark, sf):
     docs = _docs(spark, sf, "text")
     lab = load(spark, sf, "labels", "doc_id", "quality")
-    train = docs.join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
+    train = spread(docs.join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label")))
     model = CL.text_classifier("text", "label", num_features=1 << 16, max_iter=20).fit(train)
     return CL.classify(model, docs, ["doc_id"])
 
@@ -666,8 +666,8 @@ def partitioned_sink(spark, sf):
 
 @query
 def report_assemble(spark, sf):
-    ev = _order_events(spark, sf)
-    narr = N.event_narratives(ev, key="event_id")
+    ev = N.event_narratives(_order_events(spark, sf), key="event_id",
+                            carry=["country", "rupture_time"])
     impact = IM.impact_sentences(_boxes(spark, sf), ["event_id"])
     secs = SM.label_sections(_labelled_doc_sentences(spark, sf), ["doc_id"]).withColumnRenamed("doc_id", "event_id")
-    return RP.assemble_reports(ev, "event_id", narr, secs, impact)
+    return RP.assemble_reports(ev, "event_id", None, secs, impact)
