@@ -7,8 +7,12 @@ stream replay equals the batch result.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hazardlake.operators.common import checkpoint
 
 
 def window_counts(df: DataFrame, ts: str, size: str, slide: str | None = None,
@@ -22,11 +26,71 @@ def window_counts(df: DataFrame, ts: str, size: str, slide: str | None = None,
 
 
 def session_counts(df: DataFrame, ts: str, gap: str, keys: list[str]) -> DataFrame:
-    """(keys..., session_start, session_end, n): bursts split by ``gap`` of quiet."""
-    return (df.groupBy(*keys, F.session_window(ts, gap).alias("_s"))
-            .agg(F.count("*").alias("n"))
-            .select(*keys, F.col("_s.start").alias("session_start"),
-                    F.col("_s.end").alias("session_end"), "n"))
+    """(keys..., session_start, session_end, n): bursts split by ``gap`` of quiet.
+
+    Same result as ``groupBy(keys, session_window(ts, gap))``, which
+    sessionises each key inside one task. Here the rows are range-sorted by
+    (keys, ts) over all partitions, so a key holding a third of the rows is
+    spread over many tasks; each sorted partition is sessionised locally
+    (Arrow batches, state carried across batches); a session cut by a
+    partition border is stitched to its predecessor through a table of at
+    most two rows per partition. A session end is its last event + gap.
+    """
+    gap_td = pd.Timedelta(gap)
+    gap_us = int(gap_td / pd.Timedelta(microseconds=1))
+    src = df.select(*keys, ts).where(F.col(ts).isNotNull())
+    key_fields = [f for f in src.schema.fields if f.name in keys]
+    ts_type = src.schema[ts].dataType
+    local_schema = T.StructType(key_fields + [
+        T.StructField("_pid", T.IntegerType()), T.StructField("_idx", T.LongType()),
+        T.StructField("_start", ts_type), T.StructField("_stop", ts_type),
+        T.StructField("_n", T.LongType()), T.StructField("_last", T.BooleanType())])
+
+    def sessionise(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        cur, idx = None, -1
+        for pdf in batches:
+            rows = []
+            kv = pdf[keys].itertuples(index=False, name=None)
+            for k, t in zip(kv, pdf[ts]):
+                if cur is not None and k == cur[0] and (t - cur[2]) < gap_td:
+                    cur[2] = t
+                    cur[3] += 1
+                    continue
+                if cur is not None:
+                    rows.append((*cur[0], pid, idx, cur[1], cur[2], cur[3], False))
+                idx += 1
+                cur = [k, t, t, 1]
+            if rows:
+                yield pd.DataFrame(rows, columns=local_schema.names)
+        if cur is not None:
+            yield pd.DataFrame([(*cur[0], pid, idx, cur[1], cur[2], cur[3], True)],
+                               columns=local_schema.names)
+
+    local = checkpoint(src.orderBy(*keys, ts).mapInPandas(sessionise, local_schema))
+    # Border sessions: first and last of each partition, in global order.
+    border = (local.where((F.col("_idx") == 0) | F.col("_last"))
+              .select(*keys, "_pid", "_idx", "_start", "_stop"))
+    order = Window.orderBy("_pid", "_idx")      # at most 2 rows per partition
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.lag(k).over(order).eqNullSafe(F.col(k)))
+    cont = ((F.col("_idx") == 0) & same
+            & ((F.unix_micros(F.col("_start").cast("timestamp"))
+                - F.unix_micros(F.lag("_stop").over(order).cast("timestamp"))) < gap_us))
+    roots = (border.withColumn("_cont", F.coalesce(cont, F.lit(False)))
+             .withColumn("_own", F.when(~F.col("_cont"), F.struct("_pid", "_idx")))
+             .withColumn("_root", F.last("_own", ignorenulls=True).over(
+                 order.rowsBetween(Window.unboundedPreceding, 0)))
+             .select("_pid", "_idx", "_root"))
+    joined = (local.join(roots, ["_pid", "_idx"], "left")
+              .withColumn("_root", F.coalesce("_root", F.struct("_pid", "_idx"))))
+    return (joined.groupBy(*keys, "_root")
+            .agg(F.min("_start").alias("session_start"), F.max("_stop").alias("_stop"),
+                 F.sum("_n").alias("n"))
+            .select(*keys, "session_start",
+                    (F.col("_stop") + F.expr(f"INTERVAL {gap}")).alias("session_end"), "n"))
 
 
 def resilience_curve(hits: DataFrame, ts: str, keys: list[str], rupture: str,

@@ -285,7 +285,7 @@ def _order_events(spark, sf):
     pts = c.select("c_custkey", "c_name", F.col("n_name").alias("country"),
                    derived_lat(F.col("c_custkey")).alias("latitude"),
                    derived_lon(F.col("c_custkey")).alias("longitude"))
-    pts = GO.assign_zone(pts, zones_df(spark), "c_custkey")
+    pts = broadcast_if_small(GO.assign_zone(pts, zones_df(spark), "c_custkey"))
     ev = o.join(pts, o.o_custkey == pts.c_custkey)
     return ev.select(
         F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("rupture_time"),
@@ -409,7 +409,8 @@ RADIUS_KM = 500.0
 def _order_keys(spark, sf):
     o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = load(spark, sf, "customer", "c_custkey", "c_nationkey")
-    c = c.join(_nation(spark, sf), c.c_nationkey == F.col("n_nationkey"))
+    c = broadcast_if_small(c.join(_nation(spark, sf), c.c_nationkey == F.col("n_nationkey"))
+                           .select("c_custkey", "n_name"))
     return o.join(c, o.o_custkey == c.c_custkey).select(
         "o_orderkey", TF.day_key(F.col("o_orderdate")).alias("rupture_date"),
         F.col("n_name").alias("country"))
@@ -419,7 +420,8 @@ def _articles(spark, sf):
     li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
               "l_extendedprice")
     s = load(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    s = s.join(_nation(spark, sf), s.s_nationkey == F.col("n_nationkey"))
+    s = broadcast_if_small(s.join(_nation(spark, sf), s.s_nationkey == F.col("n_nationkey"))
+                           .select("s_suppkey", "n_name"))
     return li.join(s, li.l_suppkey == s.s_suppkey).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("article_id"),
         TF.day_key(F.col("l_shipdate")).alias("rupture_date"), F.col("n_name").alias("country"),

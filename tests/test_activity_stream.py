@@ -66,3 +66,26 @@ def test_streaming_window_counts_finalise_closed_windows(spark):
     # Windows only close once the watermark passes them; a single batch
     # emits nothing in append mode, batch results cover closed windows.
     assert spark.table("wc_test").count() in (0, 1)
+
+
+def test_distributed_sessions_equal_session_window(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for u in range(6):
+        n = 4000 if u == 0 else 150            # user 0 is a hot key
+        t = 0
+        for _ in range(n):
+            t += rnd.choice([30, 60, 600, 1700, 1900, 4000])
+            rows.append((u, t))
+    df = spark.createDataFrame(rows, "user_id int, sec long").select(
+        "user_id", F.timestamp_seconds("sec").cast("timestamp_ntz").alias("ts")).repartition(7)
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        got = sorted(tuple(r) for r in AC.session_counts(df, "ts", "30 minutes", ["user_id"]).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    want = sorted(tuple(r) for r in df.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s"))
+                  .agg(F.count("*").alias("n"))
+                  .select("user_id", F.col("s.start"), F.col("s.end"), "n").collect())
+    assert got == want
