@@ -57,13 +57,13 @@ def min_words(expr: str, n: int = 2) -> str:
 PARAGRAPHS = f"""
   SELECT page_id, para_pos, paragraph FROM (
     SELECT page_id, para_pos, {clean_fragment('piece')} AS paragraph FROM (
-      SELECT page_id, unnest(range(0, len(ps))) AS para_pos, unnest(ps) AS piece
+      SELECT page_id, CAST(unnest(range(0, len(ps))) AS INTEGER) AS para_pos, unnest(ps) AS piece
       FROM (SELECT page_id, {pieces('html')} AS ps FROM pages)))
   WHERE paragraph <> ''"""
 
 PAGE_SENTENCES = f"""
   SELECT page_id, para_pos, sent_pos, sentence FROM (
-    SELECT page_id, para_pos, unnest(range(0, len(ss))) AS sent_pos, unnest(ss) AS sentence
+    SELECT page_id, para_pos, CAST(unnest(range(0, len(ss))) AS INTEGER) AS sent_pos, unnest(ss) AS sentence
     FROM (SELECT page_id, para_pos, {sentences('paragraph')} AS ss FROM ({PARAGRAPHS})))
   WHERE {min_words('sentence')}"""
 
