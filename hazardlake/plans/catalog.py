@@ -482,6 +482,8 @@ def news_search(spark, sf):
 
 @query
 def relevance_page(spark, sf):
+    # Plain scoring: on these texts term frequencies are flat, so the
+    # bounded variant (relevance_page_bounded) rarely proves a page early.
     scores = M.tfidf_scores(_docs(spark, sf, "text"), _bench_terms(spark, sf), "doc_id", "text",
                             "item_id", "terms")
     return M.relevance_page(scores, "item_id", "doc_id", RELEVANCE_PAGE, ARTICLES_PER_PAGE)

@@ -77,3 +77,20 @@ def test_top_n_per_key(spark):
     df = spark.createDataFrame([("a", i) for i in range(30)] + [("b", 1)], "k string, v int")
     out = top_n_per_key(df, ["k"], [F.desc("v")], 3, rank_col="rank")
     assert sorted((r.k, r.v, r.rank) for r in out.collect()) == [("a", 27, 3), ("a", 28, 2), ("a", 29, 1), ("b", 1, 1)]
+
+
+def test_bounded_relevance_page_equals_full(spark):
+    import random
+    rnd = random.Random(5)
+    words = ["quake", "haiti", "chile", "power", "road", "the", "of", "rescue", "aid", "water"]
+    docs = [(i, " ".join(rnd.choice(words[:5] if i % 4 else words) for _ in range(rnd.randint(1, 12))))
+            for i in range(400)]
+    qs = [(1, ["quake", "haiti"]), (2, ["the"]), (3, ["water", "aid", "road"]), (4, ["nothing"]), (5, ["of", "chile"])]
+    d = spark.createDataFrame(docs, "doc_id int, text string")
+    q = spark.createDataFrame(qs, "qid int, terms array<string>")
+    for page, size in [(1, 5), (2, 5), (1, 50)]:
+        full = M.relevance_page(M.tfidf_scores(d, q, "doc_id", "text", "qid", "terms"), "qid", "doc_id", page, size)
+        fast = M.relevance_page_bounded(d, q, "doc_id", "text", "qid", "terms", page, size)
+        cols = ["qid", "doc_id", "score", "rank"]
+        assert sorted(tuple(r[c] for c in cols) for r in fast.collect()) == \
+            sorted(tuple(r[c] for c in cols) for r in full.collect())
