@@ -60,26 +60,33 @@ def first_n_posts(matches: DataFrame, event_key: str, order: list, n: int = 10)
     return top_n_per_key(matches, [event_key], order, n, rank_col="rank")
 
 
-def tfidf_scores(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
-                 query_key: str, terms_col: str) -> DataFrame:
-    """(query_key, doc_key, score) with score = sum tf(t, d) * ln(N / df(t)).
-
-    Only tokens that occur in some query survive the first join, so the
-    heavy per-token work is bounded by the query vocabulary.
-    """
-    n_docs = docs.select(F.count("*").alias("_n"))
+def _postings(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
+              query_key: str, terms_col: str):
+    """(query, token) pairs and (token, doc, contribution) postings."""
     q_terms = (queries.select(query_key, F.explode(F.array_distinct(terms_col)).alias("token"))
                .distinct())
     vocab = q_terms.select("token").distinct()
     toks = (spread(docs).select(doc_key, F.explode(T.tokens(F.col(text_col))).alias("token"))
             .join(vocab, "token", "left_semi"))
     tf = toks.groupBy(doc_key, "token").agg(F.count("*").alias("_tf"))
+    n_docs = docs.select(F.count("*").alias("_n"))
     dfreq = tf.groupBy("token").agg(F.count("*").alias("_df"))
-    # N enters as a scalar subquery (one value), not as a join.
     idf = dfreq.select("token", F.ln(n_docs.scalar() / F.col("_df")).alias("_idf"))
-    weighted = tf.join(idf, "token").select(doc_key, "token", (F.col("_tf") * F.col("_idf")).alias("_w"))
-    return (q_terms.join(weighted, "token")
-            .groupBy(query_key, doc_key).agg(F.sum("_w").alias("score")))
+    post = tf.join(idf, "token").select("token", doc_key, (F.col("_tf") * F.col("_idf")).alias("_c"))
+    return q_terms, post
+
+
+def tfidf_scores(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
+                 query_key: str, terms_col: str) -> DataFrame:
+    """(query_key, doc_key, score) with score = sum tf(t, d) * ln(N / df(t)).
+
+    Only tokens that occur in some query survive the first (semi-)join, so
+    the per-token work is bounded by the query vocabulary; N enters as a
+    scalar subquery.
+    """
+    q_terms, post = _postings(docs, queries, doc_key, text_col, query_key, terms_col)
+    return (q_terms.join(post, "token")
+            .groupBy(query_key, doc_key).agg(F.sum("_c").alias("score")))
 
 
 def relevance_page(scores: DataFrame, query_key: str, doc_key: str, page: int,
@@ -99,22 +106,6 @@ def top_n_per_key_articles(articles: DataFrame, keys: list[str], order: list, n:
     return top_n_per_key(articles, keys, order, n, rank_col="rank")
 
 
-def _postings(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
-              query_key: str, terms_col: str):
-    """(query, token) pairs and (token, doc, contribution) postings."""
-    q_terms = (queries.select(query_key, F.explode(F.array_distinct(terms_col)).alias("token"))
-               .distinct())
-    vocab = q_terms.select("token").distinct()
-    toks = (spread(docs).select(doc_key, F.explode(T.tokens(F.col(text_col))).alias("token"))
-            .join(vocab, "token", "left_semi"))
-    tf = toks.groupBy(doc_key, "token").agg(F.count("*").alias("_tf"))
-    n_docs = docs.select(F.count("*").alias("_n"))
-    dfreq = tf.groupBy("token").agg(F.count("*").alias("_df"))
-    idf = dfreq.select("token", F.ln(n_docs.scalar() / F.col("_df")).alias("_idf"))
-    post = tf.join(idf, "token").select("token", doc_key, (F.col("_tf") * F.col("_idf")).alias("_c"))
-    return q_terms, post
-
-
 def relevance_page_bounded(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
                            query_key: str, terms_col: str, page: int, page_size: int = 20,
                            digits: int = 6) -> DataFrame:

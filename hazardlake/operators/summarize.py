@@ -161,7 +161,9 @@ def summarize(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
               ratio: float = 0.2, **kw) -> DataFrame:
     """(keys..., id_col, sentence, score): the selected sentences, distinct
     by text (first position kept), in original order via ``id_col``."""
-    first = (sentences.groupBy(*keys, text_col).agg(F.min(id_col).alias(id_col)))
+    # Materialised once: the incidences, the score join and the final
+    # selection all read it, and the text extraction behind it is costly.
+    first = checkpoint(sentences.groupBy(*keys, text_col).agg(F.min(id_col).alias(id_col)))
     scores = textrank_scores(first, keys, id_col, text_col, **kw)
     chosen = top_ratio(scores, keys, id_col, ratio)
     return chosen.join(first, keys + [id_col]).select(*keys, id_col, text_col, "score")

@@ -99,3 +99,18 @@ def test_predictions_csv_multiline_and_trimmed_labels(spark):
     got = FD.read_predictions_csv(spark, path).orderBy("idx").collect()
     assert got[0].sentence == "Line one\nline two." and got[0].label == "infrastructure"
     assert got[1].sentence == 'Plain, with "quotes".'
+
+
+def test_partition_overwrite_is_idempotent(spark):
+    from hazardlake.operators import sinks
+    d = tempfile.mkdtemp(dir="/tmp")
+    df = spark.createDataFrame([("2021-09-07", "Mexico", "s1"), ("2021-09-15", "China", "s2")],
+                               "rupture_date string, country string, sentence string")
+    sinks.overwrite_partitions(df, d, ["rupture_date", "country"])
+    sinks.overwrite_partitions(df.where("country = 'China'"), d, ["rupture_date", "country"])
+    sinks.overwrite_partitions(df.where("country = 'China'"), d, ["rupture_date", "country"])
+    back = spark.read.parquet(d)
+    assert sorted((r.country, r.sentence) for r in back.collect()) == [("China", "s2"), ("Mexico", "s1")]
+    t = tempfile.mkdtemp(dir="/tmp")
+    sinks.write_text_lines(df, t + "/txt", "sentence", ["country"])
+    assert sorted(r.value for r in spark.read.text(t + "/txt").collect()) == ["s1", "s2"]
