@@ -572,7 +572,7 @@ def sentence_classify(spark, sf):
     docs = _docs(spark, sf, "text")
     lab = load(spark, sf, "labels", "doc_id", "quality")
     train = spread(docs.join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label")))
-    model = CL.text_classifier("text", "label", num_features=1 << 16, max_iter=20).fit(train)
+    model = CL.text_classifier("text", "label", num_features=1 << 16, max_iter=10).fit(train)
     return CL.classify(model, docs, ["doc_id"])
 
 
