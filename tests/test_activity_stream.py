@@ -58,8 +58,14 @@ def test_streaming_window_counts_equal_batch_on_closed_windows(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     first = _events(spark, ["2024-01-01 00:10:00", "2024-01-01 00:20:00", "2024-01-01 01:30:00"])
     later = _events(spark, ["2024-01-01 05:00:00"])
-    first.write.parquet(os.path.join(d, "in", "f1"))
-    later.write.parquet(os.path.join(d, "in", "f2"))
+    # One part file per landed batch; the file source orders files by
+    # modification time, so make f2 strictly later than f1.
+    first.coalesce(1).write.parquet(os.path.join(d, "in", "f1"))
+    later.coalesce(1).write.parquet(os.path.join(d, "in", "f2"))
+    import time as _t
+    for name in os.listdir(os.path.join(d, "in", "f2")):
+        later_ts = _t.time() + 60
+        os.utime(os.path.join(d, "in", "f2", name), (later_ts, later_ts))
     stream = SI.read_landed(spark, os.path.join(d, "in") + "/*", first.schema, max_files_per_trigger=1)
     agg = SW.windowed_counts(stream, "ts", "1 hour", watermark="10 minutes")
     q = (agg.writeStream.format("memory").queryName("wc_test").outputMode("append")
