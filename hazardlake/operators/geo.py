@@ -31,28 +31,28 @@ def assign_zone(points: DataFrame, zones: DataFrame, key: str, lat: str = "latit
     """Add ``zone_col``: the smallest zone box holding each point (null if none).
 
     ``zones`` has (zone, lat_min, lat_max, lon_min, lon_max); boxes may
-    overlap, ties go to the smaller box, then the zone name. Points keep all
-    their columns; the pick is one ``min_by`` aggregation keyed by ``key``.
+    overlap, ties go to the smaller box, then the zone name. The zone boxes
+    become one row per grid cell holding the array of boxes touching it, so
+    each point meets exactly one row (its cell): the choice is an array
+    expression on the point's row -- no re-grouping of points, and no
+    shuffle of the points at all when the cell table passes the size check
+    for a broadcast. ``key`` is kept for API symmetry; points keep all
+    their columns.
     """
-    cells = broadcast_if_small(zone_cells(zones, cell_deg).select(
-        F.col("zone").alias("_zone"), "_area", "_clat", "_clon",
-        F.col("lat_min").alias("_la0"), F.col("lat_max").alias("_la1"),
-        F.col("lon_min").alias("_lo0"), F.col("lon_max").alias("_lo1")))
-    cols = points.columns
+    box = F.struct(F.col("_area").alias("area"), F.col("zone").alias("zone"),
+                   F.col("lat_min").alias("la0"), F.col("lat_max").alias("la1"),
+                   F.col("lon_min").alias("lo0"), F.col("lon_max").alias("lo1"))
+    cells = broadcast_if_small(zone_cells(zones, cell_deg).groupBy("_clat", "_clon")
+                               .agg(F.collect_list(box).alias("_boxes")))
     p = (points.withColumn("_clat", G.cell(F.col(lat), cell_deg))
          .withColumn("_clon", G.cell(F.col(lon), cell_deg)))
-    inside = ((F.col(lat) >= F.col("_la0")) & (F.col(lat) <= F.col("_la1"))
-              & (F.col(lon) >= F.col("_lo0")) & (F.col(lon) <= F.col("_lo1")))
-    # Left join keeps every point; a candidate box the point is not inside
-    # becomes a null zone ranked after every real one.
-    joined = (p.join(cells, ["_clat", "_clon"], "left")
-              .withColumn("_zone", F.when(inside, F.col("_zone")))
-              .withColumn("_area", F.when(inside, F.col("_area"))))
-    order = F.struct(F.coalesce(F.col("_area"), F.lit(float("inf"))), F.col("_zone"))
-    return (joined.groupBy(key)
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols], F.col("_zone").alias(zone_col)),
-                          order).alias("_r"))
-            .select("_r.*"))
+    la, lo = F.col(lat), F.col(lon)
+    inside = F.filter("_boxes", lambda b: (la >= b["la0"]) & (la <= b["la1"])
+                      & (lo >= b["lo0"]) & (lo <= b["lo1"]))
+    best = F.array_min(F.transform(inside, lambda b: F.struct(b["area"].alias("a"), b["zone"].alias("z"))))
+    return (p.join(cells, ["_clat", "_clon"], "left")
+            .withColumn(zone_col, best["z"])
+            .drop("_clat", "_clon", "_boxes"))
 
 
 def within_radius(events: DataFrame, posts: DataFrame, radius_km: float,
