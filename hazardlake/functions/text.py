@@ -86,3 +86,15 @@ def compass_word(abbrev: Column) -> Column:
 
 def compass_abbrevs() -> Column:
     return F.array(*[F.lit(k) for k in COMPASS_WORDS])
+
+
+def query_string(base: str, params: dict[str, Column | str | int | float]) -> Column:
+    """``base`` + ``k=v`` parameters joined by ``&`` (values rendered as text)."""
+    parts = [F.concat(F.lit(f"{k}="), (v if isinstance(v, Column) else F.lit(v)).cast("string"))
+             for k, v in params.items()]
+    return F.concat(F.lit(base), F.concat_ws("&", *parts))
+
+
+def phrase_query(term: Column, word: str = "earthquake") -> Column:
+    """``+("earthquake" AND "<term>")`` (the news search phrase)."""
+    return F.concat(F.lit(f'+("{word}" AND "'), term, F.lit('")'))
