@@ -12,8 +12,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardlake.functions import geo as G
+from hazardlake.functions import html as H
+from hazardlake.functions import text as TX
+from hazardlake.functions import timefmt as TF
+from hazardlake.functions.lookups import CLASS_NAMES
+from hazardlake.operators import activity as AC
+from hazardlake.operators import classify as CL
+from hazardlake.operators import dedupe as D
+from hazardlake.operators import geo as GO
+from hazardlake.operators import impact as IM
+from hazardlake.operators import match as M
+from hazardlake.operators import narrate as N
+from hazardlake.operators import report as RP
+from hazardlake.operators import retention as R
 from hazardlake.operators import sentences as S
+from hazardlake.operators import summarize as SM
+from hazardlake.operators.common import broadcast_if_small, spread
 from hazardlake.plans.tables import load
+from hazardlake.sources import feed as FD
+from hazardlake.streaming import ingest as SI
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,13 +79,6 @@ def article_sentences_per_page(spark, sf):
 # events: value = magnitude, event_type = alert level, ts = event time,
 # props JSON {"k": n} = a nested feed property.
 
-from hazardlake import schemas  # noqa: E402
-from hazardlake.functions import text as TX  # noqa: E402
-from hazardlake.functions import timefmt as TF  # noqa: E402
-from hazardlake.operators import dedupe as D  # noqa: E402
-from hazardlake.operators import retention as R  # noqa: E402
-from hazardlake.operators.common import broadcast_if_small, spread  # noqa: E402
-from hazardlake.sources import feed as FD  # noqa: E402
 
 FEED_MIN_MAG = 50.0
 FEED_SINCE = "2024-01-10"
@@ -188,9 +200,6 @@ def event_day_key(spark, sf):
 # "<key % 90> km <compass[key % 16]> of <name>, <nation>", every 10th key
 # left as "<name>, <nation>" (the unparsable form).
 
-from hazardlake.functions import geo as G  # noqa: E402
-from hazardlake.operators import geo as GO  # noqa: E402
-from hazardlake.operators import narrate as N  # noqa: E402
 
 # Fixed zone boxes (zone, lat_min, lat_max, lon_min, lon_max) for the tests.
 ZONES = [
@@ -322,8 +331,6 @@ def url_derive(spark, sf):
 
 # --- documents: lines, sentences, keywords ---------------------------------
 
-from hazardlake.functions import html as H  # noqa: E402
-from hazardlake.operators import match as M  # noqa: E402
 
 TITLE_KEYWORDS = ["der", "of", "de"]
 LINE_MARKER = "La "
@@ -503,11 +510,6 @@ def geo_radius_join(spark, sf):
 # status, x from the part key, w from quantity, h from line number, text =
 # "<discount in percent>%", box order = line number.
 
-from hazardlake.functions.lookups import CLASS_NAMES  # noqa: E402
-from hazardlake.operators import classify as CL  # noqa: E402
-from hazardlake.operators import impact as IM  # noqa: E402
-from hazardlake.operators import summarize as SM  # noqa: E402
-
 
 def _boxes(spark, sf):
     li = load(spark, sf, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
@@ -606,9 +608,6 @@ def textrank_summary(spark, sf):
 
 # --- activity over time, streaming, sinks ------------------------------------
 
-from hazardlake.operators import activity as AC  # noqa: E402
-from hazardlake.operators import report as RP  # noqa: E402
-from hazardlake.streaming import ingest as SI  # noqa: E402
 
 HIT_TYPE = "error"
 RUPTURE = "2024-01-10 00:00:00"
