@@ -18,6 +18,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     tokenising) on a source read as a handful of splits. When the input
     already has at least ``defaultParallelism`` partitions -- the normal case
     on a large input -- this is a no-op and adds no shuffle.
+
+    Apply it to a source scan (or a narrow projection of one): its
+    partition count is known from the file splits. On an input that already
+    contains a shuffle, asking for the partition count would run the
+    upstream stages ahead of time.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

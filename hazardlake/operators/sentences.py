@@ -38,9 +38,13 @@ def page_paragraphs(pages: DataFrame, key: str = "page_id", html_col: str = "htm
 
 def split_sentences(df: DataFrame, text_col: str, keys: list[str],
                     pos_col: str = "sent_pos", by_line: bool = False) -> DataFrame:
-    """One row per sentence of ``text_col``; ``pos_col`` is 0-based."""
+    """One row per sentence of ``text_col``; ``pos_col`` is 0-based.
+
+    Narrow (no shuffle). Spread a source table before calling this when it
+    arrives in too few splits (``common.spread``).
+    """
     arr = T.line_sentences(F.col(text_col)) if by_line else T.sentences(F.col(text_col))
-    return spread(df).select(*keys, F.posexplode(arr).alias(pos_col, "sentence"))
+    return df.select(*keys, F.posexplode(arr).alias(pos_col, "sentence"))
 
 
 def min_words(df: DataFrame, col: str = "sentence", n: int = 2) -> DataFrame:

@@ -342,7 +342,7 @@ def _docs(spark, sf, *cols):
 
 
 def _doc_sentences(spark, sf):
-    return S.split_sentences(_docs(spark, sf, "text"), "text", ["doc_id"], by_line=True)
+    return S.split_sentences(spread(_docs(spark, sf, "text")), "text", ["doc_id"], by_line=True)
 
 
 @query
@@ -644,8 +644,7 @@ def resilience_curve(spark, sf):
 def stream_ingest_dedupe(spark, sf):
     """events replayed as a file stream, de-duplicated per (user, type,
     minute) within a watermark, written once by an availableNow run."""
-    src = f"{sf.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(src).schema
+    schema = load(spark, sf, "events").schema
     stream = (SI.read_landed(spark, sf, schema, glob="events.parquet")
               .select("user_id", "event_type", "ts")
               .withColumn("minute", F.date_trunc("minute", F.col("ts").cast("timestamp"))))
