@@ -17,6 +17,8 @@ themselves never move after the first layout, and hot tokens are salted.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,11 +32,13 @@ from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
 
 
 def _incidences(sentences: DataFrame, keys: list[str], id_col: str, text_col: str) -> DataFrame:
+    """(keys, id, _a, _t); a sentence without tokens keeps one row with a
+    null token (it is a node without edges: score 1-d)."""
     toks = F.array_distinct(T.tokens(F.col(text_col)))
     base = spread(sentences).select(*keys, id_col, toks.alias("_toks"))
-    a = F.lit(1.0) / F.sqrt(F.size("_toks").cast("double"))
-    return (base.where(F.size("_toks") > 0)
-            .select(*keys, id_col, a.alias("_a"), F.explode("_toks").alias("_t")))
+    n = F.size("_toks")
+    a = F.when(n > 0, F.lit(1.0) / F.sqrt(n.cast("double"))).otherwise(F.lit(0.0))
+    return base.select(*keys, id_col, a.alias("_a"), F.explode_outer("_toks").alias("_t"))
 
 
 # Groups with at most this many (sentence, token) incidences are ranked
@@ -42,24 +46,33 @@ def _incidences(sentences: DataFrame, keys: list[str], id_col: str, text_col: st
 LOCAL_MAX_INCIDENCES = 1_000_000
 
 
-def _local_rank(keys: list[str], id_col: str, damping: float, iterations: int):
-    """Per-group numpy version of the same factorised iteration."""
+def _local_rank(keys: list[str], id_col: str, damping: float, iterations: int,
+                ratio: float | None = None, digits: int = 9):
+    """Per-group numpy version of the same factorised iteration; with
+    ``ratio`` it also keeps only the group's top ``ceil(ratio * n)``."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sid, s_idx = np.unique(pdf[id_col].to_numpy(), return_inverse=True)
-        _, t_idx = np.unique(pdf["_t"].to_numpy(), return_inverse=True)
         a = np.zeros(len(sid))
         a[s_idx] = pdf["_a"].to_numpy()
-        s_t = np.bincount(t_idx, weights=a[s_idx])
-        w = a * np.bincount(s_idx, weights=s_t[t_idx], minlength=len(sid)) - 1.0
+        has = pdf["_t"].notna().to_numpy()
+        si = s_idx[has]
+        _, ti = np.unique(pdf["_t"].to_numpy()[has].astype(str), return_inverse=True)
+        s_t = np.bincount(ti, weights=a[si])
+        w = a * np.bincount(si, weights=s_t[ti], minlength=len(sid)) - 1.0
         r = np.ones(len(sid))
         for _ in range(iterations):
             x = np.where(w > 1e-12, r / np.where(w > 1e-12, w, 1.0), 0.0)
-            u = np.bincount(t_idx, weights=(a * x)[s_idx])
-            su = np.bincount(s_idx, weights=u[t_idx], minlength=len(sid))
+            u = np.bincount(ti, weights=(a * x)[si])
+            su = np.bincount(si, weights=u[ti], minlength=len(sid))
             r = (1.0 - damping) + damping * np.maximum(0.0, a * su - x)
-        out = pd.DataFrame({id_col: sid, "score": r})
-        for k in keys:
-            out.insert(0, k, pdf[k].iloc[0])
+        keep = np.arange(len(sid))
+        if ratio is not None:
+            n = len(sid)
+            k = n if n <= 1 else int(math.ceil(n * ratio))
+            keep = np.lexsort((sid, -np.round(r, digits)))[:k]
+        out = pd.DataFrame({id_col: sid[keep], "score": r[keep]})
+        for k_ in keys:
+            out.insert(0, k_, pdf[k_].iloc[0])
         return out[keys + [id_col, "score"]]
     return run
 
@@ -116,34 +129,44 @@ def _distributed_rank(inc: DataFrame, keys: list[str], id_col: str, damping: flo
     return node.select(*sk, F.col("_r").alias("score"))
 
 
-def textrank_scores(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
-                    damping: float = 0.85, iterations: int = 20,
-                    salt_buckets: int | None = None,
-                    local_max_incidences: int = LOCAL_MAX_INCIDENCES) -> DataFrame:
-    """(keys..., id_col, score) for every sentence; isolated ones get 1-d.
+def _rank(first: DataFrame, keys: list[str], id_col: str, text_col: str, ratio: float | None,
+          damping: float, iterations: int, salt_buckets: int | None,
+          local_max_incidences: int) -> DataFrame:
+    """Scores (``ratio`` None) or selected sentences, per group.
 
     Groups are split by a size check, like a broadcast threshold: a group
     with at most ``local_max_incidences`` incidences (a proven bound) is
-    ranked in one task with numpy; every larger group runs the distributed
-    iteration, which has no size limit. Both compute the same numbers.
+    scored -- and its top ratio picked -- in one task with numpy; every
+    larger group runs the distributed iteration and the distributed rank,
+    which have no size limit. Both compute the same numbers.
     """
-    spark = sentences.sparkSession
     sk = keys + [id_col]
-    inc = checkpoint(_incidences(sentences, keys, id_col, text_col))
+    inc = checkpoint(_incidences(first, keys, id_col, text_col))
     sizes = inc.groupBy(*keys).agg(F.count("*").alias("_m"))
     small = sizes.where(F.col("_m") <= local_max_incidences).select(*keys)
-    large = checkpoint(sizes.where(F.col("_m") > local_max_incidences).select(*keys))
+    large = sizes.where(F.col("_m") > local_max_incidences).select(*keys)
     key_fields = [f for f in inc.schema.fields if f.name in sk]
     out_schema = T_.StructType(key_fields + [T_.StructField("score", T_.DoubleType())])
-    scored = (inc.join(small, keys, "left_semi").groupBy(*keys)
-              .applyInPandas(_local_rank(keys, id_col, damping, iterations), out_schema))
+    out = (inc.join(small, keys, "left_semi").groupBy(*keys)
+           .applyInPandas(_local_rank(keys, id_col, damping, iterations, ratio), out_schema))
     if not large.isEmpty():
-        big = _distributed_rank(inc.join(large, keys, "left_semi"), keys, id_col, damping,
-                                iterations, salt_buckets)
-        scored = scored.unionByName(big)
-    scored = checkpoint(scored)
-    return (sentences.select(*sk).join(scored, sk, "left")
-            .select(*sk, F.coalesce("score", F.lit(1.0 - damping)).alias("score")))
+        big_inc = inc.join(large, keys, "left_semi")
+        scored = _distributed_rank(big_inc.where(F.col("_t").isNotNull()), keys, id_col, damping,
+                                   iterations, salt_buckets)
+        nodes = big_inc.select(*sk).distinct()
+        scored = (nodes.join(scored, sk, "left")
+                  .select(*sk, F.coalesce("score", F.lit(1.0 - damping)).alias("score")))
+        out = out.unionByName(top_ratio(scored, keys, id_col, ratio) if ratio is not None else scored)
+    return out
+
+
+def textrank_scores(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
+                    damping: float = 0.85, iterations: int = 20,
+                    salt_buckets: int | None = None,
+                    local_max_incidences: int = LOCAL_MAX_INCIDENCES) -> DataFrame:
+    """(keys..., id_col, score) for every sentence; isolated ones get 1-d."""
+    return _rank(sentences, keys, id_col, text_col, None, damping, iterations, salt_buckets,
+                 local_max_incidences)
 
 
 def top_ratio(scored: DataFrame, keys: list[str], id_col: str, ratio: float,
@@ -158,14 +181,16 @@ def top_ratio(scored: DataFrame, keys: list[str], id_col: str, ratio: float,
 
 
 def summarize(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
-              ratio: float = 0.2, **kw) -> DataFrame:
+              ratio: float = 0.2, damping: float = 0.85, iterations: int = 20,
+              salt_buckets: int | None = None,
+              local_max_incidences: int = LOCAL_MAX_INCIDENCES) -> DataFrame:
     """(keys..., id_col, sentence, score): the selected sentences, distinct
     by text (first position kept), in original order via ``id_col``."""
-    # Materialised once: the incidences, the score join and the final
-    # selection all read it, and the text extraction behind it is costly.
+    # Materialised once: the incidences and the final join both read it,
+    # and the text extraction behind it is costly.
     first = checkpoint(sentences.groupBy(*keys, text_col).agg(F.min(id_col).alias(id_col)))
-    scores = textrank_scores(first, keys, id_col, text_col, **kw)
-    chosen = top_ratio(scores, keys, id_col, ratio)
+    chosen = _rank(first, keys, id_col, text_col, ratio, damping, iterations, salt_buckets,
+                   local_max_incidences)
     return chosen.join(first, keys + [id_col]).select(*keys, id_col, text_col, "score")
 
 

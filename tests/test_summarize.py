@@ -48,12 +48,14 @@ def test_factorised_textrank_equals_pairwise_pagerank(spark, local_max):
     assert abs(got[("h", 0)] - 0.15) < 1e-12
 
 
-def test_summary_is_subset_with_ceil_ratio_size(spark):
-    rows = [("g", i, s) for i, s in enumerate(SENTS)] + [("g", 99, SENTS[0])] + [("one", 0, "Only one sentence.")]
+@pytest.mark.parametrize("local_max", [SM.LOCAL_MAX_INCIDENCES, 0])
+def test_summary_is_subset_with_ceil_ratio_size(spark, local_max):
+    rows = [("g", i, s) for i, s in enumerate(SENTS)] + [("g", 99, SENTS[0])] + [("one", 0, "Only one sentence.")] \
+        + [("g", 50, "!!! ???")]                   # no tokens: score 1-d, still counts toward n
     df = spark.createDataFrame(rows, "grp string, id int, sentence string")
-    out = SM.summarize(df, ["grp"], "id", "sentence", ratio=0.3).collect()
+    out = SM.summarize(df, ["grp"], "id", "sentence", ratio=0.3, local_max_incidences=local_max).collect()
     g = [r for r in out if r.grp == "g"]
-    assert len(g) == math.ceil(0.3 * len(SENTS))          # 7 distinct sentences -> 3
+    assert len(g) == math.ceil(0.3 * (len(SENTS) + 1))    # 8 distinct sentences -> 3
     assert {r.sentence for r in g} <= set(SENTS)
     assert 99 not in {r.id for r in g}                      # duplicates keep first position
     assert [r.sentence for r in out if r.grp == "one"] == ["Only one sentence."]
