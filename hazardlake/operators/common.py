@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardlake.session import ensure_checkpoint_dir
+
 # Dimension tables up to this many rows are broadcast explicitly; larger ones
 # are left to the planner (AQE still converts a join to broadcast when the
 # runtime size of a side falls under spark.sql.autoBroadcastJoinThreshold).
@@ -89,8 +93,6 @@ def bucketed_copy(df: DataFrame, cols: list[str], buckets: int, label: str):
     Drop the table with ``drop_table`` when done (the files stay with the
     checkpoint folder).
     """
-    import uuid
-    from hazardlake.session import ensure_checkpoint_dir
     spark = df.sparkSession
     name = f"hazardlake_{label}_{uuid.uuid4().hex[:12]}"
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"

@@ -36,7 +36,10 @@ def all_terms_match(events: DataFrame, posts: DataFrame, event_key: str, terms_c
 
     ``terms_col`` is an array of lower-case tokens.
     """
-    idx = token_index(posts, post_key, text_col)
+    # One token array per post; the inverted index and the verification
+    # both derive from it.
+    post_tokens = spread(posts.select(post_key, F.array_distinct(T.tokens(F.col(text_col))).alias("_ptoks")))
+    idx = post_tokens.select(post_key, F.explode("_ptoks").alias("token"))
     ev_terms = (events.select(event_key, F.array_distinct(terms_col).alias("_terms"))
                 .where(F.size("_terms") > 0))
     term_df = idx.groupBy("token").agg(F.count("*").alias("_df"))
@@ -49,7 +52,6 @@ def all_terms_match(events: DataFrame, posts: DataFrame, event_key: str, terms_c
               .select(event_key, "_d.token", "_d._terms"))
     cands = driver.join(idx, "token").select(event_key, post_key, "_terms")
     # Verify the other terms against each candidate post's token set.
-    post_tokens = spread(posts).select(post_key, F.array_distinct(T.tokens(F.col(text_col))).alias("_ptoks"))
     return (cands.join(post_tokens, post_key)
             .where(F.forall("_terms", lambda t: F.array_contains(F.col("_ptoks"), t)))
             .select(event_key, post_key))
