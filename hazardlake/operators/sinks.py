@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from hazardlake.operators.dedupe import keep_first, upsert_latest
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
@@ -21,3 +23,53 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
 def write_text_lines(df: DataFrame, path: str, text_col: str, partition_by: list[str]) -> None:
     """Plain-text files, one line per row, one folder per partition."""
     df.select(*partition_by, text_col).write.mode("overwrite").partitionBy(*partition_by).text(path)
+
+
+# --- versioned tables: a new folder per write, readers take the newest -------
+# Parquet cannot be rewritten in place while it is being read, so a merge
+# writes ``v<n>`` next to the previous version and the previous one stays
+# readable until the new one is complete (its _SUCCESS marker exists).
+
+def latest_version(spark: SparkSession, table_path: str, before_epoch: int) -> str | None:
+    """Newest complete ``v<epoch>`` folder of a versioned table, if any."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    best = None
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith("v") and name[1:].isdigit()):
+            continue
+        epoch = int(name[1:])
+        done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+        if done and epoch < before_epoch and (best is None or epoch > best[0]):
+            best = (epoch, st.getPath().toString())
+    return best[1] if best else None
+
+
+def read_versioned(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest complete version written by ``upsert_batches``."""
+    latest = latest_version(spark, table_path, 1 << 62)
+    if latest is None:
+        raise FileNotFoundError(table_path)
+    return spark.read.parquet(latest)
+
+
+def merge_into_log(spark: SparkSession, base_path: str, batch: DataFrame, keys: list[str],
+                   seq: str, latest: bool = False) -> str:
+    """Merge ``batch`` into the versioned log at ``base_path`` and write the
+    next version: keep the first row per key (``latest=False``, the log's
+    rule) or the latest revision. Returns the new version's path."""
+    prev = latest_version(spark, base_path, 1 << 62)
+    nxt = 0 if prev is None else int(prev.rstrip("/").rsplit("/v", 1)[1]) + 1
+    if prev is None:
+        merged = keep_first(batch, keys, seq) if not latest else upsert_latest(batch.limit(0), batch, keys, seq)
+    else:
+        stored = spark.read.parquet(prev)
+        merged = (upsert_latest(stored, batch, keys, seq) if latest
+                  else keep_first(stored.unionByName(batch), keys, seq))
+    target = f"{base_path.rstrip('/')}/v{nxt:08d}"
+    merged.write.mode("overwrite").parquet(target)
+    return target

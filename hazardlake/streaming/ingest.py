@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardlake.operators.dedupe import upsert_latest
+from hazardlake.operators.sinks import latest_version, read_versioned  # noqa: F401 (re-export)
 from hazardlake.session import ensure_checkpoint_dir
 
 
@@ -55,25 +57,6 @@ def run_available_now(stream: DataFrame, out_path: str, checkpoint: str,
     q.awaitTermination()
 
 
-def _latest_version(spark: SparkSession, table_path: str, before_epoch: int) -> str | None:
-    """Newest complete ``v<epoch>`` folder of a versioned table, if any."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    best = None
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("v") and name[1:].isdigit()):
-            continue
-        epoch = int(name[1:])
-        done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-        if done and epoch < before_epoch and (best is None or epoch > best[0]):
-            best = (epoch, st.getPath().toString())
-    return best[1] if best else None
-
-
 def upsert_batches(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str],
                    seq: str) -> None:
     """Keep a latest-revision table current with ``foreachBatch``.
@@ -84,23 +67,13 @@ def upsert_batches(stream: DataFrame, table_path: str, checkpoint: str, keys: li
     restart from the stream checkpoint continues from the right table; a
     replayed epoch rewrites its own version (idempotent).
     """
-    from hazardlake.operators.dedupe import upsert_latest
-
     spark = stream.sparkSession
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        prev = _latest_version(spark, table_path, epoch)
+        prev = latest_version(spark, table_path, epoch)
         stored = spark.read.parquet(prev) if prev else batch.limit(0)
         merged = upsert_latest(stored, batch, keys, seq)
         merged.write.mode("overwrite").parquet(f"{table_path}/v{epoch:08d}")
 
     (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
-
-
-def read_versioned(spark: SparkSession, table_path: str) -> DataFrame:
-    """The newest complete version written by ``upsert_batches``."""
-    latest = _latest_version(spark, table_path, 1 << 62)
-    if latest is None:
-        raise FileNotFoundError(table_path)
-    return spark.read.parquet(latest)

@@ -114,3 +114,17 @@ def test_partition_overwrite_is_idempotent(spark):
     t = tempfile.mkdtemp(dir="/tmp")
     sinks.write_text_lines(df, t + "/txt", "sentence", ["country"])
     assert sorted(r.value for r in spark.read.text(t + "/txt").collect()) == ["s1", "s2"]
+
+
+def test_merge_into_versioned_log(spark):
+    from hazardlake.operators import sinks
+    d = tempfile.mkdtemp(dir="/tmp")
+    schema = "seq long, place string, mag double"
+    v0 = sinks.merge_into_log(spark, d, spark.createDataFrame([(1, "A", 5.0), (2, "B", 6.0)], schema),
+                              ["place", "mag"], "seq")
+    v1 = sinks.merge_into_log(spark, d, spark.createDataFrame([(3, "A", 5.0), (4, "C", 7.0)], schema),
+                              ["place", "mag"], "seq")
+    assert v0.endswith("v00000000") and v1.endswith("v00000001")
+    got = sorted((r.seq, r.place) for r in sinks.read_versioned(spark, d).collect())
+    assert got == [(1, "A"), (2, "B"), (4, "C")]            # keep-first: the stored A wins
+    assert spark.read.parquet(v0).count() == 2               # the previous version is untouched
