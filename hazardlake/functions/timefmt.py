@@ -1,7 +1,8 @@
 """Time Column expressions: parsing, zones, narrative formatting.
 
-Timestamps are stored in UTC (session zone ``UTC``); local time is derived
-per row from a zone-name column.
+Timestamps are stored as UTC wall clock in ``timestamp_ntz`` columns; local
+time is derived per row from a zone-name column. All arithmetic here is on
+NTZ values, so results do not depend on the session time zone.
 """
 
 from __future__ import annotations
@@ -10,9 +11,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def epoch_ntz() -> Column:
+    return F.lit(EPOCH).cast("timestamp_ntz")
+
+
 def epoch_ms_to_ts(ms: Column) -> Column:
     """Feed times are epoch milliseconds; keep them as UTC wall clock."""
-    return F.timestamp_millis(ms).cast("timestamp_ntz")
+    return F.timestamp_add("MILLISECOND", ms, epoch_ntz())
+
+
+def ts_to_epoch_ms(ts: Column) -> Column:
+    """UTC wall clock (NTZ) -> epoch milliseconds."""
+    return F.timestamp_diff("MILLISECOND", epoch_ntz(), ts)
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    """Exact microseconds from ``start`` to ``end`` (NTZ, no zone involved)."""
+    return F.timestamp_diff("MICROSECOND", start, end)
 
 
 def parse_log_time(text: Column) -> Column:
@@ -22,7 +40,7 @@ def parse_log_time(text: Column) -> Column:
 
 def local_time(utc_ts: Column, zone: Column) -> Column:
     """UTC wall clock -> wall clock in ``zone`` (DST aware), as NTZ."""
-    return F.from_utc_timestamp(utc_ts, zone).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit("UTC"), zone, utc_ts.cast("timestamp_ntz"))
 
 
 def day_key(ts: Column) -> Column:

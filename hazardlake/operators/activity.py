@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardlake.functions import timefmt as TF
 from hazardlake.operators.common import checkpoint
 
 
@@ -77,8 +78,7 @@ def session_counts(df: DataFrame, ts: str, gap: str, keys: list[str]) -> DataFra
     for k in keys:
         same = same & (F.lag(k).over(order).eqNullSafe(F.col(k)))
     cont = ((F.col("_idx") == 0) & same
-            & ((F.unix_micros(F.col("_start").cast("timestamp"))
-                - F.unix_micros(F.lag("_stop").over(order).cast("timestamp"))) < gap_us))
+            & (TF.micros_between(F.lag("_stop").over(order), F.col("_start")) < gap_us))
     roots = (border.withColumn("_cont", F.coalesce(cont, F.lit(False)))
              .withColumn("_own", F.when(~F.col("_cont"), F.struct("_pid", "_idx")))
              .withColumn("_root", F.last("_own", ignorenulls=True).over(
@@ -108,8 +108,8 @@ def resilience_curve(hits: DataFrame, ts: str, keys: list[str], rupture: str,
     is a parameter, so the per-curve window below is bounded.
     """
     r = F.lit(rupture).cast("timestamp_ntz")
-    secs = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(r.cast("timestamp"))
-    hour = F.floor(secs / F.lit(3_600_000_000)).cast("int")
+    micros = TF.micros_between(r, F.col(ts).cast("timestamp_ntz"))
+    hour = F.floor(micros / F.lit(3_600_000_000)).cast("int")
     counts = (hits.select(*keys, hour.alias("h"))
               .where((F.col("h") >= -before_h) & (F.col("h") < after_h))
               .groupBy(*keys, "h").agg(F.count("*").alias("y")))

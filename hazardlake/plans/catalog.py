@@ -100,7 +100,7 @@ def _features(spark, sf):
             F.concat(F.lit("Site "), F.col("user_id").cast("string"), F.lit(", Region "),
                      k.cast("string")).alias("place"),
             F.col("value").alias("mag"),
-            F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
+            TF.ts_to_epoch_ms(F.col("ts")).alias("time"),
             F.lit(None).cast("int").alias("felt"), F.lit(None).cast("double").alias("cdi"),
             F.lit(None).cast("double").alias("mmi"),
             F.col("event_type").alias("alert"),
@@ -659,8 +659,8 @@ def stream_ingest_dedupe(spark, sf):
     schema = load(spark, sf, "events").schema
     stream = (SI.read_landed(spark, sf, schema, glob="events.parquet")
               .select("user_id", "event_type", "ts")
-              .withColumn("minute", F.date_trunc("minute", F.col("ts").cast("timestamp"))))
-    dedup = SI.dedupe_stream(stream, "minute", ["user_id", "event_type", "minute"], "1 hour")
+              .withColumn("minute", F.date_trunc("minute", F.col("ts"))))
+    dedup = SI.dedupe_stream(stream, "ts", ["user_id", "event_type", "minute"], "1 hour")
     out, ckpt = SI.scratch_path(spark, "stream-out"), SI.scratch_path(spark, "stream-ckpt")
     SI.run_available_now(dedup.select("user_id", "event_type", "minute"), out, ckpt)
     return spark.read.parquet(out).select(

@@ -39,10 +39,12 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 def dedupe_stream(stream: DataFrame, ts: str, keys: list[str], watermark: str) -> DataFrame:
     """Drop repeats of ``keys`` seen within the watermark delay.
 
-    The event-time column must be TIMESTAMP (not NTZ) for a watermark.
+    A watermark needs a TIMESTAMP (not NTZ) event-time column: it gets its
+    own column, so the key columns keep their (NTZ) values untouched.
     """
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp"))
-    return s.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    s = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    return (s.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(keys)
+            .drop("_event_time"))
 
 
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str,
