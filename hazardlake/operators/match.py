@@ -42,9 +42,11 @@ def all_terms_match(events: DataFrame, posts: DataFrame, event_key: str, terms_c
     idx = post_tokens.select(post_key, F.explode("_ptoks").alias("token"))
     ev_terms = (events.select(event_key, F.array_distinct(terms_col).alias("_terms"))
                 .where(F.size("_terms") > 0))
-    term_df = idx.groupBy("token").agg(F.count("*").alias("_df"))
-    # The rarest term of each event (ties by the term itself) drives the join.
     exploded = ev_terms.select(event_key, "_terms", F.explode("_terms").alias("token"))
+    # Post frequency of the events' own terms only (semi-join first).
+    term_df = (idx.join(exploded.select("token").distinct(), "token", "left_semi")
+               .groupBy("token").agg(F.count("*").alias("_df")))
+    # The rarest term of each event (ties by the term itself) drives the join.
     driver = (exploded.join(term_df, "token", "left")
               .groupBy(event_key)
               .agg(F.min_by(F.struct("token", "_terms"),
