@@ -119,33 +119,42 @@ def relevance_page_bounded(docs: DataFrame, queries: DataFrame, doc_key: str, te
     A threshold-algorithm check: each term keeps its ``K`` best postings
     (``K`` = last rank of the page; a partial top-K before the shuffle);
     a query's candidates are the union of its terms' lists, scored exactly.
-    A document outside all lists scores at most the sum of the terms'
-    K-th contributions (0 for a term whose list is complete). When the
-    query's K-th candidate beats that bound the page is proven; the few
-    queries that fail the proof are scored in full. The result is whole
-    and identical either way.
+    A document outside all lists scores at most tau, the sum of the terms'
+    K-th contributions (0 for a term whose list is complete). The page is
+    proven when the query's K-th candidate scores above tau -- or equals it
+    and its key is not above the largest K-th key of the incomplete terms
+    (an outside document can only reach tau by tying every term at its K-th
+    value, which puts its key after each of those K-th keys). Queries that
+    fail the proof are scored in full from the same postings. The result is
+    whole and identical either way.
     """
     k = page * page_size
     q_terms, post = _postings(docs, queries, doc_key, text_col, query_key, terms_col)
     ranked = top_n_per_key(post, ["token"], [F.desc("_c"), F.asc(doc_key)], k, rank_col="_tr")
     sizes = post.groupBy("token").agg(F.count("*").alias("_len"))
-    bounds = (ranked.where(F.col("_tr") == k).select("token", F.col("_c").alias("_kth"))
-              .join(sizes, "token", "right")
-              .select("token", F.when(F.col("_len") > k, F.col("_kth")).otherwise(F.lit(0.0)).alias("_b")))
+    kth_post = ranked.where(F.col("_tr") == k).select("token", F.col("_c").alias("_kc"),
+                                                      F.col(doc_key).alias("_kd"))
+    bounds = (kth_post.join(sizes, "token", "right")
+              .select("token", F.when(F.col("_len") > k, F.col("_kc")).otherwise(F.lit(0.0)).alias("_b"),
+                      F.when(F.col("_len") > k, F.col("_kd")).alias("_bd")))
     cands = q_terms.join(ranked.select("token", doc_key), "token").select(query_key, doc_key).distinct()
     scored = (cands.join(q_terms, query_key).join(post, ["token", doc_key])
               .groupBy(query_key, doc_key).agg(F.round(F.sum("_c"), digits).alias("score")))
     top = top_n_per_key(scored, [query_key], [F.desc("score"), F.asc(doc_key)], k, rank_col="rank")
     tau = q_terms.join(bounds, "token").groupBy(query_key).agg(
-        F.round(F.sum("_b"), digits).alias("_tau"), F.max("_b").alias("_open"))
-    kth = top.where(F.col("rank") == k).select(query_key, F.col("score").alias("_sk"))
+        F.round(F.sum("_b"), digits).alias("_tau"), F.max("_b").alias("_open"),
+        F.max("_bd").alias("_maxkd"))
+    kth = top.where(F.col("rank") == k).select(query_key, F.col("score").alias("_sk"),
+                                              F.col(doc_key).alias("_dk"))
     proven = (tau.join(kth, query_key, "left")
-              .where((F.col("_open") == 0) | (F.col("_sk") > F.col("_tau")))
+              .where((F.col("_open") == 0) | (F.col("_sk") > F.col("_tau"))
+                     | ((F.col("_sk") == F.col("_tau")) & (F.col("_dk") <= F.col("_maxkd"))))
               .select(query_key))
     fast = (top.join(proven, query_key, "left_semi")
             .where(F.col("rank") > (page - 1) * page_size))
-    rest_q = queries.join(proven, query_key, "left_anti")
-    slow = relevance_page(tfidf_scores(docs, rest_q, doc_key, text_col, query_key, terms_col),
-                          query_key, doc_key, page, page_size, digits)
+    rest = q_terms.join(proven, query_key, "left_anti")
+    slow_scores = (rest.join(post, "token").groupBy(query_key, doc_key)
+                   .agg(F.sum("_c").alias("score")))
+    slow = relevance_page(slow_scores, query_key, doc_key, page, page_size, digits)
     return fast.select(query_key, doc_key, "score", "rank").unionByName(
         slow.select(query_key, doc_key, "score", "rank"))
