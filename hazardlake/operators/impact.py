@@ -24,10 +24,13 @@ def _bins(order_col: str, cond=None):
     """Seven conditional ``max_by``s: per bin, the value of the last box.
 
     The ordering is (box order, value): boxes sharing an order position are
-    resolved by their value, so the result never depends on row order.
+    resolved by their value, so the result never depends on row order. The
+    value is a non-negative int, so ``order * 2^32 + value`` is the same
+    order in one bigint -- a fixed-width buffer keeps the aggregate a hash
+    aggregate (a struct ordering would force a sort-based one).
     """
     out = []
-    last = F.struct(F.col(order_col), F.col("_v"))
+    last = F.col(order_col).cast("long") * F.lit(1 << 32) + F.col("_v").cast("long")
     for b in range(I.N_BINS):
         hit = F.col("_bin") == b
         if cond is not None:
