@@ -45,11 +45,17 @@ def majority_vote(votes: DataFrame, key: str, label_col: str = "label",
     ``votes`` has one row per (key, model). Ties go to the class declared
     first in ``names``. Two aggregations, both partial on the map side.
     """
-    rank = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(label_col))
+    names_arr = F.array(*[F.lit(n) for n in names])
+    pos = F.array_position(names_arr, F.col(label_col))           # 1-based, 0 = unknown
+    rank = F.when(pos == 0, F.lit(999)).otherwise(pos)            # unknown labels rank last
     counts = votes.groupBy(key, label_col).agg(F.count("*").alias("votes"))
-    best = F.max_by(F.struct(label_col, "votes"), F.struct("votes", -F.col("_rank")))
-    return (counts.withColumn("_rank", rank).groupBy(key).agg(best.alias("_b"))
-            .select(key, F.col("_b." + label_col).alias(label_col), F.col("_b.votes").alias("votes")))
+    # votes * 1000 + (999 - rank): one bigint whose max is the most votes,
+    # ties to the earliest declared class -- a plain max, a hash aggregate.
+    enc = F.col("votes") * 1000 + (999 - rank)
+    best = counts.groupBy(key).agg(F.max(enc).alias("_e"))
+    idx = (999 - F.col("_e") % 1000).cast("int")
+    return best.select(key, F.try_element_at(names_arr, idx).alias(label_col),
+                       (F.col("_e") / 1000).cast("long").alias("votes"))
 
 
 def text_classifier(text_col: str = "text", label_col: str = "label", num_features: int = 1 << 18,

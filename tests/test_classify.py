@@ -30,3 +30,9 @@ def test_trained_pipeline_and_external_scorer(spark):
         return [[float("wall" in t), 0.0, 0.5, float("water" in t)] for t in texts]
     out = {r.id: r.label for r in CL.score_with(test, "text", ["id"], scorer).collect()}
     assert out == {1: "buildings", 2: "resilience"}
+
+
+def test_majority_vote_unknown_label_ranks_last(spark):
+    votes = spark.createDataFrame([(1, "mystery"), (1, "other"), (2, "mystery")], "id int, label string")
+    got = {r.id: (r.label, r.votes) for r in CL.majority_vote(votes, "id").collect()}
+    assert got == {1: ("other", 1), 2: (None, 1)}
