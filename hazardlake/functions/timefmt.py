@@ -33,6 +33,17 @@ def micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 
 
+def as_instant(ts: Column) -> Column:
+    """NTZ UTC wall clock -> TIMESTAMP instant, whatever the session zone
+    (streaming watermarks need a TIMESTAMP column)."""
+    return F.timestamp_micros(micros_between(epoch_ntz(), ts.cast("timestamp_ntz")))
+
+
+def from_instant(ts: Column) -> Column:
+    """TIMESTAMP instant -> NTZ UTC wall clock, whatever the session zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch_ntz())
+
+
 def parse_log_time(text: Column) -> Column:
     """``2021/08/14 20:20:45`` or ``2021-08-14 20:20:45`` -> timestamp."""
     return F.to_timestamp_ntz(F.translate(text, "/", "-"), F.lit("yyyy-MM-dd HH:mm:ss"))

@@ -32,6 +32,7 @@ from hazardlake.operators.common import broadcast_if_small, spread
 from hazardlake.plans.tables import load
 from hazardlake.sources import feed as FD
 from hazardlake.streaming import ingest as SI
+from hazardlake.streaming import windows as SW
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -667,6 +668,23 @@ def stream_ingest_dedupe(spark, sf):
         "user_id", "event_type", F.col("minute").cast("timestamp_ntz").alias("minute"))
 
 
+STREAM_WATERMARK = "1 hour"
+
+
+@query
+def stream_window_counts(spark, sf):
+    """Hourly error counts from a file-stream replay of events: watermarked
+    windows emitted once in append mode by an availableNow run; the final
+    no-data batch emits every window that closes before the last watermark."""
+    schema = load(spark, sf, "events").schema
+    stream = (SI.read_landed(spark, sf, schema, glob="events.parquet")
+              .where(F.col("event_type") == HIT_TYPE).select("ts"))
+    agg = SW.windowed_counts(stream, "ts", "1 hour", watermark=STREAM_WATERMARK)
+    out, ckpt = SI.scratch_path(spark, "stream-windows"), SI.scratch_path(spark, "stream-windows-ckpt")
+    SI.run_available_now(agg, out, ckpt)
+    return spark.read.parquet(out).select("window_start", "window_end", "n")
+
+
 @query
 def partitioned_sink(spark, sf):
     from hazardlake.operators.sinks import write_partitioned

@@ -484,6 +484,10 @@ ORACLE["resilience_curve"] = f"""
   FROM base LEFT JOIN t0 USING (event_type) LEFT JOIN t1 USING (event_type)"""
 ORACLE["stream_ingest_dedupe"] = """
   SELECT DISTINCT user_id, event_type, date_trunc('minute', ts) AS minute FROM events"""
+ORACLE["stream_window_counts"] = f"""
+  SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, count(*) AS n
+  FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM ({HITS})) GROUP BY ws
+  HAVING ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM ({HITS})) - INTERVAL {C.STREAM_WATERMARK}"""
 ORACLE["partitioned_sink"] = """
   SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, event_type, value FROM events"""
 

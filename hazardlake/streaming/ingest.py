@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hazardlake.functions import timefmt as TF
 from hazardlake.operators.dedupe import upsert_latest
 from hazardlake.operators.sinks import latest_version, read_versioned  # noqa: F401 (re-export)
 from hazardlake.session import ensure_checkpoint_dir
@@ -42,7 +43,7 @@ def dedupe_stream(stream: DataFrame, ts: str, keys: list[str], watermark: str) -
     A watermark needs a TIMESTAMP (not NTZ) event-time column: it gets its
     own column, so the key columns keep their (NTZ) values untouched.
     """
-    s = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    s = stream.withColumn("_event_time", TF.as_instant(F.col(ts)))
     return (s.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(keys)
             .drop("_event_time"))
 

@@ -1,26 +1,33 @@
-"""Streaming event-time window counts (watermarked, append-safe)."""
+"""Streaming event-time window counts (watermarked, append-safe).
+
+Event times are NTZ UTC wall clock; the watermark column is the same clock
+as a TIMESTAMP instant (``timefmt.as_instant``), so windows align to UTC
+hours whatever the session time zone, and results come back as NTZ.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazardlake.functions import timefmt as TF
+
 
 def windowed_counts(stream: DataFrame, ts: str, size: str, slide: str | None = None,
                     watermark: str = "1 hour", keys: list[str] | None = None) -> DataFrame:
     """(keys..., window_start, window_end, n); finalised once the watermark
     passes a window's end (append mode emits each window exactly once)."""
     keys = keys or []
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    w = F.window(ts, size, slide) if slide else F.window(ts, size)
+    s = stream.withColumn("_et", TF.as_instant(F.col(ts))).withWatermark("_et", watermark)
+    w = F.window("_et", size, slide) if slide else F.window("_et", size)
     return (s.groupBy(*keys, w.alias("_w")).agg(F.count("*").alias("n"))
-            .select(*keys, F.col("_w.start").alias("window_start"),
-                    F.col("_w.end").alias("window_end"), "n"))
+            .select(*keys, TF.from_instant(F.col("_w.start")).alias("window_start"),
+                    TF.from_instant(F.col("_w.end")).alias("window_end"), "n"))
 
 
 def session_counts(stream: DataFrame, ts: str, gap: str, keys: list[str],
                    watermark: str = "1 hour") -> DataFrame:
-    s = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    return (s.groupBy(*keys, F.session_window(ts, gap).alias("_s")).agg(F.count("*").alias("n"))
-            .select(*keys, F.col("_s.start").alias("session_start"),
-                    F.col("_s.end").alias("session_end"), "n"))
+    s = stream.withColumn("_et", TF.as_instant(F.col(ts))).withWatermark("_et", watermark)
+    return (s.groupBy(*keys, F.session_window("_et", gap).alias("_s")).agg(F.count("*").alias("n"))
+            .select(*keys, TF.from_instant(F.col("_s.start")).alias("session_start"),
+                    TF.from_instant(F.col("_s.end")).alias("session_end"), "n"))
