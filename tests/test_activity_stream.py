@@ -127,3 +127,21 @@ def test_time_helpers(spark):
                   R.query_start("2021-10-20 00:00:00", 67).alias("d"),
                   TF.path_time(TF.parse_log_time(F.col("t"))).alias("p")).first()
     assert str(r.ts) == "2021-08-14 20:20:45" and str(r.d) == "2021-08-14" and r.p == "2021-08-14_20:20:45"
+
+
+def test_streaming_sessions_equal_batch_for_closed_sessions(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    ev = _events(spark, ["2024-01-01 00:00:00", "2024-01-01 00:20:00", "2024-01-01 02:00:00",
+                         "2024-01-01 09:00:00"])
+    ev.coalesce(1).write.parquet(os.path.join(d, "in", "f1"))
+    stream = SI.read_landed(spark, os.path.join(d, "in") + "/*", ev.schema)
+    agg = SW.session_counts(stream, "ts", "30 minutes", ["user_id"], watermark="10 minutes")
+    q = (agg.writeStream.format("memory").queryName("ses_test").outputMode("append")
+         .option("checkpointLocation", SI.scratch_path(spark, "ses")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((str(r.session_start), str(r.session_end), r.n) for r in spark.table("ses_test").collect())
+    batch = AC.session_counts(ev, "ts", "30 minutes", ["user_id"])
+    want = sorted((str(r.session_start), str(r.session_end), r.n)
+                  for r in batch.where("session_end <= '2024-01-01 08:50:00'").collect())
+    assert got == want == [("2024-01-01 00:00:00", "2024-01-01 00:50:00", 2),
+                           ("2024-01-01 02:00:00", "2024-01-01 02:30:00", 1)]
