@@ -49,14 +49,29 @@ def dedupe_stream(stream: DataFrame, ts: str, keys: list[str], watermark: str) -
 
 
 def run_available_now(stream: DataFrame, out_path: str, checkpoint: str,
-                      fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Process everything that is available, write it exactly once, stop."""
+                      fmt: str = "parquet", partition_by: list[str] | None = None,
+                      state_partitions: int | None = None) -> None:
+    """Process everything that is available, write it exactly once, stop.
+
+    A stateful stream fixes its number of state partitions when it first
+    starts (AQE does not resize them), from ``spark.sql.shuffle.partitions``.
+    They are set explicitly here -- by default the cluster's parallelism --
+    for the start only; the session value is restored right after. On a
+    restart the count recorded in the checkpoint wins.
+    """
+    spark = stream.sparkSession
+    n = state_partitions or spark.sparkContext.defaultParallelism
     w = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_path)
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
 
 
