@@ -50,22 +50,26 @@ def query(fn):
 
 @query
 def page_paragraphs(spark, sf):
+    """Every non-empty <p> paragraph of every page."""
     return S.page_paragraphs(load(spark, sf, "pages", "page_id", "html"))
 
 
 @query
 def page_sentences(spark, sf):
+    """Sentences of the page paragraphs, at least two words."""
     return S.page_sentences(load(spark, sf, "pages", "page_id", "html"))
 
 
 @query
 def boilerplate_filter(spark, sf):
+    """Page sentences minus those seen on >= 3 pages."""
     sents = S.page_sentences(load(spark, sf, "pages", "page_id", "html"))
     return S.boilerplate_filter(sents, "page_id", "sentence", BOILERPLATE_MIN_PAGES)
 
 
 @query
 def page_text_concat(spark, sf):
+    """All paragraphs of a page joined without separator."""
     return S.page_text_concat(load(spark, sf, "pages", "page_id", "html"))
 
 
@@ -122,21 +126,25 @@ FLAT_COLS = ["event_id", "place", "country", "magnitude", "rupture_time", "alert
 
 @query
 def feature_flatten(spark, sf):
+    """Nested features -> flat log columns (country, epoch ms -> time)."""
     return _flat(spark, sf).select(*FLAT_COLS)
 
 
 @query
 def feed_filter(spark, sf):
+    """Magnitude, alert level and start-time predicates on the feed."""
     return FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVEL, FEED_SINCE).select(*FLAT_COLS)
 
 
 @query
 def feed_union_levels(spark, sf):
+    """Several alert levels in one scan (= union of per-level scans)."""
     return FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE).select(*FLAT_COLS)
 
 
 @query
 def count_by_level(spark, sf):
+    """A1: events per alert level."""
     f = FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE)
     return f.groupBy("alert").agg(F.count("*").alias("n"))
 
@@ -151,6 +159,7 @@ LOG_KEYS = ["user_id", "event_type", "day"]
 
 @query
 def dedupe_keep_first(spark, sf):
+    """First event per (user, type, day) by ingest sequence."""
     return D.keep_first(_log(spark, sf), LOG_KEYS, "event_id")
 
 
@@ -163,12 +172,14 @@ def _log_and_batch(spark, sf):
 
 @query
 def upsert_latest(spark, sf):
+    """Stored log + overlapping batch, latest revision per key."""
     stored, batch = _log_and_batch(spark, sf)
     return D.upsert_latest(stored, batch, LOG_KEYS, "event_id")
 
 
 @query
 def append_new_only(spark, sf):
+    """Batch rows whose key is not stored yet."""
     stored, batch = _log_and_batch(spark, sf)
     return D.new_rows_only(stored, batch, ["event_id"])
 
@@ -179,18 +190,21 @@ def _orders_log(spark, sf):
 
 @query
 def retention_flag(spark, sf):
+    """Collect flag false for events older than the retention window."""
     o = _orders_log(spark, sf).select("o_orderkey", "o_orderdate")
     return R.retention_flag(o, RETENTION_ASOF, RETENTION_DAYS, time_col="o_orderdate")
 
 
 @query
 def active_events(spark, sf):
+    """Events inside the retention window (pushed-down range predicate)."""
     return R.active_events(_orders_log(spark, sf), RETENTION_ASOF, RETENTION_DAYS,
                            time_col="o_orderdate")
 
 
 @query
 def event_day_key(spark, sf):
+    """Rupture date key and path-safe time."""
     o = _orders_log(spark, sf)
     return o.select("o_orderkey", TF.day_key(F.col("o_orderdate")).cast("string").alias("rupture_date"),
                     TF.path_time(F.col("o_orderdate")).alias("path_time"))
@@ -264,18 +278,21 @@ def _supplier_places(spark, sf):
 
 @query
 def country_extract(spark, sf):
+    """country = last ', ' part of the place."""
     p = _supplier_places(spark, sf)
     return p.select("s_suppkey", "place", TX.country_of(F.col("place")).alias("country"))
 
 
 @query
 def place_parse(spark, sf):
+    """Distance, compass direction and city from the place."""
     p = _supplier_places(spark, sf).select("s_suppkey", TX.place_parts(F.col("place")).alias("p"))
     return p.select("s_suppkey", "p.distance_km", "p.direction", "p.city")
 
 
 @query
 def compass_decode(spark, sf):
+    """Compass abbreviation -> word."""
     p = _supplier_places(spark, sf).select(
         "s_suppkey", TX.place_parts(F.col("place"))["direction"].alias("direction"))
     return p.select("s_suppkey", "direction", TX.compass_word(F.col("direction")).alias("direction_name"))
@@ -289,12 +306,14 @@ def _customer_points(spark, sf):
 
 @query
 def hemisphere_format(spark, sf):
+    """Coordinates as fixed-format degrees with hemispheres."""
     c = _customer_points(spark, sf)
     return c.select("c_custkey", G.coordinate_text(F.col("latitude"), F.col("longitude")).alias("coordinates"))
 
 
 @query
 def tz_range_join(spark, sf):
+    """Point -> smallest zone box holding it."""
     z = GO.assign_zone(_customer_points(spark, sf), zones_df(spark), "c_custkey")
     return z.select("c_custkey", "tz")
 
@@ -319,6 +338,7 @@ def _order_events(spark, sf):
 
 @query
 def local_time(spark, sf):
+    """UTC rupture time -> local wall clock of the event's zone."""
     ev = _order_events(spark, sf)
     return ev.select(F.col("event_id").alias("o_orderkey"), "tz",
                      TF.local_time(F.col("rupture_time"), F.coalesce("tz", F.lit("UTC"))).alias("local_time"))
@@ -326,11 +346,13 @@ def local_time(spark, sf):
 
 @query
 def event_narrative(spark, sf):
+    """One narrative sentence per event."""
     return N.event_narratives(_order_events(spark, sf), key="event_id")
 
 
 @query
 def url_derive(spark, sf):
+    """Derived page URLs and search strings."""
     p = load(spark, sf, "pages", "page_id", "url")
     host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
     return p.select(
@@ -360,16 +382,19 @@ def _doc_sentences(spark, sf):
 
 @query
 def doc_lines(spark, sf):
+    """Document text split into lines."""
     return S.doc_lines(_docs(spark, sf, "text"))
 
 
 @query
 def lines_after_marker(spark, sf):
+    """Lines from the first marker line on."""
     return S.lines_after_marker(_docs(spark, sf, "text"), LINE_MARKER)
 
 
 @query
 def sentence_min_words(spark, sf):
+    """Sentences per document, and how many have >= 2 words."""
     s = _doc_sentences(spark, sf)
     return s.groupBy("doc_id").agg(
         F.count("*").alias("n_sentences"),
@@ -378,17 +403,20 @@ def sentence_min_words(spark, sf):
 
 @query
 def sentence_distinct(spark, sf):
+    """Distinct sentences per document at their first position."""
     return S.first_occurrences(_doc_sentences(spark, sf), ["doc_id"])
 
 
 @query
 def keyword_filter(spark, sf):
+    """Documents whose title has a keyword token."""
     d = _docs(spark, sf, "text").select("doc_id", TX.first_line(F.col("text")).alias("title"))
     return M.keyword_filter(d, F.col("title"), TITLE_KEYWORDS)
 
 
 @query
 def link_extract(spark, sf):
+    """First and second link with a suffix per page."""
     p = load(spark, sf, "pages", "page_id", "html")
     hits = H.links_with_suffix(F.col("html"), LINK_SUFFIX)
     return p.select("page_id",
@@ -414,6 +442,7 @@ def _reference_lines(spark, sf):
 
 @query
 def url_line_stitch(spark, sf):
+    """URLs broken across lines, recovered against known pages."""
     known = load(spark, sf, "pages", "url")
     return S.url_line_stitch(_reference_lines(spark, sf), known)
 
@@ -450,6 +479,7 @@ def _articles(spark, sf):
 
 @query
 def event_article_join(spark, sf):
+    """Events x one page of 20 articles per (date, country)."""
     arts = M.top_n_per_key_articles(_articles(spark, sf), ["rupture_date", "country"],
                                     [F.desc("relevance"), F.asc("article_id")], ARTICLES_PER_PAGE)
     return (_order_keys(spark, sf).join(arts, ["rupture_date", "country"])
@@ -458,6 +488,7 @@ def event_article_join(spark, sf):
 
 @query
 def article_page_join(spark, sf):
+    """Article list -> page content (left join)."""
     lab = load(spark, sf, "labels", "doc_id", "quality", "toxic")
     docs = _docs(spark, sf, "n_chars")
     return (lab.join(docs, "doc_id", "left")
@@ -479,6 +510,7 @@ def _posts(spark, sf):
 
 @query
 def event_post_match(spark, sf):
+    """Posts holding all of an event's terms, counted per event."""
     m = M.all_terms_match(_bench_terms(spark, sf), _posts(spark, sf), "item_id", "terms",
                           "post_id", "text")
     return m.groupBy("item_id").agg(F.count("*").alias("n_posts"))
@@ -486,6 +518,7 @@ def event_post_match(spark, sf):
 
 @query
 def post_search(spark, sf):
+    """The first 10 matching posts per event."""
     m = M.all_terms_match(_bench_terms(spark, sf), _posts(spark, sf), "item_id", "terms",
                           "post_id", "text")
     return M.first_n_posts(m, "item_id", [F.asc("post_id")], POSTS_PER_EVENT)
@@ -493,6 +526,7 @@ def post_search(spark, sf):
 
 @query
 def news_search(spark, sf):
+    """Language, phrase and title-keyword news filter."""
     d = _docs(spark, sf, "text", "lang", "source").where(F.col("lang") == "en")
     phrase = F.lower("text")
     d = d.where(F.contains(phrase, F.lit("the")) & F.contains(phrase, F.lit("and")))
@@ -502,6 +536,7 @@ def news_search(spark, sf):
 
 @query
 def relevance_page(spark, sf):
+    """K1: one tf-idf-ranked result page per query."""
     # Plain scoring: on these texts term frequencies are flat, so the
     # bounded variant (relevance_page_bounded) rarely proves a page early.
     scores = M.tfidf_scores(_docs(spark, sf, "text"), _bench_terms(spark, sf), "doc_id", "text",
@@ -511,6 +546,7 @@ def relevance_page(spark, sf):
 
 @query
 def geo_radius_join(spark, sf):
+    """Posts within 500 km of each event."""
     s = load(spark, sf, "supplier", "s_suppkey").select(
         "s_suppkey", derived_lat(F.col("s_suppkey") * 7 + 3).alias("latitude"),
         derived_lon(F.col("s_suppkey") * 11 + 5).alias("longitude"))
@@ -539,12 +575,14 @@ def _boxes(spark, sf):
 
 @query
 def box_bucket(spark, sf):
+    """Impact boxes -> 7 bins per event and chart."""
     b = IM.box_bins(_boxes(spark, sf), ["event_id", "chart"])
     return b.select("event_id", "chart", *[F.col("bins")[i].alias(f"b{i}") for i in range(7)])
 
 
 @query
 def impact_sentence(spark, sf):
+    """Fatality and loss probability sentences."""
     return IM.impact_sentences(_boxes(spark, sf), ["event_id"]).select(
         "event_id", "fatality_text", "loss_text")
 
@@ -554,6 +592,7 @@ def impact_sentence(spark, sf):
 
 @query
 def argmax_label(spark, sf):
+    """First-max class of a score vector."""
     e = load(spark, sf, "embeddings", "vec_id", "embedding")
     logits = F.slice("embedding", 1, len(CLASS_NAMES))
     return e.select("vec_id", CL.argmax(logits).alias("pred_idx"),
@@ -577,6 +616,7 @@ def _doc_votes(spark, sf):
 
 @query
 def majority_vote(spark, sf):
+    """Most-voted class of three rule classifiers, joined to labels."""
     v = CL.majority_vote(_doc_votes(spark, sf), "doc_id")
     lab = load(spark, sf, "labels", "doc_id", "quality")
     return v.join(lab, "doc_id")
@@ -584,6 +624,7 @@ def majority_vote(spark, sf):
 
 @query
 def sentence_classify(spark, sf):
+    """Spark ML text classifier trained on labels, applied to all documents."""
     docs = _docs(spark, sf, "text")
     lab = load(spark, sf, "labels", "doc_id", "quality")
     train = spread(docs).join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
@@ -599,6 +640,7 @@ def _labelled_doc_sentences(spark, sf):
 
 @query
 def label_sections(spark, sf):
+    """Report sections from labelled sentences."""
     return SM.label_sections(_labelled_doc_sentences(spark, sf), ["doc_id"])
 
 
@@ -615,6 +657,7 @@ def _page_sentence_groups(spark, sf):
 
 @query
 def textrank_summary(spark, sf):
+    """Top 20% sentences per language by TextRank."""
     return SM.summarize(_page_sentence_groups(spark, sf), ["lang"], "sent_id", "sentence",
                         ratio=SUMMARY_RATIO).withColumn("score", F.round("score", 6))
 
@@ -634,21 +677,25 @@ def _hits(spark, sf):
 
 @query
 def tumbling_counts(spark, sf):
+    """M3: hourly counts of hits."""
     return AC.window_counts(_hits(spark, sf), "ts", "1 hour")
 
 
 @query
 def sliding_counts(spark, sf):
+    """M3: one-hour windows sliding by 15 minutes."""
     return AC.window_counts(_hits(spark, sf), "ts", "1 hour", "15 minutes")
 
 
 @query
 def session_bursts(spark, sf):
+    """M4: bursts of hits per user split by 30 quiet minutes."""
     return AC.session_counts(_hits(spark, sf), "ts", SESSION_GAP, ["user_id"])
 
 
 @query
 def resilience_curve(spark, sf):
+    """Baseline, t0, t1 and recovery per keyword curve."""
     ev = load(spark, sf, "events", "ts", "event_type")
     return AC.resilience_curve(ev, "ts", ["event_type"], RUPTURE)
 
@@ -687,6 +734,7 @@ def stream_window_counts(spark, sf):
 
 @query
 def partitioned_sink(spark, sf):
+    """Partitioned write (day, type) and read back."""
     from hazardlake.operators.sinks import write_partitioned
     ev = load(spark, sf, "events", "event_id", "ts", "event_type", "value")
     ev = ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
@@ -698,6 +746,7 @@ def partitioned_sink(spark, sf):
 
 @query
 def report_assemble(spark, sf):
+    """One report row per event."""
     ev = N.event_narratives(_order_events(spark, sf), key="event_id",
                             carry=["country", "rupture_time"])
     impact = IM.impact_sentences(_boxes(spark, sf), ["event_id"])
