@@ -18,7 +18,7 @@ from hazardlake.operators.common import spread
 
 
 def page_paragraphs(pages: DataFrame, key: str = "page_id", html_col: str = "html",
-                    keep_empty: bool = False) -> DataFrame:
+                    keep_empty: bool = False, carry: list[str] | None = None) -> DataFrame:
     """(key, para_pos, paragraph) for every ``<p>`` of every page.
 
     ``para_pos`` is the index of the ``<p>`` piece. Empty paragraphs are
@@ -26,14 +26,15 @@ def page_paragraphs(pages: DataFrame, key: str = "page_id", html_col: str = "htm
     piece; a row filter on the cleaned column would be pushed below the
     projection and evaluate them twice).
     """
-    src = spread(pages.select(key, html_col))
+    carry = list(carry or [])
+    src = spread(pages.select(key, *carry, html_col))
     if keep_empty:
-        return (src.select(key, F.posexplode(H.paragraph_pieces(F.col(html_col))).alias("para_pos", "piece"))
-                .select(key, "para_pos", H.clean_fragment(F.col("piece")).alias("paragraph")))
+        return (src.select(key, *carry, F.posexplode(H.paragraph_pieces(F.col(html_col))).alias("para_pos", "piece"))
+                .select(key, *carry, "para_pos", H.clean_fragment(F.col("piece")).alias("paragraph")))
     cleaned = F.transform(H.paragraph_pieces(F.col(html_col)),
                           lambda x, i: F.struct(i.alias("para_pos"), H.clean_fragment(x).alias("paragraph")))
     kept = F.filter(cleaned, lambda e: e["paragraph"] != "")
-    return src.select(key, F.inline(kept))
+    return src.select(key, *carry, F.inline(kept))
 
 
 def split_sentences(df: DataFrame, text_col: str, keys: list[str],
@@ -53,11 +54,12 @@ def min_words(df: DataFrame, col: str = "sentence", n: int = 2) -> DataFrame:
 
 
 def page_sentences(pages: DataFrame, key: str = "page_id", html_col: str = "html",
-                   min_word_count: int = 2) -> DataFrame:
-    """(key, para_pos, sent_pos, sentence): the article text of each page."""
+                   min_word_count: int = 2, carry: list[str] | None = None) -> DataFrame:
+    """(key, carry..., para_pos, sent_pos, sentence): the article text of each page."""
     # Empty paragraphs yield no sentences, so they need no separate filter.
-    paras = page_paragraphs(pages, key, html_col, keep_empty=True)
-    return min_words(split_sentences(paras, "paragraph", [key, "para_pos"]), "sentence",
+    carry = list(carry or [])
+    paras = page_paragraphs(pages, key, html_col, keep_empty=True, carry=carry)
+    return min_words(split_sentences(paras, "paragraph", [key, *carry, "para_pos"]), "sentence",
                      min_word_count)
 
 

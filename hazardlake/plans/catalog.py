@@ -650,7 +650,7 @@ SUMMARY_RATIO = 0.2
 def _page_sentence_groups(spark, sf):
     p = load(spark, sf, "pages", "page_id", "url", "html")
     p = p.withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1))
-    s = S.page_sentences(p.select("page_id", "html")).join(p.select("page_id", "lang"), "page_id")
+    s = S.page_sentences(p, carry=["lang"])
     return s.select("lang", (F.col("page_id") * 1_000_000 + F.col("para_pos") * 1000
                              + F.col("sent_pos")).alias("sent_id"), "sentence")
 
