@@ -56,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder is configured by the operator (a shared file
     system path); it is read, never replaced. Only when it is unset -- local
-    tests -- a fresh scratch folder is created and registered.
+    mode -- a fresh scratch folder is created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -66,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="hazardlake-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
