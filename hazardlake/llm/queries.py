@@ -5,18 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hazardlake.llm.near_dedup import near_duplicates
+from hazardlake.llm.quality_rules import quality_rules
+from hazardlake.llm.substring_dedup import remove_repeats
 from hazardlake.plans.tables import load
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality signals of all documents and the verdict of rules with certified cutoffs."""
+    docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return quality_rules(docs, load(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "failed_rules")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash near-duplicate classes of all documents: 2-word shingles, similarity 0.8."""
     return near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after removing 50-word windows met in a smaller document."""
+    kept = remove_repeats(load(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_near_dedup,)
+    f.__name__: f for f in (op1_quality_rules, op6_near_dedup, op10_substring_dedup)
 }
 
 ORACLE: dict[str, str] = {}
