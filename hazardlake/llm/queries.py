@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardlake.llm.decontaminate import decontaminate
+from hazardlake.llm.mixing import mix_plan
 from hazardlake.llm.near_dedup import near_duplicates
 from hazardlake.llm.quality_rules import quality_rules
+from hazardlake.llm.secret_scan import scan_secrets
+from hazardlake.llm.sharding import shard_documents
 from hazardlake.llm.substring_dedup import remove_repeats
 from hazardlake.plans.tables import load
 
@@ -21,11 +25,35 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept", "failed_rules")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items contained in each document (five-word shingles, containment 0.8)."""
+    return decontaminate(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: fixed patterns plus spans of the character Markov models."""
+    found = scan_secrets(load(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"),
+                        "spans", "n_markov")
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards by balanced label propagation over equal texts."""
+    return shard_documents(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash near-duplicate classes of all documents: 2-word shingles, similarity 0.8."""
     return near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document, and its first training position."""
+    plan = mix_plan(load(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken",
+                       F.array_min("positions").alias("first_position"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents left after removing 50-word windows met in a smaller document."""
     kept = remove_repeats(load(spark, sf_dir, "documents", "doc_id", "text"))
@@ -33,7 +61,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op6_near_dedup, op10_substring_dedup)
+    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op4_secret_scan, op5_sharding, op6_near_dedup,
+                             op9_mixing, op10_substring_dedup)
 }
 
 ORACLE: dict[str, str] = {}
