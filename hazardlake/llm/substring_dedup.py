@@ -256,7 +256,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                    .groupBy(F.col("rep").alias("doc_id"))
                    .agg(F.collect_list(F.struct("key", "h1", "h2", "rep", "parts", "first", "windows"))
                         .alias("wanted")), "wanted")
-    content = (rows.join(bounded(wanted, 48, texts.count()), "doc_id").select("doc_id", "text", "wanted")
+    content = (rows.join(wanted, "doc_id").select("doc_id", "text", "wanted")
                .mapInArrow(_content_mapper(window), "key long, h1 long, h2 long, doc_id long, parts int, words binary"))
     dealt = (content.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("key", "part", (F.pmod("h1", "parts") == F.col("part")).alias("indexed"),
@@ -280,7 +280,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, **li
     spans = repeated_spans(docs, window, gram, **limits)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    total = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    out = (rows.join(bounded(spans, 24, total), "doc_id", "left").select("doc_id", "text", "spans")
+    out = (rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
            .mapInArrow(_removal_mapper(window), "doc_id long, n_words long, n_removed long, kept_text string"))
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
