@@ -174,6 +174,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, per
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their own columns."""
     bad = stage(contaminated(docs, items).select(F.col("doc_id").alias("bad_id"), "text_crc").distinct(), "leaks")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("bad_id")) & (
-        F.crc32(F.coalesce(F.col("text"), F.lit(""))) == F.col("text_crc"))
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (
+        F.crc32(F.coalesce(docs["text"], F.lit(""))) == bad["text_crc"])
     return docs.join(bounded(bad, 32), same, "left_anti")

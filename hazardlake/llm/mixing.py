@@ -97,8 +97,9 @@ def training_order(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as it is taken, range-sorted by training position."""
     plan = mix_plan(docs).where("copies > 0").select(F.col("doc_id").alias("plan_id"), F.col("text_hash"), "positions")
     plan = stage(plan.dropDuplicates(["plan_id", "text_hash"]), "plan")
-    same = F.col("doc_id").eqNullSafe(F.col("plan_id")) & (
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("text_hash"))
-    copies = (docs.join(bounded(plan, 64), same)
-              .select(*[docs[c] for c in docs.columns], F.explode("positions").alias("_position")))
-    return copies.orderBy("_position", "doc_id").drop("_position")
+    same = docs["doc_id"].eqNullSafe(plan["plan_id"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == plan["text_hash"])
+    at = "__training_position"
+    copies = docs.join(bounded(plan, 64), same).select(*[docs[c] for c in docs.columns],
+                                                       F.explode(plan["positions"]).alias(at))
+    return copies.orderBy(at, "doc_id").drop(at)

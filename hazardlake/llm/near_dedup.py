@@ -230,3 +230,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: one document of each group stays, with its own columns.
+
+    Of rows equal in doc_id and text one stays; rows without doc_id all stay.
+    """
+    found = stage(near_duplicates(docs, shingle, percent), "classes")
+    lost = stage(found.where("not kept").select(F.col("doc_id").alias("lost")).distinct(), "lost")
+    repeated = not found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    out = docs.join(bounded(lost, 16), docs["doc_id"] == lost["lost"], "left_anti")
+    if repeated:
+        out = (out.where(docs["doc_id"].isNotNull()).dropDuplicates(["doc_id", "text"])
+               .unionByName(out.where(docs["doc_id"].isNull())))
+    return out

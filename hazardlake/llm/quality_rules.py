@@ -154,6 +154,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the rules, with their own columns."""
     bad = stage(quality_rules(docs, labels).where("not kept").select(
         F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")), "rejected")
-    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (
-        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("bad_hash"))
+    same = docs["doc_id"].eqNullSafe(bad["bad_id"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["bad_hash"])
     return docs.join(bounded(bad, 32), same, "left_anti")

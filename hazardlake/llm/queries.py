@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.llm.decontaminate import decontaminate
+from hazardlake.llm.html_extract import extract_main_text
+from hazardlake.llm.line_dedup import remove_repeated_lines
 from hazardlake.llm.mixing import mix_plan
 from hazardlake.llm.near_dedup import near_duplicates
 from hazardlake.llm.quality_rules import quality_rules
 from hazardlake.llm.secret_scan import scan_secrets
 from hazardlake.llm.sharding import shard_documents
 from hazardlake.llm.substring_dedup import remove_repeats
+from hazardlake.llm.token_files import encode_documents
 from hazardlake.plans.tables import load
 
 
@@ -30,6 +33,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(load(spark, sf_dir, "documents", "doc_id", "text"), load(spark, sf_dir, "benchmark"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents left after deleting later copies of repeated runs of two or more lines."""
+    kept = remove_repeated_lines(load(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"),
+                       "longest_run")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: fixed patterns plus spans of the character Markov models."""
     found = scan_secrets(load(spark, sf_dir, "documents", "doc_id", "text"))
@@ -47,6 +57,19 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), shingle=2, percent=80)
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token-id files with 64-bit offsets, read back from the files."""
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer = f.read()
+    return encode_documents(load(spark, sf_dir, "documents", "doc_id", "text"), tokenizer)
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by composite text density."""
+    return extract_main_text(load(spark, sf_dir, "pages"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document, and its first training position."""
     plan = mix_plan(load(spark, sf_dir, "documents", "doc_id", "text", "source"))
@@ -61,8 +84,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op4_secret_scan, op5_sharding, op6_near_dedup,
-                             op9_mixing, op10_substring_dedup)
+    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_line_dedup, op4_secret_scan, op5_sharding,
+                             op6_near_dedup, op7_token_files, op8_html_text, op9_mixing, op10_substring_dedup)
 }
 
 ORACLE: dict[str, str] = {}
