@@ -3,10 +3,10 @@
 Links are groups of documents (here: equal texts), held as (document, group) rows
 and never as pairs. Documents start evenly dealt. In each round a document's
 votes are the shards of its group's other members, counted per (group, shard);
-it wants the shard with most votes that has room, and moves
-there if that beats its own. Per shard, movers are admitted by gain up to its
-quota (``SLACK`` above an even share). A group too large for one shard fills
-shards one after the other.
+it wants the shard with most votes, if that beats its own. Per pair of
+shards, movers are admitted by gain: as many as want to go the other way, and
+more while the target is below its quota (``SLACK`` above an even share). A
+group too large for one shard fills shards one after the other.
 
 At the end unlinked documents fill the shards, and the documents, ordered by (shard,
 group), are cut into equal runs: counts are at most one apart, and only groups
@@ -33,32 +33,49 @@ def propagate(linked: DataFrame, shards: int, quota: int, rounds: int = ROUNDS)
     """Moves rows (node, group, shard) between shards; no shard grows beyond ``quota`` rows."""
     cur = stage(linked.select("node", "group", "shard"), "labels")
     nodes = cur.count()
-    for _ in range(rounds if nodes else 0):
+    for turn in range(rounds if nodes else 0):
         load = {r["shard"]: r["n"] for r in cur.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-        room = F.array(*[F.lit(max(0, quota - load.get(s, 0))) for s in range(shards)])
+        room = [max(0, quota - load.get(s, 0)) for s in range(shards)]
         votes = stage(cur.groupBy("group", "shard").agg(F.count("*").alias("n"))
                       .withColumn("tie", F.xxhash64("group", "shard")), "votes")
-        best = (votes.where(F.element_at(room, F.col("shard") + 1) > 0).groupBy("group")
+        # Every other round looks at shards with room only, so that no group waits for a full one.
+        open_ = F.element_at(F.array(*map(F.lit, room)), F.col("shard") + 1) > 0
+        best = (votes.where(open_ if turn % 2 else F.lit(True)).groupBy("group")
                 .agg(F.max(F.struct("n", "tie", "shard")).alias("best")))
         offers = stage(votes.join(best, "group")
                        .where("best.shard <> shard and (best.n > n or (best.n = n and best.tie > tie))")
-                       .select(F.col("group"), F.col("shard"), F.col("best.shard").alias("to"),
+                       .select(F.col("group"), F.col("shard"), F.col("best.shard").alias("to"), F.col("n"),
                                (F.col("best.n") - F.col("n")).alias("gain")), "offers")
-        wish = cur.join(bounded(offers, 32), ["group", "shard"])
-        ranked = running_total(wish, [F.col("gain").desc(), F.col("group"), F.col("node")], "place", groups=["to"])
-        moves = stage(ranked.where(F.col("place") < F.element_at(room, F.col("to") + 1)).select("node", "to"), "moves")
+        wanted = {(r["shard"], r["to"]): r["n"] for r in
+                  offers.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}   # shards^2 rows at most
+        quotas = _admitted(wanted, room, shards)
+        wish = cur.join(bounded(offers.drop("n"), 32), ["group", "shard"])
+        ranked = running_total(wish, [F.col("gain").desc(), F.col("group"), F.col("node")], "place",
+                               groups=["shard", "to"])
+        limits = F.split(F.lit(",".join(map(str, quotas))), ",").cast("array<long>")
+        moves = stage(ranked.where(F.col("place") < F.element_at(limits, F.col("shard") * shards + F.col("to") + 1))
+                      .select("node", "to"), "moves")
         moved = moves.count()
-        if not moved:
-            break
         nxt = stage(cur.join(bounded(moves, 16, moved), "node", "left")
                     .select("node", "group", F.coalesce("to", "shard").alias("shard")), "labels")
         drop(cur, votes, offers, ranked, moves)
         cur = nxt
-        if moved * 1000 < nodes:
+        if turn % 2 and moved * 1000 < nodes:
             break
     return cur
 
 
+def _admitted(wanted: dict, room: list[int], shards: int) -> list[int]:
+    """Movers let through from shard s to t, at s * shards + t: equal numbers both ways, and more while t has room."""
+    room, out = list(room), [0] * (shards * shards)
+    for (s, t), n in sorted(wanted.items()):
+        swap = min(n, wanted.get((t, s), 0))
+        more = min(n - swap, room[t])
+        room[t] -= more
+        out[s * shards + t] = swap + more
+    return out
+
+
 def balanced_shards(rows: DataFrame, group: list[str], order: list[str], shards: int = SHARDS,
                     rounds: int = ROUNDS) -> DataFrame:
     """Adds shard (int) and slot (long, gapless from 0 in each shard) to ``rows``.
