@@ -2,19 +2,20 @@
 
 A document is the sequence of its lines that hold a word; every line is an id.
 Prefix doubling ranks the suffixes of all sequences by their first 1, 2, 4, ...
-lines: a rank is refined by the rank of the suffix that starts that many lines
-later (one equi-join), and new ranks are distributed running totals over the
-sorted pairs. A suffix whose prefix occurs once can begin no longer repeat and
-leaves the array, so the tables shrink from round to round.
+lines: a group of equal rank is refined by the rank of the suffixes that start
+that many lines later (one equi-join); a new rank is the group's rank plus the
+rows of smaller pairs in it. Pairs are counted before they are ordered, and a
+suffix whose prefix occurs once can begin no longer repeat and leaves the array,
+so the tables shrink from round to round and a common line brings only its
+repeated continuations into one sort.
 
 Each group of equal ranks is an interval of the suffix array whose common
 prefix has at least that length. A suffix takes as its copy the earliest member, in order of
 (doc_id, text hash, line), of the deepest interval that it is not the earliest of.
-Neighbouring lines whose copies are neighbours too form one run; at its
-first line the exact common prefix with the copy is found by going back
-through the rounds from the longest to the shortest. These maximal repeated runs
-are deleted if they have at least ``MIN_LINES`` lines (a power of two); the
-earliest copy stays. The result is that a line goes exactly if a window of
+Neighbouring suffixes whose copies are neighbours too form one maximal
+repeated run: it is as long as their number plus the lines that the last of them surely shares.
+Runs of at least ``MIN_LINES`` lines (a power of two) are deleted;
+the earliest copy stays. The result is that a line goes exactly if a window of
 ``MIN_LINES`` lines that holds it starts earlier too.
 
 Lines without a word stay and do not interrupt a run. Null texts are empty and
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlake.llm.prefix import running_total
@@ -47,68 +48,55 @@ def line_rows(rows: DataFrame) -> DataFrame:
                            F.xxhash64(F.lit(1), "line", F.length("line")).alias("h2"))
 
 
-def _ranked(rows: DataFrame, pair: list[str], label: str) -> DataFrame:
-    """Rows whose ``pair`` occurs more than once, with rank = sorted rows before it."""
-    groups = rows.groupBy(*pair).agg(F.count("*").alias("n")).where("n > 1")
-    order = running_total(groups, [F.col(c) for c in pair], "new_rank", value="n")
-    named = order.select(*[F.col(c).alias(f"_{c}") for c in pair], "new_rank")
+def _named(rows: DataFrame, groups: DataFrame, pair: list[str], rank: Column) -> DataFrame:
+    """``rows`` of the repeated groups with their new rank and the earliest member of their group."""
+    named = groups.select(*[F.col(c).alias(f"_{c}") for c in pair], rank.alias("new_rank"), "copy")
     same = [F.col(c) == F.col(f"_{c}") for c in pair]
-    out = stage(rows.join(named, same).select(*_AT, F.col("new_rank").alias("rank")), label)
-    drop(order)
-    return out
+    return stage(rows.join(named, same).select(*_AT, F.col("new_rank").alias("rank"), "copy"), "level")
+
+
+def _groups(rows: DataFrame, pair: list[str]) -> DataFrame:
+    return (rows.groupBy(*pair).agg(F.count("*").alias("n"), F.min(F.struct(*_AT)).alias("copy")).where("n > 1"))
 
 
-def _with_next(level: DataFrame, ranks: DataFrame, offset) -> DataFrame:
-    """``level`` rows with ``next``: the rank (in ``ranks``) of the suffix ``offset`` lines later, if it has one."""
-    later = ranks.select("doc", "hash", F.col("pos").alias("_pos"), F.col("rank").alias("next"))
-    return level.withColumn("_pos", F.col("pos") + offset).join(later, ["doc", "hash", "_pos"])
+def _with_next(level: DataFrame, lines: int) -> DataFrame:
+    """``level`` rows with ``next``: the rank of the suffix ``lines`` lines later, if that is repeated too."""
+    later = level.select("doc", "hash", (F.col("pos") - lines).alias("pos"), F.col("rank").alias("next"))
+    return level.select(*_AT, "rank").join(later, _AT)
 
 
 def suffix_levels(lines: DataFrame) -> list[DataFrame]:
-    """Level k: (doc, hash, pos, rank) of all suffixes whose first 2^k lines occur again."""
-    levels = [_ranked(lines, ["h1", "h2"], "lines")]
-    while True:
-        k = len(levels) - 1
-        pairs = _with_next(levels[k], levels[k], F.lit(1 << k)).select(*_AT, "rank", "next")
-        nxt = _ranked(pairs, ["rank", "next"], "lines")
-        if nxt.isEmpty():
-            return levels
-        levels.append(nxt)
+    """Level k: (doc, hash, pos, rank, copy) of all suffixes whose first 2^k lines occur again."""
+    pair = ["h1", "h2"]
+    order = running_total(_groups(lines, pair), [F.col(c) for c in pair], "before", value="n")
+    levels = [_named(lines, order, pair, F.col("before"))]
+    drop(order)
+    while not levels[-1].isEmpty():
+        rows = stage(_with_next(levels[-1], 1 << (len(levels) - 1)), "pairs")
+        within = Window.partitionBy("rank").orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
+        smaller = F.coalesce(F.sum("n").over(within), F.lit(0))
+        groups = _groups(rows, ["rank", "next"]).withColumn("smaller", smaller)
+        levels.append(_named(rows, groups, ["rank", "next"], F.col("rank") + F.col("smaller")))
+        drop(rows)
+    return levels[:-1] or levels
 
 
 def repeated_runs(levels: list[DataFrame], min_lines: int) -> DataFrame:
     """(doc, hash, pos, len): maximal runs of at least ``min_lines`` lines that have an earlier copy."""
-    found = None
+    found = levels[0].where("false").select(*_AT, F.lit(0).alias("k"), "copy")
     for k in range(min_lines.bit_length() - 1, len(levels)):
-        first = levels[k].groupBy("rank").agg(F.min(F.struct(*_AT)).alias("copy"))
-        later = (levels[k].join(first, "rank").where(F.struct(*_AT) > F.col("copy"))
-                 .select(*_AT, F.lit(k).alias("k"), "copy"))
-        found = later if found is None else found.unionByName(later)
-    if found is None:
-        return levels[0].where("false").select(*_AT, F.lit(0).alias("len"))
+        later = levels[k].where(F.struct(*_AT) > F.col("copy"))
+        found = found.unionByName(later.select(*_AT, F.lit(k).alias("k"), "copy"))
     deepest = found.groupBy(*_AT).agg(F.max(F.struct("k", "copy")).alias("best"))
-    before = Window.partitionBy("doc", "hash").orderBy("pos")
     copy = F.col("best.copy")
+    before = Window.partitionBy("doc", "hash").orderBy("pos")
     goes_on = (F.lag("pos").over(before) == F.col("pos") - 1) & (
         F.lag(copy).over(before) == F.struct(copy["doc"], copy["hash"], copy["pos"] - 1))
-    heads = (deepest.withColumn("goes_on", F.coalesce(goes_on, F.lit(False))).where("not goes_on")
-             .select(*_AT, copy["doc"].alias("cdoc"), copy["hash"].alias("chash"), copy["pos"].alias("cpos"),
-                     F.col("best.k").alias("k"), F.expr("shiftleft(1, best.k)").alias("len")))
-    state = stage(heads, "heads")
-    for k in range(len(levels) - 2, -1, -1):
-        # Both suffixes, len lines on, in one interval of round k: 2^k more lines are common.
-        ranks = levels[k].select("doc", "hash", F.col("pos").alias("_pos"), "rank")
-        own = state.where(F.col("k") > k).withColumn("_pos", F.col("pos") + F.col("len")).join(
-            ranks.withColumnRenamed("rank", "rank_a"), ["doc", "hash", "_pos"])
-        theirs = ranks.toDF("cdoc", "chash", "_cpos", "rank_b")
-        grown = (own.withColumn("_cpos", F.col("cpos") + F.col("len")).join(theirs, ["cdoc", "chash", "_cpos"])
-                 .where("rank_a = rank_b").select(*_AT, F.lit(1 << k).alias("more")))
-        nxt = stage(state.join(grown, _AT, "left")
-                    .select(*[c for c in state.columns if c != "len"],
-                            (F.col("len") + F.coalesce("more", F.lit(0))).alias("len")), "heads")
-        drop(state)
-        state = nxt
-    return state.select(*_AT, "len")
+    fresh = deepest.withColumn("fresh", F.when(goes_on, F.lit(0)).otherwise(F.lit(1)))
+    runs = fresh.withColumn("run", F.sum("fresh").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return (runs.groupBy("doc", "hash", "run")
+            .agg(F.min("pos").alias("pos"), F.max(F.col("pos") + F.expr("shiftleft(1, best.k)")).alias("stop"))
+            .select(*_AT, (F.col("stop") - F.col("pos")).alias("len")))
 
 
 def _cut_mapper(batches):
@@ -141,6 +129,7 @@ def remove_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFr
     plan = stage(runs.groupBy("doc", "hash").agg(
         F.collect_list(F.struct("pos", "len")).alias("runs"), F.max("len").alias("longest")), "cuts")
     drop(lines, *levels)
-    out = (rows.join(plan, ["doc", "hash"], "left").select("doc", "text", "runs", "longest")
+    # Always a shuffle join: the texts take one way at every size.
+    out = (rows.join(plan.hint("merge"), ["doc", "hash"], "left").select("doc", "text", "runs", "longest")
            .mapInArrow(_cut_mapper, "doc_id long, n_lines long, n_removed long, longest_run long, kept_text string"))
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(int(_NO_ID))))
