@@ -32,40 +32,99 @@ from pyspark.sql import functions as F
 from hazardlake.llm.staging import new_path
 
 _NO_ID = np.iinfo(np.int64).max
-#: Text encoded at once, and pieces remembered, in one task.
+#: Text encoded at once in one task; pieces remembered by a Python worker per generation.
 _CHUNK_CHARS, _CACHE_PIECES = 1_000_000, 400_000
 #: A single space between two other characters always begins a new piece of byte-level pre-tokenization.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_ODD_SPACE = re.compile(r"\s | \s|^ | $")
+_SPACE = re.compile(r"\s")
 
 
 class PieceEncoder:
     """Encodes texts piece by piece with the tokenizers library, each distinct piece once.
 
-    Byte-level BPE merges never cross pre-token borders, and a single space
-    between two non-space characters is such a border, so the joined ids equal
-    those of the whole text.
+    Byte-level BPE merges never cross pre-token borders. A single space between
+    two non-space characters is such a border, a line feed between two is a
+    token of its own, and so is the border between a letter and a closing comma or
+    full stop; the joined ids therefore equal those of the whole text. Pieces
+    are kept in two generations of bounded size that tasks of one worker share.
     """
 
     def __init__(self, tokenizer_json: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        import tokenizers
+        self.tokenizer = tokenizers.Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.dtype, self.cache = dtype, {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
+        self.dtype, self.width = dtype, np.dtype(dtype).itemsize
+        vocab = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)
+        # "\u0120" is how byte-level vocabularies write a space.
+        self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+        self.mark = {c: self._whole([c])[0] for c in ",.\n"}
+        # The worker process outlives a task; its caches hang on the library's module.
+        shared = tokenizers.__dict__.setdefault("_pieces_seen", {})
+        self.seen = shared.setdefault((zlib.crc32(tokenizer_json.encode()), dtype), [{}, {}])
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of " " + word for words without white space, from one joined text."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids,
+                       self.dtype)
+        start = np.flatnonzero(self.opens[ids])
+        if len(start) != len(words):
+            return self._whole([" " + w for w in words])
+        raw, at = ids.tobytes(), (np.append(start, len(ids)) * self.width).tolist()
+        return [raw[i:j] for i, j in zip(at[:-1], at[1:])]
+
+    def _learn(self, words: set[str]) -> dict:
+        """Cache with the ids of " " + word for all ``words``."""
+        young, old = self.seen
+        if len(young) > _CACHE_PIECES:
+            young, old = self.seen[:] = {}, young
+        fresh = []
+        for w in words.difference(young):
+            ids = old.get(w)
+            if ids is None:
+                fresh.append(w)
+            else:
+                young[w] = ids
+        spaced, whole, built = set(), [], []
+        for w in fresh:
+            if w.isalpha():
+                spaced.add(w)
+            elif w[-1:] in (",", ".") and w[:-1].isalpha():
+                spaced.add(w[:-1])
+                built.append((w, w[:-1], w[-1]))
+            elif not _SPACE.search(w):
+                spaced.add(w)
+            else:
+                a, _, b = w.partition("\n")
+                if a and b and not _SPACE.search(a) and not _SPACE.search(b):
+                    spaced.add(a)
+                    built.append((w, a, "\n" + b))
+                else:
+                    whole.append(w)
+        need = [w for w in spaced if w not in young]
+        young.update(zip(need, self._spaced(need)))
+        young.update(zip(whole, self._whole([" " + w for w in whole])))
+        tails = [t for _, _, t in built if len(t) > 1]
+        tail = dict(zip(tails, self._whole([t[1:] for t in tails])))
+        for w, head, t in built:
+            young[w] = young[head] + (self.mark["\n"] + tail[t] if len(t) > 1 else self.mark[t])
+        return young
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) for t in texts]
-        heads = self._encode([c[0] for c in cut])
-        new = list({p for c in cut for p in c[1:]}.difference(self.cache))
-        if len(self.cache) + len(new) > _CACHE_PIECES:
-            self.cache.clear()
-            new = list({p for c in cut for p in c[1:]})
-        self.cache.update(zip(new, self._encode([" " + p for p in new])))
-        get = self.cache.__getitem__
+        cut = [(_CUT.split(t) if _ODD_SPACE.search(t) else t.split(" ")) for t in texts]
+        heads = self._whole([c[0] for c in cut])
+        words: set[str] = set()
+        for c in cut:
+            words.update(c[1:])
+        get = self._learn(words).__getitem__
         return [h + b"".join(map(get, c[1:])) for h, c in zip(heads, cut)]
 
 
