@@ -39,5 +39,12 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
+def nautical_zone(lon: Column) -> Column:
+    """Zone of the 15-degree sector around a longitude (east of Greenwich: ``Etc/GMT-n``)."""
+    h = F.round(lon / 15).cast("int")
+    return F.when(h == 0, F.lit("Etc/GMT")).when(h > 0, F.concat(F.lit("Etc/GMT-"), h.cast("string"))).otherwise(
+        F.concat(F.lit("Etc/GMT+"), (-h).cast("string")))
+
+
 def cell(x: Column, size_deg: float) -> Column:
     return F.floor(x / F.lit(size_deg)).cast("int")

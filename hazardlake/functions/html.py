@@ -22,7 +22,8 @@ P_END_RE = (r"(?is)(?:</p>|</?(?:article|div|section|footer|nav|header|aside|"
             r"h[1-6]|ul|ol|table|body|html)\b).*$")
 TAG_RE = r"(?s)<[^>]*>"
 SPACE_RE = r"\s+"
-HREF_RE = r"""(?i)href="([^"]*)\""""
+HREF_RE = r"""(?i)<a\s[^>]*?href="([^"]*)\""""
+SRC_RE = r"""(?i)<img\s[^>]*?src="([^"]*)\""""
 
 
 def unescape_entities(c: Column) -> Column:
@@ -57,8 +58,14 @@ def page_text(html: Column, sep: str = "") -> Column:
 
 
 def links(html: Column) -> Column:
-    """All ``href`` targets of a page, in document order."""
-    return F.regexp_extract_all(html, F.lit(HREF_RE), 1)
+    """``href`` targets of the anchors of a page, in document order; scripts and comments hold none."""
+    return F.regexp_extract_all(F.regexp_replace(html, NOISE_RE, " "), F.lit(HREF_RE), 1)
+
+
+def images_with_suffix(html: Column, suffix: str) -> Column:
+    """``src`` targets of the images of a page that end in ``suffix``, in document order."""
+    found = F.regexp_extract_all(F.regexp_replace(html, NOISE_RE, " "), F.lit(SRC_RE), 1)
+    return F.filter(found, lambda x: F.endswith(x, F.lit(suffix)))
 
 
 def links_with_suffix(html: Column, suffix: str) -> Column:

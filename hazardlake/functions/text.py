@@ -70,7 +70,7 @@ def place_parts(place: Column) -> Column:
     """struct(distance_km, direction, city); all null when unparsable."""
     ok = place.rlike(PLACE_RE)
     return F.struct(
-        F.when(ok, F.regexp_extract(place, PLACE_RE, 1).cast("int")).alias("distance_km"),
+        F.when(ok, F.regexp_extract(place, PLACE_RE, 1).try_cast("int")).alias("distance_km"),
         F.when(ok, F.regexp_extract(place, PLACE_RE, 2)).alias("direction"),
         F.when(ok, F.regexp_extract(place, PLACE_RE, 3)).alias("city"),
     )

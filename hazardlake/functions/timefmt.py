@@ -45,8 +45,8 @@ def from_instant(ts: Column) -> Column:
 
 
 def parse_log_time(text: Column) -> Column:
-    """``2021/08/14 20:20:45`` or ``2021-08-14 20:20:45`` -> timestamp."""
-    return F.to_timestamp_ntz(F.translate(text, "/", "-"), F.lit("yyyy-MM-dd HH:mm:ss"))
+    """``2021/08/14 20:20:45`` or ``2021-08-14 20:20:45`` -> timestamp; null if it is none."""
+    return F.translate(text, "/", "-").try_cast("timestamp_ntz")
 
 
 def local_time(utc_ts: Column, zone: Column) -> Column:

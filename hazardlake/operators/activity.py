@@ -7,13 +7,13 @@ stream replay equals the batch result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardlake.functions import timefmt as TF
-from hazardlake.operators.common import checkpoint
 
 
 def window_counts(df: DataFrame, ts: str, size: str, slide: str | None = None,
@@ -26,108 +26,79 @@ def window_counts(df: DataFrame, ts: str, size: str, slide: str | None = None,
                     F.col("_w.end").alias("window_end"), "n"))
 
 
-def session_counts(df: DataFrame, ts: str, gap: str, keys: list[str]) -> DataFrame:
+def _breaks(df: DataFrame, by: list, prev: str, cur: str, gap_us: int) -> DataFrame:
+    """Adds ``_sid``: number of quiet gaps so far within ``by``, in order of ``cur``."""
+    w = Window.partitionBy(*by).orderBy(cur)
+    quiet = TF.micros_between(F.lag(prev).over(w), F.col(cur)) > gap_us
+    fresh = df.withColumn("_new", F.coalesce(quiet, F.lit(False)).cast("int"))
+    return fresh.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+
+
+def session_counts(df: DataFrame, ts: str, gap: str, keys: list[str], bucket: str = "day") -> DataFrame:
     """(keys..., session_start, session_end, n): bursts split by ``gap`` of quiet.
 
     Same result as ``groupBy(keys, session_window(ts, gap))``, which
-    sessionises each key inside one task. Here the rows are range-sorted by
-    (keys, ts) over all partitions, so a key holding a third of the rows is
-    spread over many tasks; each sorted partition is sessionised locally
-    (Arrow batches, state carried across batches); a session cut by a
-    partition border is stitched to its predecessor through a table of at
-    most two rows per partition. A session end is its last event + gap.
+    sessionises each key inside one task. Here the events of a key are first
+    sessionised per time ``bucket``, so a key holding a third of the rows
+    spreads over its buckets; the few sessions of the buckets are then joined
+    per key by the same rule. A session end is its last event + gap.
     """
-    gap_td = pd.Timedelta(gap)
-    gap_us = int(gap_td / pd.Timedelta(microseconds=1))
-    src = df.select(*keys, ts).where(F.col(ts).isNotNull())
-    key_fields = [f for f in src.schema.fields if f.name in keys]
-    ts_type = src.schema[ts].dataType
-    local_schema = T.StructType(key_fields + [
-        T.StructField("_pid", T.IntegerType()), T.StructField("_idx", T.LongType()),
-        T.StructField("_start", ts_type), T.StructField("_stop", ts_type),
-        T.StructField("_n", T.LongType()), T.StructField("_last", T.BooleanType())])
-
-    def sessionise(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        cur, idx = None, -1
-        for pdf in batches:
-            rows = []
-            kv = pdf[keys].itertuples(index=False, name=None)
-            for k, t in zip(kv, pdf[ts]):
-                if cur is not None and k == cur[0] and (t - cur[2]) < gap_td:
-                    cur[2] = t
-                    cur[3] += 1
-                    continue
-                if cur is not None:
-                    rows.append((*cur[0], pid, idx, cur[1], cur[2], cur[3], False))
-                idx += 1
-                cur = [k, t, t, 1]
-            if rows:
-                yield pd.DataFrame(rows, columns=local_schema.names)
-        if cur is not None:
-            yield pd.DataFrame([(*cur[0], pid, idx, cur[1], cur[2], cur[3], True)],
-                               columns=local_schema.names)
-
-    local = checkpoint(src.orderBy(*keys, ts).mapInPandas(sessionise, local_schema))
-    # Border sessions: first and last of each partition, in global order.
-    border = (local.where((F.col("_idx") == 0) | F.col("_last"))
-              .select(*keys, "_pid", "_idx", "_start", "_stop"))
-    order = Window.orderBy("_pid", "_idx")      # at most 2 rows per partition
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.lag(k).over(order).eqNullSafe(F.col(k)))
-    cont = ((F.col("_idx") == 0) & same
-            & (TF.micros_between(F.lag("_stop").over(order), F.col("_start")) < gap_us))
-    roots = (border.withColumn("_cont", F.coalesce(cont, F.lit(False)))
-             .withColumn("_own", F.when(~F.col("_cont"), F.struct("_pid", "_idx")))
-             .withColumn("_root", F.last("_own", ignorenulls=True).over(
-                 order.rowsBetween(Window.unboundedPreceding, 0)))
-             .select("_pid", "_idx", "_root"))
-    joined = (local.join(roots, ["_pid", "_idx"], "left")
-              .withColumn("_root", F.coalesce("_root", F.struct("_pid", "_idx"))))
-    return (joined.groupBy(*keys, "_root")
-            .agg(F.min("_start").alias("session_start"), F.max("_stop").alias("_stop"),
-                 F.sum("_n").alias("n"))
+    gap_us = int(pd.Timedelta(gap) / pd.Timedelta(microseconds=1))
+    src = df.select(*keys, ts).where(F.col(ts).isNotNull()).withColumn("_b", F.date_trunc(bucket, F.col(ts)))
+    parts = (_breaks(src, [*keys, "_b"], ts, ts, gap_us).groupBy(*keys, "_b", "_sid")
+             .agg(F.min(ts).alias("_start"), F.max(ts).alias("_stop"), F.count("*").alias("_n")))
+    return (_breaks(parts.drop("_sid"), keys, "_stop", "_start", gap_us).groupBy(*keys, "_sid")
+            .agg(F.min("_start").alias("session_start"), F.max("_stop").alias("_stop"), F.sum("_n").alias("n"))
             .select(*keys, "session_start",
                     (F.col("_stop") + F.expr(f"INTERVAL {gap}")).alias("session_end"), "n"))
 
 
 def resilience_curve(hits: DataFrame, ts: str, keys: list[str], rupture: str,
-                     before_h: int = 72, after_h: int = 240, k_sd: float = 2.0,
+                     before_h: int = 72, after_h: int | None = None, k_sd: float = 2.0,
                      recover_h: int = 6, digits: int = 6) -> DataFrame:
     """(keys..., baseline_mean, baseline_sd, t0, t1, recovery_h) per curve.
 
     ``hits`` are rows already matching the curve's keywords. Hourly counts
-    ``y(h)`` for hour offsets ``h`` in ``[-before_h, after_h)`` from
-    ``rupture`` are zero-filled from a ``sequence`` spine. Baseline = mean
+    ``y(h)`` for hour offsets ``h`` from ``-before_h`` to ``recover_h`` hours
+    after the curve's last hit (or up to ``after_h`` if given) are
+    zero-filled from a ``sequence`` spine. Baseline = mean
     and population sd of ``y`` over the hours before the rupture.
     ``t0`` = first ``h >= 0`` with ``y > mean + k_sd * sd``; ``t1`` = first
     ``h > t0`` whose trailing ``recover_h``-hour mean is ``<= mean``;
-    ``recovery_h = t1 - t0`` (null when either is missing). The spine length
-    is a parameter, so the per-curve window below is bounded.
+    ``recovery_h = t1 - t0`` (null when either is missing). A curve has one
+    row per hour, whatever the number of hits; null keys are a curve.
     """
     r = F.lit(rupture).cast("timestamp_ntz")
     micros = TF.micros_between(r, F.col(ts).cast("timestamp_ntz"))
     hour = F.floor(micros / F.lit(3_600_000_000)).cast("int")
-    counts = (hits.select(*keys, hour.alias("h"))
-              .where((F.col("h") >= -before_h) & (F.col("h") < after_h))
+    counts = (hits.select(*keys, hour.alias("h")).where(F.col("h") >= -before_h)
               .groupBy(*keys, "h").agg(F.count("*").alias("y")))
-    spine = (hits.select(*keys).distinct()
-             .select(*keys, F.explode(F.sequence(F.lit(-before_h), F.lit(after_h - 1))).alias("h")))
-    curve = (spine.join(counts, keys + ["h"], "left")
+    ends = hits.select(*keys, hour.alias("h")).groupBy(*keys).agg(F.max("h").alias("_last"))
+    if after_h is not None:
+        counts, last = counts.where(F.col("h") < after_h), F.lit(after_h - 1)
+    else:
+        last = F.greatest(F.col("_last"), F.lit(0)) + recover_h
+    spine = ends.select(*keys, F.explode(F.sequence(F.lit(-before_h), last)).alias("h"))
+    curve = (_null_safe_left(spine, counts, keys + ["h"])
              .select(*keys, "h", F.coalesce("y", F.lit(0)).cast("double").alias("y")))
-    base = (curve.where(F.col("h") < 0).groupBy(*keys)
-            .agg(F.avg("y").alias("baseline_mean"), F.stddev_pop("y").alias("baseline_sd")))
+    base = Window.partitionBy(*keys)
+    before = F.when(F.col("h") < 0, F.col("y"))
     trail = Window.partitionBy(*keys).orderBy("h").rowsBetween(-(recover_h - 1), 0)
-    c = (curve.join(base, keys)
-         .withColumn("_trail", F.avg("y").over(trail)))
-    t0 = (c.where((F.col("h") >= 0) & (F.col("y") > F.col("baseline_mean") + k_sd * F.col("baseline_sd")))
-          .groupBy(*keys).agg(F.min("h").alias("t0")))
-    c2 = c.join(t0, keys)
-    t1 = (c2.where((F.col("h") > F.col("t0")) & (F.col("_trail") <= F.col("baseline_mean")))
-          .groupBy(*keys).agg(F.min("h").alias("t1")))
-    return (base.join(t0, keys, "left").join(t1, keys, "left")
-            .select(*keys, F.round("baseline_mean", digits).alias("baseline_mean"),
-                    F.round("baseline_sd", digits).alias("baseline_sd"), "t0", "t1",
+    c = curve.select("*", F.avg(before).over(base).alias("_m"), F.stddev_pop(before).over(base).alias("_sd"),
+                     F.avg("y").over(trail).alias("_trail"))
+    high = (F.col("h") >= 0) & (F.col("y") > F.col("_m") + k_sd * F.col("_sd"))
+    c = c.withColumn("t0", F.min(F.when(high, F.col("h"))).over(base))
+    low = (F.col("h") > F.col("t0")) & (F.col("_trail") <= F.col("_m"))
+    return (c.groupBy(*keys).agg(F.first("_m").alias("_m"), F.first("_sd").alias("_sd"), F.first("t0").alias("t0"),
+                                 F.min(F.when(low, F.col("h"))).alias("t1"))
+            .select(*keys, F.round("_m", digits).alias("baseline_mean"),
+                    F.round("_sd", digits).alias("baseline_sd"), "t0", "t1",
                     (F.col("t1") - F.col("t0")).alias("recovery_h")))
+
+
+def _null_safe_left(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on ``keys`` where null equals null; keys come from ``a``."""
+    right = b.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
+                     *[c for c in b.columns if c not in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)])
+    return a.join(right, same, "left").drop(*[f"_r{i}" for i in range(len(keys))])

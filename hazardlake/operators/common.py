@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardlake.session import ensure_checkpoint_dir
 
-# Dimension tables up to this many rows are broadcast explicitly; larger ones
-# are left to the planner (AQE still converts a join to broadcast when the
-# runtime size of a side falls under spark.sql.autoBroadcastJoinThreshold).
-BROADCAST_MAX_ROWS = 200_000
-
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster when it arrives in too few partitions.
@@ -32,16 +28,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the table turns out to be large.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def top_n_per_key(df: DataFrame, keys: list[str], order: list, n: int,
                   rank_col: str | None = None, offset: int = 0) -> DataFrame:
     """Rows ranked ``offset+1 .. offset+n`` per key under ``order``.
@@ -78,7 +64,11 @@ def rank_within_groups(df: DataFrame, keys: list[str], order: list, pos_col: str
     slices = (s.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_m0"), F.count("*").alias("_c"))
               .withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
               .drop("_c"))
-    return (s.join(slices, keys + ["_pid"])
+    right = slices.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_rp"),
+                          "_m0", "_off")
+    same = reduce(lambda a, b: a & b, [F.col("_pid") == F.col("_rp")] + [
+        F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)])
+    return (s.join(right, same).drop("_rp", *[f"_r{i}" for i in range(len(keys))])
             .withColumn(pos_col, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
             .drop("_pid", "_mid", "_m0", "_off"))
 

@@ -1,10 +1,9 @@
 """Keyed de-duplication of the event log.
 
-Both "keep the first" and "keep the latest revision" are aggregations
-(``min_by`` / ``max_by`` over a struct of the row), not ``row_number``
-windows: the aggregate runs partially on the map side, so a key holding a
-third of all rows still ships one row per map task to the shuffle. An
-explicit sequence column decides "first"; ``dropDuplicates`` (arbitrary
+"Keep the first" and "keep the latest revision" are ``row_number() = 1``
+windows, which Spark plans with a partial WindowGroupLimit before the
+shuffle: a key holding a third of all rows still ships one row per map task.
+An explicit sequence column decides "first"; ``dropDuplicates`` (arbitrary
 survivor) is never used for it.
 """
 
@@ -13,14 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazardlake.operators.common import top_n_per_key
+
 
 def _pick(df: DataFrame, keys: list[str], order_cols: list[str], latest: bool) -> DataFrame:
-    cols = df.columns
-    order = F.struct(*[F.col(c) for c in order_cols]) if len(order_cols) > 1 else F.col(order_cols[0])
-    pick = F.max_by if latest else F.min_by
-    return (df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-            .agg(pick(F.struct(*[F.col(c) for c in cols]), order).alias("_row"))
-            .select("_row.*"))
+    order = [F.col(c).desc_nulls_last() if latest else F.col(c).asc_nulls_last() for c in order_cols]
+    return top_n_per_key(df, keys, order, 1)
 
 
 def keep_first(df: DataFrame, keys: list[str], seq: str | list[str]) -> DataFrame:

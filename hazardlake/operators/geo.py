@@ -13,45 +13,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.functions import geo as G
-from hazardlake.operators.common import broadcast_if_small
 
 
 def zone_cells(zones: DataFrame, cell_deg: float) -> DataFrame:
     """Explode each zone box into the grid cells it touches."""
     def rng(lo, hi):
         return F.sequence(G.cell(F.col(lo), cell_deg), G.cell(F.col(hi), cell_deg))
+    # A box with lon_min > lon_max lies over the antimeridian: two parts, one area.
+    over = F.col("lon_min") > F.col("lon_max")
+    width = F.col("lon_max") - F.col("lon_min") + F.when(over, F.lit(360.0)).otherwise(F.lit(0.0))
+    part = F.when(over, F.array(F.struct(F.col("lon_min").alias("a"), F.lit(180.0).alias("b")),
+                                F.struct(F.lit(-180.0).alias("a"), F.col("lon_max").alias("b")))).otherwise(
+        F.array(F.struct(F.col("lon_min").alias("a"), F.col("lon_max").alias("b"))))
     return (zones
-            .withColumn("_area", (F.col("lat_max") - F.col("lat_min")) * (F.col("lon_max") - F.col("lon_min")))
+            .withColumn("_area", (F.col("lat_max") - F.col("lat_min")) * width)
+            .withColumn("_part", F.explode(part))
+            .withColumn("lon_min", F.col("_part.a")).withColumn("lon_max", F.col("_part.b")).drop("_part")
             .withColumn("_clat", F.explode(rng("lat_min", "lat_max")))
             .withColumn("_clon", F.explode(rng("lon_min", "lon_max"))))
 
 
 def assign_zone(points: DataFrame, zones: DataFrame, key: str, lat: str = "latitude",
-                lon: str = "longitude", zone_col: str = "tz", cell_deg: float = 10.0) -> DataFrame:
-    """Add ``zone_col``: the smallest zone box holding each point (null if none).
+                lon: str = "longitude", zone_col: str = "tz", cell_deg: float = 10.0,
+                nautical: bool = False) -> DataFrame:
+    """Add ``zone_col``: the smallest zone box holding each point. Without a
+    box it is null, or with ``nautical`` the 15-degree zone of the longitude.
 
     ``zones`` has (zone, lat_min, lat_max, lon_min, lon_max); boxes may
     overlap, ties go to the smaller box, then the zone name. The zone boxes
     become one row per grid cell holding the array of boxes touching it, so
     each point meets exactly one row (its cell): the choice is an array
-    expression on the point's row -- no re-grouping of points, and no
-    shuffle of the points at all when the cell table passes the size check
-    for a broadcast. ``key`` is kept for API symmetry; points keep all
-    their columns.
+    expression on the point's row, without re-grouping the points; the
+    planner broadcasts the cell table while it is below its threshold.
+    ``key`` is kept for API symmetry; points keep all their columns.
     """
     box = F.struct(F.col("_area").alias("area"), F.col("zone").alias("zone"),
                    F.col("lat_min").alias("la0"), F.col("lat_max").alias("la1"),
                    F.col("lon_min").alias("lo0"), F.col("lon_max").alias("lo1"))
-    cells = broadcast_if_small(zone_cells(zones, cell_deg).groupBy("_clat", "_clon")
-                               .agg(F.collect_list(box).alias("_boxes")))
+    cells = zone_cells(zones, cell_deg).groupBy("_clat", "_clon").agg(F.collect_list(box).alias("_boxes"))
     p = (points.withColumn("_clat", G.cell(F.col(lat), cell_deg))
          .withColumn("_clon", G.cell(F.col(lon), cell_deg)))
     la, lo = F.col(lat), F.col(lon)
     inside = F.filter("_boxes", lambda b: (la >= b["la0"]) & (la <= b["la1"])
                       & (lo >= b["lo0"]) & (lo <= b["lo1"]))
     best = F.array_min(F.transform(inside, lambda b: F.struct(b["area"].alias("a"), b["zone"].alias("z"))))
+    zone = F.coalesce(best["z"], G.nautical_zone(lo)) if nautical else best["z"]
     return (p.join(cells, ["_clat", "_clon"], "left")
-            .withColumn(zone_col, best["z"])
+            .withColumn(zone_col, zone)
             .drop("_clat", "_clon", "_boxes"))
 
 
@@ -60,13 +68,16 @@ def within_radius(events: DataFrame, posts: DataFrame, radius_km: float,
                   lon: str = "longitude") -> DataFrame:
     """(event_key, post_key, dist_km) for every post within ``radius_km``.
 
-    Cells are ``radius`` degrees of latitude tall; each event lists the
-    cells its radius can reach (wider in longitude toward the poles, all
-    longitudes near a pole, wrapping at the antimeridian), each post sits
-    in one cell. The haversine distance is the residual predicate.
+    Cells are ``radius`` degrees of latitude tall and at least as wide, a whole
+    number of them around the globe; each event lists the cells its radius
+    can reach (wider in longitude toward the poles, all longitudes near a
+    pole, wrapping at the antimeridian), each post sits in one cell. The
+    haversine distance is the residual predicate.
     """
     cd = radius_km / G.KM_PER_DEG_LAT
-    n_lon = int(math.ceil(360.0 / cd))
+    n_lon = max(1, int(math.floor(360.0 / cd)))
+    wide = 360.0 / n_lon
+    eps = 1e-9      # a post on a cell border may round to either side
     la, lo = F.col(lat), F.col(lon)
     reach = F.greatest(F.abs(la - cd), F.abs(la + cd))
     dlon = F.when(reach >= 89.999, F.lit(360.0)).otherwise(
@@ -75,7 +86,7 @@ def within_radius(events: DataFrame, posts: DataFrame, radius_km: float,
                            G.cell(F.least(la + cd, F.lit(90.0)), cd))
     lon_cells = F.when(dlon >= 180.0, F.sequence(F.lit(0), F.lit(n_lon - 1))).otherwise(
         F.array_distinct(F.transform(
-            F.sequence(G.cell(lo - dlon, cd), G.cell(lo + dlon, cd)),
+            F.sequence(G.cell(lo - dlon - eps, wide), G.cell(lo + dlon + eps, wide)),
             lambda c: F.pmod(c, F.lit(n_lon)))))
     ev = (events.select(F.col(event_key), la.alias("_elat"), lo.alias("_elon"),
                         lat_cells.alias("_lats"), lon_cells.alias("_lons"))
@@ -84,7 +95,7 @@ def within_radius(events: DataFrame, posts: DataFrame, radius_km: float,
           .drop("_lats", "_lons"))
     ps = posts.select(F.col(post_key), la.alias("_plat"), lo.alias("_plon"),
                       G.cell(la, cd).alias("_clat"),
-                      F.pmod(G.cell(lo, cd), F.lit(n_lon)).alias("_clon"))
+                      F.pmod(G.cell(lo, wide), F.lit(n_lon)).alias("_clon"))
     d = G.haversine_km(F.col("_elat"), F.col("_elon"), F.col("_plat"), F.col("_plon"))
     return (ev.join(ps, ["_clat", "_clon"])
             .select(event_key, post_key, d.alias("dist_km"))

@@ -26,11 +26,13 @@ def _bins(order_col: str, cond=None):
     The ordering is (box order, value): boxes sharing an order position are
     resolved by their value, so the result never depends on row order. The
     value is a non-negative int, so ``order * 2^32 + value`` is the same
-    order in one bigint -- a fixed-width buffer keeps the aggregate a hash
-    aggregate (a struct ordering would force a sort-based one).
+    order in one exact decimal -- a fixed-width buffer keeps the aggregate a
+    hash aggregate (a struct ordering would force a sort-based one) and holds
+    any bigint order.
     """
     out = []
-    last = F.col(order_col).cast("long") * F.lit(1 << 32) + F.col("_v").cast("long")
+    last = (F.col(order_col).cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)")
+            + F.col("_v").cast("decimal(10,0)"))
     for b in range(I.N_BINS):
         hit = F.col("_bin") == b
         if cond is not None:

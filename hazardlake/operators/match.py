@@ -4,7 +4,7 @@ Text predicates that would be a non-equi join ("post contains every search
 term of the event") run as an inverted-index equi-join: posts are exploded
 to distinct (post, token) rows and joined on the token. Each event drives
 the join with its *rarest* term, so a very common term ("the") never
-multiplies the intermediate result; the remaining terms are checked on the
+multiplies the intermediate result; the remaining terms are counted on the
 candidate pairs.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.functions import text as T
-from hazardlake.operators.common import spread, top_n_per_key
+from hazardlake.operators.common import checkpoint, spread, top_n_per_key
 
 
 def keyword_filter(df: DataFrame, text: Column, keywords: list[str],
@@ -25,38 +25,28 @@ def keyword_filter(df: DataFrame, text: Column, keywords: list[str],
     return df.where(F.arrays_overlap(toks, F.array(*[F.lit(k) for k in kws])))
 
 
-def token_index(docs: DataFrame, key: str, text_col: str) -> DataFrame:
-    """Distinct (key, token) rows of a text column."""
-    return spread(docs).select(key, F.explode(F.array_distinct(T.tokens(F.col(text_col)))).alias("token"))
-
-
 def all_terms_match(events: DataFrame, posts: DataFrame, event_key: str, terms_col: str,
                     post_key: str, text_col: str) -> DataFrame:
     """(event_key, post_key) for every post holding all of the event's terms.
 
-    ``terms_col`` is an array of lower-case tokens.
+    ``terms_col`` is an array of lower-case tokens; an event without terms
+    matches nothing. Posts are tokenised once: only tokens that occur in some
+    event are kept, and written, as the inverted index. The rarest term of an
+    event finds its candidates; a candidate holds all terms if the index has
+    as many of them as the event.
     """
-    # One token array per post; the inverted index and the verification
-    # both derive from it.
-    post_tokens = spread(posts.select(post_key, F.array_distinct(T.tokens(F.col(text_col))).alias("_ptoks")))
-    idx = post_tokens.select(post_key, F.explode("_ptoks").alias("token"))
-    ev_terms = (events.select(event_key, F.array_distinct(terms_col).alias("_terms"))
-                .where(F.size("_terms") > 0))
-    exploded = ev_terms.select(event_key, "_terms", F.explode("_terms").alias("token"))
-    # Post frequency of the events' own terms only (semi-join first).
-    term_df = (idx.join(exploded.select("token").distinct(), "token", "left_semi")
-               .groupBy("token").agg(F.count("*").alias("_df")))
-    # The rarest term of each event (ties by the term itself) drives the join.
-    driver = (exploded.join(term_df, "token", "left")
-              .groupBy(event_key)
-              .agg(F.min_by(F.struct("token", "_terms"),
-                            F.struct(F.coalesce("_df", F.lit(0)), "token")).alias("_d"))
-              .select(event_key, "_d.token", "_d._terms"))
-    cands = driver.join(idx, "token").select(event_key, post_key, "_terms")
-    # Verify the other terms against each candidate post's token set.
-    return (cands.join(post_tokens, post_key)
-            .where(F.forall("_terms", lambda t: F.array_contains(F.col("_ptoks"), t)))
-            .select(event_key, post_key))
+    terms = events.select(event_key, F.array_distinct(terms_col).alias("_terms")).where(F.size("_terms") > 0)
+    asked = terms.select(event_key, F.size("_terms").alias("_want"), F.explode("_terms").alias("token"))
+    idx = checkpoint(spread(posts.select(post_key, text_col))
+                     .select(post_key, F.explode(F.array_distinct(T.tokens(F.col(text_col)))).alias("token"))
+                     .join(asked.select("token").distinct(), "token", "left_semi"))
+    term_df = idx.groupBy("token").agg(F.count("*").alias("_df"))
+    driver = top_n_per_key(asked.join(term_df, "token", "left"), [event_key],
+                           [F.coalesce("_df", F.lit(0)).asc(), F.asc("token")], 1).select(event_key, "token")
+    cands = driver.join(idx, "token").select(event_key, post_key)
+    held = cands.join(asked, event_key).join(idx, [post_key, "token"], "left_semi")
+    return (held.groupBy(event_key, post_key).agg(F.count("*").alias("_have"), F.first("_want").alias("_want"))
+            .where("_have = _want").select(event_key, post_key))
 
 
 def first_n_posts(matches: DataFrame, event_key: str, order: list, n: int = 10) -> DataFrame:
@@ -72,7 +62,7 @@ def _postings(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
     vocab = q_terms.select("token").distinct()
     toks = (spread(docs).select(doc_key, F.explode(T.tokens(F.col(text_col))).alias("token"))
             .join(vocab, "token", "left_semi"))
-    tf = toks.groupBy(doc_key, "token").agg(F.count("*").alias("_tf"))
+    tf = checkpoint(toks.groupBy(doc_key, "token").agg(F.count("*").alias("_tf")))
     n_docs = docs.select(F.count("*").alias("_n"))
     dfreq = tf.groupBy("token").agg(F.count("*").alias("_df"))
     idf = dfreq.select("token", F.ln(n_docs.scalar() / F.col("_df")).alias("_idf"))
@@ -81,16 +71,19 @@ def _postings(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
 
 
 def tfidf_scores(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
-                 query_key: str, terms_col: str) -> DataFrame:
+                 query_key: str, terms_col: str, only: DataFrame | None = None) -> DataFrame:
     """(query_key, doc_key, score) with score = sum tf(t, d) * ln(N / df(t)).
 
+    With ``only`` (query_key, doc_key) just these pairs are scored.
+
     Only tokens that occur in some query survive the first (semi-)join, so
     the per-token work is bounded by the query vocabulary; N enters as a
     scalar subquery.
     """
     q_terms, post = _postings(docs, queries, doc_key, text_col, query_key, terms_col)
-    return (q_terms.join(post, "token")
-            .groupBy(query_key, doc_key).agg(F.sum("_c").alias("score")))
+    scored = (q_terms.join(post, "token") if only is None
+              else only.join(q_terms, query_key).join(post, [doc_key, "token"]))
+    return scored.groupBy(query_key, doc_key).agg(F.sum("_c").alias("score"))
 
 
 def relevance_page(scores: DataFrame, query_key: str, doc_key: str, page: int,

@@ -24,12 +24,13 @@ def place_sentence(place: Column) -> Column:
 
 
 def narrative(local_ts: Column, magnitude: Column, depth: Column, place: Column,
-              lat: Column, lon: Column) -> Column:
+              lat: Column, lon: Column, clock_name: Column | None = None) -> Column:
+    clock_name = F.lit("local time") if clock_name is None else clock_name
     return F.concat(
         F.lit("On "), TF.narrative_date(local_ts), F.lit(", at approximately "),
-        TF.clock(local_ts), F.lit(" local time, a magnitude "),
-        magnitude.cast("decimal(4,1)").cast("string"),
-        F.lit(" earthquake, with a depth of "), depth.cast("decimal(8,2)").cast("string"),
+        TF.clock(local_ts), F.lit(" "), clock_name, F.lit(", a magnitude "),
+        magnitude.try_cast("decimal(4,1)").cast("string"),
+        F.lit(" earthquake, with a depth of "), depth.try_cast("decimal(8,2)").cast("string"),
         F.lit(" km, struck "), place_sentence(place), F.lit(". "),
         F.lit("The coordinate of epicenter of the earthquake was "),
         G.coordinate_text(lat, lon), F.lit("."))
@@ -40,10 +41,12 @@ def event_narratives(events: DataFrame, key: str = "event_id", zone_col: str = "
                      depth: str = "depth", place: str = "place", lat: str = "latitude",
                      lon: str = "longitude", default_zone: str = "UTC",
                      carry: list[str] | None = None) -> DataFrame:
-    """(key, local_time, narrative, carry...) for every event."""
+    """(key, local_time, narrative, carry...) for every event; an event
+    without a zone is told in UTC and says so."""
     zone = F.coalesce(F.col(zone_col), F.lit(default_zone))
     local = TF.local_time(F.col(time_col), zone)
     return events.select(
         key, *(carry or []), local.alias("local_time"),
         narrative(local, F.col(magnitude), F.col(depth), F.col(place), F.col(lat),
-                  F.col(lon)).alias("narrative"))
+                  F.col(lon), F.when(F.col(zone_col).isNull(), F.lit(default_zone)).otherwise(
+                      F.lit("local time"))).alias("narrative"))

@@ -15,7 +15,8 @@ def report_title(country, rupture_date):
 
 def assemble_reports(events: DataFrame, key: str, narratives: DataFrame | None = None,
                      sections: DataFrame | None = None, impact: DataFrame | None = None,
-                     country_col: str = "country", time_col: str = "rupture_time") -> DataFrame:
+                     country_col: str = "country", time_col: str = "rupture_time",
+                     region_col: str | None = None, picture_cols: list[str] | None = None) -> DataFrame:
     """Left-join the per-event parts on ``key`` (each part has one row per key).
 
     When ``events`` already carries a ``narrative`` column (computed in the
@@ -23,11 +24,14 @@ def assemble_reports(events: DataFrame, key: str, narratives: DataFrame | None =
 
     ``sections`` is long (key, section, section_text) and is pivoted here on
     the fixed section list; the Resilience section gets the loss text of the
-    impact part appended after a blank line.
+    impact part appended after a blank line. With ``region_col`` (a column of
+    ``events``) the hazard text is the narrative, a blank line and the region
+    text; ``picture_cols`` are carried along.
     """
     has_narr = narratives is not None or "narrative" in events.columns
     out = events.select(key, report_title(F.col(country_col), F.col(time_col)).alias("title"),
-                        *(["narrative"] if narratives is None and has_narr else []))
+                        *(["narrative"] if narratives is None and has_narr else []),
+                        *([region_col] if region_col else []), *(picture_cols or []))
     if narratives is not None:
         out = out.join(narratives.select(key, "narrative"), key, "left")
     if impact is not None:
@@ -40,6 +44,10 @@ def assemble_reports(events: DataFrame, key: str, narratives: DataFrame | None =
     cols = [key, "title"]
     if has_narr:
         cols.append("narrative")
+    if has_narr and region_col:
+        out = out.withColumn("hazard_text", F.concat_ws("\n\n", "narrative", F.nullif(F.col(region_col), F.lit(""))))
+        cols.append("hazard_text")
+    cols += picture_cols or []
     loss = F.coalesce(F.col("loss_text"), F.lit("")) if impact is not None else F.lit("")
     if sections is not None:
         for s, _ in SECTION_LABELS:

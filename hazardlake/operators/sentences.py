@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions import html as H
 from hazardlake.functions import text as T
-from hazardlake.operators.common import spread
+from hazardlake.operators.common import checkpoint, spread
 
 
 def page_paragraphs(pages: DataFrame, key: str = "page_id", html_col: str = "html",
@@ -75,7 +75,8 @@ def boilerplate_filter(sentences: DataFrame, page_col: str = "page_id",
     keep a hot boilerplate line cheap: each map task ships one row per
     distinct (norm, page) it saw. The anti-join is skew-split by AQE.
     """
-    with_norm = sentences.withColumn("_norm", normalized(F.col(text_col)))
+    # Extracted once: the written table is read by both sides of the join.
+    with_norm = checkpoint(sentences.withColumn("_norm", normalized(F.col(text_col))))
     common = (with_norm.select("_norm", page_col).distinct()
               .groupBy("_norm").agg(F.count("*").alias("_pages"))
               .where(F.col("_pages") >= min_pages).select("_norm"))
@@ -122,7 +123,7 @@ def url_candidates(line: Column, next_line: Column) -> Column:
     dots. (The intended rewrite; the source discarded its replace results.)
     """
     idx = F.instr(line, "http")
-    tail = F.substring(line, idx, 1 << 30)
+    tail = F.substr(line, idx)
     joined = F.concat(tail, F.coalesce(next_line, F.lit("")))
     return F.array(tail, joined,
                    F.replace(tail, F.lit(" "), F.lit("")), F.replace(joined, F.lit(" "), F.lit("")),
@@ -130,21 +131,30 @@ def url_candidates(line: Column, next_line: Column) -> Column:
 
 
 def url_line_stitch(docs: DataFrame, known_urls: DataFrame, key: str = "doc_id",
-                    text_col: str = "text", url_col: str = "url") -> DataFrame:
+                    text_col: str = "text", url_col: str = "url", marker: str | None = None) -> DataFrame:
     """Recover URLs broken across lines: (key, line_no, cand_no, url).
 
     Each line holding ``http`` yields six candidates built with its next
     line (array ``lead``); candidates are semi-joined against the known URL
     table (an equi-join, hash-partitioned on the URL) and the first
     candidate that exists wins per line (``min_by`` with partial
-    aggregation).
+    aggregation). With ``marker`` only the lines from the first line that
+    holds it count; a text without it has none.
     """
     lines = F.split(F.col(text_col), "\n")
-    cands = (docs.select(key, lines.alias("_lines"))
-             .select(key, "_lines", F.posexplode("_lines").alias("line_no", "line"))
-             .where(F.instr("line", "http") > 0)
-             .select(key, "line_no", F.posexplode(url_candidates(
-                 F.col("line"), F.try_element_at("_lines", F.col("line_no") + 2))).alias("cand_no", url_col)))
+    start = F.lit(1)
+    if marker is not None:
+        start = F.array_position(F.transform(lines, lambda l: F.contains(l, F.lit(marker))), True).cast("int")
+    # (line, next line) pairs are built and filtered inside the row.
+    pairs = F.zip_with("_lines", F.slice("_lines", F.lit(2), F.size("_lines")),
+                       lambda x, y: F.struct(x.alias("line"), y.alias("next")))
+    pairs = F.filter(F.transform(pairs, lambda p, i: F.struct(
+        i.alias("line_no"), p["line"].alias("line"), p["next"].alias("next"))), lambda p: F.contains(p["line"], F.lit("http"))
+        & (p["line_no"] >= F.col("_start") - 1))
+    cands = (docs.select(key, lines.alias("_lines"), start.alias("_start")).where("_start > 0")
+             .select(key, F.inline(pairs))
+             .select(key, "line_no", F.posexplode(url_candidates(F.col("line"), F.col("next")))
+                     .alias("cand_no", url_col)))
     known = known_urls.select(url_col).distinct()
     hits = cands.join(known, url_col, "left_semi")
     return (hits.groupBy(key, "line_no")

@@ -3,73 +3,68 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from hazardlake.operators.dedupe import keep_first, upsert_latest
+from hazardlake.operators.common import checkpoint
+from hazardlake.operators.dedupe import merge_log, upsert_latest
+
+
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
                       mode: str = "append", fmt: str = "parquet") -> None:
-    """One folder per partition value (the per-event files of the source)."""
-    df.write.mode(mode).format(fmt).partitionBy(*partition_by).save(path)
+    """One folder per partition value (the per-event files of the source).
+
+    Rows are rebalanced by the partition columns first, so a folder gets a
+    file per advisory partition size of its data, not one per task; Spark splits large values over tasks.
+    """
+    (df.hint("rebalance", *partition_by).write.mode(mode).format(fmt)
+     .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(*partition_by).save(path))
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
                          fmt: str = "parquet") -> None:
     """Re-runs replace only the partitions they produce (idempotent)."""
-    (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*partition_by).save(path))
 
 
-def write_text_lines(df: DataFrame, path: str, text_col: str, partition_by: list[str]) -> None:
-    """Plain-text files, one line per row, one folder per partition."""
-    df.select(*partition_by, text_col).write.mode("overwrite").partitionBy(*partition_by).text(path)
-
-
-# --- versioned tables: a new folder per write, readers take the newest -------
-# Parquet cannot be rewritten in place while it is being read, so a merge
-# writes ``v<n>`` next to the previous version and the previous one stays
-# readable until the new one is complete (its _SUCCESS marker exists).
-
-def latest_version(spark: SparkSession, table_path: str, before_epoch: int) -> str | None:
-    """Newest complete ``v<epoch>`` folder of a versioned table, if any."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    best = None
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if not (st.isDirectory() and name.startswith("v") and name[1:].isdigit()):
-            continue
-        epoch = int(name[1:])
-        done = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-        if done and epoch < before_epoch and (best is None or epoch > best[0]):
-            best = (epoch, st.getPath().toString())
-    return best[1] if best else None
-
-
-def read_versioned(spark: SparkSession, table_path: str) -> DataFrame:
-    """The newest complete version written by ``upsert_batches``."""
-    latest = latest_version(spark, table_path, 1 << 62)
-    if latest is None:
-        raise FileNotFoundError(table_path)
-    return spark.read.parquet(latest)
-
-
-def merge_into_log(spark: SparkSession, base_path: str, batch: DataFrame, keys: list[str],
-                   seq: str, latest: bool = False) -> str:
-    """Merge ``batch`` into the versioned log at ``base_path`` and write the
-    next version: keep the first row per key (``latest=False``, the log's
-    rule) or the latest revision. Returns the new version's path."""
-    prev = latest_version(spark, base_path, 1 << 62)
-    nxt = 0 if prev is None else int(prev.rstrip("/").rsplit("/v", 1)[1]) + 1
-    if prev is None:
-        merged = keep_first(batch, keys, seq) if not latest else upsert_latest(batch.limit(0), batch, keys, seq)
-    else:
-        stored = spark.read.parquet(prev)
-        merged = (upsert_latest(stored, batch, keys, seq) if latest
-                  else keep_first(stored.unionByName(batch), keys, seq))
-    target = f"{base_path.rstrip('/')}/v{nxt:08d}"
-    merged.write.mode("overwrite").parquet(target)
-    return target
+def write_text_lines(df: DataFrame, path: str, text_col: str, partition_by: list[str],
+                     order: list[str] | None = None) -> None:
+    """Plain-text files, one line per row, one folder per partition.
+
+    A re-run replaces only the folders it writes. ``order`` sorts the lines:
+    rows are range-partitioned by folder and order, so the files of a folder,
+    by name, hold its lines in order.
+    """
+    keys = [*partition_by, *(order or [])]
+    (df.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*partition_by, text_col)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).text(path))
+
+
+def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], seq: str,
+                     partition_by: str, latest: bool = False, schema: T.StructType | None = None) -> None:
+    """Merge ``batch`` into the table at ``path`` and rewrite only the partitions it touches.
+
+    Keeps the first row per key (the log's rule) or with ``latest`` the latest
+    revision. ``partition_by`` must be a function of the key, so that all
+    revisions of a key share a partition. New files are written beside the
+    old ones and swapped per partition at commit; merging one batch twice
+    changes nothing.
+    """
+    batch = batch.select(*[c for c in batch.columns if c != partition_by], partition_by)
+    stored = batch.limit(0)
+    if path_exists(spark, path):
+        stored = spark.read.schema(schema or batch.schema).option("basePath", path).parquet(path)
+        touched = batch.select(partition_by).distinct()
+        # Written first: the plan may not read files that the commit replaces.
+        stored = checkpoint(stored.join(touched, partition_by, "left_semi").select(*batch.columns))
+    merged = (upsert_latest if latest else merge_log)(stored, batch, keys, seq)
+    overwrite_partitions(merged, path, [partition_by])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -17,69 +17,26 @@ themselves never move after the first layout, and hot tokens are salted.
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
 
 from hazardlake.functions import text as T
 from hazardlake.functions.lookups import SECTION_LABELS
 from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
                                          rank_within_groups, spread)
 
+#: Iterations between two checkpoints of the per-sentence state.
+CUT_EVERY = 5
 
-def _incidences(sentences: DataFrame, keys: list[str], id_col: str, text_col: str) -> DataFrame:
-    """(keys, id, _a, _t); a sentence without tokens keeps one row with a
-    null token (it is a node without edges: score 1-d)."""
-    toks = F.array_distinct(T.tokens(F.col(text_col)))
-    base = spread(sentences).select(*keys, id_col, toks.alias("_toks"))
-    n = F.size("_toks")
-    a = F.when(n > 0, F.lit(1.0) / F.sqrt(n.cast("double"))).otherwise(F.lit(0.0))
-    return base.select(*keys, id_col, a.alias("_a"), F.explode_outer("_toks").alias("_t"))
-
-
-# Groups with at most this many (sentence, token) incidences are ranked
-# inside one task (numpy); larger groups run the distributed iteration.
-LOCAL_MAX_INCIDENCES = 1_000_000
-
-
-def _local_rank(keys: list[str], id_col: str, damping: float, iterations: int,
-                ratio: float | None = None, digits: int = 9):
-    """Per-group numpy version of the same factorised iteration; with
-    ``ratio`` it also keeps only the group's top ``ceil(ratio * n)``."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sid, s_idx = np.unique(pdf[id_col].to_numpy(), return_inverse=True)
-        a = np.zeros(len(sid))
-        a[s_idx] = pdf["_a"].to_numpy()
-        has = pdf["_t"].notna().to_numpy()
-        si = s_idx[has]
-        _, ti = np.unique(pdf["_t"].to_numpy()[has].astype(str), return_inverse=True)
-        s_t = np.bincount(ti, weights=a[si])
-        w = a * np.bincount(si, weights=s_t[ti], minlength=len(sid)) - 1.0
-        r = np.ones(len(sid))
-        for _ in range(iterations):
-            x = np.where(w > 1e-12, r / np.where(w > 1e-12, w, 1.0), 0.0)
-            u = np.bincount(ti, weights=(a * x)[si])
-            su = np.bincount(si, weights=u[ti], minlength=len(sid))
-            r = (1.0 - damping) + damping * np.maximum(0.0, a * su - x)
-        keep = np.arange(len(sid))
-        if ratio is not None:
-            n = len(sid)
-            k = n if n <= 1 else int(math.ceil(n * ratio))
-            keep = np.lexsort((sid, -np.round(r, digits)))[:k]
-        out = pd.DataFrame({id_col: sid[keep], "score": r[keep]})
-        for k_ in keys:
-            out.insert(0, k_, pdf[k_].iloc[0])
-        return out[keys + [id_col, "score"]]
-    return run
-
-
-def _distributed_rank(inc: DataFrame, keys: list[str], id_col: str, damping: float,
-                      iterations: int, salt_buckets: int | None) -> DataFrame:
-    """The iteration as DataFrame jobs, for groups of any size.
+
+def _group(keys: list[str]):
+    """One non-null text per group; null keys are groups like any other."""
+    return F.to_json(F.struct(*keys))
+
+
+def _scores(nodes: DataFrame, text_col: str, damping: float, iterations: int,
+            salt_buckets: int | None) -> DataFrame:
+    """(_id, score) for nodes (_id, _g, text).
 
     The (sentence, token) incidences are laid out once, in two bucketed
     copies -- by sentence and by (token, salt) -- and never move again. Each
@@ -88,125 +45,104 @@ def _distributed_rank(inc: DataFrame, keys: list[str], id_col: str, damping: flo
     ~1/(4P) of all incidences are salted over ``salt_buckets`` buckets so no
     task streams a hot token's incidences alone; their per-token sum is
     replicated per salt. The per-sentence state is checkpointed every
-    iteration (lineage cut).
+    ``CUT_EVERY`` iterations. The path is the same for groups of any size.
     """
-    spark = inc.sparkSession
+    spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = salt_buckets or parts
-    sk, gk = keys + [id_col], keys + ["_t"]
-    total = inc.count()
-    hot = max(1, total // (parts * 4))
-    tok = checkpoint(inc.groupBy(*gk).agg(F.sum("_a").alias("_s"), F.count("*").alias("_n"))
-                     .select(*gk, "_s", F.when(F.col("_n") > hot, F.lit(salts)).otherwise(F.lit(1)).alias("_ns")))
-    salted = (inc.join(tok, gk)
-              .withColumn("_salt", F.pmod(F.xxhash64(*sk), F.col("_ns")).cast("int")))
-    cols = list(dict.fromkeys(sk + gk))
-    by_sent, t1 = bucketed_copy(salted.select(*cols, "_a"), sk, parts, "inc_by_sentence")
-    by_tok, t2 = bucketed_copy(salted.select(*cols, "_salt"), gk + ["_salt"], parts, "inc_by_token")
-    # W_i = a_i * sum_{t in i} S_t - 1, with S_t = sum_{k has t} a_k.
-    node = checkpoint(salted.groupBy(*sk).agg(F.first("_a").alias("_a"), F.sum("_s").alias("_ss"))
-                      .select(*sk, "_a", (F.col("_a") * F.col("_ss") - 1.0).alias("_w"),
-                              F.lit(1.0).alias("_r")))
-    salt_of = tok.select(*gk, "_ns")
-    for _ in range(iterations):
-        x = F.when(F.col("_w") > 1e-12, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
-        nx = node.select(*sk, "_a", "_w", x.alias("_x"))
-        # sentence -> token: U_t = sum a_i x_i (partial sums leave each task)
-        u = (by_sent.join(nx.select(*sk, (F.col("_a") * F.col("_x")).alias("_y")), sk)
-             .groupBy(*gk).agg(F.sum("_y").alias("_u")))
-        u_rep = (u.join(salt_of, gk)
-                 .select(*gk, "_u", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt")))
-        # token -> sentence: sum_{t in j} U_t
-        su = by_tok.join(u_rep, gk + ["_salt"]).groupBy(*sk).agg(F.sum("_u").alias("_su"))
-        node = checkpoint(
-            nx.join(su, sk, "left")
-            .select(*sk, "_a", "_w",
-                    (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
-                        F.lit(0.0), F.col("_a") * F.coalesce("_su", F.lit(0.0)) - F.col("_x"))
-                     ).alias("_r")))
-    drop_table(spark, t1)
-    drop_table(spark, t2)
-    return node.select(*sk, F.col("_r").alias("score"))
-
-
-def _rank(first: DataFrame, keys: list[str], id_col: str, text_col: str, ratio: float | None,
-          damping: float, iterations: int, salt_buckets: int | None,
-          local_max_incidences: int) -> DataFrame:
-    """Scores (``ratio`` None) or selected sentences, per group.
-
-    Groups are split by a size check, like a broadcast threshold: a group
-    with at most ``local_max_incidences`` incidences (a proven bound) is
-    scored -- and its top ratio picked -- in one task with numpy; every
-    larger group runs the distributed iteration and the distributed rank,
-    which have no size limit. Both compute the same numbers.
-    """
-    sk = keys + [id_col]
-    inc = checkpoint(_incidences(first, keys, id_col, text_col))
-    sizes = inc.groupBy(*keys).agg(F.count("*").alias("_m"))
-    small = sizes.where(F.col("_m") <= local_max_incidences).select(*keys)
-    large = sizes.where(F.col("_m") > local_max_incidences).select(*keys)
-    key_fields = [f for f in inc.schema.fields if f.name in sk]
-    out_schema = T_.StructType(key_fields + [T_.StructField("score", T_.DoubleType())])
-    out = (inc.join(small, keys, "left_semi").groupBy(*keys)
-           .applyInPandas(_local_rank(keys, id_col, damping, iterations, ratio), out_schema))
-    if not large.isEmpty():
-        big_inc = inc.join(large, keys, "left_semi")
-        scored = _distributed_rank(big_inc.where(F.col("_t").isNotNull()), keys, id_col, damping,
-                                   iterations, salt_buckets)
-        nodes = big_inc.select(*sk).distinct()
-        scored = (nodes.join(scored, sk, "left")
-                  .select(*sk, F.coalesce("score", F.lit(1.0 - damping)).alias("score")))
-        out = out.unionByName(top_ratio(scored, keys, id_col, ratio) if ratio is not None else scored)
-    return out
-
-
-def textrank_scores(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
+    toks = F.array_distinct(T.tokens(F.col(text_col)))
+    inc = checkpoint(nodes.select("_id", "_g", toks.alias("_toks"))
+                     .where(F.size("_toks") > 0)
+                     .select("_id", "_g", (F.lit(1.0) / F.sqrt(F.size("_toks").cast("double"))).alias("_a"),
+                             F.explode("_toks").alias("_t")))
+    hot = max(1, inc.count() // (parts * 4))
+    # A number per (group, token), and how many salts it is dealt over.
+    tok = checkpoint(inc.groupBy("_g", "_t").agg(F.sum("_a").alias("_s"), F.count("*").alias("_n"))
+                     .select("_g", "_t", "_s", F.when(F.col("_n") > hot, F.lit(salts)).otherwise(F.lit(1)).alias("_ns"))
+                     .withColumn("_tid", F.monotonically_increasing_id()))
+    numbered = inc.join(tok, ["_g", "_t"]).select("_id", "_a", "_tid", "_s", F.pmod(
+        F.xxhash64("_id"), F.col("_ns")).cast("int").alias("_salt"))
+    by_sent, t1 = bucketed_copy(numbered.select("_id", "_tid", "_a", "_s"), ["_id"], parts, "inc_by_sentence")
+    t2 = None
+    try:
+        by_tok, t2 = bucketed_copy(numbered.select("_id", "_tid", "_salt"), ["_tid", "_salt"], parts, "inc_by_token")
+        # W_i = a_i * sum_{t in i} S_t - 1, with S_t = sum_{k has t} a_k.
+        node = checkpoint(by_sent.groupBy("_id").agg(F.first("_a").alias("_a"), F.sum("_s").alias("_ss"))
+                          .select("_id", "_a", (F.col("_a") * F.col("_ss") - 1.0).alias("_w"), F.lit(1.0).alias("_r")))
+        salt_of = tok.select("_tid", "_ns")
+        for k in range(iterations):
+            x = F.when(F.col("_w") > 1e-12, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
+            nx = node.select("_id", "_a", "_w", x.alias("_x"))
+            # sentence -> token: U_t = sum a_i x_i (partial sums leave each task)
+            u = (by_sent.select("_id", "_tid").join(nx.select("_id", (F.col("_a") * F.col("_x")).alias("_y")), "_id")
+                 .groupBy("_tid").agg(F.sum("_y").alias("_u")))
+            u_rep = (u.join(salt_of, "_tid")
+                     .select("_tid", "_u", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt")))
+            # token -> sentence: sum_{t in j} U_t
+            su = by_tok.join(u_rep, ["_tid", "_salt"]).groupBy("_id").agg(F.sum("_u").alias("_su"))
+            node = (nx.join(su, "_id", "left")
+                    .select("_id", "_a", "_w", (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
+                        F.lit(0.0), F.col("_a") * F.coalesce("_su", F.lit(0.0)) - F.col("_x"))).alias("_r")))
+            if k % CUT_EVERY == CUT_EVERY - 1 or k == iterations - 1:
+                node = checkpoint(node)
+    finally:
+        drop_table(spark, t1)
+        if t2:
+            drop_table(spark, t2)
+    return (nodes.select("_id").join(node, "_id", "left")
+            .select("_id", F.coalesce("_r", F.lit(1.0 - damping)).alias("score")))
+
+
+def _nodes(df: DataFrame, keys: list[str]) -> DataFrame:
+    return checkpoint(df.withColumn("_g", _group(keys)).withColumn("_id", F.monotonically_increasing_id()))
+
+
+def textrank_scores(sentences: DataFrame, keys: list[str], pos: list[str], text_col: str,
                     damping: float = 0.85, iterations: int = 20,
-                    salt_buckets: int | None = None,
-                    local_max_incidences: int = LOCAL_MAX_INCIDENCES) -> DataFrame:
-    """(keys..., id_col, score) for every sentence; isolated ones get 1-d."""
-    return _rank(sentences, keys, id_col, text_col, None, damping, iterations, salt_buckets,
-                 local_max_incidences)
-
-
-def top_ratio(scored: DataFrame, keys: list[str], id_col: str, ratio: float,
-              digits: int = 9) -> DataFrame:
-    """Keep ``ceil(ratio * n)`` sentences per group, best score first, ties
-    by position; groups of 0 or 1 sentences are kept whole."""
-    s = scored.withColumn("_sc", F.round("score", digits))
-    sizes = s.groupBy(*keys).agg(F.count("*").alias("_n"))
-    ranked = rank_within_groups(s, keys, [F.desc("_sc"), F.asc(id_col)], "_rk").join(sizes, keys)
-    k = F.when(F.col("_n") <= 1, F.col("_n")).otherwise(F.ceil(F.col("_n") * F.lit(ratio)))
-    return ranked.where(F.col("_rk") <= k).drop("_sc", "_n", "_rk")
+                    salt_buckets: int | None = None) -> DataFrame:
+    """(keys..., pos..., score) for every sentence; isolated ones get 1-d."""
+    nodes = _nodes(spread(sentences.select(*keys, *pos, text_col)), keys)
+    return (nodes.join(_scores(nodes, text_col, damping, iterations, salt_buckets), "_id")
+            .select(*keys, *pos, "score"))
 
 
-def summarize(sentences: DataFrame, keys: list[str], id_col: str, text_col: str,
+def summarize(sentences: DataFrame, keys: list[str], pos: list[str], text_col: str,
               ratio: float = 0.2, damping: float = 0.85, iterations: int = 20,
-              salt_buckets: int | None = None,
-              local_max_incidences: int = LOCAL_MAX_INCIDENCES) -> DataFrame:
-    """(keys..., id_col, sentence, score): the selected sentences, distinct
-    by text (first position kept), in original order via ``id_col``."""
-    # Materialised once: the incidences and the final join both read it,
-    # and the text extraction behind it is costly.
-    first = checkpoint(sentences.groupBy(*keys, text_col).agg(F.min(id_col).alias(id_col)))
-    chosen = _rank(first, keys, id_col, text_col, ratio, damping, iterations, salt_buckets,
-                   local_max_incidences)
-    return chosen.join(first, keys + [id_col]).select(*keys, id_col, text_col, "score")
-
-
-def label_sections(predictions: DataFrame, keys: list[str], pos_col: str = "sent_pos",
-                   text_col: str = "sentence", label_col: str = "label") -> DataFrame:
+              salt_buckets: int | None = None, digits: int = 9) -> DataFrame:
+    """(keys..., pos..., sentence, score): the selected sentences, distinct
+    by text (first position kept); sort by ``pos`` for the original order.
+
+    ``ceil(ratio * n)`` of a group's n distinct sentences are kept, best score
+    first, ties by position; a group of one sentence is kept whole. The
+    position is any tuple of columns, never packed into one number.
+    """
+    first = (sentences.groupBy(*keys, text_col).agg(F.min(F.struct(*pos)).alias("_p"))
+             .select(*keys, *[F.col("_p")[p].alias(p) for p in pos], text_col))
+    nodes = _nodes(first, keys)
+    scored = (nodes.select("_id", "_g", *pos)
+              .join(_scores(nodes, text_col, damping, iterations, salt_buckets), "_id")
+              .withColumn("_sc", F.round("score", digits)))
+    sizes = nodes.groupBy("_g").agg(F.count("*").alias("_n"))
+    ranked = rank_within_groups(scored, ["_g"], [F.desc("_sc"), *[F.asc(p) for p in pos]], "_rk").join(sizes, "_g")
+    chosen = ranked.where(F.col("_rk") <= F.ceil(F.col("_n") * F.lit(ratio))).select("_id", "score")
+    return nodes.join(chosen, "_id").select(*keys, *pos, text_col, "score")
+
+
+def label_sections(predictions: DataFrame, keys: list[str], pos: list[str],
+                   text_col: str = "sentence", label_col: str = "label", ratio: float = 0.2) -> DataFrame:
     """(keys..., section, n_sentences, section_text) for the report sections.
 
     Labels are trimmed (one stored class name carried a trailing space) and
-    mapped to section titles; ``other`` has no section. The text of a
-    section is its sentences in position order, space-joined -- the caller
-    picks ``keys`` so that a group is bounded (one article, one summary).
+    mapped to section titles; ``other`` has no section. The text of a section
+    is the summary of its sentences: the top ``ratio`` by TextRank within
+    (keys, section), distinct, in position order, space-joined. Only the
+    summary is gathered per section.
     """
     mapping = F.create_map(*[x for s, lab in SECTION_LABELS for x in (F.lit(lab), F.lit(s))])
     labelled = predictions.withColumn("section", F.try_element_at(mapping, F.trim(F.col(label_col))))
-    return (labelled.where(F.col("section").isNotNull())
+    labelled = labelled.where(F.col("section").isNotNull()).select(*keys, "section", *pos, text_col)
+    return (summarize(labelled, [*keys, "section"], pos, text_col, ratio)
             .groupBy(*keys, "section")
             .agg(F.count("*").alias("n_sentences"),
-                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(pos_col, text_col))),
+                 F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*pos, text_col))),
                                           lambda e: e[text_col]), " ").alias("section_text")))

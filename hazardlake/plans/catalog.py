@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardlake import schemas
 from hazardlake.functions import geo as G
 from hazardlake.functions import html as H
 from hazardlake.functions import text as TX
@@ -28,9 +29,11 @@ from hazardlake.operators import report as RP
 from hazardlake.operators import retention as R
 from hazardlake.operators import sentences as S
 from hazardlake.operators import summarize as SM
-from hazardlake.operators.common import broadcast_if_small, spread
+from hazardlake.operators import sinks as SK
+from hazardlake.operators.common import checkpoint, spread
 from hazardlake.plans.tables import load
 from hazardlake.sources import feed as FD
+from hazardlake.sources import landed as LD
 from hazardlake.streaming import ingest as SI
 from hazardlake.streaming import windows as SW
 
@@ -93,11 +96,15 @@ LOG_SPLIT = "2024-01-20"        # stored log: events before this time
 BATCH_START = "2024-01-15"      # incoming batch: events from this time (overlap)
 RETENTION_ASOF = "2001-09-01 00:00:00"
 RETENTION_DAYS = 400
+QUERY_DAYS = 67                 # the feed is asked for the days before the as-of date
 
 
-def _features(spark, sf):
-    """events as nested feed features (properties + geometry)."""
+def _features(spark, sf, since=None):
+    """events as nested feed features (properties + geometry); ``since`` bounds the
+    raw time, so that it reaches the scan."""
     ev = load(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    if since is not None:
+        ev = ev.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     k = F.from_json("props", "k BIGINT")["k"]
     return ev.select(
         "event_id",
@@ -115,9 +122,9 @@ def _features(spark, sf):
                          F.col("value")).alias("coordinates")).alias("geometry"))
 
 
-def _flat(spark, sf):
-    f = _features(spark, sf)
-    return FD.flatten_features(f).withColumn("event_id", FD.event_id_of(F.col("url")).cast("bigint"))
+def _flat(spark, sf, since=None):
+    f = _features(spark, sf, since)
+    return FD.flatten_features(f, seq=F.col("event_id")).withColumn("event_id", FD.event_id_of(F.col("url")).cast("bigint"))
 
 
 FLAT_COLS = ["event_id", "place", "country", "magnitude", "rupture_time", "alert",
@@ -133,19 +140,19 @@ def feature_flatten(spark, sf):
 @query
 def feed_filter(spark, sf):
     """Magnitude, alert level and start-time predicates on the feed."""
-    return FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVEL, FEED_SINCE).select(*FLAT_COLS)
+    return FD.filter_feed(_flat(spark, sf, FEED_SINCE), FEED_MIN_MAG, FEED_LEVEL, FEED_SINCE).select(*FLAT_COLS)
 
 
 @query
 def feed_union_levels(spark, sf):
     """Several alert levels in one scan (= union of per-level scans)."""
-    return FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE).select(*FLAT_COLS)
+    return FD.filter_feed(_flat(spark, sf, FEED_SINCE), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE).select(*FLAT_COLS)
 
 
 @query
 def count_by_level(spark, sf):
     """A1: events per alert level."""
-    f = FD.filter_feed(_flat(spark, sf), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE)
+    f = FD.filter_feed(_flat(spark, sf, FEED_SINCE), FEED_MIN_MAG, FEED_LEVELS, FEED_SINCE)
     return f.groupBy("alert").agg(F.count("*").alias("n"))
 
 
@@ -230,6 +237,7 @@ ZONES = [
     ("Asia/Tokyo", 24.0, 46.0, 122.0, 146.0),
     ("Australia/Melbourne", -39.5, -34.0, 140.0, 150.0),
     ("Pacific/Auckland", -47.5, -34.0, 166.0, 179.0),
+    ("Pacific/Fiji", -21.0, -12.0, 176.0, -178.0),
 ]
 
 
@@ -253,20 +261,8 @@ def derived_lon(key):
     return ((key * 53) % 36001).cast("double") / 100.0 - 180.0
 
 
-_SMALL: dict[tuple, bool] = {}
-
-
-def _dim(spark, sf, label, df):
-    """``broadcast_if_small`` with the size check done once per table and
-    session (the dimension does not change between queries of a run)."""
-    key = (id(spark), sf, label)
-    if key not in _SMALL:
-        _SMALL[key] = broadcast_if_small(df) is not df
-    return F.broadcast(df) if _SMALL[key] else df
-
-
 def _nation(spark, sf):
-    return _dim(spark, sf, "nation", load(spark, sf, "nation", "n_nationkey", "n_name"))
+    return load(spark, sf, "nation", "n_nationkey", "n_name")
 
 
 def _supplier_places(spark, sf):
@@ -313,8 +309,8 @@ def hemisphere_format(spark, sf):
 
 @query
 def tz_range_join(spark, sf):
-    """Point -> smallest zone box holding it."""
-    z = GO.assign_zone(_customer_points(spark, sf), zones_df(spark), "c_custkey")
+    """Point -> smallest zone box holding it, else the 15-degree zone of its longitude."""
+    z = GO.assign_zone(_customer_points(spark, sf), zones_df(spark), "c_custkey", nautical=True)
     return z.select("c_custkey", "tz")
 
 
@@ -326,7 +322,7 @@ def _order_events(spark, sf):
     pts = c.select("c_custkey", "c_name", F.col("n_name").alias("country"),
                    derived_lat(F.col("c_custkey")).alias("latitude"),
                    derived_lon(F.col("c_custkey")).alias("longitude"))
-    pts = _dim(spark, sf, "customer_points", GO.assign_zone(pts, zones_df(spark), "c_custkey"))
+    pts = GO.assign_zone(pts, zones_df(spark), "c_custkey", nautical=True)
     ev = o.join(pts, o.o_custkey == pts.c_custkey)
     return ev.select(
         F.col("o_orderkey").alias("event_id"), F.col("o_orderdate").alias("rupture_time"),
@@ -352,7 +348,8 @@ def event_narrative(spark, sf):
 
 @query
 def url_derive(spark, sf):
-    """Derived page URLs and search strings."""
+    """Derived page URLs, search strings and the feed's query string."""
+    since = F.date_format(R.query_start(RETENTION_ASOF, QUERY_DAYS), "yyyy-MM-dd")
     p = load(spark, sf, "pages", "page_id", "url")
     host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
     return p.select(
@@ -361,7 +358,10 @@ def url_derive(spark, sf):
         F.concat("url", F.lit("/region-info")).alias("region_url"),
         F.concat("url", F.lit("/pager")).alias("pager_url"),
         F.concat(host, F.lit("+earthquake")).alias("post_query"),
-        F.concat(F.lit('+("earthquake" AND "'), host, F.lit('")')).alias("news_query"))
+        TX.phrase_query(host).alias("news_query"),
+        TX.query_string("https://feed.example/query?", {
+            "format": "geojson", "starttime": since, "minmagnitude": FEED_MIN_MAG,
+            "alertlevel": FEED_LEVEL, "page": F.col("page_id")}).alias("feed_query"))
 
 
 # --- documents: lines, sentences, keywords ---------------------------------
@@ -414,12 +414,24 @@ def keyword_filter(spark, sf):
     return M.keyword_filter(d, F.col("title"), TITLE_KEYWORDS)
 
 
+def _illustrated(spark, sf):
+    """Pages with a gallery behind their content: 0 to 3 .png pictures and a .jpg by page_id."""
+    p = load(spark, sf, "pages", "page_id", "url", "html")
+    pics = [F.when(F.col("page_id") % 4 > i, F.concat(
+        F.lit('<img alt="" src="'), F.col("url"), F.lit(f'/map{i}.png">'))).otherwise("") for i in range(3)]
+    return p.withColumn("html", F.concat(
+        F.col("html"), F.lit('<img src="/logo.jpg"><!-- <img src="/old.png"> -->'), *pics))
+
+
 @query
 def link_extract(spark, sf):
-    """First and second link with a suffix per page."""
-    p = load(spark, sf, "pages", "page_id", "html")
+    """First and second link with a suffix, and the first two pictures, per page."""
+    p = _illustrated(spark, sf)
     hits = H.links_with_suffix(F.col("html"), LINK_SUFFIX)
+    pics = H.images_with_suffix(F.col("html"), ".png")
     return p.select("page_id",
+                    F.try_element_at(pics, F.lit(1)).alias("picture_1"),
+                    F.try_element_at(pics, F.lit(2)).alias("picture_2"),
                     F.try_element_at(hits, F.lit(1)).alias("link_1"),
                     F.try_element_at(hits, F.lit(2)).alias("link_2"),
                     F.size(H.links(F.col("html"))).alias("n_links"))
@@ -431,7 +443,7 @@ def _reference_lines(spark, sf):
     p = load(spark, sf, "pages", "page_id", "url")
     n = F.length("url")
     cut = (n / 2).cast("int")
-    head, tail = F.substring("url", 1, cut), F.substring("url", cut + 1, 1 << 20)
+    head, tail = F.substring("url", 1, cut), F.substr("url", cut + 1)
     variant = n % 3
     body = (F.when(variant == 2, F.concat(F.lit("See "), F.col("url"), F.lit("\nAccessed.")))
             .when(variant == 1, F.concat(F.lit("See "), head, F.lit("\n"), tail))
@@ -447,6 +459,15 @@ def url_line_stitch(spark, sf):
     return S.url_line_stitch(_reference_lines(spark, sf), known)
 
 
+@query
+def reference_harvest(spark, sf):
+    """Marker -> stitched URLs -> known pages -> their sentences."""
+    known = load(spark, sf, "pages", "url")
+    found = S.url_line_stitch(_reference_lines(spark, sf), known, marker="References")
+    sents = S.page_sentences(load(spark, sf, "pages", "page_id", "url", "html"), carry=["url"])
+    return found.join(sents, "url").select("doc_id", "line_no", "page_id", "para_pos", "sent_pos", "sentence")
+
+
 # --- events <-> articles, posts, pages --------------------------------------
 
 POSTS_PER_EVENT = 10
@@ -458,8 +479,7 @@ RADIUS_KM = 500.0
 def _order_keys(spark, sf):
     o = load(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     c = load(spark, sf, "customer", "c_custkey", "c_nationkey")
-    c = _dim(spark, sf, "customer_nation", c.join(_nation(spark, sf), c.c_nationkey == F.col("n_nationkey"))
-             .select("c_custkey", "n_name"))
+    c = c.join(_nation(spark, sf), c.c_nationkey == F.col("n_nationkey")).select("c_custkey", "n_name")
     return o.join(c, o.o_custkey == c.c_custkey).select(
         "o_orderkey", TF.day_key(F.col("o_orderdate")).alias("rupture_date"),
         F.col("n_name").alias("country"))
@@ -469,8 +489,7 @@ def _articles(spark, sf):
     li = load(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate",
               "l_extendedprice")
     s = load(spark, sf, "supplier", "s_suppkey", "s_nationkey")
-    s = _dim(spark, sf, "supplier_nation", s.join(_nation(spark, sf), s.s_nationkey == F.col("n_nationkey"))
-             .select("s_suppkey", "n_name"))
+    s = s.join(_nation(spark, sf), s.s_nationkey == F.col("n_nationkey")).select("s_suppkey", "n_name")
     return li.join(s, li.l_suppkey == s.s_suppkey).select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("article_id"),
         TF.day_key(F.col("l_shipdate")).alias("rupture_date"), F.col("n_name").alias("country"),
@@ -486,62 +505,117 @@ def event_article_join(spark, sf):
             .select("o_orderkey", "article_id", "rank"))
 
 
+def _page_articles(spark, sf):
+    """One article per page, on a (date, country) by page_id; every tenth
+    points to an address that is no page."""
+    p = load(spark, sf, "pages", "page_id", "url")
+    n = _nation(spark, sf)
+    day = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("page_id") * 37 % 2400).cast("int"))
+    url = F.when(F.col("page_id") % 10 == 9, F.concat("url", F.lit("/gone"))).otherwise(F.col("url"))
+    a = p.select(F.col("page_id").alias("article_id"), url.alias("url"), day.alias("rupture_date"),
+                 (F.col("page_id") % 25).alias("_nation"), (F.col("page_id") % 97).alias("relevance"))
+    return (a.join(n, F.col("_nation") == F.col("n_nationkey"))
+            .select("article_id", "url", "rupture_date", F.col("n_name").alias("country"), "relevance"))
+
+
 @query
 def article_page_join(spark, sf):
-    """Article list -> page content (left join)."""
-    lab = load(spark, sf, "labels", "doc_id", "quality", "toxic")
-    docs = _docs(spark, sf, "n_chars")
-    return (lab.join(docs, "doc_id", "left")
-            .select("doc_id", "quality", "toxic", "n_chars",
-                    F.col("n_chars").isNotNull().alias("has_page")))
+    """Article list -> page content by URL (left join: some addresses are no page)."""
+    pages = load(spark, sf, "pages", "url", "html").select("url", F.length("html").alias("n_html"))
+    return (_page_articles(spark, sf).join(pages, "url", "left")
+            .select("article_id", "url", "n_html", F.col("n_html").isNotNull().alias("has_page")))
+
+
+def _event_sentences(spark, sf):
+    """Sentences, boilerplate removed, of one page of articles per (date, country)
+    that has an event: (rupture_date, country, article_id, para_pos, sent_pos, sentence)."""
+    keys = ["rupture_date", "country"]
+    top = M.top_n_per_key_articles(_page_articles(spark, sf), keys, [F.desc("relevance"), F.asc("article_id")],
+                                   ARTICLES_PER_PAGE)
+    top = top.join(_order_keys(spark, sf).select(*keys).distinct(), keys, "left_semi")
+    sents = S.page_sentences(load(spark, sf, "pages", "page_id", "url", "html"), carry=["url"])
+    sents = S.boilerplate_filter(sents, "page_id", "sentence", BOILERPLATE_MIN_PAGES)
+    return top.join(sents, "url").select(*keys, "article_id", "para_pos", "sent_pos", "sentence")
+
+
+@query
+def event_page_sentences(spark, sf):
+    """Event -> articles -> pages by URL -> article sentences."""
+    return _event_sentences(spark, sf).withColumn("rupture_date", F.col("rupture_date").cast("string"))
 
 
 def _bench_terms(spark, sf):
+    """Benchmark items as events: all distinct tokens of the whole text are search terms."""
     b = load(spark, sf, "benchmark", "item_id", "text")
-    tk = TX.tokens(F.col("text"))
-    return b.select("item_id", F.array_distinct(F.array(F.element_at(tk, 1), F.element_at(tk, -1))).alias("terms"))
+    return b.select("item_id", F.array_distinct(TX.tokens(F.col("text"))).alias("terms"))
+
+
+POSTS_SINCE = "2024-01-10"
+NEWS_SINCE = "2024-01-05"
+NEWS_LANG = "en"
 
 
 def _posts(spark, sf):
-    c = load(spark, sf, "conversations", "conv_id", "turn", "role", "text")
-    return c.where(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("post_id"), "text")
+    """documents as landed posts: user, location, date, coordinates, content, retweet mark."""
+    d = _docs(spark, sf, "text", "lang", "source")
+    return d.select(F.col("doc_id").alias("post_id"), F.col("source").alias("user"), F.col("lang").alias("location"),
+                    _doc_date().alias("date"),
+                    F.array(derived_lon(F.col("doc_id")), derived_lat(F.col("doc_id"))).alias("coordinates"),
+                    F.col("text").alias("content"), (F.col("doc_id") % 7 == 0).alias("is_retweet"))
+
+
+def _doc_date():
+    return F.timestamp_add("HOUR", F.col("doc_id") % 720, F.lit("2024-01-01").cast("timestamp_ntz"))
 
 
 @query
 def event_post_match(spark, sf):
-    """Posts holding all of an event's terms, counted per event."""
-    m = M.all_terms_match(_bench_terms(spark, sf), _posts(spark, sf), "item_id", "terms",
-                          "post_id", "text")
-    return m.groupBy("item_id").agg(F.count("*").alias("n_posts"))
+    """Posts holding all of an event's terms, counted per event (0 without a hit)."""
+    terms = _bench_terms(spark, sf)
+    m = M.all_terms_match(terms, _posts(spark, sf), "item_id", "terms", "post_id", "content")
+    n = m.groupBy("item_id").agg(F.count("*").alias("n_posts"))
+    return terms.select("item_id").join(n, "item_id", "left").select("item_id", F.coalesce("n_posts", F.lit(0)).alias("n_posts"))
 
 
 @query
 def post_search(spark, sf):
-    """The first 10 matching posts per event."""
-    m = M.all_terms_match(_bench_terms(spark, sf), _posts(spark, sf), "item_id", "terms",
-                          "post_id", "text")
-    return M.first_n_posts(m, "item_id", [F.asc("post_id")], POSTS_PER_EVENT)
+    """Per event the newest 10 original posts since a date holding all terms, five fields."""
+    hits = LD.search_posts(_posts(spark, sf), _bench_terms(spark, sf), "item_id", "terms", POSTS_SINCE, POSTS_PER_EVENT)
+    return hits.select("item_id", "rank", "post_id", "user", "location", "date",
+                       F.element_at("coordinates", 1).alias("longitude"),
+                       F.element_at("coordinates", 2).alias("latitude"), "content")
+
+
+def _phrases(spark, sf):
+    """The first sentence of a benchmark item is its news phrase."""
+    b = load(spark, sf, "benchmark", "item_id", "text")
+    phrase = F.try_element_at(TX.line_sentences(F.col("text")), F.lit(1))
+    return b.select("item_id", phrase.alias("phrase"), F.array_distinct(TX.tokens(phrase)).alias("terms"))
+
+
+def _news(spark, sf):
+    """documents as landed articles."""
+    d = _docs(spark, sf, "text", "lang", "source")
+    return d.select(F.col("doc_id").alias("article_id"), F.struct(F.col("source").alias("name")).alias("source"),
+                    TX.first_line(F.col("text")).alias("title"),
+                    F.concat(F.lit("https://news.example/"), F.col("doc_id").cast("string")).alias("url"),
+                    F.date_format(_doc_date(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+                    F.col("text").alias("content"), F.col("lang").alias("language"))
 
 
 @query
 def news_search(spark, sf):
-    """Language, phrase and title-keyword news filter."""
-    d = _docs(spark, sf, "text", "lang", "source").where(F.col("lang") == "en")
-    phrase = F.lower("text")
-    d = d.where(F.contains(phrase, F.lit("the")) & F.contains(phrase, F.lit("and")))
-    d = d.select("doc_id", F.col("source").alias("source_name"), TX.first_line(F.col("text")).alias("title"))
-    return M.keyword_filter(d, F.col("title"), TITLE_KEYWORDS)
+    """Per event one result page of articles in a language since a date
+    that hold the event's phrase, by tf-idf relevance."""
+    return LD.search_news(_news(spark, sf), _phrases(spark, sf), "item_id", "phrase", "terms", NEWS_LANG,
+                          NEWS_SINCE, RELEVANCE_PAGE, ARTICLES_PER_PAGE)
 
 
 @query
 def relevance_page(spark, sf):
     """K1: one tf-idf-ranked result page per query."""
-    # Plain scoring: on these texts term frequencies are flat, so the
-    # bounded variant (relevance_page_bounded) rarely proves a page early.
-    scores = M.tfidf_scores(_docs(spark, sf, "text"), _bench_terms(spark, sf), "doc_id", "text",
-                            "item_id", "terms")
-    return M.relevance_page(scores, "item_id", "doc_id", RELEVANCE_PAGE, ARTICLES_PER_PAGE)
+    return M.relevance_page_bounded(_docs(spark, sf, "text"), _bench_terms(spark, sf), "doc_id", "text",
+                                    "item_id", "terms", RELEVANCE_PAGE, ARTICLES_PER_PAGE)
 
 
 @query
@@ -616,50 +690,52 @@ def _doc_votes(spark, sf):
 
 @query
 def majority_vote(spark, sf):
-    """Most-voted class of three rule classifiers, joined to labels."""
+    """Most-voted class of three rule classifiers, with the label where there is one."""
     v = CL.majority_vote(_doc_votes(spark, sf), "doc_id")
     lab = load(spark, sf, "labels", "doc_id", "quality")
-    return v.join(lab, "doc_id")
+    return v.join(lab, "doc_id", "left")
 
 
-@query
-def sentence_classify(spark, sf):
-    """Spark ML text classifier trained on labels, applied to all documents."""
-    docs = _docs(spark, sf, "text")
-    lab = load(spark, sf, "labels", "doc_id", "quality")
-    train = spread(docs).join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
-    model = CL.text_classifier("text", "label", num_features=1 << 16, max_iter=10).fit(train)
-    return CL.classify(model, docs, ["doc_id"])
-
-
-def _labelled_doc_sentences(spark, sf):
-    s = _doc_sentences(spark, sf)
-    names = F.array(*[F.lit(n) for n in CLASS_NAMES])
-    return s.withColumn("label", F.element_at(names, (TX.word_count(F.col("sentence")) % 4 + 1).cast("int")))
+def _sentence_model(spark, sf):
+    """Naive Bayes over all labelled documents; class = 2 * quality + toxic."""
+    lab = load(spark, sf, "labels", "doc_id", "quality", "toxic")
+    rows = _docs(spark, sf, "text").join(lab, "doc_id").select(
+        "text", (F.col("quality") * 2 + F.col("toxic")).alias("class"))
+    return CL.fit_naive_bayes(rows, "text", "class")
 
 
 @query
-def label_sections(spark, sf):
-    """Report sections from labelled sentences."""
-    return SM.label_sections(_labelled_doc_sentences(spark, sf), ["doc_id"])
+def sentence_classify(spark, sf):
+    """Four-class Naive Bayes fitted on all labelled documents, applied to every page sentence."""
+    sents = S.page_sentences(load(spark, sf, "pages", "page_id", "html"))
+    keys = ["page_id", "para_pos", "sent_pos"]
+    return CL.classify_sentences(_sentence_model(spark, sf), sents, keys).select(*keys, "pred_idx", "label")
 
 
 SUMMARY_RATIO = 0.2
+_POS = ["article_id", "para_pos", "sent_pos"]
 
 
-def _page_sentence_groups(spark, sf):
-    p = load(spark, sf, "pages", "page_id", "url", "html")
-    p = p.withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1))
-    s = S.page_sentences(p, carry=["lang"])
-    return s.select("lang", (F.col("page_id") * 1_000_000 + F.col("para_pos") * 1000
-                             + F.col("sent_pos")).alias("sent_id"), "sentence")
+def _sections(spark, sf):
+    """Section summaries per (date, country): classified article sentences, top 20 % by TextRank."""
+    keys = ["rupture_date", "country"]
+    sents = CL.classify_sentences(_sentence_model(spark, sf), _event_sentences(spark, sf), [*keys, *_POS])
+    return SM.label_sections(sents, keys, _POS, ratio=SUMMARY_RATIO)
+
+
+@query
+def label_sections(spark, sf):
+    """Report sections per event key from classified, summarized article sentences."""
+    return _sections(spark, sf).withColumn("rupture_date", F.col("rupture_date").cast("string"))
 
 
 @query
 def textrank_summary(spark, sf):
     """Top 20% sentences per language by TextRank."""
-    return SM.summarize(_page_sentence_groups(spark, sf), ["lang"], "sent_id", "sentence",
-                        ratio=SUMMARY_RATIO).withColumn("score", F.round("score", 6))
+    p = load(spark, sf, "pages", "page_id", "url", "html")
+    p = p.withColumn("lang", F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1))
+    return SM.summarize(S.page_sentences(p, carry=["lang"]), ["lang"], ["page_id", "para_pos", "sent_pos"],
+                        "sentence", ratio=SUMMARY_RATIO).withColumn("score", F.round("score", 6))
 
 
 # --- activity over time, streaming, sinks ------------------------------------
@@ -720,35 +796,100 @@ STREAM_WATERMARK = "1 hour"
 
 @query
 def stream_window_counts(spark, sf):
-    """Hourly error counts from a file-stream replay of events: watermarked
-    windows emitted once in append mode by an availableNow run; the final
-    no-data batch emits every window that closes before the last watermark."""
+    """M3: hourly error counts from a file-stream replay of events: watermarked
+    windows in update mode, upserted by window, so the windows inside the
+    watermark are counted too."""
     schema = load(spark, sf, "events").schema
     stream = (SI.read_landed(spark, sf, schema, glob="events.parquet")
               .where(F.col("event_type") == HIT_TYPE).select("ts"))
     agg = SW.windowed_counts(stream, "ts", "1 hour", watermark=STREAM_WATERMARK)
+    agg = agg.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
     out, ckpt = SI.scratch_path(spark, "stream-windows"), SI.scratch_path(spark, "stream-windows-ckpt")
-    SI.run_available_now(agg, out, ckpt)
+    SI.upsert_batches(agg, out, ckpt, ["window_start"], "n", "day", output_mode="update")
     return spark.read.parquet(out).select("window_start", "window_end", "n")
 
 
+@query
+def stream_upsert(spark, sf):
+    """Events replayed as a file stream into a latest-revision table per (user, type, day)."""
+    schema = load(spark, sf, "events").schema
+    stream = (SI.read_landed(spark, sf, schema, glob="events.parquet")
+              .select("event_id", "ts", "user_id", "event_type", "value")
+              .withColumn("day", F.date_format("ts", "yyyy-MM-dd")))
+    out, ckpt = SI.scratch_path(spark, "stream-upsert"), SI.scratch_path(spark, "stream-upsert-ckpt")
+    SI.upsert_batches(stream, out, ckpt, LOG_KEYS, "event_id", "day")
+    back = spark.read.schema(stream.schema).option("basePath", out).parquet(out)
+    return back.select("event_id", "ts", "user_id", "event_type", "value", "day")
+
+
+@query
+def log_merge(spark, sf):
+    """The daily update as one job. A stored log (CSV, times as text) and a
+    feed batch are merged partition by partition into the log, first row per
+    log key; then the retention flag."""
+    log = schemas.LOG
+    flat = _flat(spark, sf).withColumn("rupture_time", F.date_trunc("second", F.col("rupture_time")).cast("timestamp_ntz"))
+    stored = flat.where(F.col("rupture_time") < F.lit(LOG_SPLIT).cast("timestamp_ntz"))
+    text_time = F.date_format("rupture_time", "yyyy/MM/dd HH:mm:ss")
+    csv = SI.scratch_path(spark, "log-csv")
+    stored.select(*[text_time.alias(c) if c == "rupture_time" else F.col(c) for c in log.names]).write.option(
+        "header", True).csv(csv)
+    old = FD.empty_log(spark).unionByName(FD.read_event_log(spark, csv, text_time=True))
+    batch = flat.where(F.col("rupture_time") >= F.date_sub(F.lit(LOG_SPLIT).cast("date"), 5).cast("timestamp_ntz"))
+    path, day = SI.scratch_path(spark, "log"), F.date_format("rupture_time", "yyyy-MM-dd")
+    for rows in (old, batch.select(*log.names)):
+        SK.merge_partitions(spark, path, rows.withColumn("day", day), schemas.LOG_KEYS, "ingest_seq", "day")
+    merged = spark.read.schema(log).parquet(path)
+    flagged = R.retention_flag(merged, LOG_ASOF, LOG_DAYS)
+    return flagged.select("ingest_seq", "place", "country", "magnitude", "rupture_time", "alert", "collect_data")
+
+
+LOG_ASOF, LOG_DAYS = "2024-01-25 00:00:00", 10
+
+
 @query
 def partitioned_sink(spark, sf):
     """Partitioned write (day, type) and read back."""
-    from hazardlake.operators.sinks import write_partitioned
     ev = load(spark, sf, "events", "event_id", "ts", "event_type", "value")
     ev = ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     path = SI.scratch_path(spark, "by-day")
-    write_partitioned(ev.select("event_id", "value", "day", "event_type"), path, ["day", "event_type"])
+    SK.write_partitioned(ev.select("event_id", "value", "day", "event_type"), path, ["day", "event_type"])
     back = spark.read.option("basePath", path).parquet(path)
     return back.select("event_id", F.col("day").cast("string").alias("day"), "event_type", "value")
 
 
+@query
+def text_sink(spark, sf):
+    """One sentence per line, in order, one folder per page group; one group is written twice."""
+    sents = S.page_sentences(load(spark, sf, "pages", "page_id", "html"))
+    rows = sents.withColumn("grp", F.col("page_id") % 8)
+    path = SI.scratch_path(spark, "text-lines")
+    order = ["page_id", "para_pos", "sent_pos"]
+    SK.write_text_lines(rows, path, "sentence", ["grp"], order)
+    SK.write_text_lines(rows.where("grp = 3"), path, "sentence", ["grp"], order)
+    back = spark.read.option("basePath", path).text(path)
+    return back.groupBy(F.col("grp").cast("long").alias("grp"), F.col("value").alias("sentence")).agg(
+        F.count("*").alias("n"))
+
+
 @query
 def report_assemble(spark, sf):
-    """One report row per event."""
-    ev = N.event_narratives(_order_events(spark, sf), key="event_id",
-                            carry=["country", "rupture_time"])
+    """One report row per event: narrative and region text, section summaries
+    of its articles, impact text, picture links."""
+    ev = N.event_narratives(_order_events(spark, sf), key="event_id", carry=["country", "rupture_time"])
+    # The region page of a country: the page whose id is the nation's key.
+    region = S.page_text_concat(_illustrated(spark, sf).where("page_id < 25"))
+    pics = H.images_with_suffix(F.col("html"), ".png")
+    shown = _illustrated(spark, sf).where("page_id < 25").select(
+        "page_id", F.try_element_at(pics, F.lit(1)).alias("picture_1"),
+        F.try_element_at(pics, F.lit(2)).alias("picture_2"))
+    place = (_nation(spark, sf).join(region, F.col("n_nationkey") == F.col("page_id"))
+             .join(shown, "page_id").select(F.col("n_name").alias("country"), F.col("text").alias("region_text"),
+                                            "picture_1", "picture_2"))
+    ev = ev.join(place, "country", "left")
     impact = IM.impact_sentences(_boxes(spark, sf), ["event_id"])
-    secs = SM.label_sections(_labelled_doc_sentences(spark, sf), ["doc_id"]).withColumnRenamed("doc_id", "event_id")
-    return RP.assemble_reports(ev, "event_id", None, secs, impact)
+    of = ev.select("event_id", TF.day_key(F.col("rupture_time")).alias("rupture_date"), "country")
+    secs = of.join(checkpoint(_sections(spark, sf)), ["rupture_date", "country"]).select(
+        "event_id", "section", "section_text")
+    return RP.assemble_reports(ev, "event_id", None, secs, impact, region_col="region_text",
+                               picture_cols=["picture_1", "picture_2"])

@@ -197,10 +197,18 @@ ZONES_SQL = "(VALUES " + ", ".join(
     f"({q(z)}, {a}, {b}, {c}, {d})" for z, a, b, c, d in C.ZONES) + ") AS z(zone, lat_min, lat_max, lon_min, lon_max)"
 
 
+def nautical(lon: str) -> str:
+    h = f"CAST(round({lon} / 15) AS INTEGER)"
+    return (f"CASE WHEN {h} = 0 THEN 'Etc/GMT' WHEN {h} > 0 THEN 'Etc/GMT-' || CAST({h} AS VARCHAR) "
+            f"ELSE 'Etc/GMT+' || CAST(-{h} AS VARCHAR) END")
+
+
 def zone_of(lat: str, lon: str) -> str:
-    return (f"(SELECT zone FROM {ZONES_SQL} WHERE {lat} BETWEEN lat_min AND lat_max "
-            f"AND {lon} BETWEEN lon_min AND lon_max "
-            f"ORDER BY (lat_max - lat_min) * (lon_max - lon_min), zone LIMIT 1)")
+    inside = (f"CASE WHEN lon_min <= lon_max THEN {lon} BETWEEN lon_min AND lon_max "
+              f"ELSE {lon} >= lon_min OR {lon} <= lon_max END")
+    width = "(lon_max - lon_min + CASE WHEN lon_min > lon_max THEN 360.0 ELSE 0.0 END)"
+    return (f"coalesce((SELECT zone FROM {ZONES_SQL} WHERE {lat} BETWEEN lat_min AND lat_max AND {inside} "
+            f"ORDER BY (lat_max - lat_min) * {width}, zone LIMIT 1), {nautical(lon)})")
 
 
 CUST_POINTS = f"""
@@ -246,7 +254,10 @@ HOST = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
 ORACLE["url_derive"] = f"""
   SELECT page_id, url || '/shakemap/intensity' AS intensity_url, url || '/region-info' AS region_url,
          url || '/pager' AS pager_url, {HOST} || '+earthquake' AS post_query,
-         '+("earthquake" AND "' || {HOST} || '")' AS news_query
+         '+("earthquake" AND "' || {HOST} || '")' AS news_query,
+         'https://feed.example/query?format=geojson&starttime='
+         || strftime(CAST(TIMESTAMP '{C.RETENTION_ASOF}' AS DATE) - {C.QUERY_DAYS}, '%Y-%m-%d')
+         || '&minmagnitude={C.FEED_MIN_MAG}&alertlevel={C.FEED_LEVEL}&page=' || CAST(page_id AS VARCHAR) AS feed_query
   FROM pages"""
 
 
@@ -286,10 +297,18 @@ def title_hit(title: str) -> str:
 ORACLE["keyword_filter"] = f"""
   SELECT doc_id, title FROM (SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents)
   WHERE {title_hit('title')}"""
+ILLUSTRATED = """
+  SELECT page_id, url, html || '<img src="/logo.jpg"><!-- <img src="/old.png"> -->' || """ + " || ".join(
+    f"CASE WHEN page_id % 4 > {i} THEN '<img alt=\"\" src=\"' || url || '/map{i}.png\">' ELSE '' END" for i in range(3)) + """
+    AS html FROM pages"""
+PICS = (f"list_filter(regexp_extract_all({rx('html', H.NOISE_RE, ' ')}, {q(H.SRC_RE)}, 1), "
+        f"lambda x: ends_with(x, '.png'))")
 ORACLE["link_extract"] = f"""
-  SELECT page_id, hits[1] AS link_1, hits[2] AS link_2, CAST(len(ls) AS INTEGER) AS n_links FROM (
-    SELECT page_id, ls, list_filter(ls, lambda x: ends_with(x, {q(C.LINK_SUFFIX)})) AS hits FROM (
-      SELECT page_id, regexp_extract_all(html, {q(H.HREF_RE)}, 1) AS ls FROM pages))"""
+  SELECT page_id, pics[1] AS picture_1, pics[2] AS picture_2, hits[1] AS link_1, hits[2] AS link_2,
+         CAST(len(ls) AS INTEGER) AS n_links FROM (
+    SELECT page_id, ls, pics, list_filter(ls, lambda x: ends_with(x, {q(C.LINK_SUFFIX)})) AS hits FROM (
+      SELECT page_id, regexp_extract_all({rx('html', H.NOISE_RE, ' ')}, {q(H.HREF_RE)}, 1) AS ls, {PICS} AS pics
+      FROM ({ILLUSTRATED})))"""
 
 REF_DOCS = """
   SELECT page_id AS doc_id, 'References' || chr(10) || CASE
@@ -308,6 +327,9 @@ ORACLE["url_line_stitch"] = f"""
                        replace(tail, ' ', '.'), replace(joined, ' ', '.')]) AS url FROM t)
   SELECT doc_id, line_no, min(cand_no) AS cand_no, arg_min(url, cand_no) AS url
   FROM c WHERE url IN (SELECT url FROM pages) GROUP BY doc_id, line_no"""
+ORACLE["reference_harvest"] = f"""
+  SELECT f.doc_id, f.line_no, s.page_id, s.para_pos, s.sent_pos, s.sentence
+  FROM ({ORACLE['url_line_stitch']}) f JOIN pages p ON p.url = f.url JOIN ({PAGE_SENTENCES}) s ON s.page_id = p.page_id"""
 
 
 # --- events <-> articles, posts, pages --------------------------------------
@@ -321,40 +343,72 @@ ORACLE["event_article_join"] = f"""
   top AS (SELECT *, row_number() OVER (PARTITION BY rupture_date, country
                                        ORDER BY relevance DESC, article_id) AS rk FROM ar QUALIFY rk <= {C.ARTICLES_PER_PAGE})
   SELECT o_orderkey, article_id, CAST(rk AS INTEGER) AS rank FROM ev JOIN top USING (rupture_date, country)"""
-ORACLE["article_page_join"] = """
-  SELECT l.doc_id, quality, toxic, n_chars, n_chars IS NOT NULL AS has_page
-  FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id"""
+ARTICLES = """
+  SELECT page_id AS article_id, CASE WHEN page_id % 10 = 9 THEN url || '/gone' ELSE url END AS url,
+         DATE '1992-01-01' + CAST(page_id * 37 % 2400 AS INTEGER) AS rupture_date, n_name AS country,
+         page_id % 97 AS relevance
+  FROM pages JOIN nation ON page_id % 25 = n_nationkey"""
+ORACLE["article_page_join"] = f"""
+  SELECT article_id, a.url, CAST(length(html) AS INTEGER) AS n_html, html IS NOT NULL AS has_page
+  FROM ({ARTICLES}) a LEFT JOIN pages p ON a.url = p.url"""
+EVENT_SENTENCES = f"""
+  WITH ev AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rupture_date, n_name AS country
+              FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  top AS (SELECT * FROM ({ARTICLES})
+          QUALIFY row_number() OVER (PARTITION BY rupture_date, country ORDER BY relevance DESC, article_id)
+                  <= {C.ARTICLES_PER_PAGE}),
+  sn AS ({BOILERPLATE})
+  SELECT rupture_date, country, article_id, para_pos, sent_pos, sentence
+  FROM top JOIN ev USING (rupture_date, country) JOIN pages ON pages.url = top.url
+  JOIN sn ON sn.page_id = pages.page_id"""
+ORACLE["event_page_sentences"] = f"""
+  SELECT * REPLACE (strftime(rupture_date, '%Y-%m-%d') AS rupture_date) FROM ({EVENT_SENTENCES})"""
 
 TOKENS = f"regexp_extract_all(lower(text), {q(T.TOKEN_RE)}, 0)"
-BENCH_TERMS = f"""
-  SELECT item_id, list_distinct([tk[1], tk[-1]]) AS terms FROM (SELECT item_id, {TOKENS} AS tk FROM benchmark)"""
-POSTS = f"""
-  SELECT conv_id * 1000 + turn AS post_id, list_distinct({TOKENS}) AS ptoks
-  FROM conversations WHERE role = 'user'"""
+BENCH_TERMS = f"SELECT item_id, list_distinct({TOKENS}) AS terms FROM benchmark"
+DOC_DATE = "TIMESTAMP '2024-01-01' + (doc_id % 720) * INTERVAL 1 HOUR"
+POSTS = f"SELECT doc_id AS post_id, source, lang, {DOC_DATE} AS date, text, list_distinct({TOKENS}) AS ptoks FROM documents"
 MATCHES = f"""
-  SELECT item_id, post_id FROM ({BENCH_TERMS}) bt, ({POSTS}) ps
+  SELECT item_id, ps.* FROM ({BENCH_TERMS}) bt, ({POSTS}) ps
   WHERE len(terms) > 0 AND list_has_all(ptoks, terms)"""
-ORACLE["event_post_match"] = f"SELECT item_id, count(*) AS n_posts FROM ({MATCHES}) GROUP BY item_id"
+ORACLE["event_post_match"] = f"""
+  SELECT item_id, coalesce(n, 0) AS n_posts FROM benchmark
+  LEFT JOIN (SELECT item_id, count(*) AS n FROM ({MATCHES}) GROUP BY item_id) USING (item_id)"""
 ORACLE["post_search"] = f"""
-  SELECT item_id, post_id, CAST(rk AS INTEGER) AS rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY post_id) AS rk FROM ({MATCHES}))
+  SELECT item_id, CAST(rk AS INTEGER) AS rank, post_id, source AS "user", lang AS location, date,
+         {lon_expr('post_id')} AS longitude, {lat_expr('post_id')} AS latitude, text AS content FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY date DESC, post_id) AS rk FROM ({MATCHES})
+    WHERE date >= TIMESTAMP '{C.POSTS_SINCE}' AND post_id % 7 <> 0)
   WHERE rk <= {C.POSTS_PER_EVENT}"""
+RELEVANCE = f"""
+  toks AS (SELECT doc_id, unnest({TOKENS}) AS token FROM d),
+  tf AS (SELECT doc_id, token, count(*) AS tf FROM toks WHERE token IN (SELECT token FROM qt) GROUP BY ALL),
+  dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+  n AS (SELECT count(*) AS n FROM d),
+  w AS (SELECT doc_id, token, tf * ln(n.n / df) AS w FROM tf JOIN dfreq USING (token), n)"""
+PAGE = f"rk > {(C.RELEVANCE_PAGE - 1) * C.ARTICLES_PER_PAGE} AND rk <= {C.RELEVANCE_PAGE * C.ARTICLES_PER_PAGE}"
 ORACLE["news_search"] = f"""
-  SELECT doc_id, source AS source_name, title FROM (
-    SELECT doc_id, source, split_part(text, chr(10), 1) AS title, lower(text) AS lt
-    FROM documents WHERE lang = 'en')
-  WHERE contains(lt, 'the') AND contains(lt, 'and') AND {title_hit('title')}"""
+  WITH b AS (SELECT item_id, {line_sentences('text')}[1] AS phrase FROM benchmark),
+  bt AS (SELECT item_id, phrase, list_distinct(regexp_extract_all(lower(phrase), {q(T.TOKEN_RE)}, 0)) AS terms FROM b),
+  qt AS (SELECT DISTINCT item_id, unnest(terms) AS token FROM bt),
+  d AS (SELECT *, list_distinct({TOKENS}) AS dtoks, strftime({DOC_DATE}, '%Y-%m-%d') AS date FROM documents
+        WHERE lang = {q(C.NEWS_LANG)} AND strftime({DOC_DATE}, '%Y-%m-%d') >= {q(C.NEWS_SINCE)}),
+  hits AS (SELECT item_id, doc_id FROM bt, d WHERE len(terms) > 0 AND list_has_all(dtoks, terms)
+           AND contains(lower(text), lower(phrase))),
+  {RELEVANCE},
+  s AS (SELECT item_id, doc_id, round(sum(w), 6) AS score FROM hits JOIN qt USING (item_id) JOIN w USING (doc_id, token)
+        GROUP BY ALL)
+  SELECT item_id, CAST(rk AS INTEGER) AS rank, score, source AS source_name, split_part(text, chr(10), 1) AS title,
+         'https://news.example/' || CAST(doc_id AS VARCHAR) AS url, date
+  FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rk FROM s) JOIN d USING (doc_id)
+  WHERE {PAGE}"""
 ORACLE["relevance_page"] = f"""
   WITH qt AS (SELECT DISTINCT item_id, unnest(terms) AS token FROM ({BENCH_TERMS})),
-  toks AS (SELECT doc_id, unnest({TOKENS}) AS token FROM documents),
-  tf AS (SELECT doc_id, token, count(*) AS tf FROM toks WHERE token IN (SELECT token FROM qt) GROUP BY ALL),
-  dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
-  n AS (SELECT count(*) AS n FROM documents),
-  w AS (SELECT doc_id, token, tf * ln(n.n / df) AS w FROM tf JOIN dfreq USING (token), n),
+  d AS (SELECT doc_id, text FROM documents), {RELEVANCE},
   s AS (SELECT item_id, doc_id, round(sum(w), 6) AS score FROM qt JOIN w USING (token) GROUP BY ALL)
   SELECT item_id, doc_id, score, CAST(rk AS INTEGER) AS rank FROM (
     SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rk FROM s)
-  WHERE rk > {(C.RELEVANCE_PAGE - 1) * C.ARTICLES_PER_PAGE} AND rk <= {C.RELEVANCE_PAGE * C.ARTICLES_PER_PAGE}"""
+  WHERE {PAGE}"""
 
 
 def haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -376,7 +430,7 @@ ORACLE["geo_radius_join"] = f"""
 from hazardlake.functions import impact as I  # noqa: E402
 from hazardlake.functions.lookups import (  # noqa: E402
     CLASS_NAMES, FATALITY_PREFIX, FATALITY_RANGES, IMPACT_X_THRESHOLDS, LOSS_PREFIX,
-    LOSS_RANGES, PROBABILITY_PHRASE)
+    LOSS_RANGES, PROBABILITY_PHRASE, SECTION_LABELS)
 
 BOXES = """
   SELECT l_orderkey AS event_id, CASE WHEN l_linestatus = 'O' THEN 'fatality' ELSE 'loss' END AS chart,
@@ -439,16 +493,83 @@ ORACLE["majority_vote"] = f"""
   c AS (SELECT doc_id, label, count(*) AS votes FROM v GROUP BY ALL),
   best AS (SELECT doc_id, label, votes FROM c
            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY votes DESC, list_position({NAMES}, label)) = 1)
-  SELECT best.doc_id, label, votes, quality FROM best JOIN labels USING (doc_id)"""
-
-SECTION_CASE = "CASE trim(label) " + " ".join(
-    f"WHEN {q(lab)} THEN {q(s)}" for s, lab in __import__('hazardlake.functions.lookups', fromlist=['x']).SECTION_LABELS) + " END"
+  SELECT best.doc_id, label, votes, quality FROM best LEFT JOIN labels USING (doc_id)"""
+
+SECTION_CASE = "CASE trim(label) " + " ".join(f"WHEN {q(lab)} THEN {q(sec)}" for sec, lab in SECTION_LABELS) + " END"
+
+
+def classified(sents: str, keys: str) -> str:
+    """Rows of ``sents`` with pred_idx and label: multinomial Naive Bayes over all labelled documents."""
+    n = len(CLASS_NAMES)
+    count = ", ".join(f"count(*) FILTER (WHERE c = {i}) AS c{i}" for i in range(n))
+    total = ", ".join(f"sum(c{i}) AS t{i}" for i in range(n))
+    each = ", ".join(f"sum(ln(coalesce(c{i}, 0) + 1.0)) AS s{i}" for i in range(n))
+    score = ", ".join(f"CASE WHEN d{i} > 0 THEN round(ln(d{i} / d) + coalesce(s{i}, 0.0) - coalesce(n, 0) * "
+                      f"ln(CAST(t{i} + v AS DOUBLE)), 6) ELSE CAST('-inf' AS DOUBLE) END" for i in range(n))
+    return f"""
+      WITH sn AS MATERIALIZED ({sents}),
+      lab AS (SELECT quality * 2 + toxic AS c, text FROM labels JOIN documents USING (doc_id)),
+      cnt AS MATERIALIZED (SELECT token, {count} FROM (SELECT c, unnest({TOKENS}) AS token FROM lab) GROUP BY token),
+      tot AS (SELECT count(*) AS v, {total} FROM cnt),
+      dc AS (SELECT CAST(count(*) AS DOUBLE) AS d, {", ".join(f"count(*) FILTER (WHERE c = {i}) AS d{i}" for i in range(n))} FROM lab),
+      sc AS (SELECT {keys}, count(*) AS n, {each} FROM (
+               SELECT {keys}, unnest(regexp_extract_all(lower(sentence), {q(T.TOKEN_RE)}, 0)) AS token FROM sn)
+             LEFT JOIN cnt USING (token) GROUP BY {keys})
+      SELECT sn.*, CAST(list_position(l, list_max(l)) - 1 AS INTEGER) AS pred_idx, {NAMES}[list_position(l, list_max(l))] AS label
+      FROM (SELECT {keys}, [{score}] AS l FROM sn LEFT JOIN sc USING ({keys}), tot, dc) JOIN sn USING ({keys})"""
+
+
+KEYS = "page_id, para_pos, sent_pos"
+ORACLE["sentence_classify"] = f"SELECT {KEYS}, pred_idx, label FROM ({classified(PAGE_SENTENCES, KEYS)})"
+
+
+def textrank(sents: str, keys: str, pos: str, ratio: float, iterations: int = 20, damping: float = 0.85) -> str:
+    """(keys, pos, sentence, score) of the top ratio of distinct sentences per group; unrolled iterations."""
+    first = f"""
+      SELECT row_number() OVER () AS nid, * FROM (
+        SELECT * FROM ({sents}) QUALIFY row_number() OVER (PARTITION BY {keys}, sentence ORDER BY {pos}) = 1)"""
+    toks = f"list_distinct(regexp_extract_all(lower(sentence), {q(T.TOKEN_RE)}, 0))"
+    ctes = [
+        f"s AS MATERIALIZED ({first})",
+        f"inc AS MATERIALIZED (SELECT {keys}, nid, 1.0 / sqrt(len(tk)) AS a, unnest(tk) AS t "
+        f"FROM (SELECT {keys}, nid, {toks} AS tk FROM s) WHERE len(tk) > 0)",
+        f"st AS MATERIALIZED (SELECT {keys}, t, sum(a) AS sa, row_number() OVER () AS tid FROM inc GROUP BY {keys}, t)",
+        f"ti AS MATERIALIZED (SELECT nid, tid, a, sa FROM inc JOIN st USING ({keys}, t))",
+        "r0 AS MATERIALIZED (SELECT nid, first(a) AS a, first(a) * sum(sa) - 1.0 AS w, 1.0 AS r FROM ti GROUP BY nid)",
+    ]
+    for k in range(iterations):
+        ctes += [
+            f"x{k} AS MATERIALIZED (SELECT nid, a, w, CASE WHEN w > 1e-12 THEN r / w ELSE 0.0 END AS x FROM r{k})",
+            f"u{k} AS MATERIALIZED (SELECT tid, sum(x{k}.a * x{k}.x) AS u FROM ti JOIN x{k} USING (nid) GROUP BY tid)",
+            f"su{k} AS MATERIALIZED (SELECT nid, sum(u) AS su FROM ti JOIN u{k} USING (tid) GROUP BY nid)",
+            f"r{k + 1} AS MATERIALIZED (SELECT nid, a, w, {1 - damping} + {damping} * "
+            f"greatest(0.0, a * coalesce(su, 0.0) - x) AS r FROM x{k} LEFT JOIN su{k} USING (nid))",
+        ]
+    return "WITH " + ",\n".join(ctes) + f""",
+      scored AS (SELECT s.*, coalesce(r, {1 - damping}) AS score, count(*) OVER (PARTITION BY {keys}) AS n
+                 FROM s LEFT JOIN r{iterations} USING (nid))
+      SELECT {keys}, {pos}, sentence, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY round(score, 9) DESC, {pos}) AS rk FROM scored)
+      WHERE rk <= ceil(n * {ratio})"""
+
+
+LANG_SENTENCES = f"""
+  SELECT regexp_extract(p.url, '^https?://[^/]+/([a-z]{{2}})/', 1) AS lang, s.*
+  FROM ({PAGE_SENTENCES}) s JOIN pages p ON p.page_id = s.page_id"""
+ORACLE["textrank_summary"] = f"""
+  SELECT lang, {KEYS}, sentence, round(score, 6) AS score
+  FROM ({textrank(LANG_SENTENCES, 'lang', KEYS, C.SUMMARY_RATIO)})"""
+
+EVENT_KEYS, EVENT_POS = "rupture_date, country", "article_id, para_pos, sent_pos"
+LABELLED_SENTENCES = f"""
+  SELECT * FROM (SELECT *, {SECTION_CASE} AS section
+                 FROM ({classified(EVENT_SENTENCES, EVENT_KEYS + ', ' + EVENT_POS)}))
+  WHERE section IS NOT NULL"""
 SECTIONS = f"""
-  SELECT doc_id, section, count(*) AS n_sentences, string_agg(sentence, ' ' ORDER BY sent_pos) AS section_text
-  FROM (SELECT *, {SECTION_CASE} AS section FROM (
-          SELECT *, {NAMES}[len(string_split(sentence, ' ')) % 4 + 1] AS label FROM ({DOC_SENTENCES})))
-  WHERE section IS NOT NULL GROUP BY doc_id, section"""
-ORACLE["label_sections"] = SECTIONS
+  SELECT {EVENT_KEYS}, section, count(*) AS n_sentences, string_agg(sentence, ' ' ORDER BY {EVENT_POS}) AS section_text
+  FROM ({textrank(LABELLED_SENTENCES, EVENT_KEYS + ', section', EVENT_POS, C.SUMMARY_RATIO)})
+  GROUP BY {EVENT_KEYS}, section"""
+ORACLE["label_sections"] = f"SELECT * REPLACE (strftime(rupture_date, '%Y-%m-%d') AS rupture_date) FROM ({SECTIONS})"
 
 
 # --- activity over time, streaming, sinks ------------------------------------
@@ -464,7 +585,7 @@ ORACLE["sliding_counts"] = f"""
   WHERE ws <= ts AND ts < ws + INTERVAL 1 HOUR GROUP BY ws"""
 ORACLE["session_bursts"] = f"""
   WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL
-                                       OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
+                                       OR ts - lag(ts) OVER w > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh
              FROM ({HITS}) WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
   s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
   SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n
@@ -472,8 +593,9 @@ ORACLE["session_bursts"] = f"""
 ORACLE["resilience_curve"] = f"""
   WITH hh AS (SELECT event_type, CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '{C.RUPTURE}')) / 3600000000.0) AS INTEGER) AS h
               FROM events),
-  spine AS (SELECT event_type, CAST(unnest(range(-72, 240)) AS INTEGER) AS h FROM (SELECT DISTINCT event_type FROM events)),
-  cnt AS (SELECT event_type, h, count(*) AS y FROM hh WHERE h >= -72 AND h < 240 GROUP BY ALL),
+  spine AS (SELECT event_type, CAST(unnest(range(-72, last + 7)) AS INTEGER) AS h
+            FROM (SELECT event_type, greatest(max(h), 0) AS last FROM hh GROUP BY event_type)),
+  cnt AS (SELECT event_type, h, count(*) AS y FROM hh WHERE h >= -72 GROUP BY ALL),
   curve AS (SELECT s.event_type, s.h, CAST(coalesce(y, 0) AS DOUBLE) AS y FROM spine s LEFT JOIN cnt USING (event_type, h)),
   base AS (SELECT event_type, avg(y) AS m, stddev_pop(y) AS sd FROM curve WHERE h < 0 GROUP BY event_type),
   c AS (SELECT curve.*, m, sd, avg(y) OVER (PARTITION BY event_type ORDER BY h ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS trail
@@ -484,63 +606,34 @@ ORACLE["resilience_curve"] = f"""
   FROM base LEFT JOIN t0 USING (event_type) LEFT JOIN t1 USING (event_type)"""
 ORACLE["stream_ingest_dedupe"] = """
   SELECT DISTINCT user_id, event_type, date_trunc('minute', ts) AS minute FROM events"""
-ORACLE["stream_window_counts"] = f"""
-  SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, count(*) AS n
-  FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM ({HITS})) GROUP BY ws
-  HAVING ws + INTERVAL 1 HOUR <= (SELECT max(ts) FROM ({HITS})) - INTERVAL {C.STREAM_WATERMARK}"""
+ORACLE["stream_window_counts"] = ORACLE["tumbling_counts"]
+ORACLE["stream_upsert"] = f"""
+  SELECT event_id, ts, user_id, event_type, value, day FROM ({LOG})
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day ORDER BY event_id DESC) = 1"""
+ORACLE["log_merge"] = f"""
+  SELECT event_id AS ingest_seq, place, country, magnitude, rt AS rupture_time, alert,
+         NOT (rt < TIMESTAMP '{C.LOG_ASOF}' - INTERVAL {C.LOG_DAYS} DAY) AS collect_data
+  FROM (SELECT *, date_trunc('second', rupture_time) AS rt FROM ({FLAT}))
+  QUALIFY row_number() OVER (PARTITION BY place, country, magnitude, rt ORDER BY event_id) = 1"""
 ORACLE["partitioned_sink"] = """
   SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, event_type, value FROM events"""
+ORACLE["text_sink"] = f"SELECT page_id % 8 AS grp, sentence, count(*) AS n FROM ({PAGE_SENTENCES}) GROUP BY ALL"
 
+REGION = f"""
+  SELECT n_name AS country, array_to_string(list_transform({pieces('html')}, lambda p: {clean_fragment('p')}), '') AS region_text,
+         {PICS}[1] AS picture_1, {PICS}[2] AS picture_2
+  FROM nation JOIN ({ILLUSTRATED}) ON n_nationkey = page_id"""
 ORACLE["report_assemble"] = f"""
-  WITH ev AS ({ORDER_EVENTS}), narr AS ({ORACLE['event_narrative']}), imp AS ({IMPACT}), sec AS ({SECTIONS})
+  WITH ev AS ({ORDER_EVENTS}), narr AS ({ORACLE['event_narrative']}), imp AS ({IMPACT}), reg AS ({REGION}),
+  sec AS MATERIALIZED ({SECTIONS})
   SELECT ev.event_id, 'Earthquake Report for ' || ev.country || ' on ' || strftime(ev.rupture_time, '%Y-%m-%d') AS title,
-         narr.narrative, coalesce(b.section_text, '') AS buildings_text,
+         narr.narrative, concat_ws(chr(10) || chr(10), narr.narrative, nullif(reg.region_text, '')) AS hazard_text,
+         reg.picture_1, reg.picture_2, coalesce(b.section_text, '') AS buildings_text,
          coalesce(i.section_text, '') AS infrastructure_text,
          coalesce(r.section_text, '') || chr(10) || chr(10) || coalesce(imp.loss_text, '') AS resilience_text,
          imp.fatality_text, imp.loss_text
   FROM ev LEFT JOIN narr ON narr.event_id = ev.event_id
-  LEFT JOIN imp ON imp.event_id = ev.event_id
-  LEFT JOIN sec b ON b.doc_id = ev.event_id AND b.section = 'Buildings'
-  LEFT JOIN sec i ON i.doc_id = ev.event_id AND i.section = 'Infrastructure'
-  LEFT JOIN sec r ON r.doc_id = ev.event_id AND r.section = 'Resilience'"""
-
-
-# --- TextRank summary (20 unrolled, materialised iterations) ----------------
-
-def _textrank_sql(iterations: int = 20, damping: float = 0.85) -> str:
-    sents = f"""
-      SELECT lang, min(sent_id) AS sent_id, sentence FROM (
-        SELECT regexp_extract(p.url, '^https?://[^/]+/([a-z]{{2}})/', 1) AS lang,
-               s.page_id * 1000000 + s.para_pos * 1000 + s.sent_pos AS sent_id, s.sentence
-        FROM ({PAGE_SENTENCES}) s JOIN pages p ON p.page_id = s.page_id)
-      GROUP BY lang, sentence"""
-    toks = f"list_distinct(regexp_extract_all(lower(sentence), {q(T.TOKEN_RE)}, 0))"
-    ctes = [
-        f"s AS MATERIALIZED ({sents})",
-        f"inc AS MATERIALIZED (SELECT lang, sent_id, 1.0 / sqrt(len(tk)) AS a, unnest(tk) AS t "
-        f"FROM (SELECT lang, sent_id, {toks} AS tk FROM s) WHERE len(tk) > 0)",
-        "st AS MATERIALIZED (SELECT lang, t, sum(a) AS sa FROM inc GROUP BY lang, t)",
-        "r0 AS MATERIALIZED (SELECT lang, sent_id, first(a) AS a, first(a) * sum(sa) - 1.0 AS w, 1.0 AS r "
-        "FROM inc JOIN st USING (lang, t) GROUP BY lang, sent_id)",
-    ]
-    for k in range(iterations):
-        ctes += [
-            f"x{k} AS MATERIALIZED (SELECT lang, sent_id, a, w, CASE WHEN w > 1e-12 THEN r / w ELSE 0.0 END AS x FROM r{k})",
-            f"u{k} AS MATERIALIZED (SELECT inc.lang, inc.t, sum(x{k}.a * x{k}.x) AS u FROM inc "
-            f"JOIN x{k} USING (lang, sent_id) GROUP BY inc.lang, inc.t)",
-            f"su{k} AS MATERIALIZED (SELECT inc.lang, inc.sent_id, sum(u) AS su FROM inc "
-            f"JOIN u{k} USING (lang, t) GROUP BY inc.lang, inc.sent_id)",
-            f"r{k + 1} AS MATERIALIZED (SELECT lang, sent_id, a, w, {1 - damping} + {damping} * "
-            f"greatest(0.0, a * coalesce(su, 0.0) - x) AS r FROM x{k} LEFT JOIN su{k} USING (lang, sent_id))",
-        ]
-    final = f"""
-      scored AS (SELECT s.lang, s.sent_id, s.sentence, coalesce(r, {1 - damping}) AS score,
-                        count(*) OVER (PARTITION BY s.lang) AS n
-                 FROM s LEFT JOIN r{iterations} USING (lang, sent_id))
-      SELECT lang, sent_id, sentence, round(score, 6) AS score FROM (
-        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY round(score, 9) DESC, sent_id) AS rk FROM scored)
-      WHERE rk <= CASE WHEN n <= 1 THEN n ELSE ceil(n * {C.SUMMARY_RATIO}) END"""
-    return "WITH " + ",\n".join(ctes) + ",\n" + final
-
-
-ORACLE["textrank_summary"] = _textrank_sql()
+  LEFT JOIN imp ON imp.event_id = ev.event_id LEFT JOIN reg ON reg.country = ev.country
+  LEFT JOIN sec b ON b.country = ev.country AND b.rupture_date = CAST(ev.rupture_time AS DATE) AND b.section = 'Buildings'
+  LEFT JOIN sec i ON i.country = ev.country AND i.rupture_date = CAST(ev.rupture_time AS DATE) AND i.section = 'Infrastructure'
+  LEFT JOIN sec r ON r.country = ev.country AND r.rupture_date = CAST(ev.rupture_time AS DATE) AND r.section = 'Resilience'"""

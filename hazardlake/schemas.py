@@ -38,6 +38,7 @@ LOG = T.StructType([
     T.StructField("depth", T.DoubleType()),
     T.StructField("url", T.StringType()),
     T.StructField("collect_data", T.BooleanType()),
+    T.StructField("ingest_seq", T.LongType()),
 ])
 LOG_KEYS = ["place", "country", "magnitude", "rupture_time"]
 

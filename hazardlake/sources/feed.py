@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from hazardlake import schemas
 from hazardlake.functions import text as T
@@ -21,8 +22,9 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
             .select(F.inline("features")))
 
 
-def flatten_features(features: DataFrame, collect: Column | bool = True) -> DataFrame:
-    """Nested features -> the 13 log columns, in log order."""
+def flatten_features(features: DataFrame, collect: Column | bool = True,
+                     seq: Column | None = None) -> DataFrame:
+    """Nested features -> the log columns, in log order; ``seq`` is the ingest order."""
     p, xyz = F.col("properties"), F.col("geometry.coordinates")
     return features.select(
         p["place"].alias("place"),
@@ -36,6 +38,7 @@ def flatten_features(features: DataFrame, collect: Column | bool = True) -> Data
         F.try_element_at(xyz, F.lit(3)).alias("depth"),
         p["url"].alias("url"),
         (collect if isinstance(collect, Column) else F.lit(bool(collect))).alias("collect_data"),
+        *([seq.cast("long").alias("ingest_seq")] if seq is not None else []),
     )
 
 
@@ -57,10 +60,19 @@ def event_id_of(url: Column) -> Column:
     return F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)
 
 
-def read_event_log(spark: SparkSession, path: str) -> DataFrame:
-    """Event log CSV with the fixed schema (no inference)."""
-    return (spark.read.schema(schemas.LOG).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+def read_event_log(spark: SparkSession, path: str, text_time: bool = False) -> DataFrame:
+    """Event log CSV with the fixed schema (no inference).
+
+    With ``text_time`` the rupture time may be written with dashes or
+    slashes; a time that is none reads as null.
+    """
+    if not text_time:
+        return (spark.read.schema(schemas.LOG).option("header", True)
+                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    raw = types.StructType([types.StructField(f.name, types.StringType()) if f.name == "rupture_time" else f
+                            for f in schemas.LOG.fields])
+    return (spark.read.schema(raw).option("header", True).csv(path)
+            .withColumn("rupture_time", TF.parse_log_time(F.col("rupture_time"))))
 
 
 def empty_log(spark: SparkSession) -> DataFrame:

@@ -51,6 +51,28 @@ def news_articles(articles: DataFrame, language: str, since: str,
                     F.substring("publishedAt", 1, 10).alias("date"), "content")
 
 
+def search_news(articles: DataFrame, events: DataFrame, event_key: str, phrase_col: str, terms_col: str,
+                language: str, since: str, page: int = 1, page_size: int = 20,
+                key: str = "article_id") -> DataFrame:
+    """Per event one page of articles in ``language`` since a date that hold the
+    event's phrase (any case), by tf-idf relevance of its terms among them.
+
+    (event_key, rank, score, source_name, title, url, date): candidates come
+    from the inverted index of the phrase's terms; the phrase itself is checked on them.
+    """
+    a = articles.where((F.col("language") == language) & (F.substring("publishedAt", 1, 10) >= F.lit(since)))
+    cands = M.all_terms_match(events, a, event_key, terms_col, key, "content")
+    texts = a.select(key, F.lower("content").alias("_text"))
+    phrases = events.select(event_key, F.lower(phrase_col).alias("_phrase"))
+    hits = (cands.join(texts, key).join(phrases, event_key).where(F.contains("_text", F.col("_phrase")))
+            .select(event_key, key))
+    scores = M.tfidf_scores(a, events, key, "content", event_key, terms_col, only=hits)
+    ranked = M.relevance_page(scores, event_key, key, page, page_size)
+    fields = a.select(key, F.col("source.name").alias("source_name"), "title", "url",
+                      F.substring("publishedAt", 1, 10).alias("date"))
+    return ranked.join(fields, key).select(event_key, "rank", "score", "source_name", "title", "url", "date")
+
+
 def event_terms(country: Column, extra: str = "earthquake") -> Column:
     """An event's search terms: its country's tokens plus ``extra``."""
     return F.array_distinct(F.concat(T.tokens(country), F.array(F.lit(extra))))

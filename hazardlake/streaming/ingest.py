@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardlake.functions import timefmt as TF
-from hazardlake.operators.dedupe import upsert_latest
-from hazardlake.operators.sinks import latest_version, read_versioned  # noqa: F401 (re-export)
+from hazardlake.operators.sinks import merge_partitions
 from hazardlake.session import ensure_checkpoint_dir
 
 
@@ -76,22 +75,15 @@ def run_available_now(stream: DataFrame, out_path: str, checkpoint: str,
 
 
 def upsert_batches(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str],
-                   seq: str) -> None:
+                   seq: str, partition_by: str, output_mode: str = "append") -> None:
     """Keep a latest-revision table current with ``foreachBatch``.
 
-    Each micro-batch is merged with the newest complete stored version
-    (latest ``seq`` per key) and written as version ``v<epoch>``. The
-    stored version is found on storage, not remembered in the driver, so a
-    restart from the stream checkpoint continues from the right table; a
-    replayed epoch rewrites its own version (idempotent).
+    Each micro-batch is merged into the touched partitions only (latest
+    ``seq`` per key); a replayed batch changes nothing. ``partition_by`` is a
+    function of the key.
     """
-    spark = stream.sparkSession
-
     def merge(batch: DataFrame, epoch: int) -> None:
-        prev = latest_version(spark, table_path, epoch)
-        stored = spark.read.parquet(prev) if prev else batch.limit(0)
-        merged = upsert_latest(stored, batch, keys, seq)
-        merged.write.mode("overwrite").parquet(f"{table_path}/v{epoch:08d}")
+        merge_partitions(batch.sparkSession, table_path, batch, keys, seq, partition_by, latest=True)
 
-    (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    (stream.writeStream.foreachBatch(merge).outputMode(output_mode).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

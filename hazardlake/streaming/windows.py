@@ -15,19 +15,14 @@ from hazardlake.functions import timefmt as TF
 
 def windowed_counts(stream: DataFrame, ts: str, size: str, slide: str | None = None,
                     watermark: str = "1 hour", keys: list[str] | None = None) -> DataFrame:
-    """(keys..., window_start, window_end, n); finalised once the watermark
-    passes a window's end (append mode emits each window exactly once)."""
+    """(keys..., window_start, window_end, n).
+
+    Append mode emits a window once the watermark has passed its end; update
+    mode emits its count so far after each batch, the windows inside the
+    watermark included (upsert them by window, the larger count wins)."""
     keys = keys or []
     s = stream.withColumn("_et", TF.as_instant(F.col(ts))).withWatermark("_et", watermark)
     w = F.window("_et", size, slide) if slide else F.window("_et", size)
     return (s.groupBy(*keys, w.alias("_w")).agg(F.count("*").alias("n"))
             .select(*keys, TF.from_instant(F.col("_w.start")).alias("window_start"),
                     TF.from_instant(F.col("_w.end")).alias("window_end"), "n"))
-
-
-def session_counts(stream: DataFrame, ts: str, gap: str, keys: list[str],
-                   watermark: str = "1 hour") -> DataFrame:
-    s = stream.withColumn("_et", TF.as_instant(F.col(ts))).withWatermark("_et", watermark)
-    return (s.groupBy(*keys, F.session_window("_et", gap).alias("_s")).agg(F.count("*").alias("n"))
-            .select(*keys, TF.from_instant(F.col("_s.start")).alias("session_start"),
-                    TF.from_instant(F.col("_s.end")).alias("session_end"), "n"))

@@ -35,10 +35,34 @@ def test_resilience_curve_definition(spark):
     r = AC.resilience_curve(ev, "ts", ["k"], "2024-01-04 00:00:00", before_h=72, after_h=48).first()
     assert r.baseline_mean == 1.0 and r.baseline_sd == 0.0
     assert r.t0 == 2
+    late = AC.resilience_curve(ev, "ts", ["k"], "2024-01-04 00:00:00").first()
+    assert (late.t0, late.t1) == (2, 9)
     # trailing 6h means after t0: h=8 -> (5+1+0+1+0+1)/6 > 1, h=9 -> 3/6 <= 1
     assert r.t1 == 9 and r.recovery_h == 7
 
 
+def test_recovery_long_after_the_rupture_and_null_keys(spark):
+    base = [f"2024-01-0{d} {h:02d}:30:00" for d in (1, 2, 3) for h in range(24)]
+    high = [f"2024-01-{4 + d:02d} {h:02d}:{m}0:00" for d in range(12) for h in range(24) for m in (1, 2, 3)]
+    ev = _events(spark, base + high).withColumn("k", F.lit(None).cast("string"))
+    r = AC.resilience_curve(ev, "ts", ["k"], "2024-01-04 00:00:00").first()
+    # Three an hour for 288 hours, then silence: the trailing mean falls to 1 four hours after the last hit.
+    assert r.k is None and r.t0 == 0 and r.t1 == 291
+
+
+def test_sessions_with_null_and_large_keys_and_buckets(spark):
+    rows = [(None, "2024-01-01 23:59:30"), (None, "2024-01-02 00:00:20"), (9007199254740993, "2024-01-01 10:00:00"),
+            (9007199254740992, "2024-01-01 10:10:00"), (5, "2024-01-01 23:50:00"), (5, "2024-01-02 00:30:00"),
+            (5, "2024-01-02 00:20:00"), (5, None)]
+    df = spark.createDataFrame(rows, "user_id long, t string").select(
+        "user_id", F.col("t").cast("timestamp_ntz").alias("ts"))
+    got = sorted((str(r[0]), str(r[1]), str(r[2]), r[3]) for r in AC.session_counts(df, "ts", "30 minutes", ["user_id"]).collect())
+    want = sorted((str(r[0]), str(r[1]), str(r[2]), r[3]) for r in
+                  df.groupBy("user_id", F.session_window("ts", "30 minutes").alias("s")).agg(F.count("*").alias("n"))
+                  .select("user_id", F.col("s.start"), F.col("s.end"), "n").collect())
+    assert got == want
+
+
 def test_stream_dedupe_equals_batch(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     rows = [(1, "a", "2024-01-01 00:00:10"), (1, "a", "2024-01-01 00:00:50"), (2, "b", "2024-01-01 00:01:00")]
@@ -104,44 +128,38 @@ def test_distributed_sessions_equal_session_window(spark):
 def test_foreach_batch_upsert_survives_restart(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     land, table, ck = os.path.join(d, "land"), os.path.join(d, "table"), os.path.join(d, "ck")
-    schema = "event_id string, seq long, place string"
-    spark.createDataFrame([("a", 1, "first"), ("b", 1, "bee")], schema).write.parquet(os.path.join(land, "f1"))
+    schema = "event_id string, seq long, place string, part int"
+    spark.createDataFrame([("a", 1, "first", 0), ("b", 1, "bee", 1)], schema).write.parquet(os.path.join(land, "f1"))
 
     def run():
         s = SI.read_landed(spark, land + "/*", spark.createDataFrame([], schema).schema)
-        SI.upsert_batches(s, table, ck, ["event_id"], "seq")
+        SI.upsert_batches(s, table, ck, ["event_id"], "seq", "part")
 
     run()
     # A new file lands; a fresh run (new driver state) resumes from the checkpoint.
-    spark.createDataFrame([("a", 2, "revised"), ("c", 1, "sea")], schema).write.parquet(os.path.join(land, "f2"))
+    spark.createDataFrame([("a", 2, "revised", 0), ("c", 1, "sea", 0)], schema).write.parquet(os.path.join(land, "f2"))
     run()
-    got = sorted((r.event_id, r.place) for r in SI.read_versioned(spark, table).collect())
+    got = sorted((r.event_id, r.place) for r in spark.read.parquet(table).collect())
     assert got == [("a", "revised"), ("b", "bee"), ("c", "sea")]
 
 
+def test_update_mode_windows_upserted_equal_batch(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    ev = _events(spark, ["2024-01-01 00:10:00", "2024-01-01 00:20:00", "2024-01-01 01:30:00", "2024-01-01 05:00:00"])
+    ev.coalesce(1).write.parquet(os.path.join(d, "in"))
+    stream = SI.read_landed(spark, os.path.join(d, "in"), ev.schema)
+    agg = SW.windowed_counts(stream, "ts", "1 hour", watermark="10 minutes").withColumn("p", F.to_date("window_start").cast("string"))
+    out = os.path.join(d, "out")
+    SI.upsert_batches(agg, out, os.path.join(d, "ck"), ["window_start"], "n", "p", output_mode="update")
+    got = sorted((str(r.window_start), r.n) for r in spark.read.parquet(out).collect())
+    assert got == sorted((str(r.window_start), r.n) for r in AC.window_counts(ev, "ts", "1 hour").collect())
+
+
 def test_time_helpers(spark):
     from hazardlake.functions import timefmt as TF
     from hazardlake.operators import retention as R
-    df = spark.createDataFrame([("2021/08/14 20:20:45",)], "t string")
+    df = spark.createDataFrame([("2031/02/03 04:05:06",)], "t string")
     r = df.select(TF.parse_log_time(F.col("t")).alias("ts"),
-                  R.query_start("2021-10-20 00:00:00", 67).alias("d"),
+                  R.query_start("2031-04-11 00:00:00", 67).alias("d"),
                   TF.path_time(TF.parse_log_time(F.col("t"))).alias("p")).first()
-    assert str(r.ts) == "2021-08-14 20:20:45" and str(r.d) == "2021-08-14" and r.p == "2021-08-14_20:20:45"
-
-
-def test_streaming_sessions_equal_batch_for_closed_sessions(spark):
-    d = tempfile.mkdtemp(dir="/tmp")
-    ev = _events(spark, ["2024-01-01 00:00:00", "2024-01-01 00:20:00", "2024-01-01 02:00:00",
-                         "2024-01-01 09:00:00"])
-    ev.coalesce(1).write.parquet(os.path.join(d, "in", "f1"))
-    stream = SI.read_landed(spark, os.path.join(d, "in") + "/*", ev.schema)
-    agg = SW.session_counts(stream, "ts", "30 minutes", ["user_id"], watermark="10 minutes")
-    q = (agg.writeStream.format("memory").queryName("ses_test").outputMode("append")
-         .option("checkpointLocation", SI.scratch_path(spark, "ses")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted((str(r.session_start), str(r.session_end), r.n) for r in spark.table("ses_test").collect())
-    batch = AC.session_counts(ev, "ts", "30 minutes", ["user_id"])
-    want = sorted((str(r.session_start), str(r.session_end), r.n)
-                  for r in batch.where("session_end <= '2024-01-01 08:50:00'").collect())
-    assert got == want == [("2024-01-01 00:00:00", "2024-01-01 00:50:00", 2),
-                           ("2024-01-01 02:00:00", "2024-01-01 02:30:00", 1)]
+    assert str(r.ts) == "2031-02-03 04:05:06" and str(r.d) == "2031-02-03" and r.p == "2031-02-03_04:05:06"

@@ -1,5 +1,5 @@
-import pandas as pd
-from pyspark.sql import functions as F
+import math
+import re
 
 from hazardlake.operators import classify as CL
 
@@ -17,22 +17,34 @@ def test_majority_vote_ties_go_to_declared_order(spark):
     assert got == {1: ("other", 2), 2: ("buildings", 1), 3: ("other", 1)}
 
 
-def test_trained_pipeline_and_external_scorer(spark):
-    train = spark.createDataFrame([("the roof and walls collapsed", 0.0), ("walls of the building cracked", 0.0),
-                                   ("power and water restored", 1.0), ("people recover and rebuild", 1.0)] * 5,
-                                  "text string, label double")
-    model = CL.text_classifier(num_features=1 << 10, max_iter=30).fit(train)
-    test = spark.createDataFrame([(1, "walls collapsed"), (2, "water restored")], "id int, text string")
-    got = {r.id: r.pred_idx for r in CL.classify(model, test, ["id"]).collect()}
-    assert got == {1: 0, 2: 1}
+def test_naive_bayes_equals_its_formula(spark):
+    train = [("the roof and walls collapsed", 0), ("walls of the building cracked", 0), ("power and water restored", 1),
+             ("people recover and rebuild", 3), ("left out", 9), (None, 1)]
+    sents = [(1, "walls collapsed"), (2, "water restored now"), (3, "people rebuild"), (4, "unknown words only"), (5, "?!")]
+    model = CL.fit_naive_bayes(spark.createDataFrame(train, "text string, c int"), "text", "c")
+    out = CL.classify_sentences(model, spark.createDataFrame(sents, "id int, sentence string"), ["id"])
+    got = {r.id: r.pred_idx for r in out.collect()}
+    docs = [[t for x, c in train if c == k and x for t in x.split()] for k in range(4)]
+    size = [sum(c == k for _, c in train) for k in range(4)]
+    vocab = len({t for d in docs for t in d})
 
-    def scorer(texts: pd.Series):
-        return [[float("wall" in t), 0.0, 0.5, float("water" in t)] for t in texts]
-    out = {r.id: r.label for r in CL.score_with(test, "text", ["id"], scorer).collect()}
-    assert out == {1: "buildings", 2: "resilience"}
+    def best(s):
+        toks = re.findall(r"[^\W_]+", s.lower())
+        score = [round(math.log(size[k] / sum(size)) + sum(math.log(docs[k].count(t) + 1) for t in toks)
+                       - len(toks) * math.log(len(docs[k]) + vocab), 6) if size[k] else -math.inf for k in range(4)]
+        return score.index(max(score))
+
+    assert got == {i: best(s) for i, s in sents} and got[1] == 0 and got[2] == 1 and 2 not in got.values()
 
 
 def test_majority_vote_unknown_label_ranks_last(spark):
     votes = spark.createDataFrame([(1, "mystery"), (1, "other"), (2, "mystery")], "id int, label string")
     got = {r.id: (r.label, r.votes) for r in CL.majority_vote(votes, "id").collect()}
     assert got == {1: ("other", 1), 2: (None, 1)}
+
+
+def test_majority_vote_with_more_classes_than_any_packing(spark):
+    names = [f"c{i}" for i in range(1500)]
+    votes = spark.createDataFrame([(1, "c1400"), (1, "c1400"), (1, "c3"), (2, "c1499"), (2, "c1000")], "id int, label string")
+    got = {r.id: (r.label, r.votes) for r in CL.majority_vote(votes, "id", names=names).collect()}
+    assert got == {1: ("c1400", 2), 2: ("c1000", 1)}

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from hazardlake.operators.common import broadcast_if_small, spread
+from hazardlake.operators.common import rank_within_groups, spread
 
 
 def test_spread_only_when_too_few_partitions(spark):
@@ -11,10 +11,7 @@ def test_spread_only_when_too_few_partitions(spark):
     assert spread(few).rdd.getNumPartitions() == target
 
 
-def test_broadcast_only_under_the_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    assert broadcast_if_small(small, max_rows=10) is not small   # hinted
-    assert broadcast_if_small(big, max_rows=10) is big           # left to the planner
-    plan = big.join(broadcast_if_small(small, max_rows=10), "id")._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in plan or "broadcast" in plan.lower()
+def test_rank_within_groups_keeps_null_groups(spark):
+    df = spark.createDataFrame([(None, 2), ("a", 1), (None, 1)], "g string, v int")
+    got = {(r.g, r.v): r._pos for r in rank_within_groups(df, ["g"], [F.asc("v")]).collect()}
+    assert got == {(None, 1): 1, (None, 2): 2, ("a", 1): 1}

@@ -18,23 +18,23 @@ def _feature(place, mag, ms, alert, url, coords):
 def test_read_and_flatten_feed(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     doc = {"type": "FeatureCollection", "features": [
-        _feature("12 km NNE of Town, Haiti", 5.8, 1628972445000, "yellow", "https://x/ev/us1", [-74.1, 18.4, 12.04]),
-        _feature("Acapulco, Mexico", 7.0, 1631040467000, "red", "https://x/ev/us2/", [-99.7, 16.9, 20.0]),
-        _feature("Nowhere", 2.0, 1631040467000, "green", "https://x/ev/us3", [1.0, 2.0, 3.0]),
+        _feature("7 km WSW of Alderbrook, Westmark", 4.6, 1700000000000, "yellow", "https://x/ev/q1", [11.25, 44.5, 6.5]),
+        _feature("Bay of Larks, Ostland", 6.1, 1700003600000, "red", "https://x/ev/q2/", [150.125, -9.75, 31.0]),
+        _feature("Nowhere", 2.0, 1700003600000, "green", "https://x/ev/q3", [1.0, 2.0, 3.0]),
     ]}
     with open(os.path.join(d, "f.json"), "w") as f:
         json.dump(doc, f)
-    flat = FD.flatten_features(FD.read_feed(spark, d))
-    assert flat.columns[:4] == ["place", "country", "magnitude", "rupture_time"]
+    flat = FD.flatten_features(FD.read_feed(spark, d), seq=F.lit(7))
+    assert flat.columns == FD.empty_log(spark).columns
     got = {r.place: r for r in flat.collect()}
-    assert got["12 km NNE of Town, Haiti"].country == "Haiti"
+    assert got["7 km WSW of Alderbrook, Westmark"].country == "Westmark"
     assert got["Nowhere"].country == "Nowhere"
-    assert str(got["12 km NNE of Town, Haiti"].rupture_time) == "2021-08-14 20:20:45"
-    assert got["Acapulco, Mexico"].depth == 20.0
+    assert str(got["7 km WSW of Alderbrook, Westmark"].rupture_time) == "2023-11-14 22:13:20"
+    assert got["Bay of Larks, Ostland"].depth == 31.0 and got["Nowhere"].ingest_seq == 7
     sel = FD.filter_feed(flat, 3, ["yellow", "orange", "red"], "2021-01-01")
     assert sel.count() == 2
     ids = [r.i for r in flat.select(FD.event_id_of(F.col("url")).alias("i")).collect()]
-    assert sorted(ids) == ["us1", "us2", "us3"]
+    assert sorted(ids) == ["q1", "q2", "q3"]
 
 
 def _log(spark, rows):
@@ -44,11 +44,11 @@ def _log(spark, rows):
 def test_keep_first_and_latest_revision(spark):
     # Two revisions of one event differ in place: keep-first on the full
     # subset keeps both; keyed by event id only the latest survives.
-    log = _log(spark, [(1, "a", "12 km NNE of X", 5.8), (2, "b", "Y", 6.0), (3, "a", "15 km NNE of X", 5.8)])
+    log = _log(spark, [(1, "a", "3 km E of X", 5.8), (2, "b", "Y", 6.0), (3, "a", "4 km E of X", 5.8)])
     first = D.keep_first(log, ["place", "mag"], "seq")
     assert first.count() == 3
     latest = D.keep_latest(log, ["event_id"], "seq")
-    assert sorted((r.event_id, r.place) for r in latest.collect()) == [("a", "15 km NNE of X"), ("b", "Y")]
+    assert sorted((r.event_id, r.place) for r in latest.collect()) == [("a", "4 km E of X"), ("b", "Y")]
     # Idempotent: f(f(x)) == f(x)
     again = D.keep_latest(latest, ["event_id"], "seq")
     assert sorted(again.collect()) == sorted(latest.collect())
@@ -81,16 +81,28 @@ def test_event_log_csv_roundtrip(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     path = os.path.join(d, "log.csv")
     with open(path, "w") as f:
-        f.write("place,country,magnitude,rupture_time,felt,cdi,mmi,alert,longitude,latitude,depth,url,collect_data\n")
-        f.write('"12 km NNE of Town, Haiti",Haiti,5.8,2021-08-14 20:20:45,11,6.4,6.773,yellow,-74.0992,18.3711,12.04,https://x/ev/us1,True\n')
-        f.write('"Nippes, Haiti",Haiti,7.2,2021-08-14 05:29:08,,9.1,8.677,red,-73.4822,18.4335,10.0,https://x/ev/us2,True\n')
+        f.write(",".join(FD.empty_log(spark).columns) + "\n")
+        f.write('"7 km WSW of Alderbrook, Westmark",Westmark,4.6,2023-11-14 22:13:20,2,3.5,4.25,yellow,11.25,44.5,6.5,https://x/ev/q1,True,1\n')
+        f.write('"Bay of Larks, Ostland",Ostland,6.1,2023-11-14 23:13:20,,5.0,6.5,red,150.125,-9.75,31.0,https://x/ev/q2,True,2\n')
     log = FD.read_event_log(spark, path)
     r = log.orderBy("magnitude").collect()
-    assert r[0].place == "12 km NNE of Town, Haiti" and r[0].felt == 11
-    assert r[1].felt is None and str(r[1].rupture_time) == "2021-08-14 05:29:08"
+    assert r[0].place == "7 km WSW of Alderbrook, Westmark" and r[0].felt == 2
+    assert r[1].felt is None and str(r[1].rupture_time) == "2023-11-14 23:13:20" and r[1].ingest_seq == 2
     assert FD.empty_log(spark).columns == log.columns
 
 
+def test_event_log_times_as_text(spark):
+    d = tempfile.mkdtemp(dir="/tmp")
+    path = os.path.join(d, "log.csv")
+    names = FD.empty_log(spark).columns
+    with open(path, "w") as f:
+        f.write(",".join(names) + "\n")
+        for t in ("2023/11/14 22:13:20", "2023-11-14 22:13:21", "no time"):
+            f.write(",".join(t if n == "rupture_time" else "" for n in names) + "\n")
+    got = [r.rupture_time for r in FD.read_event_log(spark, path, text_time=True).collect()]
+    assert [str(t) for t in got] == ["2023-11-14 22:13:20", "2023-11-14 22:13:21", "None"]
+
+
 def test_predictions_csv_multiline_and_trimmed_labels(spark):
     d = tempfile.mkdtemp(dir="/tmp")
     path = os.path.join(d, "p.csv")
@@ -104,27 +116,53 @@ def test_predictions_csv_multiline_and_trimmed_labels(spark):
 def test_partition_overwrite_is_idempotent(spark):
     from hazardlake.operators import sinks
     d = tempfile.mkdtemp(dir="/tmp")
-    df = spark.createDataFrame([("2021-09-07", "Mexico", "s1"), ("2021-09-15", "China", "s2")],
+    df = spark.createDataFrame([("2030-01-07", "Ostland", "s1"), ("2030-01-15", "Westmark", "s2")],
                                "rupture_date string, country string, sentence string")
     sinks.overwrite_partitions(df, d, ["rupture_date", "country"])
-    sinks.overwrite_partitions(df.where("country = 'China'"), d, ["rupture_date", "country"])
-    sinks.overwrite_partitions(df.where("country = 'China'"), d, ["rupture_date", "country"])
+    sinks.overwrite_partitions(df.where("country = 'Westmark'"), d, ["rupture_date", "country"])
+    sinks.overwrite_partitions(df.where("country = 'Westmark'"), d, ["rupture_date", "country"])
     back = spark.read.parquet(d)
-    assert sorted((r.country, r.sentence) for r in back.collect()) == [("China", "s2"), ("Mexico", "s1")]
-    t = tempfile.mkdtemp(dir="/tmp")
-    sinks.write_text_lines(df, t + "/txt", "sentence", ["country"])
-    assert sorted(r.value for r in spark.read.text(t + "/txt").collect()) == ["s1", "s2"]
+    assert sorted((r.country, r.sentence) for r in back.collect()) == [("Ostland", "s1"), ("Westmark", "s2")]
 
 
-def test_merge_into_versioned_log(spark):
+def test_text_lines_keep_order_and_other_folders(spark):
     from hazardlake.operators import sinks
-    d = tempfile.mkdtemp(dir="/tmp")
-    schema = "seq long, place string, mag double"
-    v0 = sinks.merge_into_log(spark, d, spark.createDataFrame([(1, "A", 5.0), (2, "B", 6.0)], schema),
-                              ["place", "mag"], "seq")
-    v1 = sinks.merge_into_log(spark, d, spark.createDataFrame([(3, "A", 5.0), (4, "C", 7.0)], schema),
-                              ["place", "mag"], "seq")
-    assert v0.endswith("v00000000") and v1.endswith("v00000001")
-    got = sorted((r.seq, r.place) for r in sinks.read_versioned(spark, d).collect())
+    path = tempfile.mkdtemp(dir="/tmp") + "/txt"
+    rows = [(e, i, f"{e} line {i:03d}") for e in ("e1", "e2") for i in range(200)]
+    df = spark.createDataFrame(rows, "event string, pos int, sentence string").repartition(5)
+    sinks.write_text_lines(df, path, "sentence", ["event"], ["pos"])
+    sinks.write_text_lines(df.where("event = 'e1'"), path, "sentence", ["event"], ["pos"])
+    for e in ("e1", "e2"):
+        folder = os.path.join(path, f"event={e}")
+        lines = [x for f in sorted(os.listdir(folder)) if f.startswith("part-")
+                 for x in open(os.path.join(folder, f)).read().splitlines()]
+        assert lines == [f"{e} line {i:03d}" for i in range(200)]
+
+
+def test_partitioned_write_makes_few_files(spark):
+    from hazardlake.operators import sinks
+    path = tempfile.mkdtemp(dir="/tmp") + "/p"
+    df = spark.range(0, 4000, numPartitions=16).selectExpr("id", "id % 3 as k")
+    sinks.write_partitioned(df, path, ["k"])
+    files = [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
+    assert len(files) <= 6 and spark.read.parquet(path).count() == 4000
+
+
+def test_merge_rewrites_only_touched_partitions(spark):
+    from hazardlake.operators import sinks
+    path = tempfile.mkdtemp(dir="/tmp") + "/log"
+    schema = "seq long, place string, mag double, day string"
+
+    def files(day):
+        return sorted(f for f in os.listdir(os.path.join(path, f"day={day}")) if f.startswith("part-"))
+
+    def batch(rows):
+        sinks.merge_partitions(spark, path, spark.createDataFrame(rows, schema), ["place", "mag", "day"], "seq", "day")
+
+    batch([(1, "A", 5.0, "d1"), (2, "B", 6.0, "d2")])
+    untouched = files("d2")
+    batch([(3, "A", 5.0, "d1"), (4, "C", 7.0, "d1")])
+    batch([(3, "A", 5.0, "d1"), (4, "C", 7.0, "d1")])      # replayed: nothing changes
+    got = sorted((r.seq, r.place) for r in spark.read.parquet(path).collect())
     assert got == [(1, "A"), (2, "B"), (4, "C")]            # keep-first: the stored A wins
-    assert spark.read.parquet(v0).count() == 2               # the previous version is untouched
+    assert files("d2") == untouched

@@ -66,3 +66,21 @@ def test_first_occurrences(spark):
                                "doc_id long, sent_pos int, sentence string")
     got = sorted(tuple(r) for r in S.first_occurrences(df, ["doc_id"]).collect())
     assert got == [(1, 0, "a b."), (1, 1, "c d."), (2, 0, "a b.")]
+
+
+def test_links_and_images(spark):
+    from hazardlake.functions import html as H
+    page = ('<link href="x.css"><a class="c" href="a.pdf">A</a><!-- <a href="b.pdf"> --><A HREF="d.pdf">'
+            '<script>var s = \'<img src="e.png">\';</script><img alt="" src="f.png"><img src="g.jpg"><IMG SRC="h.png">')
+    df = spark.createDataFrame([(page,)], "html string")
+    r = df.select(H.links(F.col("html")).alias("a"), H.images_with_suffix(F.col("html"), ".png").alias("i")).first()
+    assert r.a == ["a.pdf", "d.pdf"] and r.i == ["f.png", "h.png"]
+
+
+def test_stitch_only_after_the_marker(spark):
+    docs = spark.createDataFrame([(1, "http://ex.org/a\nReferences\nhttp://ex.org/\nb"), (2, "http://ex.org/a\nnone")],
+                                 "doc_id long, text string")
+    known = spark.createDataFrame([("http://ex.org/a",), ("http://ex.org/b",)], "url string")
+    got = [(r.doc_id, r.line_no, r.url) for r in S.url_line_stitch(docs, known, marker="References").collect()]
+    assert got == [(1, 2, "http://ex.org/b")]
+    assert S.url_line_stitch(docs, known).count() == 3

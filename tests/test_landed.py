@@ -44,6 +44,20 @@ def test_news_articles_projection(spark):
     assert [(r.source_name, r.url, r.date) for r in got] == [("Wire", "u1", "2021-08-14")]
 
 
+def test_search_news_phrase_language_date_and_page(spark):
+    def art(i, text, lang="en", day="05"):
+        return {"source": {"name": "S"}, "title": f"t{i}", "url": f"u{i}", "publishedAt": f"2030-01-{day}T00:00:00Z",
+                "content": text, "language": lang}
+    arts = L.read_articles(spark, _write([
+        art(1, "Red Fox jumps. red fox again, red fox"), art(2, "a red fox"), art(3, "fox red"), art(4, "red fox", "fr"),
+        art(5, "red fox", day="01"), art(6, "nothing")])).withColumn("article_id", F.col("url"))
+    ev = spark.createDataFrame([(1, "red fox", ["red", "fox"]), (2, "blue", ["blue"])], "e int, phrase string, terms array<string>")
+    got = [(r.e, r["rank"], r.url) for r in L.search_news(arts, ev, "e", "phrase", "terms", "en", "2030-01-02", 1, 1).collect()]
+    assert got == [(1, 1, "u1")]
+    second = [r.url for r in L.search_news(arts, ev, "e", "phrase", "terms", "en", "2030-01-02", 2, 1).collect()]
+    assert second == ["u2"]
+
+
 def test_query_strings(spark):
     df = spark.createDataFrame([("yellow", "2021-08-14", "Haiti")], "alert string, d string, c string")
     r = df.select(T.query_string("https://feed.example/query?format=geojson&",

@@ -94,3 +94,9 @@ def test_bounded_relevance_page_equals_full(spark):
         cols = ["qid", "doc_id", "score", "rank"]
         assert sorted(tuple(r[c] for c in cols) for r in fast.collect()) == \
             sorted(tuple(r[c] for c in cols) for r in full.collect())
+
+
+def test_event_without_terms_and_posts_without_tokens(spark):
+    ev = spark.createDataFrame([(1, []), (2, None), (3, ["the"])], "eid int, terms array<string>")
+    posts = spark.createDataFrame([(0, None), (1, ""), (2, "the")], "pid int, text string")
+    assert [tuple(r) for r in M.all_terms_match(ev, posts, "eid", "terms", "pid", "text").collect()] == [(3, 2)]

@@ -4,16 +4,24 @@ from hazardlake.operators import report as RP
 
 
 def test_report_row_per_event_title_sections_and_resilience_tail(spark):
-    ev = spark.createDataFrame([("e1", "Haiti", "2021-08-14 12:29:08", "On August 14 ..."),
-                                ("e2", "Mexico", "2021-09-07 01:47:47", "On September 7 ...")],
+    ev = spark.createDataFrame([("e1", "Westmark", "2030-03-05 21:04:59", "On March 5 ..."),
+                                ("e2", "Ostland", "2030-12-31 06:09:00", "On December 31 ...")],
                                "event_id string, country string, t string, narrative string") \
         .withColumn("rupture_time", F.col("t").cast("timestamp_ntz"))
     secs = spark.createDataFrame([("e1", "Buildings", "Walls fell."), ("e1", "Resilience", "Power back.")],
                                  "event_id string, section string, section_text string")
     imp = spark.createDataFrame([("e1", "F text.", "L text.")], "event_id string, fatality_text string, loss_text string")
     got = {r.event_id: r for r in RP.assemble_reports(ev, "event_id", None, secs, imp).collect()}
-    assert got["e1"].title == "Earthquake Report for Haiti on 2021-08-14"      # date only
-    assert got["e1"].narrative == "On August 14 ..."
+    assert got["e1"].title == "Earthquake Report for Westmark on 2030-03-05"      # date only
+    assert got["e1"].narrative == "On March 5 ..."
     assert got["e1"].buildings_text == "Walls fell." and got["e1"].infrastructure_text == ""
     assert got["e1"].resilience_text == "Power back.\n\nL text."
     assert got["e2"].fatality_text is None and got["e2"].resilience_text == "\n\n"
+
+
+def test_report_hazard_text_and_pictures(spark):
+    ev = spark.createDataFrame([(1, "A", "2030-03-05 21:04:59", "N.", "Region.", "p.png"), (2, "B", "2030-03-05 21:04:59", "N.", "", None)],
+                               "event_id int, country string, t string, narrative string, region string, pic string") \
+        .withColumn("rupture_time", F.col("t").cast("timestamp_ntz"))
+    got = {r.event_id: r for r in RP.assemble_reports(ev, "event_id", region_col="region", picture_cols=["pic"]).collect()}
+    assert got[1].hazard_text == "N.\n\nRegion." and got[2].hazard_text == "N." and got[1].pic == "p.png"

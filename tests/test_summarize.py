@@ -32,38 +32,46 @@ def _brute_textrank(sents, d=0.85, iters=20):
     return r
 
 
-import pytest
-
-
-@pytest.mark.parametrize("local_max", [SM.LOCAL_MAX_INCIDENCES, 0])
-def test_factorised_textrank_equals_pairwise_pagerank(spark, local_max):
-    # local_max=0 forces the distributed (bucketed, salted) iteration.
-    df = spark.createDataFrame([("g", i, s) for i, s in enumerate(SENTS)] + [("h", 0, "Alone here.")],
+def test_factorised_textrank_equals_pairwise_pagerank(spark):
+    df = spark.createDataFrame([("g", i, s) for i, s in enumerate(SENTS)] + [("h", 0, "Alone here."), (None, 0, "Null group.")],
                                "grp string, id int, sentence string")
-    got = {(r.grp, r.id): r.score for r in SM.textrank_scores(
-        df, ["grp"], "id", "sentence", local_max_incidences=local_max, salt_buckets=3).collect()}
+    got = {(r.grp, r.id): r.score for r in SM.textrank_scores(df, ["grp"], ["id"], "sentence", salt_buckets=3).collect()}
     want = _brute_textrank(SENTS)
     for i in range(len(SENTS)):
         assert abs(got[("g", i)] - want[i]) < 1e-9
-    assert abs(got[("h", 0)] - 0.15) < 1e-12
+    assert abs(got[("h", 0)] - 0.15) < 1e-12 and abs(got[(None, 0)] - 0.15) < 1e-12
 
 
-@pytest.mark.parametrize("local_max", [SM.LOCAL_MAX_INCIDENCES, 0])
-def test_summary_is_subset_with_ceil_ratio_size(spark, local_max):
+def test_summary_is_subset_with_ceil_ratio_size(spark):
     rows = [("g", i, s) for i, s in enumerate(SENTS)] + [("g", 99, SENTS[0])] + [("one", 0, "Only one sentence.")] \
         + [("g", 50, "!!! ???")]                   # no tokens: score 1-d, still counts toward n
+    rows += [(None, 0, "Null group first."), (None, 1, "Null group second.")]
     df = spark.createDataFrame(rows, "grp string, id int, sentence string")
-    out = SM.summarize(df, ["grp"], "id", "sentence", ratio=0.3, local_max_incidences=local_max).collect()
+    out = SM.summarize(df, ["grp"], ["id"], "sentence", ratio=0.3).collect()
     g = [r for r in out if r.grp == "g"]
     assert len(g) == math.ceil(0.3 * (len(SENTS) + 1))    # 8 distinct sentences -> 3
     assert {r.sentence for r in g} <= set(SENTS)
     assert 99 not in {r.id for r in g}                      # duplicates keep first position
     assert [r.sentence for r in out if r.grp == "one"] == ["Only one sentence."]
+    assert len([r for r in out if r.grp is None]) == 1
+    whole = SM.summarize(df, ["grp"], ["id"], "sentence", ratio=1.0).collect()
+    assert len([r for r in whole if r.grp is None]) == 2
+
+
+def test_positions_are_columns_not_packed_numbers(spark):
+    rows = [(1, 0, i, f"sentence number {i} about thing {i % 7}") for i in range(1004)] + [(1, 1, 0, "another paragraph here")]
+    df = spark.createDataFrame(rows, "page int, para int, sent int, sentence string")
+    out = SM.summarize(df, ["page"], ["para", "sent"], "sentence", ratio=1.0).collect()
+    assert {(r.para, r.sent) for r in out} == {r[1:3] for r in rows}
 
 
-def test_label_sections_trims_labels_and_drops_other(spark):
-    df = spark.createDataFrame([(1, 0, "A b.", "buildings"), (1, 2, "C d.", "infrastructure "),
-                                (1, 1, "E f.", "buildings"), (1, 3, "G h.", "other")],
-                               "doc_id int, sent_pos int, sentence string, label string")
-    got = {r.section: (r.n_sentences, r.section_text) for r in SM.label_sections(df, ["doc_id"]).collect()}
+def test_label_sections_summarize_per_label(spark):
+    rows = [(1, 0, "A b.", "buildings"), (1, 2, "C d.", "infrastructure "), (1, 1, "E f.", "buildings"), (1, 3, "G h.", "other")]
+    df = spark.createDataFrame(rows, "doc_id int, sent_pos int, sentence string, label string")
+    got = {r.section: (r.n_sentences, r.section_text) for r in SM.label_sections(df, ["doc_id"], ["sent_pos"], ratio=1.0).collect()}
     assert got == {"Buildings": (2, "A b. E f."), "Infrastructure": (1, "C d.")}
+    many = spark.createDataFrame([(None, i, s, "buildings") for i, s in enumerate(SENTS)], df.schema)
+    r = SM.label_sections(many, ["doc_id"], ["sent_pos"]).first()
+    w = _brute_textrank(SENTS)
+    best = sorted(sorted(range(len(SENTS)), key=lambda i: -round(w[i], 9))[:math.ceil(0.2 * len(SENTS))])
+    assert r.doc_id is None and r.section_text == " ".join(SENTS[i] for i in best)
