@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardlake.functions import timefmt as TF
+from hazardlake.operators.common import checkpoint as cut
 from hazardlake.operators.sinks import merge_partitions
 from hazardlake.session import ensure_checkpoint_dir
 
@@ -83,6 +84,8 @@ def upsert_batches(stream: DataFrame, table_path: str, checkpoint: str, keys: li
     function of the key.
     """
     def merge(batch: DataFrame, epoch: int) -> None:
+        # The merge reads the batch more than once; stateful plans must run once.
+        batch = cut(batch)
         merge_partitions(batch.sparkSession, table_path, batch, keys, seq, partition_by, latest=True)
 
     (stream.writeStream.foreachBatch(merge).outputMode(output_mode).option("checkpointLocation", checkpoint)
