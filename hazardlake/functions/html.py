@@ -26,7 +26,29 @@ HREF_RE = r"""(?i)<a\s[^>]*?href="([^"]*)\""""
 SRC_RE = r"""(?i)<img\s[^>]*?src="([^"]*)\""""
 
 
+NUMERIC_RE = r"&#(?:[xX][0-9a-fA-F]+|[0-9]+);"
+
+
+def _numeric_char(ref: Column) -> Column:
+    """Character of ``&#n;`` or ``&#xh;``; a reference to no character stays as it is."""
+    digits = F.regexp_replace(ref, "[&#;]", "")
+    n = F.when(F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substr(digits, F.lit(2)), 16, 10)).otherwise(
+        digits).try_cast("int")
+    valid = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, n)), 8, "0")), "UTF-32")
+    return F.coalesce(char, ref)
+
+
+def numeric_references(c: Column) -> Column:
+    """Decode numeric character references; texts without one are left alone."""
+    parts = F.split(c, NUMERIC_RE, -1)
+    chars = F.transform(F.regexp_extract_all(c, F.lit(NUMERIC_RE), F.lit(0)), _numeric_char)
+    joined = F.array_join(F.flatten(F.zip_with(parts, chars, lambda p, x: F.array(p, F.coalesce(x, F.lit(""))))), "")
+    return F.when(c.rlike(NUMERIC_RE), joined).otherwise(c)
+
+
 def unescape_entities(c: Column) -> Column:
+    c = numeric_references(c)
     for entity, char in HTML_ENTITIES:
         c = F.replace(c, F.lit(entity), F.lit(char))
     return c

@@ -84,3 +84,11 @@ def test_stitch_only_after_the_marker(spark):
     got = [(r.doc_id, r.line_no, r.url) for r in S.url_line_stitch(docs, known, marker="References").collect()]
     assert got == [(1, 2, "http://ex.org/b")]
     assert S.url_line_stitch(docs, known).count() == 3
+
+
+def test_numeric_references(spark):
+    from hazardlake.functions import html as H
+    rows = [("a&#233;b&#x41;&#X1F600; &amp;#65; &#0; &#55296; &#99999999999; &lt;",), ("none",), (None,), ("&#33;",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r.t for r in df.select(H.unescape_entities(F.col("t")).alias("t")).collect()]
+    assert got == ["a\u00e9bA\U0001F600 &#65; &#0; &#55296; &#99999999999; <", "none", None, "!"]
