@@ -115,6 +115,20 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, stream: int
     return mix64(np.add.reduceat(value, start - first) + (end - start).astype(_U) * h.base)
 
 
+def run_hashes(raw: np.ndarray, start: np.ndarray, stream: int) -> np.ndarray:
+    """One 64-bit hash per run of bytes; runs begin at ``start`` and end at the next one. Every byte counts."""
+    if not len(start):
+        return np.zeros(0, _U)
+    if stream not in _HASHES:
+        _HASHES[stream] = _ByteHash(stream)
+        _HASHES[stream].table = seeds(256, stream)
+    h = _HASHES[stream]
+    length = np.diff(np.append(start, len(raw)))
+    at = np.arange(len(raw) - int(start[0]), dtype=np.int64) - np.repeat(start - int(start[0]), length)
+    value = h.table[raw[int(start[0]):]] * h.power(int(length.max()))[at]
+    return mix64(np.add.reduceat(value, start - int(start[0])) + length.astype(_U) * h.base)
+
+
 def ngram_hashes(words: np.ndarray, n: int, stream: int = 11) -> np.ndarray:
     """Hash of every run of ``n`` consecutive words, document ends ignored."""
     count = len(words) - n + 1

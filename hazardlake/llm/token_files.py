@@ -19,7 +19,6 @@ largest 64-bit number, comes last, and is read back as null. Repeated doc_ids ar
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from urllib.parse import urlparse
 
@@ -29,103 +28,153 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardlake.llm import hashing as H
 from hazardlake.llm.staging import new_path
 
 _NO_ID = np.iinfo(np.int64).max
-#: Text encoded at once in one task; pieces remembered by a Python worker per generation.
-_CHUNK_CHARS, _CACHE_PIECES = 1_000_000, 400_000
-#: A single space between two other characters always begins a new piece of byte-level pre-tokenization.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"\s | \s|^ | $")
-_SPACE = re.compile(r"\s")
-
-
-class PieceEncoder:
-    """Encodes texts piece by piece with the tokenizers library, each distinct piece once.
-
-    Byte-level BPE merges never cross pre-token borders. A single space between
-    two non-space characters is such a border, a line feed between two is a
-    token of its own, and so is the border between a letter and a closing comma or
-    full stop; the joined ids therefore equal those of the whole text. Pieces
-    are kept in two generations of bounded size that tasks of one worker share.
+#: Bytes of text encoded at once in one task; units remembered by a Python worker.
+_CHUNK_BYTES, _CACHE_UNITS = 1 << 21, 2_000_000
+_ASCII_SOLID = np.zeros(256, bool)
+_ASCII_SOLID[0x21:0x7F] = True
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: Lead bytes of two-byte characters without white space among them.
+_TWO_BYTES = np.zeros(256, bool)
+_TWO_BYTES[0xC3:0xE0] = True
+
+
+def unit_starts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """First bytes of the units that a chunk of documents is encoded in.
+
+    Units begin at document starts and at certain borders of byte-level
+    pre-tokenization: a single space or line feed between two characters that
+    surely are no white space, and a comma or full stop after an ASCII letter
+    that closes a word. BPE merges never cross them, so the ids of a text
+    are those of its units joined.
+    """
+    n = len(raw)
+    if not n:
+        return np.zeros(0, np.int64)
+    before = np.zeros(n, bool)
+    before[1:] = _ASCII_SOLID[raw[:-1]]
+    before[2:] |= (raw[1:-1] >= 0x80) & _TWO_BYTES[raw[:-2]]
+    after = np.zeros(n, bool)
+    after[:-1] = _ASCII_SOLID[raw[1:]] | _TWO_BYTES[raw[1:]] | (raw[1:] >= 0xE4)
+    filled = offsets[:-1][np.diff(offsets) > 0]
+    before[filled] = False
+    after[offsets[1:][offsets[1:] > 0] - 1] = False
+    cut = ((raw == 32) | (raw == 10)) & before & after
+    closes = np.zeros(n, bool)
+    closes[:-1] = cut[1:]
+    closes[offsets[1:][offsets[1:] > 0] - 1] = True
+    mark = ((raw == 44) | (raw == 46)) & closes
+    mark[0] = False
+    mark[1:] &= _ASCII_LETTER[raw[:-1]]
+    cut |= mark
+    cut[filled] = True
+    return np.flatnonzero(cut)
+
+
+class _Rows:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, values: np.ndarray):
+        self.data, self.n = values, len(values)
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.data):
+            grown = np.empty(2 * (self.n + len(values)), self.data.dtype)
+            grown[:self.n] = self.data[:self.n]
+            self.data = grown
+        self.data[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+
+class UnitEncoder:
+    """Encodes texts unit by unit with the tokenizers library, each distinct unit once.
+
+    The ids of known units lie in one pool; a unit is looked up by a 64-bit hash of its
+    bytes in a sorted array. Tokenizer and pool outlive a task in its Python worker.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str):
+    def __init__(self, tokenizer_json: str, dtype: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
-        self.tokenizer = tokenizers.Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype, self.width = dtype, np.dtype(dtype).itemsize
-        vocab = self.tokenizer.get_vocab()
-        self.opens = np.zeros(max(vocab.values()) + 1, bool)
-        # "\u0120" is how byte-level vocabularies write a space.
-        self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
-        self.mark = {c: self._whole([c])[0] for c in ",.\n"}
-        # The worker process outlives a task; its caches hang on the library's module.
-        shared = tokenizers.__dict__.setdefault("_pieces_seen", {})
-        self.seen = shared.setdefault((zlib.crc32(tokenizer_json.encode()), dtype), [{}, {}])
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _spaced(self, words: list[str]) -> list[bytes]:
-        """Ids of " " + word for words without white space, from one joined text."""
-        if not words:
-            return []
-        ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids,
+        shared = tokenizers.__dict__.setdefault("_unit_encoders", {})
+        key = (zlib.crc32(tokenizer_json.encode()), dtype, end_id)
+        if key not in shared:
+            tokenizer = tokenizers.Tokenizer.from_str(tokenizer_json)
+            tokenizer.encode_special_tokens = True
+            vocab = tokenizer.get_vocab()
+            opens = np.zeros(max(vocab.values()) + 1, bool)
+            # "\u0120" is how byte-level vocabularies write a space.
+            opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+            shared[key] = {"tokenizer": tokenizer, "opens": opens}
+        self.state, self.dtype, self.end_id = shared[key], np.dtype(dtype), end_id
+        if "keys" not in self.state:
+            self._clear()
+
+    def _clear(self) -> None:
+        """Unit 0 is the end of a document."""
+        self.state |= {"keys": np.zeros(0, np.uint64), "unit": np.zeros(0, np.int64),
+                       "pool": _Rows(np.array([self.end_id], self.dtype)),
+                       "begin": _Rows(np.zeros(1, np.int64)), "width": _Rows(np.ones(1, np.int64))}
+
+    def _each(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.state["tokenizer"].encode_batch_fast(units, add_special_tokens=False)
+        ids = [e.ids for e in found]
+        return (np.array([i for x in ids for i in x], self.dtype), np.array([len(x) for x in ids], np.int64))
+
+    def _joined(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units " word" encoded as one text; a token that opens with a space begins the next unit."""
+        ids = np.array(self.state["tokenizer"].encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids,
                        self.dtype)
-        start = np.flatnonzero(self.opens[ids])
-        if len(start) != len(words):
-            return self._whole([" " + w for w in words])
-        raw, at = ids.tobytes(), (np.append(start, len(ids)) * self.width).tolist()
-        return [raw[i:j] for i, j in zip(at[:-1], at[1:])]
-
-    def _learn(self, words: set[str]) -> dict:
-        """Cache with the ids of " " + word for all ``words``."""
-        young, old = self.seen
-        if len(young) > _CACHE_PIECES:
-            young, old = self.seen[:] = {}, young
-        fresh = []
-        for w in words.difference(young):
-            ids = old.get(w)
-            if ids is None:
-                fresh.append(w)
-            else:
-                young[w] = ids
-        spaced, whole, built = set(), [], []
-        for w in fresh:
-            if w.isalpha():
-                spaced.add(w)
-            elif w[-1:] in (",", ".") and w[:-1].isalpha():
-                spaced.add(w[:-1])
-                built.append((w, w[:-1], w[-1]))
-            elif not _SPACE.search(w):
-                spaced.add(w)
-            else:
-                a, _, b = w.partition("\n")
-                if a and b and not _SPACE.search(a) and not _SPACE.search(b):
-                    spaced.add(a)
-                    built.append((w, a, "\n" + b))
-                else:
-                    whole.append(w)
-        need = [w for w in spaced if w not in young]
-        young.update(zip(need, self._spaced(need)))
-        young.update(zip(whole, self._whole([" " + w for w in whole])))
-        tails = [t for _, _, t in built if len(t) > 1]
-        tail = dict(zip(tails, self._whole([t[1:] for t in tails])))
-        for w, head, t in built:
-            young[w] = young[head] + (self.mark["\n"] + tail[t] if len(t) > 1 else self.mark[t])
-        return young
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [(_CUT.split(t) if _ODD_SPACE.search(t) else t.split(" ")) for t in texts]
-        heads = self._whole([c[0] for c in cut])
-        words: set[str] = set()
-        for c in cut:
-            words.update(c[1:])
-        get = self._learn(words).__getitem__
-        return [h + b"".join(map(get, c[1:])) for h, c in zip(heads, cut)]
+        start = np.flatnonzero(self.state["opens"][ids])
+        if len(start) != len(units):
+            return self._each(units)
+        return ids, np.diff(np.append(start, len(ids)))
+
+    def _learn(self, units: list[str]) -> np.ndarray:
+        """Adds units to the pool; returns their numbers."""
+        state, out = self.state, np.zeros(len(units), np.int64)
+        plain = np.array([u[0] == " " and u.split() == [u[1:]] for u in units], bool)
+        for group, encode in ((np.flatnonzero(plain), self._joined), (np.flatnonzero(~plain), self._each)):
+            if len(group):
+                ids, width = encode([units[i] for i in group])
+                out[group] = state["begin"].n + np.arange(len(group))
+                state["begin"].append(state["pool"].n + np.cumsum(width) - width)
+                state["width"].append(width)
+                state["pool"].append(ids)
+        return out
+
+    def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per document) of a chunk of documents; the end id closes each."""
+        state, n_docs = self.state, len(offsets) - 1
+        start = unit_starts(raw, offsets)
+        known, first, place = np.unique(H.run_hashes(raw, start, stream=61), return_index=True, return_inverse=True)
+        if len(state["keys"]) > _CACHE_UNITS:
+            self._clear()
+        at = np.searchsorted(state["keys"], known)
+        met = np.zeros(len(known), bool)
+        inside = at < len(state["keys"])
+        met[inside] = state["keys"][at[inside]] == known[inside]
+        unit = np.zeros(len(known), np.int64)
+        unit[met] = state["unit"][at[met]]
+        fresh = np.flatnonzero(~met)
+        if len(fresh):
+            end = np.append(start[1:], len(raw))
+            data, pick = raw.tobytes(), first[fresh]
+            unit[fresh] = self._learn([data[a:b].decode() for a, b in zip(start[pick].tolist(), end[pick].tolist())])
+            state["keys"] = np.insert(state["keys"], at[fresh], known[fresh])
+            state["unit"] = np.insert(state["unit"], at[fresh], unit[fresh])
+        bounds = np.searchsorted(start, offsets)
+        order = np.insert(unit[place], bounds[1:], 0)
+        width = state["width"].data[order]
+        total = np.cumsum(width)
+        ids = state["pool"].data[np.repeat(state["begin"].data[order] - (total - width), width)
+                                 + np.arange(int(total[-1]) if n_docs else 0)]
+        ends = total[bounds[1:] + np.arange(n_docs)]
+        return ids, np.diff(np.concatenate(([0], ends)))
 
 
 def local_folder(path: str) -> str:
@@ -146,39 +195,28 @@ def _write_mapper(folder: str, tokenizer_json: str, dtype: str, end_id: int):
     def run(batches):
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         os.makedirs(folder, exist_ok=True)
-        encode, end = PieceEncoder(tokenizer_json, dtype), np.array([end_id], dtype).tobytes()
-        width, sizes, ids = np.dtype(dtype).itemsize, [], []
+        encode = UnitEncoder(tokenizer_json, dtype, end_id)
+        sizes, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         name = f"tokens-{part:05d}.bin"
         with open(f"{folder}/.{name}.{attempt}", "wb") as out:
             for batch in batches:
-                ids.append(batch.column(0).to_numpy())
-                texts, held = [], 0
-                for value in batch.column(1):
-                    texts.append(value.as_py())
-                    held += len(texts[-1])
-                    if held >= _CHUNK_CHARS:
-                        sizes += _append(out, encode(texts), end, width)
-                        texts, held = [], 0
-                if texts:
-                    sizes += _append(out, encode(texts), end, width)
+                docs.append(batch.column(0).to_numpy())
+                raw, offs = H.text_buffer(batch.column(1))
+                for a, b in H.chunks(offs, _CHUNK_BYTES):
+                    ids, size = encode(raw[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+                    ids.tofile(out)
+                    sizes.append(size)
         os.replace(f"{folder}/.{name}.{attempt}", f"{folder}/{name}")
-        docs = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-        offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.uint64))).astype("<u8")
-        _replace(folder, f"docs-{part:05d}.bin", docs.astype("<i8"))
+        offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype("<u8")
+        ids = np.concatenate(docs)
+        _replace(folder, f"docs-{part:05d}.bin", ids.astype("<i8"))
         _replace(folder, f"local-{part:05d}.bin", offsets)
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(docs)], pa.int64()),
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(ids)], pa.int64()),
                                           pa.array([int(offsets[-1])], pa.int64())],
                                          names=["part", "n_docs", "n_tokens"])
     return run
 
 
-def _append(out, encoded: list[bytes], end: bytes, width: int) -> list[int]:
-    for e in encoded:
-        out.write(e)
-        out.write(end)
-    return [len(e) // width + 1 for e in encoded]
-
-
 def _base_mapper(folder: str):
     def run(batches):
         for batch in batches:
@@ -217,7 +255,7 @@ def _read_mapper(folder: str, dtype: str):
             for part in batch.column(0).to_pylist():
                 docs = np.fromfile(f"{folder}/docs-{part:05d}.bin", "<i8")
                 offsets = np.memmap(f"{folder}/offsets-{part:05d}.bin", "<u8", "r")
-                tokens = np.memmap(f"{folder}/tokens-{part:05d}.bin", dtype, "r")
+                tokens = np.asarray(np.memmap(f"{folder}/tokens-{part:05d}.bin", dtype, "r"))
                 base, step = int(offsets[0]), 20_000
                 for i in range(0, len(docs), step):
                     at = offsets[i:i + step + 1].astype(np.int64)

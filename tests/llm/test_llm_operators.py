@@ -276,17 +276,23 @@ def test_token_files_round_trip(request, spark, tmp_path, table):
         at += len(ids)
 
 
-def test_token_pieces_equal_whole_texts():
+def test_token_units_equal_whole_texts():
+    import pyarrow as pa
     import public_tokenizers
     from tokenizers import Tokenizer
+    from hazardlake.llm.hashing import text_buffer
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encode = T.PieceEncoder(open(path, encoding="utf-8").read(), "<u2")
+    encode = T.UnitEncoder(open(path, encoding="utf-8").read(), "<u2", 0)
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
     rng = random.Random(2)
-    part = ["a", "é", " ", "  ", "\n", "\t", "'s", "1", "!", "\x1c", "😀", "<|endoftext|>", "中", "\r\n", "don't", "\x85", "\xa0"]
-    texts = ["".join(rng.choices(part, k=rng.randint(0, 30))) for _ in range(3000)]
-    assert encode(texts) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    part = ["a", "é", " ", "  ", "\n", "\t", "'s", "1", "!", "\x1c", "😀", "<|endoftext|>", "中", "\r\n", "don't", "\x85",
+            "\xa0", ",", ".", "b,", "\nc", "ab. ", "\u3000", "\u2009", "ª", "×", " x", "\x7f"]
+    for _ in range(3):
+        texts = ["".join(rng.choices(part, k=rng.randint(0, 30))) for _ in range(3000)]
+        ids, size = encode(*text_buffer(pa.array(texts)))
+        want = [whole.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+        assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
 def test_token_files_need_a_mounted_folder():
