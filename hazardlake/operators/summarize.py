@@ -25,8 +25,9 @@ from hazardlake.functions.lookups import SECTION_LABELS
 from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
                                          rank_within_groups, spread)
 
-#: Iterations between two checkpoints of the per-sentence state.
-CUT_EVERY = 5
+#: Iterations between two checkpoints of the per-sentence state. An iteration
+#: reads the state twice, so the plan doubles with each one that is not cut.
+CUT_EVERY = 2
 
 
 def _group(keys: list[str]):
@@ -60,24 +61,23 @@ def _scores(nodes: DataFrame, text_col: str, damping: float, iterations: int,
     tok = checkpoint(inc.groupBy("_g", "_t").agg(F.sum("_a").alias("_s"), F.count("*").alias("_n"))
                      .select("_g", "_t", "_s", F.when(F.col("_n") > hot, F.lit(salts)).otherwise(F.lit(1)).alias("_ns"))
                      .withColumn("_tid", F.monotonically_increasing_id()))
-    numbered = inc.join(tok, ["_g", "_t"]).select("_id", "_a", "_tid", "_s", F.pmod(
+    numbered = inc.join(tok, ["_g", "_t"]).select("_id", "_a", "_tid", "_s", "_ns", F.pmod(
         F.xxhash64("_id"), F.col("_ns")).cast("int").alias("_salt"))
-    by_sent, t1 = bucketed_copy(numbered.select("_id", "_tid", "_a", "_s"), ["_id"], parts, "inc_by_sentence")
+    by_sent, t1 = bucketed_copy(numbered.select("_id", "_tid", "_ns", "_a", "_s"), ["_id"], parts, "inc_by_sentence")
     t2 = None
     try:
         by_tok, t2 = bucketed_copy(numbered.select("_id", "_tid", "_salt"), ["_tid", "_salt"], parts, "inc_by_token")
         # W_i = a_i * sum_{t in i} S_t - 1, with S_t = sum_{k has t} a_k.
         node = checkpoint(by_sent.groupBy("_id").agg(F.first("_a").alias("_a"), F.sum("_s").alias("_ss"))
                           .select("_id", "_a", (F.col("_a") * F.col("_ss") - 1.0).alias("_w"), F.lit(1.0).alias("_r")))
-        salt_of = tok.select("_tid", "_ns")
         for k in range(iterations):
             x = F.when(F.col("_w") > 1e-12, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
             nx = node.select("_id", "_a", "_w", x.alias("_x"))
             # sentence -> token: U_t = sum a_i x_i (partial sums leave each task)
-            u = (by_sent.select("_id", "_tid").join(nx.select("_id", (F.col("_a") * F.col("_x")).alias("_y")), "_id")
-                 .groupBy("_tid").agg(F.sum("_y").alias("_u")))
-            u_rep = (u.join(salt_of, "_tid")
-                     .select("_tid", "_u", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt")))
+            u = (by_sent.select("_id", "_tid", "_ns")
+                 .join(nx.select("_id", (F.col("_a") * F.col("_x")).alias("_y")), "_id")
+                 .groupBy("_tid", "_ns").agg(F.sum("_y").alias("_u")))
+            u_rep = u.select("_tid", "_u", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt"))
             # token -> sentence: sum_{t in j} U_t
             su = by_tok.join(u_rep, ["_tid", "_salt"]).groupBy("_id").agg(F.sum("_u").alias("_su"))
             node = (nx.join(su, "_id", "left")
