@@ -80,8 +80,7 @@ def bucketed_copy(df: DataFrame, cols: list[str], buckets: int, label: str):
     For a large table joined again and again on the same key (iterations):
     the bucketed scan reports its hash partitioning, so each join shuffles
     only the other, smaller side; the files also outlive lost executors.
-    Drop the table with ``drop_table`` when done (the files stay with the
-    checkpoint folder).
+    Remove table and files with ``drop_table`` when done.
     """
     spark = df.sparkSession
     name = f"hazardlake_{label}_{uuid.uuid4().hex[:12]}"
@@ -93,7 +92,10 @@ def bucketed_copy(df: DataFrame, cols: list[str], buckets: int, label: str):
 
 
 def drop_table(spark, name: str) -> None:
+    """Drop a table of ``bucketed_copy`` and delete its files."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
