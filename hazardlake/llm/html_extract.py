@@ -8,7 +8,8 @@ tags, LC link characters and LT link tags below it, the link-adjusted density is
 (zeros count as 1). A node's density sum adds its children's densities. The node
 with the largest sum marks the article; the smallest density on its path to the
 body is the threshold, and subtrees at or above it join the text. Where the
-marked node lies in an ``article`` or ``main`` element, that element bounds it.
+marked node lies in an ``article`` or ``main`` element, or one holds at least
+half of its characters, that element bounds it.
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles
 and reader comments are pruned first: by element, role and class name; a
@@ -52,7 +53,7 @@ _CLASSES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor",
             "overlay", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination",
             "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "signup", "footer",
             "masthead", "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "widget",
-            "toolbar", "skip"}
+            "toolbar", "skip", "header", "topbar", "aside", "login", "search", "copyright"}
 
 
 class _Node:
@@ -205,6 +206,9 @@ def main_text(page: str | None) -> str:
         up = up.parent
     if up is not None:
         return _text([up])
+    named = max((n for n in nodes if n.tag in ("article", "main")), key=lambda n: n.c, default=None)
+    if named is not None and 2 * named.c >= best.c:
+        return _text([named])
     threshold, up = best.density, best
     while up is not None:
         threshold, up = min(threshold, up.density), up.parent

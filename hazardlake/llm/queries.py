@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardlake.llm import quality_rules as Q
 from hazardlake.llm.decontaminate import decontaminate
 from hazardlake.llm.html_extract import extract_main_text
 from hazardlake.llm.line_dedup import remove_repeated_lines
 from hazardlake.llm.mixing import mix_plan
 from hazardlake.llm.near_dedup import near_duplicates
-from hazardlake.llm.quality_rules import quality_rules
 from hazardlake.llm.secret_scan import scan_secrets
 from hazardlake.llm.sharding import shard_documents
 from hazardlake.llm.substring_dedup import remove_repeats
@@ -23,7 +24,7 @@ from hazardlake.plans.tables import load
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality signals of all documents and the verdict of rules with certified cutoffs."""
     docs = load(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return quality_rules(docs, load(spark, sf_dir, "labels")).select(
+    return Q.quality_rules(docs, load(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         "kept", "failed_rules")
 
@@ -36,8 +37,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all documents left after deleting later copies of repeated runs of two or more lines."""
     kept = remove_repeated_lines(load(spark, sf_dir, "documents", "doc_id", "text"))
-    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"),
-                       "longest_run")
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +88,93 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                              op6_near_dedup, op7_token_files, op8_html_text, op9_mixing, op10_substring_dedup)
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text"
+
+
+
+def _quality_sql() -> str:
+    """Signals, exact binomial bounds and verdicts, written from the definition."""
+    n, order = len(Q.RULES), list(Q.RULES)
+    value = {r: re.sub(r"try_divide\((\w+), (\w+)\)", r"(\1 / \2)", v) for r, (v, _) in Q.RULES.items()}
+    grid = ", ".join(f"('{r}', {j}, {c})" for r, (_, cuts) in Q.RULES.items() for j, c in enumerate(cuts))
+    values = ", ".join(f"{{'rule': '{r}', 'v': {value[r]}}}" for r in order)
+    p = Q.ALPHA / n
+    term = f"exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({p!r}) + (n - k) * ln(1 - {p!r}))"
+    return f"""
+  WITH d AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+  g AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i,
+               unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM d),
+  rep AS (SELECT doc_id, count(DISTINCT i + o) AS r
+          FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g), range(0, 5) AS x(o)
+          WHERE c > 1 GROUP BY doc_id),
+  sig AS (SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                 length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                 len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                 len(list_distinct(w)) AS n_distinct_words, coalesce(r, 0) AS n_repeat_words
+          FROM (SELECT *, list_filter(string_split(t, chr(10)),
+                                      lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d)
+          LEFT JOIN rep USING (doc_id)),
+  b AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.REPEAT_PERCENT} * n_words AS base_failed FROM sig),
+  v AS (SELECT doc_id, stratum, unnest([{values}], recursive := true) FROM b WHERE NOT base_failed),
+  good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+  grid AS (SELECT * FROM (VALUES {grid}) AS c(rule, j, cutoff)),
+  cnt AS (SELECT stratum, rule, j, cutoff, count(*) AS n, count(*) FILTER (WHERE v > cutoff) AS rejected
+          FROM v JOIN grid USING (rule) WHERE doc_id IN (SELECT doc_id FROM good) GROUP BY ALL),
+  lev AS (SELECT {Q.DELTA} / greatest(1, {n} * count(*)) AS level FROM (SELECT DISTINCT stratum FROM cnt)),
+  pk AS (SELECT n, k, sum({term}) OVER (PARTITION BY n ORDER BY k) AS cdf
+         FROM (SELECT n, unnest(range(0, least(CAST(floor(n * {p!r}) AS BIGINT), n - 1) + 1)) AS k
+               FROM (SELECT DISTINCT n FROM cnt))),
+  ok AS (SELECT n, max(k) FILTER (WHERE cdf <= level) AS allowed FROM pk, lev GROUP BY n),
+  cuts AS (SELECT stratum, rule, arg_max(cutoff, j) AS cutoff FROM cnt JOIN ok USING (n)
+           WHERE rejected <= allowed GROUP BY stratum, rule),
+  bad AS (SELECT v.doc_id, string_agg(v.rule, ',' ORDER BY list_position({order!r}, v.rule)) AS failed_rules
+          FROM v JOIN cuts c ON c.rule = v.rule AND c.stratum IS NOT DISTINCT FROM v.stratum
+          WHERE v.v > c.cutoff GROUP BY v.doc_id)
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+         NOT base_failed AND failed_rules IS NULL AS kept, coalesce(failed_rules, '') AS failed_rules
+  FROM b LEFT JOIN bad USING (doc_id)"""
+
+
+#: DuckDB SQL for the queries that it can express, over whole tables.
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": _quality_sql(),
+    "op3_line_dedup": r"""
+  WITH l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS p, unnest(ls) AS line
+             FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+  s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS k FROM l
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+  w AS (SELECT a.doc_id, a.k, row_number() OVER (PARTITION BY a.line, b.line ORDER BY a.doc_id, a.k) AS copy
+        FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.k = a.k + 1),
+  cut AS (SELECT DISTINCT doc_id, k + o AS k FROM w, range(0, 2) AS r(o) WHERE copy > 1),
+  t AS (SELECT l.doc_id, l.p, l.line, s.k, cut.k AS gone FROM l LEFT JOIN s USING (doc_id, p)
+        LEFT JOIN cut ON cut.doc_id = l.doc_id AND cut.k = s.k)
+  SELECT doc_id, count(k) AS n_lines, count(gone) AS n_removed,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE gone IS NULL), '')) AS kept_sha256
+  FROM t GROUP BY doc_id""",
+    "op6_near_dedup": f"""
+  WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS w FROM (SELECT doc_id, {_LOWER} FROM documents)),
+  sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE
+           list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM d),
+  n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+  common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s)
+             WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+  link AS (SELECT x, y FROM common JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+           WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+  reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, link.y FROM reach JOIN link ON other = x)
+  SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+  FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op10_substring_dedup": f"""
+  WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+  win AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i,
+                 unnest(list_transform(range(1, len(w) - 48), lambda i: array_to_string(w[i:i + 49], ' '))) AS text FROM d),
+  hit AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS first FROM win) WHERE first < doc_id),
+  cut AS (SELECT DISTINCT doc_id, i + o AS i FROM hit, range(0, 50) AS r(o)),
+  t AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+  k AS (SELECT t.doc_id, count(*) AS n_words, count(cut.i) AS n_removed,
+               string_agg(word, ' ' ORDER BY t.i) FILTER (WHERE cut.i IS NULL) AS kept
+        FROM t LEFT JOIN cut ON cut.doc_id = t.doc_id AND cut.i = t.i GROUP BY t.doc_id)
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+         sha256(coalesce(kept, '')) AS kept_sha256
+  FROM documents LEFT JOIN k USING (doc_id)""",
+}

@@ -33,6 +33,12 @@ def test_article_with_noise_inside():
     assert main_text(page) == " ".join(("Head " + LONG + LONG).split())
 
 
+def test_short_article_beside_unnamed_noise():
+    page = "<body><div class='x'>Some odd line of text</div><article><p>Short body of the article here.</p></article></body>"
+    assert main_text(page) == "Short body of the article here."
+    assert main_text("<body><div class='page-header'>Site</div><article><div class='article-header'><h1>T</h1></div><p>x y</p></article>") == "T x y"
+
+
 def test_density_picks_the_text_block_without_an_article_element():
     links = "".join(f"<li><a href='/{i}'>some link text number {i}</a></li>" for i in range(40))
     body = "".join(f"<p>{LONG}</p>" for _ in range(6))
