@@ -19,7 +19,7 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         second = np.zeros(n, np.int64)
         second[:n - done] = rank[done:] + 1
         both = rank * (int(rank.max()) + 2) + second
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         step = np.empty(n, np.int64)
         step[0] = 0
         step[1:] = both[order[1:]] != both[order[:-1]]
@@ -88,7 +88,8 @@ class FMIndex:
         solid[sep_at] = False
         solid[-1] = False
         text[solid] = numbers + 2
-        owner = np.repeat(np.append(docs, np.iinfo(np.int64).max), np.append(lengths + 1, 1))
+        self.none = np.iinfo(docs.dtype).max
+        owner = np.repeat(np.append(docs, self.none).astype(docs.dtype), np.append(lengths + 1, 1))
         order = suffix_array(text, depth)
         self.sigma = len(self.alphabet) + 2
         self.matrix = WaveletMatrix(text[order - 1], self.sigma)
@@ -118,8 +119,8 @@ class FMIndex:
         return base + both[:n], base + both[n:]
 
     def smallest(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Smallest document id in each suffix interval (empty: the largest number)."""
-        out = np.full(len(lo), np.iinfo(np.int64).max)
+        """Smallest document in each suffix interval (empty: the type's largest number)."""
+        out = np.full(len(lo), self.none)
         some = np.flatnonzero(hi > lo)
         if len(some):
             a, width = lo[some], hi[some] - lo[some]

@@ -42,7 +42,7 @@ from hazardlake.llm.staging import bounded, drop, stage
 
 WINDOW, GRAM = 50, 10
 #: Windows of one passage at most, words of one index, passages of one key in an index part.
-PASSAGE_WINDOWS, SHARD_WORDS, PART_PASSAGES = 64, 200_000, 20_000
+PASSAGE_WINDOWS, SHARD_WORDS, PART_PASSAGES = 64, 400_000, 20_000
 _NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
 _PASSAGES = "key long, doc_id long, first int, windows int, h1 long, h2 long"
@@ -161,7 +161,8 @@ def _search_mapper(window: int, shard_words: int):
     """Rows (key, part, indexed, h1, h2, doc_id, words) sorted by (key, part) -> repeated intervals."""
     def answer(rows):
         indexed = np.array([r[0] for r in rows], bool)
-        docs = np.array([r[3] for r in rows], np.int64)
+        # Documents by rank: the range-minimum table then takes four bytes an entry.
+        docs = np.unique(np.array([r[3] for r in rows], np.int64), return_inverse=True)[1].astype(np.int32)
         text = [np.frombuffer(r[4], np.uint64) for r in rows]
         size = np.array([len(x) for x in text], np.int64)
         chosen = np.flatnonzero(indexed)
