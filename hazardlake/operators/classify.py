@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hazardlake.functions import text as T
 from hazardlake.functions.lookups import CLASS_NAMES
-from hazardlake.operators.common import checkpoint, spread
+from hazardlake.operators.common import checkpoint
 
 
 def argmax(scores: Column) -> Column:
@@ -84,7 +84,7 @@ def classify_sentences(model: NaiveBayes, sentences: DataFrame, keys: list[str],
     class without training rows is never chosen. ``keys`` identify a sentence.
     """
     n = len(model.documents)
-    base = checkpoint(spread(sentences))
+    base = checkpoint(sentences)
     each = (base.select(*keys, F.explode(T.tokens(F.col(text_col))).alias("token"))
             .join(model.counts, "token", "left")
             .groupBy(*keys).agg(F.count("*").alias("_n"), *[

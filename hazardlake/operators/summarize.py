@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from hazardlake.functions import text as T
 from hazardlake.functions.lookups import SECTION_LABELS
 from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
-                                         rank_within_groups, spread)
+                                         rank_within_groups)
 
 #: Iterations between two checkpoints of the per-sentence state. An iteration
 #: reads the state twice, so the plan doubles with each one that is not cut.
@@ -101,7 +101,7 @@ def textrank_scores(sentences: DataFrame, keys: list[str], pos: list[str], text_
                     damping: float = 0.85, iterations: int = 20,
                     salt_buckets: int | None = None) -> DataFrame:
     """(keys..., pos..., score) for every sentence; isolated ones get 1-d."""
-    nodes = _nodes(spread(sentences.select(*keys, *pos, text_col)), keys)
+    nodes = _nodes(sentences.select(*keys, *pos, text_col), keys)
     return (nodes.join(_scores(nodes, text_col, damping, iterations, salt_buckets), "_id")
             .select(*keys, *pos, "score"))
 
