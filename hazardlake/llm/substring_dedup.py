@@ -29,7 +29,6 @@ Rows that share a doc_id count as one document; a null doc_id sorts last.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
