@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hazardlake import schemas
 from hazardlake.functions import text as T
+from hazardlake.operators import geo as GO
 from hazardlake.operators import match as M
 
 POST_COLS = ["user", "location", "date", "coordinates", "content"]
@@ -27,12 +28,21 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def search_posts(posts: DataFrame, events: DataFrame, event_key: str, terms_col: str,
-                 since: str, n: int = 10, post_key: str = "post_id") -> DataFrame:
+                 since: str, n: int = 10, post_key: str = "post_id", radius_km: float | None = None) -> DataFrame:
     """Per event: the first ``n`` original posts since ``since`` holding all
-    of the event's search terms (retweets excluded), newest first."""
+    of the event's search terms (retweets excluded), newest first. With
+    ``radius_km`` only posts whose coordinates (lon, lat) lie that near to
+    the event's ``latitude`` and ``longitude``."""
     recent = posts.where((F.col("date") >= F.lit(since).cast("timestamp_ntz"))
                          & ~F.coalesce(F.col("is_retweet"), F.lit(False)))
     hits = M.all_terms_match(events, recent, event_key, terms_col, post_key, "content")
+    if radius_km is not None:
+        placed = (recent.join(hits.select(post_key).distinct(), post_key, "left_semi")
+                  .select(post_key, F.try_element_at("coordinates", F.lit(2)).alias("latitude"),
+                          F.try_element_at("coordinates", F.lit(1)).alias("longitude"))
+                  .where("latitude is not null and longitude is not null"))
+        near = GO.within_radius(events, placed, radius_km, event_key, post_key)
+        hits = hits.join(near.select(event_key, post_key), [event_key, post_key], "left_semi")
     ranked = M.first_n_posts(hits.join(recent.select(post_key, "date"), post_key), event_key,
                              [F.desc("date"), F.asc(post_key)], n)
     return ranked.drop("date").join(recent.select(post_key, *POST_COLS), post_key).select(

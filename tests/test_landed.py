@@ -31,6 +31,16 @@ def test_search_posts_filters_retweets_dates_and_terms(spark):
     assert got == [(1, "4"), (2, "1")]          # newest first, retweet and old post excluded
 
 
+def test_search_posts_within_a_radius(spark):
+    posts = L.read_posts(spark, _write([
+        {"post_id": str(i), "date": "2030-01-05T10:00:00", "content": "quake here", "coordinates": c}
+        for i, c in enumerate([[10.0, 45.0], [10.5, 45.0], [40.0, 45.0], None, []])]))
+    ev = spark.createDataFrame([(1, ["quake"], 45.0, 10.0)], "e int, terms array<string>, latitude double, longitude double")
+    got = L.search_posts(posts, ev, "e", "terms", "2030-01-01", radius_km=100.0)
+    assert sorted(r.post_id for r in got.collect()) == ["0", "1"]
+    assert L.search_posts(posts, ev, "e", "terms", "2030-01-01").count() == 5
+
+
 def test_news_articles_projection(spark):
     arts = L.read_articles(spark, _write([
         {"source": {"name": "Wire"}, "title": "Strong earthquake hits Haiti", "url": "u1",
