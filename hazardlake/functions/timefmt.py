@@ -61,17 +61,22 @@ def day_key(ts: Column) -> Column:
 
 def path_time(ts: Column) -> Column:
     """Path-safe time: date, underscore, time (no ``/`` and no space)."""
-    return F.date_format(ts, "yyyy-MM-dd_HH:mm:ss")
+    return F.concat(F.to_date(ts).cast("string"), F.lit("_"), clock(ts), F.lit(":"), _two(F.second(ts)))
 
 
 def narrative_date(ts: Column) -> Column:
-    """``September 15, 2021`` (unpadded day)."""
-    return F.date_format(ts, "MMMM d, yyyy")
+    """``September 15, 2021`` (unpadded day). Formatted from the date: a wall
+    clock time that the session zone skips would be moved."""
+    return F.date_format(F.to_date(ts), "MMMM d, yyyy")
 
 
 def clock(ts: Column) -> Column:
     """``21:05`` (zero-padded hour and minute)."""
-    return F.date_format(ts, "HH:mm")
+    return F.concat(_two(F.hour(ts)), F.lit(":"), _two(F.minute(ts)))
+
+
+def _two(number: Column) -> Column:
+    return F.lpad(number.cast("string"), 2, "0")
 
 
 def older_than(ts: Column, asof: str, days: int) -> Column:

@@ -830,7 +830,7 @@ def log_merge(spark, sf):
     log = schemas.LOG
     flat = _flat(spark, sf).withColumn("rupture_time", F.date_trunc("second", F.col("rupture_time")).cast("timestamp_ntz"))
     stored = flat.where(F.col("rupture_time") < F.lit(LOG_SPLIT).cast("timestamp_ntz"))
-    text_time = F.date_format("rupture_time", "yyyy/MM/dd HH:mm:ss")
+    text_time = F.translate(TF.path_time(F.col("rupture_time")), "-_", "/ ")
     csv = SI.scratch_path(spark, "log-csv")
     stored.select(*[text_time.alias(c) if c == "rupture_time" else F.col(c) for c in log.names]).write.option(
         "header", True).csv(csv)
