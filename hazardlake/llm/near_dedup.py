@@ -6,9 +6,12 @@
 2. Documents with equal sets form a class; its smallest doc_id stands for it.
 3. Banding: representatives that agree on one whole band share a bucket. Each
    bucket links its members to its smallest member only, so a bucket of any
-   size gives one row per member.
-4. Signature check: such a link stays if the signatures agree on at least half
-   of their places. Components of these links are clusters.
+   size gives one row per member. Such a link stays if the signatures agree on
+   at least half of their places; components of these links are first clusters.
+4. Open buckets: where a bucket still holds members of several first clusters,
+   all members of different ones are tested with each other, block by block
+   inside tasks, and spanning links are returned. So any two documents that share a
+   bucket and agree on half of their signatures are in one cluster.
 5. Inside a cluster the full shingle sets decide. Large clusters are dealt
    into blocks of bounded size and each pair of blocks is one unit of work
    that gets exact overlaps from an inverted index over its shingles and returns
@@ -34,6 +37,8 @@ from hazardlake.llm.staging import bounded, drop, stage
 BANDS, ROWS = 32, 4
 #: Documents and shingles that one block of a large cluster holds on average.
 BLOCK_DOCS, BLOCK_SHINGLES = 512, 400_000
+#: Members of an open bucket that one block holds on average.
+BUCKET_DOCS = 1024
 #: Share of equal minima below which a bucket's link is no cluster link.
 LOOSE = 0.5
 _SETS = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
@@ -105,6 +110,73 @@ def _agree_mapper(loose: float):
     return run
 
 
+def loose_links(ids: np.ndarray, label: np.ndarray, side: np.ndarray, sig: np.ndarray, loose: float) -> list:
+    """Links between members of different ``label`` that agree on ``loose`` of their signatures.
+
+    ``side`` 0/1 are the two blocks (all 0: one block with itself). Linked labels
+    become one, so the links only span what they join.
+    """
+    label, links, both = label.copy(), [], bool(side.any())
+    for i in range(len(ids)):
+        other = label[i + 1:] != label[i]
+        if both:
+            other &= side[i + 1:] != side[i]
+        rest = np.flatnonzero(other) + i + 1
+        if not len(rest):
+            continue
+        near = rest[(sig[rest] == sig[i]).mean(axis=1) >= loose]
+        found, at = np.unique(label[near], return_index=True)
+        if len(found):
+            links += [(int(ids[i]), int(ids[j])) for j in near[at]]
+            label[np.isin(label, found)] = label[i]
+    return links
+
+
+def _open_mapper(loose: float):
+    """Rows (band, x, y, block, doc_id, label, sig) sorted by unit (band, x, y)."""
+    def run(batches):
+        key, rows = None, []
+
+        def flush():
+            ids, label, side = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+            sig = np.frombuffer(b"".join(r[3] for r in rows), np.uint32).reshape(len(rows), -1)
+            links = loose_links(ids, label, side, sig, loose)
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()),
+                                               pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for band, x, y, block, doc, label, sig in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, x, y) != key:
+                    if len(rows) > 1:
+                        yield flush()
+                    key, rows = (band, x, y), []
+                rows.append((doc, label, int(block != x), sig))
+        if len(rows) > 1:
+            yield flush()
+    return run
+
+
+def open_links(shared: DataFrame, clusters: DataFrame, sig: DataFrame) -> DataFrame:
+    """Spanning loose links (a, b) between first clusters that meet in a bucket.
+
+    shared: (band, doc_id) of all buckets; clusters: (node, component); sig: (doc_id, sig).
+    """
+    labelled = stage(shared.join(clusters.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                     .select("band", "doc_id", F.coalesce("component", "doc_id").alias("label")), "labelled")
+    left = stage(labelled.groupBy("band").agg(F.count("*").alias("m"), F.min("label").alias("low"),
+                                              F.max("label").alias("high")).where("low < high")
+                 .select("band", F.ceil(F.col("m") / BUCKET_DOCS).cast("long").alias("n_blocks")), "open")
+    dealt = labelled.join(bounded(left, 16), "band").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")))
+    units = (dealt.join(sig, "doc_id")
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+             .select("band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                     "block", "doc_id", "label", "sig")
+             .repartition("band", "x", "y").sortWithinPartitions("band", "x", "y"))
+    found = stage(units.mapInArrow(_open_mapper(LOOSE), "a long, b long"), "met")
+    drop(labelled, left)
+    return found
+
+
 def spanning_links(ids: np.ndarray, side: np.ndarray, flat: np.ndarray, at: np.ndarray, percent: int) -> list:
     """Links (i, j) with 100 * overlap >= percent * union that span the pairs compared.
 
@@ -212,18 +284,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80,
 
     banded = reps.select("doc_id", "sig").mapInArrow(_band_mapper(bands, rows), "band long, doc_id long")
     buckets = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z")
-    pairs = stage(banded.join(buckets.select("band", "a"), "band").where("doc_id > a")
-                  .select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+    shared = stage(banded.join(buckets.select("band", "a"), "band"), "shared")
+    pairs = stage(shared.where("doc_id > a").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
     sig = reps.select("doc_id", "sig")
     small = bounded(pairs, 24)
     first = sig.join(small, sig.doc_id == pairs.a).select("a", "b", F.col("sig").alias("sig_a"))
     both = sig.join(first, sig.doc_id == first.b).select("a", "b", "sig_a", "sig")
     loose = both.mapInArrow(_agree_mapper(LOOSE), "a long, b long")
     clusters = connected_components(loose, "a", "b", "clusters")
+    met = open_links(shared.select("band", "doc_id"), clusters, sig)
+    if not met.isEmpty():
+        starred = clusters.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        clusters = connected_components(starred.unionByName(met), "a", "b", "joined")
     members = clusters.join(reps.select(F.col("doc_id").alias("node"), "n_shingles").distinct(), "node")
     exact = exact_links(docs, members, shingle, percent)
     parts = stage(connected_components(exact, "a", "b", "links"), "parts")
-    drop(pairs)
+    drop(pairs, shared, met)
 
     out = classed.withColumn("rep", F.coalesce("rep", "doc_id"))
     out = out.join(bounded(parts, 32).withColumnRenamed("node", "rep"), "rep", "left")

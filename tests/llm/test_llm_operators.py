@@ -248,6 +248,22 @@ def test_near_duplicates_in_blocks_of_large_clusters(spark, small, monkeypatch):
     assert {r.doc_id: r.component_id for r in out} == comp and len(set(comp.values())) > 3
 
 
+def test_near_pairs_among_strangers_of_common_shingles(spark, monkeypatch):
+    """Background similarity 0.3: dissimilar documents with smaller ids share every bucket of a planted pair."""
+    rng = random.Random(4)
+    pool, rows = [f"w{i}" for i in range(260)], []
+    for i in range(2400):
+        rows.append((i, rng.sample(pool, 120)))
+    for i in range(30):
+        mine = rng.sample(pool, 120)
+        rest = [w for w in pool if w not in mine]
+        rows += [(10_000 + 2 * i, mine), (10_001 + 2 * i, mine[:-8] + rest[:8])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(N, "BUCKET_DOCS", 16, raising=False)
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(df, 1).collect()}
+    assert got == {i: i - 1 if i >= 10_000 and i % 2 else i for i, _ in rows}
+
+
 def test_keep_one(odd):
     left = N.keep_one(odd)
     assert left.columns == odd.columns
