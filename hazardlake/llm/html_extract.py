@@ -7,9 +7,15 @@ tags, LC link characters and LT link tags below it, the link-adjusted density is
 
 (zeros count as 1). A node's density sum adds its children's densities. The node
 with the largest sum marks the article; the smallest density on its path to the
-body is the threshold, and subtrees at or above it join the text. Where the
-marked node lies in an ``article`` or ``main`` element, or one holds at least
-half of its characters, that element bounds it.
+body is the threshold, and subtrees and loose text at or above it join the text,
+on every page. ``article`` and ``main`` elements refine this: a ``main`` that is the
+outermost one around the marked node bounds the text, an ``article`` around the
+node is kept whole, and outside of a ``main`` only its like join it; a marked
+node outside of them that has at least half of its characters in such elements
+stands for the largest one. Inside a ``main`` headings ``h1`` join, and a further
+``article`` or ``main`` also joins with at least half as much unlinked text per
+tag as the marked one (the density favours size, so shorter neighbours would
+miss the threshold).
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles
 and reader comments are pruned first: by element, role and class name; a
@@ -56,6 +62,9 @@ _CLASSES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor",
             "toolbar", "skip", "header", "topbar", "aside", "login", "search", "copyright"}
 
 
+_NAMED = {"article", "main"}
+
+
 class _Node:
     __slots__ = ("tag", "parts", "parent", "drop", "hinted", "titled", "c", "t", "lc", "lt", "density", "total")
 
@@ -156,6 +165,18 @@ def _walk(root: _Node) -> list[_Node]:
     return out
 
 
+def _link_share(body: _Node) -> float:
+    return body.lc / max(1, body.c)
+
+
+def _density(c: int, t: int, lc: int, lt: int, share: float) -> float:
+    if not c:
+        return 0.0
+    t, lc, lt = max(1, t), max(1, lc), max(1, lt)
+    base = math.log(c * lc / max(1, c - lc) + share * c + math.e)
+    return c / t * math.log(max(1.0, c * t / (lc * lt))) / math.log(max(base, 1.001))
+
+
 def _measure(nodes: list[_Node]) -> None:
     for node in reversed(nodes):
         own = sum(len("".join(x.split())) for x in node.parts if isinstance(x, str))
@@ -165,18 +186,14 @@ def _measure(nodes: list[_Node]) -> None:
         if node.parent is not None:
             up = node.parent
             up.c, up.t, up.lc, up.lt = up.c + node.c, up.t + node.t + 1, up.lc + node.lc, up.lt + node.lt
-    body = nodes[0]
-    share = body.lc / max(1, body.c)
+    share = _link_share(nodes[0])
     for node in nodes:
-        if node.c:
-            t, lc, lt = max(1, node.t), max(1, node.lc), max(1, node.lt)
-            base = math.log(node.c * node.lc / max(1, node.c - node.lc) + share * node.c + math.e)
-            node.density = node.c / t * math.log(max(1.0, node.c * t / (lc * lt))) / math.log(max(base, 1.001))
+        node.density = _density(node.c, node.t, node.lc, node.lt, share)
         if node.parent is not None:
             node.parent.total += node.density
 
 
-def _text(nodes: list[_Node]) -> str:
+def _text(nodes: list[_Node | str]) -> str:
     out = []
     for top in nodes:
         todo = [top]
@@ -201,33 +218,63 @@ def main_text(page: str | None) -> str:
     best = max(nodes, key=lambda n: n.total)
     if not best.total:
         return _text([body])
-    up = best
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
-    if up is not None:
-        return _text([up])
-    named = max((n for n in nodes if n.tag in ("article", "main")), key=lambda n: n.c, default=None)
-    if named is not None and 2 * named.c >= best.c:
-        return _text([named])
-    threshold, up = best.density, best
-    while up is not None:
-        threshold, up = min(threshold, up.density), up.parent
-    # Subtrees at or above the threshold, topmost first, in page order; the marked node always counts.
-    path = set()
-    up = best.parent
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    threshold, share = min(n.density for n in above), _link_share(body)
+    # Ancestors of article and main elements are looked into.
+    holds = set()
+    for node in nodes:
+        up = node.parent if node.tag in _NAMED else None
+        while up is not None and id(up) not in holds:
+            holds.add(id(up))
+            up = up.parent
+    named = [n for n in above if n.tag in _NAMED]
+    bound, marked, only_named = body, best, False
+    if named:
+        only_named = named[-1].tag == "article"
+        bound = body if only_named else named[-1]
+        marked = next((n for n in reversed(named) if n.tag == "article"), best)
+    else:
+        inside = _topmost_named(best)
+        if 2 * sum(n.c for n in inside) >= best.c:
+            marked = max(inside, key=lambda n: n.c)
+    path, up = set(), marked.parent
     while up is not None:
         path.add(id(up))
         up = up.parent
-    chosen, todo = [], [body]
+    least = (marked.c - marked.lc) / max(1, marked.t) / 2
+    # Parts that join, topmost first, in page order; the marked node always counts.
+    chosen, todo = [], [bound]
     while todo:
         node = todo.pop()
-        if id(node) in path:
-            todo += [x for x in reversed(node.parts) if not isinstance(x, str)]
-        elif node is best or node.density >= threshold and node.c:
+        if isinstance(node, str):
+            if not only_named and _density(len("".join(node.split())), 0, 0, 0, share) >= threshold:
+                chosen.append(node)
+        elif node is marked:
             chosen.append(node)
+        elif id(node) in path:
+            todo += node.parts[::-1]
+        elif node.c and (node.tag in _NAMED and node.c - node.lc >= least * max(1, node.t)
+                         or (node.tag in _NAMED or not only_named) and node.density >= threshold
+                         or bound is not body and node.tag == "h1"):
+            chosen.append(node)
+        elif id(node) in holds or bound is not body and node.titled:
+            todo += node.parts[::-1]
     return _text(chosen)
 
 
+def _topmost_named(top: _Node) -> list[_Node]:
+    found, todo = [], [top]
+    while todo:
+        node = todo.pop()
+        if node.tag in _NAMED:
+            found.append(node)
+        else:
+            todo += [x for x in reversed(node.parts) if not isinstance(x, str)]
+    return found
+
+
 def _mapper(batches):
     for batch in batches:
         texts = [main_text(x.as_py()) for x in batch.column(2)]

@@ -45,6 +45,38 @@ def test_density_picks_the_text_block_without_an_article_element():
     assert main_text(f"<body><div><ul>{links}</ul></div><div>{body}</div></body>") == " ".join((LONG * 6).split())
 
 
+CARDS = "".join(f"<article><h3><a href='/{i}'>Teaser title number {i}</a></h3><p>Few words.</p></article>"
+                for i in range(12))
+
+
+@pytest.mark.parametrize("outer", ["main", "div"])
+def test_text_spread_over_several_articles_without_teaser_cards(outer):
+    parts = [f"<article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>",
+             f"<article><p>{LONG[:180]}</p><p>{LONG[:160]}</p></article>"]
+    page = f"<body><{outer}>{''.join(parts)}<div class='grid'>{CARDS}</div></{outer}></body>"
+    assert main_text(page) == " ".join((LONG * 3 + LONG[:180] + " " + LONG[:160]).split())
+
+
+def test_an_article_elsewhere_does_not_replace_the_densest_block():
+    body = "".join(f"<p>{LONG}</p>" for _ in range(6))
+    page = f"<body><div><div>{body}</div></div><div><article><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article></div></body>"
+    assert " ".join((LONG * 6).split()) in main_text(page)
+
+
+def test_main_bounds_but_does_not_decide():
+    body = "".join(f"<p>{LONG}</p>" for _ in range(6))
+    cards = CARDS.replace("article>", "div>")
+    page = f"<body><main><h1>Title</h1><div>{body}</div><div>{cards}</div></main></body>"
+    assert main_text(page) == " ".join(("Title " + LONG * 6).split())
+
+
+def test_pages_without_their_article_tags(spark):
+    for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
+        if r.html:
+            plain = re.sub(r"(</?)article\b", r"\1div", r.html)
+            assert main_text(plain) == main_text(r.html)
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 50_000 + "deep") == "deep"
     assert len(main_text("<p>" + "word " * 400_000 + "</p>")) == 400_000 * 5 - 1
