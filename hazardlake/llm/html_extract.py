@@ -18,8 +18,13 @@ tag as the marked one (the density favours size, so shorter neighbours would
 miss the threshold).
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles
-and reader comments are pruned first: by element, role and class name; a
-node that holds the page's ``h1`` or ``main`` is never pruned by its class.
+and reader comments are pruned first: by element, role and class name. A class
+or id counts if all of it is such a name, alone or with words of place and form
+("sidebar", "cookie-notice", "page-header", not "no-sidebar" or "header-files").
+A node that holds the page's ``h1`` or ``main`` is never pruned by its class, nor is
+one with most of the page's unlinked text while no ``article``, ``main`` or ``h1``
+outside of it has text. An unclosed element whose content is skipped ends at
+the next block tag (scripts and styles go on to the end).
 Character references are decoded, white space inside a block becomes one space,
 and blocks are joined in page order by one space. A null or empty page, or one
 without text, gives an empty string. One page is worked on in memory; time is
@@ -43,11 +48,12 @@ _WORDS = re.compile(r"[a-z]+")
 
 # Fixed element names.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "object", "math"}
+_RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg"}
 _BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog",
           "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "head", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section",
           "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCK))})(?=[\s/>])", re.I)
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"ul", "ol", "table", "dl", "body", "div", "section", "article"}
@@ -62,19 +68,31 @@ _CLASSES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "sponsor",
             "toolbar", "skip", "header", "topbar", "aside", "login", "search", "copyright"}
 
 
+#: Words that may stand beside a name of ``_CLASSES`` in one class or id.
+_BESIDE = {"a", "area", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "center", "col", "column",
+           "container", "content", "desktop", "div", "fixed", "form", "global", "group", "holder", "icons", "inner", "item",
+           "items", "js", "left", "link", "links", "list", "main", "media", "mobile", "outer", "page", "panel", "post",
+           "posts", "primary", "right", "row", "secondary", "section", "site", "slot", "small", "sticky", "stories",
+           "article", "articles", "text", "the", "thread", "title", "top", "unit", "user", "wrap", "wrapper", "web"}
 _NAMED = {"article", "main"}
 
 
 class _Node:
-    __slots__ = ("tag", "parts", "parent", "drop", "hinted", "titled", "c", "t", "lc", "lt", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "drop", "hinted", "classed", "titled", "c", "t", "lc", "lt", "density", "total")
 
     def __init__(self, tag: str, parent: _Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
-        self.drop = self.hinted = self.titled = False
+        self.drop = self.hinted = self.classed = self.titled = False
         self.c = self.t = self.lc = self.lt = 0
         self.density = self.total = 0.0
 
 
+def _noise(name: str) -> bool:
+    """Whether one class or id, as a whole, names a part that is pruned."""
+    words = _WORDS.findall(name)
+    return not _CLASSES.isdisjoint(words) and all(w in _CLASSES or w in _BESIDE for w in words)
+
+
 def _judge(node: _Node, attrs: str) -> None:
     """Prune by element name, or note a hint in role, class, id or visibility."""
     tag = node.tag
@@ -89,10 +107,11 @@ def _judge(node: _Node, attrs: str) -> None:
     for name, *values in _ATTR.findall(attrs):
         value = "".join(values).lower()
         name = name.lower()
-        if name == "role" and value in _ROLES or name in ("class", "id") and not _CLASSES.isdisjoint(
-                _WORDS.findall(value)) or name == "aria-hidden" and value == "true" or (
+        if name == "role" and value in _ROLES or name == "aria-hidden" and value == "true" or (
                 name == "style" and "display:none" in value.replace(" ", "")):
             node.hinted = tag not in ("html", "body", "main")
+        elif name in ("class", "id") and any(map(_noise, value.split())):
+            node.classed = tag not in ("html", "body", "main")
     if re.search(r"(?:^|\s)hidden(?:\s|/|$)", attrs):
         node.hinted = True
 
@@ -100,7 +119,7 @@ def _judge(node: _Node, attrs: str) -> None:
 def parse(page: str) -> _Node:
     """Element tree of a page; text parts are decoded strings. Unclosed and stray tags are tolerated."""
     root = _Node("body", None)
-    cur, at, size = root, 0, len(page)
+    cur, at, size, unclosed = root, 0, len(page), set()
     while at < size:
         m = _TAG.search(page, at)
         text = page[at:m.start()] if m else page[at:]
@@ -123,8 +142,13 @@ def parse(page: str) -> _Node:
             continue
         attrs = m.group(3) or m.group(6) or ""
         if name in _RAW and not attrs.endswith("/"):
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size
+            end = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+                continue
+            unclosed.add(name)
+            block = None if name in ("script", "style") else _BLOCK_TAG.search(page, at)
+            at = block.start() if block else size
             continue
         if name in ("html", "body"):
             continue
@@ -150,8 +174,34 @@ def parse(page: str) -> _Node:
     return root
 
 
+def _pruned(node: _Node) -> bool:
+    return node.drop or (node.hinted or node.classed) and not node.titled
+
+
+def _spare(root: _Node) -> None:
+    """Takes back the class hint of a node with most of the unlinked text, if no named text is outside of it."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [x for x in node.parts if not isinstance(x, str) and not x.drop]
+    if not any(n.classed and not n.titled for n in order):
+        return
+    plain, named = {}, {}
+    for node in reversed(order):
+        size = 0 if node.tag == "a" else sum(
+            len("".join(x.split())) if isinstance(x, str) else plain.get(id(x), 0) for x in node.parts)
+        plain[id(node)] = size
+        named[id(node)] = size if node.tag in _NAMED or node.tag == "h1" else sum(
+            named.get(id(x), 0) for x in node.parts if not isinstance(x, str))
+    for node in order:
+        if (node.classed and 2 * plain[id(node)] > plain[id(root)]
+                and named[id(node)] == named[id(root)]):
+            node.classed = False
+
+
 def _kept(node) -> list:
-    return [x for x in node.parts if isinstance(x, str) or not (x.drop or x.hinted and not x.titled)]
+    return [x for x in node.parts if isinstance(x, str) or not _pruned(x)]
 
 
 def _walk(root: _Node) -> list[_Node]:
@@ -212,7 +262,9 @@ def main_text(page: str | None) -> str:
     """The article's text of one page."""
     if not page:
         return ""
-    nodes = _walk(parse(page))
+    root = parse(page)
+    _spare(root)
+    nodes = _walk(root)
     _measure(nodes)
     body = nodes[0]
     best = max(nodes, key=lambda n: n.total)

@@ -77,6 +77,30 @@ def test_pages_without_their_article_tags(spark):
             assert main_text(plain) == main_text(r.html)
 
 
+@pytest.mark.parametrize("attr", [
+    "class='content no-sidebar'", "class='article-body ad-free'", "class='has-sidebar'", "class='social-sciences'",
+    "id='search-engines'", "id='header-files'", "class='widget'"])
+def test_class_names_prune_as_a_whole(attr):
+    assert main_text(f"<h1>T</h1><div {attr}><p>{LONG}</p><p>{LONG}</p></div>").endswith("at all.") == (
+        attr != "class='widget'")
+    assert main_text(f"<div {attr}><p>{LONG}</p><p>{LONG}</p></div><div class='ad'>{LONG}</div>") == " ".join(
+        (LONG * 2).split())
+
+
+@pytest.mark.parametrize("noise", ["cookie-banner", "sidebar-left", "site-footer", "related posts", "x share-buttons"])
+def test_compound_names_of_noise_still_prune(noise):
+    assert main_text(f"<div><p>{LONG}</p></div><div class='{noise}'><p>Noise of the page</p></div>") == LONG.strip()
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<p>a <math><mi>x</mi></math> b</p>", "a x b"), ("<p>a <object>text</object> b</p>", "a text b"),
+    ("<p>one <svg> path<p>two</p>", "one two"), ("<title>t<body><p>yes</p>", "yes"),
+    ("<noscript>no<div>yes</div>", "yes"), ("<p>yes</p><script>var a = '<p>no</p>'", "yes"),
+])
+def test_skipped_and_unclosed_elements(page, want):
+    assert main_text(page) == want
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 50_000 + "deep") == "deep"
     assert len(main_text("<p>" + "word " * 400_000 + "</p>")) == 400_000 * 5 - 1
