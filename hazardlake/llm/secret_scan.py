@@ -1,13 +1,14 @@
 """Secret scan: fixed patterns plus character Markov models.
 
-Fixed patterns give labelled samples: their values are random strings, the other
-words of the documents are ordinary identifiers. First-order character models of
+Fixed patterns give labelled samples: their values are random strings, all words
+of all documents that overlap no match are ordinary identifiers, digits included. First-order character models of
 both are counted, each smoothed towards the uniform distribution. A long token
 outside all pattern matches is reported if its log-likelihood ratio per character
 transition, random against ordinary, exceeds ``THRESHOLD``.
 
-All work is built-in expressions. A text is searched inside its row; only
-transition counts (at most 2 x 80 x 80 rows) are shuffled and collected.
+All work is built-in expressions. A text is searched inside its row; counts of
+distinct words, summed map-side first, and transition counts are shuffled, and
+at most 2 x 80 x 80 rows collected.
 
 Positions are code points, end exclusive; a span is the whole match. A null text is empty. Where no
 labelled random string exists, the random model is uniform.
@@ -34,8 +35,6 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MARKOV_CHARS
 THRESHOLD = 0.35
 #: Weight of the uniform prior, in transitions per character.
 PRIOR = 40.0
-#: Documents that the model of ordinary words is fitted on (a bounded sample, chosen by hash).
-ORDINARY_DOCS = 4000
 _LOW, _SPAN = 43, 80   # code points '+' .. 'z'
 SPAN_TYPE = "array<struct<start:long,rank:int,end:long>>"
 
@@ -72,27 +71,45 @@ def base_spans(docs: DataFrame) -> DataFrame:
         for rank, (kind, pattern, group, least) in enumerate(PATTERNS)})
 
 
+def ordinary_words(docs: DataFrame) -> DataFrame:
+    """(token, n): the words of two or more characters that overlap no match of a fixed pattern, counted."""
+    d = base_spans(docs).withColumn("base", F.sort_array(F.concat(*KINDS[:3])))
+    text = F.translate("text", "\0", " ")
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.substring(text, (start + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
+
+    # Matches become a mark that joins the words around them.
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    masked = F.aggregate(
+        "base", begin,
+        lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                                F.concat(acc["out"], piece(acc["at"], s["start"]), F.lit("\0")).alias("out")),
+        lambda acc: F.concat(acc["out"], piece(acc["at"], F.length("text").cast("long"))))
+    words = F.when(F.size("base") == 0, F.split("text", r"[^A-Za-z0-9+/_=-]+")).otherwise(
+        F.filter(F.split(masked, r"[^A-Za-z0-9+/_=\x00-]+"), lambda w: ~F.contains(w, F.lit("\0"))))
+    return (d.select(F.explode(words).alias("token")).where(F.length("token") >= 2)
+            .groupBy("token").agg(F.count("*").alias("n")))
+
+
 def _transitions(tokens: DataFrame) -> DataFrame:
-    """(a, b, n): counts of neighbouring characters over a column ``token``; others than '+'..'z' are left out."""
+    """(a, b, n): counts of neighbouring characters over (token, n); others than '+'..'z' are left out."""
     chars = F.transform(F.split("token", ""), lambda c: F.ascii(c) - _LOW)
-    pairs = tokens.select(chars.alias("c")).select(F.explode(F.arrays_zip(
+    pairs = tokens.select(chars.alias("c"), "n").select("n", F.explode(F.arrays_zip(
         F.slice("c", F.lit(1), F.size("c") - 1).alias("a"), F.slice("c", F.lit(2), F.size("c")).alias("b"))).alias("p"))
-    return (pairs.select("p.a", "p.b").where(f"a between 0 and {_SPAN - 1} and b between 0 and {_SPAN - 1}")
-            .groupBy("a", "b").agg(F.count("*").alias("n")))
+    return (pairs.select("p.a", "p.b", "n").where(f"a between 0 and {_SPAN - 1} and b between 0 and {_SPAN - 1}")
+            .groupBy("a", "b").agg(F.sum("n").alias("n")))
 
 
-def train(docs: DataFrame, ordinary_docs: int = ORDINARY_DOCS) -> list[float]:
+def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios (random : ordinary) for each pair of characters, row by first character."""
     text = docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     random = [text.where(F.col("text").rlike(_QUICK[kind]))
               .select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(group))).alias("token"))
               .where(F.length("token") >= least) for kind, pattern, group, least in PATTERNS]
-    every = max(1, text.count() // ordinary_docs)
-    words = F.filter(F.split("text", r"[^A-Za-z0-9+/_=-]+"), lambda w: (F.length(w) >= 4) & ~w.rlike("[0-9]"))
-    plain = (text.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(every)) == 0)
-             .select(F.explode(words).alias("token")))
-    counts = _transitions(random[0].unionByName(random[1]).unionByName(random[2])).withColumn("random", F.lit(1))
-    counts = counts.unionByName(_transitions(plain).withColumn("random", F.lit(0)))
+    values = random[0].unionByName(random[1]).unionByName(random[2]).withColumn("n", F.lit(1).cast("long"))
+    counts = _transitions(values).withColumn("random", F.lit(1))
+    counts = counts.unionByName(_transitions(ordinary_words(text)).withColumn("random", F.lit(0)))
     table = {(r.random, r.a, r.b): r.n for r in counts.collect()}   # at most 2 x 80 x 80 rows
     logs = counts_to_log(table)
     return logs

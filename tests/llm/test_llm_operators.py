@@ -191,6 +191,35 @@ def test_markov_models_on_held_out_strings(spark, small):
     assert found[2].spans == "" and found[2].base == ""
 
 
+def test_markov_models_on_held_out_clean_tokens_with_digits(spark, small):
+    """Ordinary words are learnt from all documents, digits included; words that overlap a match are not."""
+    rng = random.Random(5)
+    words = [w for _, t in pairs(small) for w in B.words(t) if w.isascii() and w.isalpha() and len(w) > 3][:400]
+
+    def clean():
+        day = f"{rng.randint(1990, 2029)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"
+        a, b = rng.choices(words, k=2)
+        return rng.choice([f"{day}/{rng.randint(1990, 2029)}-report", f"{a}-19-{b}-{rng.randint(1990, 2029)}-data",
+                           f"data/{day}/{a}/part-{rng.randint(0, 999):05}", f"+49-30-{rng.randint(1000, 9999)}-{rng.randint(1000, 9999)}/12"])
+
+    def stamp():
+        return f"{rng.randint(1990, 2029)}{rng.randint(1, 12):02}{rng.randint(1, 28):02}-{rng.randint(0, 999999):06}-{rng.randint(0, 99999):05}"
+
+    seen = [(20_000 + i, f"see {clean()} and {stamp()} x{''.join(rng.choices('0123456789abcdef', k=32))}") for i in range(400)]
+    docs = small.select("doc_id", "text").unionByName(spark.createDataFrame(seen, "doc_id long, text string"))
+    ratios = S.train(docs)
+    held = [t for t in [f() for f in (clean, stamp) for _ in range(200)] if len(t) >= S.MARKOV_CHARS]
+    df = spark.createDataFrame([(t,) for t in held], "token string")
+    assert np.mean([r.s > S.THRESHOLD for r in df.select(S.score(F.col("token"), ratios).alias("s")).collect()]) <= 0.02
+
+
+def test_ordinary_words_leave_out_what_overlaps_a_match(spark):
+    rows = [(1, "an a1 in-2021 x0123456789abcdef0y, key=z password=abcdefghijkl tail"), (2, "no\0match 0123456789abcde")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.token: r.n for r in S.ordinary_words(docs).collect()} == dict.fromkeys(
+        ["an", "a1", "in-2021", "key=z", "tail", "no", "match", "0123456789abcde"], 1)
+
+
 @pytest.mark.parametrize("table", ["odd", "small"])
 def test_shards_are_even_and_keep_groups(request, table):
     docs = request.getfixturevalue(table)
