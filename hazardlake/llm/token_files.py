@@ -12,6 +12,9 @@ under a name of its attempt and then renamed, so repeated and speculative
 attempts leave one whole file. The folder must be mounted on all executors,
 since files are mapped into memory; the text itself only moves through Spark.
 
+With ``special_ids`` (``encode_documents`` sets it) a special token's string inside a
+text gets the special id, the tokenizer's default; without it, it is plain text.
+
 Null texts are empty: they hold the end id only. A null doc_id is stored as the
 largest 64-bit number, comes last, and is read back as null. Repeated doc_ids are kept.
 """
@@ -19,6 +22,7 @@ largest 64-bit number, comes last, and is read back as null. Repeated doc_ids ar
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from urllib.parse import urlparse
 
@@ -94,22 +98,28 @@ class UnitEncoder:
     """Encodes texts unit by unit with the tokenizers library, each distinct unit once.
 
     The ids of known units lie in one pool; a unit is looked up by a 64-bit hash of its
-    bytes in a sorted array. Tokenizer and pool outlive a task in its Python worker.
+    bytes in a sorted array. ``special_ids``: a special token's string gets its id, the
+    tokenizer's default, and is not read as plain text. Tokenizer and pool outlive a task in its Python worker.
     """
 
-    def __init__(self, tokenizer_json: str, dtype: str, end_id: int):
+    def __init__(self, tokenizer_json: str, dtype: str, end_id: int, special_ids: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tokenizers
         shared = tokenizers.__dict__.setdefault("_unit_encoders", {})
-        key = (zlib.crc32(tokenizer_json.encode()), dtype, end_id)
+        key = (zlib.crc32(tokenizer_json.encode()), dtype, end_id, special_ids)
         if key not in shared:
             tokenizer = tokenizers.Tokenizer.from_str(tokenizer_json)
-            tokenizer.encode_special_tokens = True
+            tokenizer.encode_special_tokens = not special_ids
             vocab = tokenizer.get_vocab()
             opens = np.zeros(max(vocab.values()) + 1, bool)
             # "\u0120" is how byte-level vocabularies write a space.
             opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
-            shared[key] = {"tokenizer": tokenizer, "opens": opens}
+            added = sorted((t for t in tokenizer.get_added_tokens_decoder().values()
+                            if t.content and (special_ids or not t.special)),
+                           key=lambda t: -len(t.content.encode()))
+            shared[key] = {"tokenizer": tokenizer, "opens": opens,
+                           "special": re.compile(b"|".join(re.escape(t.content.encode()) for t in added)) if added else None,
+                           "apart": not any(t.lstrip or t.rstrip or t.single_word for t in added)}
         self.state, self.dtype, self.end_id = shared[key], np.dtype(dtype), end_id
         if "keys" not in self.state:
             self._clear()
@@ -120,6 +130,25 @@ class UnitEncoder:
                        "pool": _Rows(np.array([self.end_id], self.dtype)),
                        "begin": _Rows(np.zeros(1, np.int64)), "width": _Rows(np.ones(1, np.int64))}
 
+    def _starts(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Unit starts where added tokens are units of their own.
+
+        Where a token takes its surroundings into account, a document that holds one is one unit.
+        """
+        start, special = unit_starts(raw, offsets), self.state["special"]
+        data = raw.tobytes() if special else b""
+        if not special or not special.search(data):
+            return start
+        inside, more = np.zeros(len(raw) + 1, bool), []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            for m in special.finditer(data, a, b):
+                lo, hi = m.span() if self.state["apart"] else (a, b)
+                inside[lo + 1:hi] = True
+                more += [lo] + ([hi] if hi < b else [])
+                if not self.state["apart"]:
+                    break
+        return np.union1d(start[~inside[start]], np.array(more, np.int64))
+
     def _each(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.state["tokenizer"].encode_batch_fast(units, add_special_tokens=False)
         ids = [e.ids for e in found]
@@ -150,7 +179,7 @@ class UnitEncoder:
     def __call__(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per document) of a chunk of documents; the end id closes each."""
         state, n_docs = self.state, len(offsets) - 1
-        start = unit_starts(raw, offsets)
+        start = self._starts(raw, offsets)
         known, first, place = np.unique(H.run_hashes(raw, start, stream=61), return_index=True, return_inverse=True)
         if len(state["keys"]) > _CACHE_UNITS:
             self._clear()
@@ -191,11 +220,11 @@ def _replace(folder: str, name: str, data) -> None:
     os.replace(tmp, f"{folder}/{name}")
 
 
-def _write_mapper(folder: str, tokenizer_json: str, dtype: str, end_id: int):
+def _write_mapper(folder: str, tokenizer_json: str, dtype: str, end_id: int, special_ids: bool):
     def run(batches):
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         os.makedirs(folder, exist_ok=True)
-        encode = UnitEncoder(tokenizer_json, dtype, end_id)
+        encode = UnitEncoder(tokenizer_json, dtype, end_id, special_ids)
         sizes, docs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         name = f"tokens-{part:05d}.bin"
         with open(f"{folder}/.{name}.{attempt}", "wb") as out:
@@ -227,7 +256,8 @@ def _base_mapper(folder: str):
     return run
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id: int = 0) -> dict:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id: int = 0,
+                      special_ids: bool = False) -> dict:
     """Encode all documents into ``folder``; returns the manifest (parts, bases, type of ids)."""
     from tokenizers import Tokenizer
     spark = docs.sparkSession
@@ -237,7 +267,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_json: str, end_id:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    stats = sorted(ordered.mapInArrow(_write_mapper(local, tokenizer_json, dtype, end_id),
+    stats = sorted(ordered.mapInArrow(_write_mapper(local, tokenizer_json, dtype, end_id, special_ids),
                                       "part int, n_docs long, n_tokens long").collect())
     bases, at = [], 0
     for s in stats:
@@ -281,4 +311,5 @@ def read_token_files(spark: SparkSession, manifest: dict) -> DataFrame:
 def encode_documents(docs: DataFrame, tokenizer_json: str) -> DataFrame:
     """Write the documents' token files to the shared folder and read them back."""
     spark = docs.sparkSession
-    return read_token_files(spark, write_token_files(docs, new_path(spark, "tokens"), tokenizer_json))
+    return read_token_files(spark, write_token_files(docs, new_path(spark, "tokens"), tokenizer_json,
+                                                     special_ids=True))

@@ -340,6 +340,22 @@ def test_token_units_equal_whole_texts():
         assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_special_token_strings_get_their_ids_in_files(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, rng = Tokenizer.from_file(path), random.Random(6)
+    part = ["a", "é", " ", "  ", "\n", "don't", ",", ".", "ab. ", " x", "<|endoftext|>", "<|endof", "text|>"]
+    texts = ["x <|endoftext|> y", "<|endof", "text|>", "<|endoftext|>"] + [
+        "".join(rng.choices(part, k=rng.randint(0, 30))) for _ in range(1000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = T.encode_documents(docs, open(path, encoding="utf-8").read()).collect()
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in out}
+    for i, text in enumerate(texts):
+        ids = np.array(whole.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        assert got[i] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_token_files_need_a_mounted_folder():
     with pytest.raises(ValueError):
         T.local_folder("hdfs://cluster/tokens")
