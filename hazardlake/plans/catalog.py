@@ -878,12 +878,14 @@ def report_assemble(spark, sf):
     of its articles, impact text, picture links."""
     ev = N.event_narratives(_order_events(spark, sf), key="event_id", carry=["country", "rupture_time"])
     # The region page of a country: the page whose id is the nation's key.
-    region = S.page_text_concat(_illustrated(spark, sf).where("page_id < 25"))
+    nation = _nation(spark, sf)
+    keyed = _illustrated(spark, sf).join(nation, F.col("page_id") == F.col("n_nationkey"), "left_semi")
+    region = S.page_text_concat(keyed)
     pics = H.images_with_suffix(F.col("html"), ".png")
-    shown = _illustrated(spark, sf).where("page_id < 25").select(
+    shown = keyed.select(
         "page_id", F.try_element_at(pics, F.lit(1)).alias("picture_1"),
         F.try_element_at(pics, F.lit(2)).alias("picture_2"))
-    place = (_nation(spark, sf).join(region, F.col("n_nationkey") == F.col("page_id"))
+    place = (nation.join(region, F.col("n_nationkey") == F.col("page_id"))
              .join(shown, "page_id").select(F.col("n_name").alias("country"), F.col("text").alias("region_text"),
                                             "picture_1", "picture_2"))
     ev = ev.join(place, "country", "left")

@@ -1,3 +1,6 @@
+import os
+
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from hazardlake.operators import report as RP
@@ -25,3 +28,18 @@ def test_report_hazard_text_and_pictures(spark):
         .withColumn("rupture_time", F.col("t").cast("timestamp_ntz"))
     got = {r.event_id: r for r in RP.assemble_reports(ev, "event_id", region_col="region", picture_cols=["pic"]).collect()}
     assert got[1].hazard_text == "N.\n\nRegion." and got[2].hazard_text == "N." and got[1].pic == "p.png"
+
+
+def test_region_pages_follow_the_nation_keys(spark, tmp_path):
+    """A nation with a key beyond 24 has its region text too."""
+    for name in os.listdir(SF_SMALL):
+        key = {"nation.parquet": "n_nationkey", "customer.parquet": "c_nationkey", "pages.parquet": "page_id"}.get(name)
+        if key is None:
+            os.symlink(f"{SF_SMALL}/{name}", tmp_path / name)
+            continue
+        t = spark.read.parquet(f"{SF_SMALL}/{name}")
+        moved = F.when(F.col(key) == 24, 1_000_030).otherwise(F.col(key)).cast(t.schema[key].dataType)
+        t.withColumn(key, moved).write.parquet(str(tmp_path / name))
+    from hazardlake.plans.catalog import report_assemble
+    got, want = (report_assemble(spark, sf).where("region_text is null").count() for sf in (str(tmp_path), SF_SMALL))
+    assert got == want
