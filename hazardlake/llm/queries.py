@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardlake.llm import quality_rules as Q
+from hazardlake.llm.conversation_repair import damaged_and_repaired
 from hazardlake.llm.decontaminate import decontaminate
 from hazardlake.llm.html_extract import extract_main_text
 from hazardlake.llm.line_dedup import remove_repeated_lines
@@ -16,8 +17,10 @@ from hazardlake.llm.mixing import mix_plan
 from hazardlake.llm.near_dedup import near_duplicates
 from hazardlake.llm.secret_scan import scan_secrets
 from hazardlake.llm.sharding import shard_documents
+from hazardlake.llm.simhash import simhash_duplicates
 from hazardlake.llm.substring_dedup import remove_repeats
 from hazardlake.llm.token_files import encode_documents
+from hazardlake.llm.whitening import whiten
 from hazardlake.plans.tables import load
 
 
@@ -83,9 +86,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened onto the first four components of their distinct integer vectors."""
+    return whiten(load(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=4, scale=256)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash classes of all documents: 3-word shingles, at most two differing bits."""
+    return simhash_duplicates(load(spark, sf_dir, "documents", "doc_id", "text"), words=3, distance=2)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage by checksum."""
+    return damaged_and_repaired(load(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_line_dedup, op4_secret_scan, op5_sharding,
-                             op6_near_dedup, op7_token_files, op8_html_text, op9_mixing, op10_substring_dedup)
+                             op6_near_dedup, op7_token_files, op8_html_text, op9_mixing, op10_substring_dedup,
+                             op11_whitening, op12_simhash, op13_conversation_repair)
 }
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')"
@@ -136,6 +155,71 @@ def _quality_sql() -> str:
   FROM b LEFT JOIN bad USING (doc_id)"""
 
 
+def _repair_sql() -> str:
+    """Damage, faults and the repair as a backward recursion over rows; a state's value is (cost, letters, lines)."""
+    bits = ("list_reduce(list_prepend(xor(a, c), range(8)), "
+            "lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)")
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    crc = f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(string_split({key}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda a, c: {bits}), 4294967295)"""
+    to, given = (2, 2, 3, 2), ("user:", "user:", "assistant:", "user:")
+
+    def edge(letter: str, cost: str, v: str, line: str = "") -> str:
+        lines = f"list_prepend({line}, {v}.o)" if line else f"{v}.o"
+        return f"{{'c': {v}.c + {cost}, 'a': '{letter}' || {v}.a, 'o': {lines}}}"
+
+    def least(*options: str) -> str:
+        return f"list_sort([{', '.join(options)}])[1]"
+
+    def relaxed(before: str) -> str:
+        def once(source: str) -> str:
+            ins = [edge("I", "5", f"{source}{to[q]}", "'" + given[q] + "'") for q in range(4)]
+            return ", ".join(f"{least(f'v{q}', ins[q])} AS w{q}" for q in range(4))
+        one = once("v")
+        two = once("w").replace(" AS w", " AS x")
+        return (f"SELECT conv_id, i, x0 AS q0, x1 AS q1, x2 AS q2, x3 AS q3 FROM "
+                f"(SELECT *, {two} FROM (SELECT *, {one} FROM ({before})))")
+
+    def stepped(q: int) -> str:
+        free = "fault NOT IN ('blank', 'duplicate')"
+        late = "CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END"
+        role = given[q][:-1]
+        keeps = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[q]
+        options = [edge("D", "2", f"q{q}")]
+        options.append(f"CASE WHEN {free} THEN {edge('R', '1 + ' + late, f'q{to[q]}', chr(39) + role + ':' + chr(39) + ' || text')} END")
+        options += [f"CASE WHEN {free} AND role[1] = '{c}' THEN {edge('K', late, f'q{t}', chr(39) * 2 + ' || role || ' + chr(39) + ':' + chr(39) + ' || text')} END"
+                    for c, t in keeps.items()]
+        return f"list_sort(list_filter([{', '.join(options)}], lambda o: o IS NOT NULL))[1] AS v{q}"
+
+    end = {q: "{'c': %d, 'a': '', 'o': CAST([] AS VARCHAR[])}" % (0 if q in (0, 3) else 10 ** 12) for q in range(4)}
+    base = f"SELECT conv_id, count(*) AS i, {', '.join(f'{end[q]} AS v{q}' for q in range(4))} FROM f GROUP BY conv_id"
+    step = (f"SELECT dp.conv_id, dp.i - 1 AS i, {', '.join(map(stepped, range(4)))} FROM dp JOIN f "
+            "ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i")
+    return f"""
+  WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS kind
+                       FROM conversations),
+  d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+  r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
+  f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                       WHEN regexp_matches(text, '[^.!?\\x20\\x09-\\x0D][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+               coalesce(lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au'), FALSE) AS odd
+        FROM r),
+  dp AS ({relaxed(base)} UNION ALL {relaxed(step)}),
+  facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE odd) AS illegal
+            FROM f GROUP BY conv_id)
+  SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+         coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(q0.c, 0) AS cost,
+         coalesce(q0.a, '') AS audit, sha256(coalesce(array_to_string(q0.o, chr(10)), '')) AS repaired_sha256
+  FROM (SELECT DISTINCT conv_id FROM conversations) AS ids
+  LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM ids.conv_id
+  LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM ids.conv_id AND dp.i = 0"""
+
+
 #: DuckDB SQL for the queries that it can express, over whole tables.
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _quality_sql(),
@@ -177,4 +261,5 @@ ORACLE: dict[str, str] = {
   SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
          sha256(coalesce(kept, '')) AS kept_sha256
   FROM documents LEFT JOIN k USING (doc_id)""",
+    "op13_conversation_repair": _repair_sql(),
 }
