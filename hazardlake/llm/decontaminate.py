@@ -16,7 +16,8 @@ words counts as one shingle of its own length).
 The items are a stated query set. They are read in blocks of bounded size
 (``BLOCK_ITEMS`` hashes); each block is broadcast and searched in all documents.
 Items and documents without words never match; null ids are kept as null;
-repeated items each report their own item_id.
+repeated items each report their own item_id. A document is known by its id and the hash of its
+text, so rows that share an id or have none are judged each by its own text.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardlake.llm import hashing as H
@@ -36,7 +38,7 @@ SHINGLE, PERCENT = 5, 80
 SPARE = 2
 #: Shingle hashes of one broadcast block of items (8 bytes each).
 BLOCK_ITEMS = 2_000_000
-_HITS = "doc_id long, text_crc long, item_id long, containment double"
+_HITS = "doc_id long, text_crc long, text_hash long, item_id long, containment double"
 
 
 def _item_mapper(shingle: int):
@@ -117,12 +119,13 @@ def _search_mapper(items, shingle: int, percent: int):
                         place = np.minimum(np.searchsorted(own, item), len(own) - 1)
                         share = int((own[place] == item).sum())
                         if 100 * share >= percent * len(item):
-                            crc = zlib.crc32(part[o[d]:o[d + 1]].tobytes())
-                            out.append((ids[a + d].as_py(), crc, block.ids[i], share / len(item)))
-            cols = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                 pa.array(cols[3], pa.float64())], names=["doc_id", "text_crc", "item_id", "containment"])
+                            text = part[o[d]:o[d + 1]].tobytes()
+                            out.append((ids[a + d].as_py(), zlib.crc32(text), _signed(xxhash.xxh64_intdigest(text, 42)),
+                                        block.ids[i], share / len(item)))
+            cols = list(zip(*out)) or [[]] * 5
+            types = [pa.int64()] * 4 + [pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                             names=["doc_id", "text_crc", "text_hash", "item_id", "containment"])
     return run
 
 
@@ -134,9 +137,18 @@ def _short_runs(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarra
             np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64))))
 
 
+def _signed(h: int) -> int:
+    return h - (h >> 63 << 64)
+
+
+def _text_hash(text) -> Column:
+    """The same 64-bit hash as in the search tasks."""
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
                  block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """(doc_id, text_crc, item_id, containment) for each document and item found in it."""
+    """(doc_id, text_crc, text_hash, item_id, containment) for each document and item found in it."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = stage(item_sets(items, shingle), "items")
@@ -162,10 +174,10 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, perc
 def decontaminate(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, item_ids (ascending), containment (largest) and kept."""
     hits = contaminated(docs, items, shingle, percent)
-    each = stage(hits.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"),
+    each = stage(hits.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"),
                                             F.max("containment").alias("containment")), "hit_docs")
-    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
-    out = ids.join(bounded(each, 64), ids.id.eqNullSafe(each.doc_id), "left")
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"), _text_hash("text").alias("hash"))
+    out = ids.join(bounded(each, 72), ids.id.eqNullSafe(each.doc_id) & (ids.hash == each.text_hash), "left")
     return out.select(F.col("id").alias("doc_id"), F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"),
                       F.coalesce("containment", F.lit(0.0)).alias("containment"),
                       F.col("containment").isNull().alias("kept"))
@@ -173,7 +185,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, per
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their own columns."""
-    bad = stage(contaminated(docs, items).select(F.col("doc_id").alias("bad_id"), "text_crc").distinct(), "leaks")
-    same = docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (
-        F.crc32(F.coalesce(docs["text"], F.lit(""))) == bad["text_crc"])
+    bad = stage(contaminated(docs, items).select(F.col("doc_id").alias("bad_id"), "text_hash").distinct(), "leaks")
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["bad_id"]) & (_text_hash(docs["text"]) == bad["text_hash"])
     return docs.join(bounded(bad, 32), same, "left_anti")

@@ -24,7 +24,8 @@ a window that covers it also starts in a document with a smaller doc_id.
 A key with very many distinct passages is dealt into several index parts of
 bounded size; its passages are searched in each part, so nothing is capped.
 Words are compared by 64-bit hashes. Null and short texts lose nothing.
-Rows that share a doc_id count as one document; a null doc_id sorts last.
+A row is known by its doc_id and the hash of its text, so rows that share a doc_id or have none keep
+their own spans; a null doc_id sorts last, and rows with one doc_id never take words from each other.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ WINDOW, GRAM = 50, 10
 PASSAGE_WINDOWS, SHARD_WORDS, PART_PASSAGES = 64, 400_000, 20_000
 _NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
-_PASSAGES = "key long, doc_id long, first int, windows int, h1 long, h2 long"
+_PASSAGES = "key long, doc_id long, text_key long, first int, windows int, h1 long, h2 long"
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -114,7 +115,7 @@ def _passage_mapper(window: int, gram: int):
     def run(batches):
         run_hash = _RunHash()
         for batch in batches:
-            ids = batch.column(0).fill_null(_NO_ID).to_numpy()
+            ids, texts = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             raw, offs = H.text_buffer(batch.column(1))
             for a, b in H.chunks(offs):
                 part, o = raw[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
@@ -123,9 +124,9 @@ def _passage_mapper(window: int, gram: int):
                 doc, key, first, count = passages(words, bounds, window, gram)
                 h1, h2 = run_hash(words, bounds[doc] + first, count + window - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(ids[a + doc]), pa.array(first.astype(np.int32)),
-                     pa.array(count.astype(np.int32)), pa.array(h1), pa.array(h2)],
-                    names=["key", "doc_id", "first", "windows", "h1", "h2"])
+                    [pa.array(key.view(np.int64)), pa.array(ids[a + doc]), pa.array(texts[a + doc]),
+                     pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(h1), pa.array(h2)],
+                    names=["key", "doc_id", "text_key", "first", "windows", "h1", "h2"])
     return run
 
 
@@ -208,9 +209,9 @@ def _removal_mapper(window: int):
                 some = spans.slice(a, b - a)
                 for i, ranges in enumerate(some):
                     if ranges.is_valid:
-                        flat = ranges.values
-                        np.add.at(mark, bounds[i] + flat.field("a").to_numpy(), 1)
-                        np.add.at(mark, bounds[i] + flat.field("z").to_numpy() + (window - 1), -1)
+                        flat, size = ranges.values, bounds[i + 1] - bounds[i]
+                        np.add.at(mark, bounds[i] + np.clip(flat.field("a").to_numpy(), 0, size), 1)
+                        np.add.at(mark, bounds[i] + np.clip(flat.field("z").to_numpy() + (window - 1), 0, size), -1)
                 gone = np.cumsum(mark)[:-1] > 0
                 removed = np.concatenate(([0], np.cumsum(gone)))
                 kept = np.flatnonzero(~gone)
@@ -237,26 +238,33 @@ def _is_space(raw: np.ndarray) -> np.ndarray:
     return (raw == 32) | ((raw >= 9) & (raw <= 13))
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, text_key): null ids last, rows told apart by the hash of their text."""
+    text = F.col("text").cast("string")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), text.alias("text"),
+                       F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
+
+
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                    part_passages: int = PART_PASSAGES, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(doc_id, spans): per document with repeats, ranges [a, z) of window starts met in a smaller document."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
+    """(doc_id, text_key, spans): per row with repeats, ranges [a, z) of window starts met in a smaller document."""
+    rows = _rows(docs)
     found = stage(rows.mapInArrow(_passage_mapper(window, gram), _PASSAGES), "passages")
     keys = stage(found.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                  .where("lo < hi").select("key"), "keys")
     held = stage(found.join(bounded(keys, 16), "key"), "held")
-    texts = held.groupBy("key", "h1", "h2").agg(F.min("doc_id").alias("rep"))
+    texts = (held.groupBy("key", "h1", "h2").agg(F.min(F.struct("doc_id", "text_key")).alias("low"))
+             .select("key", "h1", "h2", F.col("low.doc_id").alias("rep"), F.col("low.text_key").alias("rep_key")))
     size = texts.groupBy("key").agg(F.count("*").alias("parts"))
     texts = stage(texts.join(size, "key").withColumn("parts", F.ceil(F.col("parts") / part_passages).cast("int")),
                   "texts")
     home = (held.join(texts, ["key", "h1", "h2"]))
-    wanted = stage(home.where("doc_id = rep").groupBy("rep", "key", "h1", "h2", "parts")
+    wanted = stage(home.where("doc_id = rep and text_key = rep_key").groupBy("rep", "rep_key", "key", "h1", "h2", "parts")
                    .agg(F.min("first").alias("first"), F.first("windows").alias("windows"))
-                   .groupBy(F.col("rep").alias("doc_id"))
+                   .groupBy(F.col("rep").alias("doc_id"), F.col("rep_key").alias("text_key"))
                    .agg(F.collect_list(F.struct("key", "h1", "h2", "rep", "parts", "first", "windows"))
                         .alias("wanted")), "wanted")
-    content = (rows.join(wanted, "doc_id").select("doc_id", "text", "wanted")
+    content = (rows.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text", "wanted")
                .mapInArrow(_content_mapper(window), "key long, h1 long, h2 long, doc_id long, parts int, words binary"))
     dealt = (content.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("key", "part", (F.pmod("h1", "parts") == F.col("part")).alias("indexed"),
@@ -267,9 +275,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     first = F.col("first")
     # The passage's smallest document has the searched intervals; in later ones every window has a smaller copy.
     own = (home.where("doc_id = rep").join(hits, ["h1", "h2"])
-           .select("doc_id", (first + F.col("a")).alias("a"), (first + F.col("z")).alias("z")))
-    later = home.where("doc_id > rep").select("doc_id", first.alias("a"), (first + F.col("windows")).alias("z"))
-    spans = stage(own.unionByName(later).groupBy("doc_id").agg(F.collect_list(F.struct("a", "z")).alias("spans")),
+           .select("doc_id", "text_key", (first + F.col("a")).alias("a"), (first + F.col("z")).alias("z")))
+    later = home.where("doc_id > rep").select("doc_id", "text_key", first.alias("a"), (first + F.col("windows")).alias("z"))
+    spans = stage(own.unionByName(later).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("a", "z")).alias("spans")),
                   "spans")
     drop(found, keys, held, texts, wanted, hits)
     return spans
@@ -278,8 +286,6 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, **limits) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) for every row of documents (doc_id, text, ...)."""
     spans = repeated_spans(docs, window, gram, **limits)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
-                       F.col("text").cast("string").alias("text"))
-    out = (rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    out = (_rows(docs).join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
            .mapInArrow(_removal_mapper(window), "doc_id long, n_words long, n_removed long, kept_text string"))
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))

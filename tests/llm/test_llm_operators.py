@@ -142,6 +142,33 @@ def test_contaminated_documents_go_and_clean_ones_stay(spark, odd):
     assert len(whole) == odd.count() and {r.doc_id for r in whole if r.item_ids} == {10, 11, 12, 14, None}
 
 
+def test_rows_with_one_id_or_none_are_judged_by_their_own_text(spark):
+    leaked = "one two three four five six seven"
+    rows = [(1, leaked), (1, "clean text of another row"), (None, leaked), (None, "clean text without an id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(4, leaked)], "item_id long, text string")
+    assert sorted(r.kept for r in D.decontaminate(docs, items).collect()) == [False, False, True, True]
+    assert sorted(t for _, t in pairs(D.drop_contaminated(docs, items))) == sorted(t for _, t in rows if t != leaked)
+
+
+def test_spans_stay_with_their_own_row(spark):
+    """Rows that share an id but not a text, or have no id, before and after clean documents."""
+    rng = random.Random(11)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+    a, b, c = fresh(120), fresh(200), fresh(150)
+    tables = [
+        [(0, c), (1, a), (7, a), (7, "x y z"), (8, b)],
+        [(1, a), (None, a), (None, "x y z"), (None, b)],
+        [(1, a), (1, "x y z"), (7, f"k {a} t"), (8, b)],
+        [(1, a), (1, f"{b} {a}"), (2, b), (None, f"q {b}"), (None, a)],
+    ]
+    for rows in tables:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        plain = B.cut_windows(rows, 50)
+        assert by_text(docs, R.remove_repeats(docs), "n_words", "n_removed", "kept_text") == expected(
+            rows, lambda i, t: plain[i, t])
+
+
 @pytest.mark.parametrize("least", [1, 2, 4])
 @pytest.mark.parametrize("table", ["odd", "small"])
 def test_line_runs(request, table, least):
