@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardlake.operators.common import checkpoint
@@ -52,15 +53,19 @@ def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: lis
     revision. ``partition_by`` must be a function of the key, so that all
     revisions of a key share a partition. New files are written beside the
     old ones and swapped per partition at commit; merging one batch twice
-    changes nothing.
+    changes nothing. Rows without a partition value share one folder; an empty text
+    is no value there (both are written to the default folder).
     """
+    if dict(batch.dtypes)[partition_by] == "string":
+        batch = batch.withColumn(partition_by, F.nullif(partition_by, F.lit("")))
     batch = batch.select(*[c for c in batch.columns if c != partition_by], partition_by)
     stored = batch.limit(0)
     if path_exists(spark, path):
         stored = spark.read.schema(schema or batch.schema).option("basePath", path).parquet(path)
-        touched = batch.select(partition_by).distinct()
+        touched = batch.select(F.col(partition_by).alias("_touched")).distinct()
+        same = stored[partition_by].eqNullSafe(touched["_touched"])
         # Written first: the plan may not read files that the commit replaces.
-        stored = checkpoint(stored.join(touched, partition_by, "left_semi").select(*batch.columns))
+        stored = checkpoint(stored.join(touched, same, "left_semi").select(*batch.columns))
     merged = (upsert_latest if latest else merge_log)(stored, batch, keys, seq)
     overwrite_partitions(merged, path, [partition_by])
 

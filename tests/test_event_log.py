@@ -166,3 +166,19 @@ def test_merge_rewrites_only_touched_partitions(spark):
     got = sorted((r.seq, r.place) for r in spark.read.parquet(path).collect())
     assert got == [(1, "A"), (2, "B"), (4, "C")]            # keep-first: the stored A wins
     assert files("d2") == untouched
+
+
+def test_merge_keeps_stored_rows_without_a_partition_value(spark):
+    from hazardlake.operators import sinks
+    path = tempfile.mkdtemp(dir="/tmp") + "/log"
+    schema = "id long, seq long, day string"
+
+    def merge(rows, latest=False):
+        sinks.merge_partitions(spark, path, spark.createDataFrame(rows, schema), ["id"], "seq", "day", latest)
+        return sorted((r.id, r.seq, r.day) for r in spark.read.schema(schema).parquet(path).collect())
+
+    assert merge([(1, 1, None), (2, 1, "d1")]) == [(1, 1, None), (2, 1, "d1")]
+    assert merge([(3, 2, None)]) == [(1, 1, None), (2, 1, "d1"), (3, 2, None)]
+    # Text without characters is written to the same folder as null.
+    assert merge([(4, 3, ""), (1, 9, None)]) == [(1, 1, None), (2, 1, "d1"), (3, 2, None), (4, 3, None)]
+    assert merge([(1, 10, None)], latest=True) == [(1, 10, None), (2, 1, "d1"), (3, 2, None), (4, 3, None)]
