@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from hazardlake.functions import text as T
 from hazardlake.operators.common import checkpoint, spread, top_n_per_key
 
+#: Impact blocks of a token, depth of the first round, and room for rounding in comparisons of bounds and scores.
+BLOCKS, FIRST_DEPTH, SLACK = 24, 3, 1e-5
 
 def keyword_filter(df: DataFrame, text: Column, keywords: list[str],
                    case_sensitive: bool = False) -> DataFrame:
@@ -103,51 +105,75 @@ def top_n_per_key_articles(articles: DataFrame, keys: list[str], order: list, n:
     return top_n_per_key(articles, keys, order, n, rank_col="rank")
 
 
+def _impact_blocks(post: DataFrame, doc_key: str) -> tuple[DataFrame, DataFrame]:
+    """Postings in impact-ordered blocks, and the largest contribution below each block.
+
+    Block i of a token holds contributions within ``2^(-(i+1)/2)`` and ``2^(-i/2)`` of the token's largest one; the
+    last one holds all smaller ones, zeros have a block of their own. The second table (token, block, next) has at
+    most tokens x BLOCKS rows; a token without it has nothing left below the block.
+    """
+    tops = post.groupBy("token").agg(F.max("_c").alias("_top"))
+    block = F.when(F.col("_c") > 0, F.least(F.floor(2 * F.log2(F.col("_top") / F.col("_c"))), F.lit(BLOCKS - 1)))
+    blocks = checkpoint(post.join(tops, "token").select("token", doc_key, "_c", F.coalesce(
+        block, F.lit(BLOCKS)).cast("int").alias("_block")))
+    best = blocks.groupBy("token", "_block").agg(F.max("_c").alias("_m")).where("_block > 0")
+    below = (best.select("token", "_m", F.explode(F.sequence(F.lit(0), F.col("_block") - 1)).alias("_block"))
+             .groupBy("token", "_block").agg(F.max("_m").alias("_next")))
+    return blocks, below
+
+
 def relevance_page_bounded(docs: DataFrame, queries: DataFrame, doc_key: str, text_col: str,
                            query_key: str, terms_col: str, page: int, page_size: int = 20,
-                           digits: int = 6) -> DataFrame:
-    """Exactly ``relevance_page(tfidf_scores(...))`` without scoring every
-    (query, document) pair.
-
-    A threshold-algorithm check: each term keeps its ``K`` best postings
-    (``K`` = last rank of the page; a partial top-K before the shuffle);
-    a query's candidates are the union of its terms' lists, scored exactly.
-    A document outside all lists scores at most tau, the sum of the terms'
-    K-th contributions (0 for a term whose list is complete). The page is
-    proven when the query's K-th candidate scores above tau -- or equals it
-    and its key is not above the largest K-th key of the incomplete terms
-    (an outside document can only reach tau by tying every term at its K-th
-    value, which puts its key after each of those K-th keys). Queries that
-    fail the proof are scored in full from the same postings. The result is
-    whole and identical either way.
+                           digits: int = 6, trace: list | None = None) -> DataFrame:
+    """Exactly ``relevance_page(tfidf_scores(...))`` by block-max pruning.
+
+    Postings lie in impact-ordered blocks with a known maximum. Round by round every open query reads
+    its tokens' blocks down to a depth. A document met there is scored in full only if what was read of it
+    plus the maxima of the unread blocks of its other tokens can reach the query's k-th score so far. A document in
+    no block read scores at most the sum of all next maxima: once that is below the k-th score, the
+    query's page is proven and the query leaves. Otherwise the next depth is the least one whose sum is
+    below the k-th score found. At the last depth everything has been read, so the result is whole in any case.
+    ``trace`` collects the number of (query, document) pairs scored per round.
     """
     k = page * page_size
     q_terms, post = _postings(docs, queries, doc_key, text_col, query_key, terms_col)
-    ranked = top_n_per_key(post, ["token"], [F.desc("_c"), F.asc(doc_key)], k, rank_col="_tr")
-    sizes = post.groupBy("token").agg(F.count("*").alias("_len"))
-    kth_post = ranked.where(F.col("_tr") == k).select("token", F.col("_c").alias("_kc"),
-                                                      F.col(doc_key).alias("_kd"))
-    bounds = (kth_post.join(sizes, "token", "right")
-              .select("token", F.when(F.col("_len") > k, F.col("_kc")).otherwise(F.lit(0.0)).alias("_b"),
-                      F.when(F.col("_len") > k, F.col("_kd")).alias("_bd")))
-    cands = q_terms.join(ranked.select("token", doc_key), "token").select(query_key, doc_key).distinct()
-    scored = (cands.join(q_terms, query_key).join(post, ["token", doc_key])
-              .groupBy(query_key, doc_key).agg(F.round(F.sum("_c"), digits).alias("score")))
-    top = top_n_per_key(scored, [query_key], [F.desc("score"), F.asc(doc_key)], k, rank_col="rank")
-    tau = q_terms.join(bounds, "token").groupBy(query_key).agg(
-        F.round(F.sum("_b"), digits).alias("_tau"), F.max("_b").alias("_open"),
-        F.max("_bd").alias("_maxkd"))
-    kth = top.where(F.col("rank") == k).select(query_key, F.col("score").alias("_sk"),
-                                              F.col(doc_key).alias("_dk"))
-    proven = (tau.join(kth, query_key, "left")
-              .where((F.col("_open") == 0) | (F.col("_sk") > F.col("_tau"))
-                     | ((F.col("_sk") == F.col("_tau")) & (F.col("_dk") <= F.col("_maxkd"))))
-              .select(query_key))
-    fast = (top.join(proven, query_key, "left_semi")
-            .where(F.col("rank") > (page - 1) * page_size))
-    rest = q_terms.join(proven, query_key, "left_anti")
-    slow_scores = (rest.join(post, "token").groupBy(query_key, doc_key)
-                   .agg(F.sum("_c").alias("score")))
-    slow = relevance_page(slow_scores, query_key, doc_key, page, page_size, digits)
-    return fast.select(query_key, doc_key, "score", "rank").unionByName(
-        slow.select(query_key, doc_key, "score", "rank"))
+    post, below = _impact_blocks(post, doc_key)
+    q_terms = checkpoint(q_terms.join(post.select("token").distinct(), "token", "left_semi"))
+    below = checkpoint(below)
+    bounds = checkpoint(q_terms.join(below, "token").groupBy(query_key, "_block").agg(F.sum("_next").alias("_bound")))
+    open_ = checkpoint(q_terms.select(query_key).distinct()
+                       .select(query_key, F.lit(FIRST_DEPTH).alias("_depth"), F.lit(0.0).alias("_tau")))
+    pages = None
+    while not open_.isEmpty():
+        asked = q_terms.join(open_, query_key)
+        limit = asked.join(below.withColumnRenamed("_block", "_depth"), ["token", "_depth"], "left")
+        read = (limit.join(post, "token").where("_block <= _depth").groupBy(query_key, doc_key)
+                .agg(F.sum("_c").alias("_have"), F.sum(F.coalesce("_next", F.lit(0.0))).alias("_seen"), F.first("_depth").alias("_depth"),
+                     F.first("_tau").alias("_tau")))
+        reach = F.col("_have") + F.coalesce("_bound", F.lit(0.0)) - F.col("_seen")
+        able = (read.join(bounds.withColumnRenamed("_block", "_depth"), [query_key, "_depth"], "left")
+                .where(reach >= F.col("_tau") - SLACK).select(query_key, doc_key))
+        if trace is not None:
+            able = checkpoint(able)
+            trace.append(able.count())
+        scored = (able.join(q_terms, query_key).join(post.select("token", doc_key, "_c"), ["token", doc_key])
+                  .groupBy(query_key, doc_key).agg(F.round(F.sum("_c"), digits).alias("score")))
+        top = checkpoint(top_n_per_key(scored, [query_key], [F.desc("score"), F.asc(doc_key)], k, rank_col="rank"))
+        kth = top.where(F.col("rank") == k).select(query_key, F.col("score").alias("_kth"))
+        state = open_.join(kth, query_key, "left")
+        rest = (state.join(bounds, query_key, "left")
+                .groupBy(query_key, "_depth", "_kth")
+                .agg(F.max(F.expr("if(_block = _depth, _bound, null)")).alias("_now"),
+                     F.max(F.expr(f"if(_bound >= _kth - {SLACK}, _block, null)")).alias("_last")))
+        proven = (F.col("_depth") >= BLOCKS) | (F.coalesce("_now", F.lit(0.0)) < F.col("_kth") - SLACK)
+        deeper = F.when(F.col("_kth").isNull(), F.col("_depth") + FIRST_DEPTH).otherwise(
+            F.greatest(F.col("_last"), F.col("_depth")) + 1)
+        rest = checkpoint(rest.select(query_key, F.least(deeper, F.lit(BLOCKS)).alias("_depth"),
+                                      F.coalesce("_kth", F.lit(0.0)).alias("_tau"), F.coalesce(proven, F.lit(False)).alias("_proven")))
+        done = top.join(rest.where("_proven").select(query_key), query_key, "left_semi")
+        pages = done if pages is None else pages.unionByName(done)
+        open_ = rest.where("not _proven").select(query_key, "_depth", "_tau")
+    if pages is None:
+        return relevance_page(tfidf_scores(docs, queries, doc_key, text_col, query_key, terms_col), query_key, doc_key,
+                              page, page_size, digits)
+    return pages.where(F.col("rank") > (page - 1) * page_size).select(query_key, doc_key, "score", "rank")

@@ -1,18 +1,17 @@
 """Extractive summaries: sentence-graph centrality (TextRank) and sections.
 
-Graph: sentences of one group are nodes; the edge weight between i and j is
-the cosine similarity of their binary token sets,
-``w(i,j) = |T_i & T_j| * a_i * a_j`` with ``a_i = 1/sqrt(|T_i|)``.
-Because the weight factorises over shared tokens, one PageRank step
+Graph: sentences of one group are nodes; with T_i the distinct tokens of sentence i,
+``w(i,j) = |T_i & T_j| / (ln|T_i| + ln|T_j|)``; pairs with a denominator that is not positive have no edge.
+The weight does not factorise over tokens, but it does per pair of set sizes. So sums are kept per
+cell, a token of a group together with a set size s: ``U(t,s) = sum of r_i / W_i over i with t in T_i and |T_i| = s``.
+Inside a token the cells exchange ``Y(t,s') = sum_s U(t,s) / (ln s + ln s')``, and one PageRank step
 
     r'(j) = (1-d) + d * sum_{i != j} w(i,j) / W(i) * r(i)
 
-becomes two sums over (sentence, token) incidences:
-``U_t = sum_{i has t} a_i r_i / W_i`` per (group, token), then
-``sum_{i != j} ... = a_j * sum_{t in j} U_t - r_j / W_j`` per sentence.
-No sentence pair is ever materialised: the work per iteration is linear in
-the number of incidences, whatever the size of a group, the incidences
-themselves never move after the first layout, and hot tokens are salted.
+is ``(1-d) + d * (sum_{t in T_j} Y(t,|T_j|) - the sentence's own part)``. No sentence pair is ever
+materialised: a step is linear in the (sentence, token) incidences, plus the square of the number of
+sizes per token, whatever the size of a group; the incidences never move after the first layout, and
+hot cells are salted. Steps end when no score changes by more than a tolerance.
 """
 
 from __future__ import annotations
@@ -25,9 +24,8 @@ from hazardlake.functions.lookups import SECTION_LABELS
 from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
                                          rank_within_groups)
 
-#: Iterations between two checkpoints of the per-sentence state. An iteration
-#: reads the state twice, so the plan doubles with each one that is not cut.
-CUT_EVERY = 2
+#: Largest change of a score at which the steps end, and steps at most.
+TOLERANCE, STEPS = 1e-4, 20
 
 
 def _group(keys: list[str]):
@@ -35,56 +33,65 @@ def _group(keys: list[str]):
     return F.to_json(F.struct(*keys))
 
 
+def _inverse_logs(a, b):
+    """1 / (ln a + ln b), or 0 where that is not positive."""
+    return F.when(a * b > 1, F.lit(1.0) / F.ln((a * b).cast("double"))).otherwise(F.lit(0.0))
+
+
 def _scores(nodes: DataFrame, text_col: str, damping: float, iterations: int,
-            salt_buckets: int | None) -> DataFrame:
+            salt_buckets: int | None, tolerance: float = TOLERANCE) -> DataFrame:
     """(_id, score) for nodes (_id, _g, text).
 
-    The (sentence, token) incidences are laid out once, in two bucketed
-    copies -- by sentence and by (token, salt) -- and never move again. Each
-    iteration only shuffles per-token sums (to the token copy) and
-    per-sentence sums (to the sentence copy). Tokens held by more than
-    ~1/(4P) of all incidences are salted over ``salt_buckets`` buckets so no
-    task streams a hot token's incidences alone; their per-token sum is
-    replicated per salt. The per-sentence state is checkpointed every
-    ``CUT_EVERY`` iterations. The path is the same for groups of any size.
+    The (sentence, cell) incidences are laid out once, in two bucketed
+    copies -- by sentence and by (cell, salt) -- and never move again. Each
+    step only shuffles per-cell sums (to the cell copy) and per-sentence sums (to the sentence copy). Cells
+    held by more than ~1/(4P) of all incidences are salted over ``salt_buckets`` buckets so no
+    task streams a hot cell's incidences alone; their sum is replicated per salt. The
+    per-sentence state is checkpointed after each step, which also gives its largest change.
     """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = salt_buckets or parts
     toks = F.array_distinct(T.tokens(F.col(text_col)))
-    inc = checkpoint(nodes.select("_id", "_g", toks.alias("_toks"))
-                     .where(F.size("_toks") > 0)
-                     .select("_id", "_g", (F.lit(1.0) / F.sqrt(F.size("_toks").cast("double"))).alias("_a"),
-                             F.explode("_toks").alias("_t")))
+    inc = checkpoint(nodes.select("_id", "_g", toks.alias("_toks")).where(F.size("_toks") > 0)
+                     .select("_id", "_g", F.size("_toks").cast("long").alias("_s"), F.explode("_toks").alias("_t")))
     hot = max(1, inc.count() // (parts * 4))
-    # A number per (group, token), and how many salts it is dealt over.
-    tok = checkpoint(inc.groupBy("_g", "_t").agg(F.sum("_a").alias("_s"), F.count("*").alias("_n"))
-                     .select("_g", "_t", "_s", F.when(F.col("_n") > hot, F.lit(salts)).otherwise(F.lit(1)).alias("_ns"))
-                     .withColumn("_tid", F.monotonically_increasing_id()))
-    numbered = inc.join(tok, ["_g", "_t"]).select("_id", "_a", "_tid", "_s", "_ns", F.pmod(
-        F.xxhash64("_id"), F.col("_ns")).cast("int").alias("_salt"))
-    by_sent, t1 = bucketed_copy(numbered.select("_id", "_tid", "_ns", "_a", "_s"), ["_id"], parts, "inc_by_sentence")
+    cells = checkpoint(inc.groupBy("_g", "_t", "_s").agg(F.count("*").alias("_n"))
+                       .select("_g", "_t", "_s", F.when(F.col("_n") > hot, F.lit(salts)).otherwise(F.lit(1)).alias("_ns"))
+                       .withColumn("_c", F.monotonically_increasing_id()))
+    tokens = cells.groupBy("_g", "_t").agg(F.min("_c").alias("_tid"))
+    numbered = inc.join(cells.join(tokens, ["_g", "_t"]), ["_g", "_t", "_s"]).select(
+        "_id", "_c", "_tid", "_s", "_ns", F.pmod(F.xxhash64("_id"), F.col("_ns")).cast("int").alias("_salt"))
+    by_sent, t1 = bucketed_copy(numbered.drop("_salt"), ["_id"], parts, "inc_by_sentence")
     t2 = None
     try:
-        by_tok, t2 = bucketed_copy(numbered.select("_id", "_tid", "_salt"), ["_tid", "_salt"], parts, "inc_by_token")
-        # W_i = a_i * sum_{t in i} S_t - 1, with S_t = sum_{k has t} a_k.
-        node = checkpoint(by_sent.groupBy("_id").agg(F.first("_a").alias("_a"), F.sum("_s").alias("_ss"))
-                          .select("_id", "_a", (F.col("_a") * F.col("_ss") - 1.0).alias("_w"), F.lit(1.0).alias("_r")))
-        for k in range(iterations):
-            x = F.when(F.col("_w") > 1e-12, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
-            nx = node.select("_id", "_a", "_w", x.alias("_x"))
-            # sentence -> token: U_t = sum a_i x_i (partial sums leave each task)
-            u = (by_sent.select("_id", "_tid", "_ns")
-                 .join(nx.select("_id", (F.col("_a") * F.col("_x")).alias("_y")), "_id")
-                 .groupBy("_tid", "_ns").agg(F.sum("_y").alias("_u")))
-            u_rep = u.select("_tid", "_u", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_salt"))
-            # token -> sentence: sum_{t in j} U_t
-            su = by_tok.join(u_rep, ["_tid", "_salt"]).groupBy("_id").agg(F.sum("_u").alias("_su"))
-            node = (nx.join(su, "_id", "left")
-                    .select("_id", "_a", "_w", (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
-                        F.lit(0.0), F.col("_a") * F.coalesce("_su", F.lit(0.0)) - F.col("_x"))).alias("_r")))
-            if k % CUT_EVERY == CUT_EVERY - 1 or k == iterations - 1:
-                node = checkpoint(node)
+        by_cell, t2 = bucketed_copy(numbered.select("_id", "_c", "_salt"), ["_c", "_salt"], parts, "inc_by_cell")
+
+        def summed(x: DataFrame) -> DataFrame:
+            """(_id, _su): for each sentence the sum of w(i, j) x_i over all i, itself included; x: (_id, _x)."""
+            cell = by_sent.join(x, "_id").groupBy("_tid", "_c", "_s", "_ns").agg(F.sum("_x").alias("_u"))
+            token = cell.groupBy("_tid").agg(F.collect_list(F.struct("_c", "_s", "_ns", "_u")).alias("_cells"))
+            given = F.transform("_cells", lambda a: F.struct(a["_c"].alias("_c"), a["_ns"].alias("_ns"), F.aggregate(
+                "_cells", F.lit(0.0), lambda y, b: y + b["_u"] * _inverse_logs(a["_s"], b["_s"])).alias("_y")))
+            y = (token.select(F.explode(given).alias("y"))
+                 .select("y._c", "y._y", F.explode(F.sequence(F.lit(0), F.col("y._ns") - 1)).alias("_salt")))
+            return by_cell.join(y, ["_c", "_salt"]).groupBy("_id").agg(F.sum("_y").alias("_su"))
+
+        own = F.col("_s") * _inverse_logs(F.col("_s"), F.col("_s"))
+        sizes = by_sent.groupBy("_id").agg(F.first("_s").alias("_s"))
+        node = checkpoint(sizes.join(summed(sizes.select("_id", F.lit(1.0).alias("_x"))), "_id")
+                          .select("_id", own.alias("_own"), (F.col("_su") - own).alias("_w"), F.lit(1.0).alias("_r")))
+        x = F.when(F.col("_w") > 1e-12, F.col("_r") / F.col("_w")).otherwise(F.lit(0.0))
+        for _ in range(iterations):
+            now = node.withColumn("_x", x)
+            step = now.join(summed(now.select("_id", "_x")), "_id", "left").select(
+                "_id", "_own", "_w", F.col("_r").alias("_before"), (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
+                    F.lit(0.0), F.coalesce("_su", F.lit(0.0)) - F.col("_own") * F.col("_x"))).alias("_r"))
+            step = checkpoint(step)
+            change = step.agg(F.max(F.abs(F.col("_r") - F.col("_before")))).first()[0]
+            node = step.drop("_before")
+            if change is None or change <= tolerance:
+                break
     finally:
         drop_table(spark, t1)
         if t2:
@@ -98,7 +105,7 @@ def _nodes(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def textrank_scores(sentences: DataFrame, keys: list[str], pos: list[str], text_col: str,
-                    damping: float = 0.85, iterations: int = 20,
+                    damping: float = 0.85, iterations: int = STEPS,
                     salt_buckets: int | None = None) -> DataFrame:
     """(keys..., pos..., score) for every sentence; isolated ones get 1-d."""
     nodes = _nodes(sentences.select(*keys, *pos, text_col), keys)
@@ -107,7 +114,7 @@ def textrank_scores(sentences: DataFrame, keys: list[str], pos: list[str], text_
 
 
 def summarize(sentences: DataFrame, keys: list[str], pos: list[str], text_col: str,
-              ratio: float = 0.2, damping: float = 0.85, iterations: int = 20,
+              ratio: float = 0.2, damping: float = 0.85, iterations: int = STEPS,
               salt_buckets: int | None = None, digits: int = 9) -> DataFrame:
     """(keys..., pos..., sentence, score): the selected sentences, distinct
     by text (first position kept); sort by ``pos`` for the original order.

@@ -9,6 +9,7 @@ from __future__ import annotations
 from hazardlake.functions import html as H
 from hazardlake.functions import text as T
 from hazardlake.functions.lookups import HTML_ENTITIES
+from hazardlake.operators import summarize as SM
 from hazardlake.plans import catalog as C
 
 ORACLE: dict[str, str] = {}
@@ -523,27 +524,30 @@ KEYS = "page_id, para_pos, sent_pos"
 ORACLE["sentence_classify"] = f"SELECT {KEYS}, pred_idx, label FROM ({classified(PAGE_SENTENCES, KEYS)})"
 
 
-def textrank(sents: str, keys: str, pos: str, ratio: float, iterations: int = 20, damping: float = 0.85) -> str:
-    """(keys, pos, sentence, score) of the top ratio of distinct sentences per group; unrolled iterations."""
+def textrank(sents: str, keys: str, pos: str, ratio: float, iterations: int = SM.STEPS, damping: float = 0.85) -> str:
+    """(keys, pos, sentence, score) of the top ratio of distinct sentences per group: PageRank over
+    all sentence pairs, unrolled; a step after the change has become small changes nothing."""
     first = f"""
       SELECT row_number() OVER () AS nid, * FROM (
         SELECT * FROM ({sents}) QUALIFY row_number() OVER (PARTITION BY {keys}, sentence ORDER BY {pos}) = 1)"""
     toks = f"list_distinct(regexp_extract_all(lower(sentence), {q(T.TOKEN_RE)}, 0))"
+    same = " AND ".join(f"a.{k.strip()} IS NOT DISTINCT FROM b.{k.strip()}" for k in keys.split(","))
     ctes = [
         f"s AS MATERIALIZED ({first})",
-        f"inc AS MATERIALIZED (SELECT {keys}, nid, 1.0 / sqrt(len(tk)) AS a, unnest(tk) AS t "
+        f"inc AS MATERIALIZED (SELECT {keys}, nid, len(tk) AS n, unnest(tk) AS t "
         f"FROM (SELECT {keys}, nid, {toks} AS tk FROM s) WHERE len(tk) > 0)",
-        f"st AS MATERIALIZED (SELECT {keys}, t, sum(a) AS sa, row_number() OVER () AS tid FROM inc GROUP BY {keys}, t)",
-        f"ti AS MATERIALIZED (SELECT nid, tid, a, sa FROM inc JOIN st USING ({keys}, t))",
-        "r0 AS MATERIALIZED (SELECT nid, first(a) AS a, first(a) * sum(sa) - 1.0 AS w, 1.0 AS r FROM ti GROUP BY nid)",
+        f"p AS MATERIALIZED (SELECT a.nid AS i, b.nid AS j, count(*) / (ln(first(a.n)) + ln(first(b.n))) AS w "
+        f"FROM inc a JOIN inc b ON a.t = b.t AND {same} WHERE a.nid <> b.nid AND a.n * b.n > 1 GROUP BY a.nid, b.nid)",
+        "o AS MATERIALIZED (SELECT i, sum(w) AS w FROM p GROUP BY i)",
+        "r0 AS MATERIALIZED (SELECT DISTINCT nid, 1.0 AS r FROM inc)",
+        "d0 AS (SELECT 1.0 AS d)",
     ]
     for k in range(iterations):
         ctes += [
-            f"x{k} AS MATERIALIZED (SELECT nid, a, w, CASE WHEN w > 1e-12 THEN r / w ELSE 0.0 END AS x FROM r{k})",
-            f"u{k} AS MATERIALIZED (SELECT tid, sum(x{k}.a * x{k}.x) AS u FROM ti JOIN x{k} USING (nid) GROUP BY tid)",
-            f"su{k} AS MATERIALIZED (SELECT nid, sum(u) AS su FROM ti JOIN u{k} USING (tid) GROUP BY nid)",
-            f"r{k + 1} AS MATERIALIZED (SELECT nid, a, w, {1 - damping} + {damping} * "
-            f"greatest(0.0, a * coalesce(su, 0.0) - x) AS r FROM x{k} LEFT JOIN su{k} USING (nid))",
+            f"u{k} AS MATERIALIZED (SELECT j AS nid, sum(p.w / o.w * r) AS su FROM p JOIN o USING (i) JOIN r{k} ON nid = i GROUP BY j)",
+            f"r{k + 1} AS MATERIALIZED (SELECT nid, CASE WHEN (SELECT d FROM d{k}) <= {SM.TOLERANCE} THEN r ELSE {1 - damping} + "
+            f"{damping} * coalesce(su, 0.0) END AS r FROM r{k} LEFT JOIN u{k} USING (nid))",
+            f"d{k + 1} AS MATERIALIZED (SELECT max(abs(a.r - b.r)) AS d FROM r{k} a JOIN r{k + 1} b USING (nid))",
         ]
     return "WITH " + ",\n".join(ctes) + f""",
       scored AS (SELECT s.*, coalesce(r, {1 - damping}) AS score, count(*) OVER (PARTITION BY {keys}) AS n

@@ -96,6 +96,23 @@ def test_bounded_relevance_page_equals_full(spark):
             sorted(tuple(r[c] for c in cols) for r in full.collect())
 
 
+def test_block_max_pruning_scores_few_pairs(spark):
+    import random
+    rnd = random.Random(7)
+    vocab = [f"w{i}" for i in range(60)]
+    weight = [1 / (i + 1) for i in range(60)]
+    docs = [(i, " ".join(rnd.choices(vocab, weight, k=int(rnd.paretovariate(0.7)) % 3000 + 1))) for i in range(1500)]
+    qs = [(i, sorted(set(rnd.choices(vocab, weight, k=12)))) for i in range(12)] + [(99, ["absent"]), (98, [])]
+    d = spark.createDataFrame(docs, "doc_id int, text string")
+    q = spark.createDataFrame(qs, "qid int, terms array<string>")
+    scores = M.tfidf_scores(d, q, "doc_id", "text", "qid", "terms")
+    trace, cols = [], ["qid", "doc_id", "score", "rank"]
+    fast = M.relevance_page_bounded(d, q, "doc_id", "text", "qid", "terms", 1, 20, trace=trace)
+    full = M.relevance_page(scores, "qid", "doc_id", 1, 20)
+    assert sorted(tuple(r[c] for c in cols) for r in fast.collect()) == sorted(tuple(r[c] for c in cols) for r in full.collect())
+    assert sum(trace) < scores.count() / 5
+
+
 def test_event_without_terms_and_posts_without_tokens(spark):
     ev = spark.createDataFrame([(1, []), (2, None), (3, ["the"])], "eid int, terms array<string>")
     posts = spark.createDataFrame([(0, None), (1, ""), (2, "the")], "pid int, text string")

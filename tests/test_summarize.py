@@ -16,19 +16,21 @@ SENTS = [
 ]
 
 
-def _brute_textrank(sents, d=0.85, iters=20):
+def _brute_textrank(sents, d=0.85, iters=20, tolerance=1e-4):
     toks = [set(re.findall(r"[^\W_]+", s.lower())) for s in sents]
     n = len(sents)
     w = np.zeros((n, n))
     for i in range(n):
         for j in range(n):
-            if i != j and toks[i] and toks[j]:
-                w[i, j] = len(toks[i] & toks[j]) / math.sqrt(len(toks[i]) * len(toks[j]))
+            if i != j and len(toks[i]) * len(toks[j]) > 1:
+                w[i, j] = len(toks[i] & toks[j]) / (math.log(len(toks[i])) + math.log(len(toks[j])))
     out = w.sum(axis=1)
     r = np.ones(n)
     for _ in range(iters):
         x = np.where(out > 1e-12, r / np.where(out > 0, out, 1), 0.0)
-        r = (1 - d) + d * (w.T @ x)
+        before, r = r, (1 - d) + d * (w.T @ x)
+        if np.abs(r - before).max() <= tolerance:
+            break
     return r
 
 
@@ -42,6 +44,23 @@ def test_factorised_textrank_equals_pairwise_pagerank(spark):
     assert abs(got[("h", 0)] - 0.15) < 1e-12 and abs(got[(None, 0)] - 0.15) < 1e-12
 
 
+def test_single_word_sentences_have_edges_to_longer_ones_only(spark):
+    sents = ["Quake!", "quake", "The quake struck.", "Struck the coast, the quake.", "Coast."]
+    df = spark.createDataFrame([("g", i, s) for i, s in enumerate(sents)], "grp string, id int, sentence string")
+    got = {r.id: r.score for r in SM.textrank_scores(df, ["grp"], ["id"], "sentence", salt_buckets=2).collect()}
+    want = _brute_textrank(sents)
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in range(len(sents)))
+
+
+def test_steps_end_by_change(spark):
+    df = spark.createDataFrame([("g", i, s) for i, s in enumerate(SENTS)], "grp string, id int, sentence string")
+    nodes = SM._nodes(df, ["grp"])
+    exact = SM._scores(nodes, "sentence", 0.85, 100, None, tolerance=1e-13).collect()
+    want = _brute_textrank(SENTS, iters=400, tolerance=0)
+    ids = {r._id: r.id for r in nodes.select("_id", "id").collect()}
+    assert all(abs(r.score - want[ids[r._id]]) < 1e-9 for r in exact)
+
+
 def test_summary_is_subset_with_ceil_ratio_size(spark):
     rows = [("g", i, s) for i, s in enumerate(SENTS)] + [("g", 99, SENTS[0])] + [("one", 0, "Only one sentence.")] \
         + [("g", 50, "!!! ???")]                   # no tokens: score 1-d, still counts toward n
