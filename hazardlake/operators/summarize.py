@@ -11,7 +11,7 @@ Inside a token the cells exchange ``Y(t,s') = sum_s U(t,s) / (ln s + ln s')``, a
 is ``(1-d) + d * (sum_{t in T_j} Y(t,|T_j|) - the sentence's own part)``. No sentence pair is ever
 materialised: a step is linear in the (sentence, token) incidences, plus the square of the number of
 sizes per token, whatever the size of a group; the incidences never move after the first layout, and
-hot cells are salted. Steps end when no score changes by more than a tolerance.
+hot cells are salted. Steps end when scores change by no more than a tolerance on average.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from hazardlake.functions.lookups import SECTION_LABELS
 from hazardlake.operators.common import (bucketed_copy, checkpoint, drop_table,
                                          rank_within_groups)
 
-#: Largest change of a score at which the steps end, and steps at most.
-TOLERANCE, STEPS = 1e-4, 20
+#: Mean change of a score at which the steps end, and steps at most.
+TOLERANCE, STEPS = 1e-3, 20
 
 
 def _group(keys: list[str]):
@@ -47,7 +47,7 @@ def _scores(nodes: DataFrame, text_col: str, damping: float, iterations: int,
     step only shuffles per-cell sums (to the cell copy) and per-sentence sums (to the sentence copy). Cells
     held by more than ~1/(4P) of all incidences are salted over ``salt_buckets`` buckets so no
     task streams a hot cell's incidences alone; their sum is replicated per salt. The
-    per-sentence state is checkpointed after each step, which also gives its largest change.
+    per-sentence state is checkpointed after each step, which also gives the mean change.
     """
     spark = nodes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -88,7 +88,7 @@ def _scores(nodes: DataFrame, text_col: str, damping: float, iterations: int,
                 "_id", "_own", "_w", F.col("_r").alias("_before"), (F.lit(1.0 - damping) + F.lit(damping) * F.greatest(
                     F.lit(0.0), F.coalesce("_su", F.lit(0.0)) - F.col("_own") * F.col("_x"))).alias("_r"))
             step = checkpoint(step)
-            change = step.agg(F.max(F.abs(F.col("_r") - F.col("_before")))).first()[0]
+            change = step.agg(F.avg(F.abs(F.col("_r") - F.col("_before")))).first()[0]
             node = step.drop("_before")
             if change is None or change <= tolerance:
                 break

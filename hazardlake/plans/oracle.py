@@ -547,7 +547,7 @@ def textrank(sents: str, keys: str, pos: str, ratio: float, iterations: int = SM
             f"u{k} AS MATERIALIZED (SELECT j AS nid, sum(p.w / o.w * r) AS su FROM p JOIN o USING (i) JOIN r{k} ON nid = i GROUP BY j)",
             f"r{k + 1} AS MATERIALIZED (SELECT nid, CASE WHEN (SELECT d FROM d{k}) <= {SM.TOLERANCE} THEN r ELSE {1 - damping} + "
             f"{damping} * coalesce(su, 0.0) END AS r FROM r{k} LEFT JOIN u{k} USING (nid))",
-            f"d{k + 1} AS MATERIALIZED (SELECT max(abs(a.r - b.r)) AS d FROM r{k} a JOIN r{k + 1} b USING (nid))",
+            f"d{k + 1} AS MATERIALIZED (SELECT avg(abs(a.r - b.r)) AS d FROM r{k} a JOIN r{k + 1} b USING (nid))",
         ]
     return "WITH " + ",\n".join(ctes) + f""",
       scored AS (SELECT s.*, coalesce(r, {1 - damping}) AS score, count(*) OVER (PARTITION BY {keys}) AS n
