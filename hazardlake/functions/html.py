@@ -92,3 +92,39 @@ def images_with_suffix(html: Column, suffix: str) -> Column:
 
 def links_with_suffix(html: Column, suffix: str) -> Column:
     return F.filter(links(html), lambda x: F.endswith(x, F.lit(suffix)))
+
+
+def element_tag_re(tag: str) -> str:
+    """Start and end tags of one element name (``div``, not ``divider``)."""
+    return rf"(?i)</?{tag}(?:[\s/][^>]*)?>"
+
+
+def first_element(html: Column, tag: str = "div") -> Column:
+    """Markup inside the first ``tag`` element of a page, nested ones included; null without one.
+
+    One fold over the page's ``tag`` tags keeps the depth: end tags before the first start tag count nothing, the
+    element ends where the depth is back at zero, an unclosed one at the end of the page. Scripts,
+    styles and comments are left out first.
+    """
+    clean = F.regexp_replace(html, NOISE_RE, " ")
+    pattern = element_tag_re(tag)
+    tags, parts = F.regexp_extract_all(clean, F.lit(pattern), F.lit(0)), F.split(clean, pattern, -1)
+
+    def step(s, t):
+        opens = ~F.startswith(t, F.lit("</"))
+        first = F.when(opens & (s["first"] < 0), s["i"]).otherwise(s["first"])
+        depth = F.when(first < 0, F.lit(0)).otherwise(s["depth"] + F.when(opens, 1).otherwise(-1))
+        stop = F.when((first >= 0) & (s["stop"] < 0) & (depth == 0), s["i"]).otherwise(s["stop"])
+        return F.struct((s["i"] + 1).alias("i"), depth.alias("depth"), first.alias("first"), stop.alias("stop"))
+
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.lit(-1).alias("first"), F.lit(-1).alias("stop"))
+    found = F.aggregate(tags, start, step)
+
+    def inside(f):
+        n = F.when(f["stop"] >= 0, f["stop"]).otherwise(F.size(tags)) - f["first"]
+        texts, between = F.slice(parts, f["first"] + 2, n), F.slice(tags, f["first"] + 2, n - 1)
+        return F.when(f["first"] >= 0, F.array_join(
+            F.zip_with(texts, between, lambda p, t: F.concat(p, F.coalesce(t, F.lit("")))), ""))
+
+    # The fold runs once; its result is bound in a one-element array.
+    return F.get(F.transform(F.array(found), inside), F.lit(0))
