@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardlake.operators.common import checkpoint
+from hazardlake.operators.common import checkpoint, rank_within_groups
 from hazardlake.operators.dedupe import merge_log, upsert_latest
 
 
@@ -45,6 +45,22 @@ def write_text_lines(df: DataFrame, path: str, text_col: str, partition_by: list
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).text(path))
 
 
+def write_predictions(df: DataFrame, path: str, partition_by: list[str], order: list[str], sentence: str = "sentence",
+                      label: str = "label") -> None:
+    """Classified sentences as quoted CSV (idx, sentence, label), one folder per key, the form that
+    ``read_predictions_csv`` reads.
+
+    ``idx`` numbers the rows of a folder from 0 in ``order`` (which must be a total order inside the folder); a re-run
+    replaces only the folders it writes. Quotes are doubled and line breaks kept inside quoted values.
+    """
+    ranked = rank_within_groups(df.select(*partition_by, *order, sentence, label), partition_by, [F.asc(c) for c in order], "_n")
+    rows = ranked.select(*partition_by, (F.col("_n") - 1).cast("int").alias("idx"), F.col(sentence).alias("sentence"),
+                         F.col(label).alias("label"))
+    (rows.repartitionByRange(*partition_by, "idx").sortWithinPartitions(*partition_by, "idx").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).partitionBy(*partition_by).csv(path))
+
+
 def merge_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], seq: str,
                      partition_by: str, latest: bool = False, schema: T.StructType | None = None) -> None:
     """Merge ``batch`` into the table at ``path`` and rewrite only the partitions it touches.

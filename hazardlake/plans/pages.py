@@ -1,13 +1,18 @@
-"""Paragraphs of the first ``div`` of a page, with their DuckDB SQL."""
+"""Paragraphs of the first ``div`` of a page and stored predictions, with their DuckDB SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from hazardlake.functions import html as H
+from hazardlake.operators import classify as CL
 from hazardlake.operators import sentences as S
-from hazardlake.plans.oracle import clean_fragment, pieces, q, rx
+from hazardlake.operators import sinks as SK
+from hazardlake.plans import catalog as C
+from hazardlake.plans.oracle import KEYS, PAGE_SENTENCES, classified, clean_fragment, pieces, q, rx
 from hazardlake.plans.tables import load
+from hazardlake.sources import feed as FD
+from hazardlake.streaming import ingest as SI
 
 
 def _nested(spark, sf):
@@ -26,7 +31,20 @@ def first_div_paragraphs(spark, sf):
     return S.page_paragraphs(inner)
 
 
-QUERIES = {"first_div_paragraphs": first_div_paragraphs}
+PREDICTION_GROUPS = 8
+
+
+def predictions_sink(spark, sf):
+    """Classified page sentences written as quoted CSV, one folder per page group, and read back."""
+    keys = ["page_id", "para_pos", "sent_pos"]
+    sents = S.page_sentences(load(spark, sf, "pages", "page_id", "html"))
+    rows = CL.classify_sentences(C._sentence_model(spark, sf), sents, keys).withColumn("grp", F.col("page_id") % PREDICTION_GROUPS)
+    path = SI.scratch_path(spark, "predictions")
+    SK.write_predictions(rows, path, ["grp"], keys)
+    return FD.read_predictions_csv(spark, path).select(F.col("grp").cast("long").alias("grp"), "idx", "sentence", "label")
+
+
+QUERIES = {"first_div_paragraphs": first_div_paragraphs, "predictions_sink": predictions_sink}
 ORACLE = {"first_div_paragraphs": f"""
   WITH pg AS (SELECT page_id, CASE page_id % 3
       WHEN 1 THEN '</div><p>Before.</p><DIV class="a"><div><p>Lead</div><divider><p>Second.' || html || '</div><p>After.</p><div><p>Other.</p></div>'
@@ -46,4 +64,8 @@ ORACLE = {"first_div_paragraphs": f"""
     SELECT page_id, para_pos, {clean_fragment('piece')} AS paragraph FROM (
       SELECT page_id, CAST(unnest(range(0, len(ps))) AS INTEGER) AS para_pos, unnest(ps) AS piece
       FROM (SELECT page_id, {pieces('html')} AS ps FROM inn)))
-  WHERE paragraph <> ''"""}
+  WHERE paragraph <> ''""",
+          "predictions_sink": f"""
+  SELECT page_id % {PREDICTION_GROUPS} AS grp, CAST(row_number() OVER (PARTITION BY page_id % {PREDICTION_GROUPS} ORDER BY {KEYS}) - 1 AS INTEGER) AS idx,
+         sentence, trim(label) AS label
+  FROM ({classified(PAGE_SENTENCES, KEYS)})"""}

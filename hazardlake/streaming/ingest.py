@@ -60,23 +60,27 @@ def run_available_now(stream: DataFrame, out_path: str, checkpoint: str,
     restart the count recorded in the checkpoint wins.
     """
     spark = stream.sparkSession
-    n = state_partitions or spark.sparkContext.defaultParallelism
     w = (stream.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", out_path)
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
+    _start(spark, w, state_partitions).awaitTermination()
+
+
+def _start(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a stream with its number of state partitions; the session value is restored."""
     prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     try:
-        q = w.start()
+        return writer.start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
-    q.awaitTermination()
 
 
 def upsert_batches(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str],
-                   seq: str, partition_by: str, output_mode: str = "append") -> None:
+                   seq: str, partition_by: str, output_mode: str = "append",
+                   state_partitions: int | None = None) -> None:
     """Keep a latest-revision table current with ``foreachBatch``.
 
     Each micro-batch is merged into the touched partitions only (latest
@@ -88,5 +92,6 @@ def upsert_batches(stream: DataFrame, table_path: str, checkpoint: str, keys: li
         batch = cut(batch)
         merge_partitions(batch.sparkSession, table_path, batch, keys, seq, partition_by, latest=True)
 
-    (stream.writeStream.foreachBatch(merge).outputMode(output_mode).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    w = (stream.writeStream.foreachBatch(merge).outputMode(output_mode).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True))
+    _start(stream.sparkSession, w, state_partitions).awaitTermination()
