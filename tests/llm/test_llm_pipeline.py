@@ -49,9 +49,12 @@ def test_pipeline_of_nothing(spark):
 
 @pytest.mark.parametrize("key", sorted(importlib.import_module("hazardlake.llm.queries").QUERIES))
 def test_queries_return_one_row_per_input_row(spark, key):
+    """Whitening: one per vector and component; conversation repair: one per conversation."""
     E = importlib.import_module("__spark_entry__")
-    table = "pages" if key.startswith("op8") else "documents"
-    assert E.queries()[key](spark, SF_SMALL).count() == C.load(spark, SF_SMALL, table).count()
+    table = {"op8": "pages", "op11": "embeddings", "op13": "conversations"}.get(key.split("_")[0], "documents")
+    rows = C.load(spark, SF_SMALL, table)
+    want = rows.select("conv_id").distinct().count() if table == "conversations" else rows.count()
+    assert E.queries()[key](spark, SF_SMALL).count() == want * (4 if table == "embeddings" else 1)
 
 
 def test_components(spark):
