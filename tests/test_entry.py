@@ -17,9 +17,15 @@ def test_oracle_keys_subset_of_queries():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert set(E.catalog.QUERIES) <= set(sql)
+    assert all(set(part.QUERIES) == set(part.ORACLE) for part in E.LIBRARY)
 
 
-@pytest.mark.parametrize("key", sorted(importlib.import_module("__spark_entry__").catalog.QUERIES))
+def _library():
+    E = importlib.import_module("__spark_entry__")
+    return sorted(E.catalog.QUERIES | {k: f for part in E.LIBRARY for k, f in part.QUERIES.items()})
+
+
+@pytest.mark.parametrize("key", _library())
 def test_every_query_runs_on_smallest_tables(spark, key):
     E = importlib.import_module("__spark_entry__")
     df = E.queries()[key](spark, SF_SMALL)
