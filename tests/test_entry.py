@@ -17,7 +17,9 @@ def test_oracle_keys_subset_of_queries():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert set(E.catalog.QUERIES) <= set(sql)
-    assert all(set(part.QUERIES) == set(part.ORACLE) for part in E.LIBRARY)
+    # Trained by iteration: tests/test_voters.py holds it against held-out texts and its gradient.
+    no_sql = {"model_vote"}
+    assert all(set(part.QUERIES) - no_sql == set(part.ORACLE) for part in E.LIBRARY)
 
 
 def _library():
