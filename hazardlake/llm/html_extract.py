@@ -33,6 +33,7 @@ length of ordinary markup (stray end tags and unclosed quotes cost its square).
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -42,8 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-                  r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>", re.S)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+                  r"|<(?:[!?]|/(?![a-zA-Z]))[^>]*>|(<)(?=[a-zA-Z!?/])", re.S)
+_START = re.compile(r"<!--.*?(?:-->|\Z)|<(?:(/?)([a-zA-Z][a-zA-Z0-9:-]*)|[!?/])", re.S)
+_SIGN = re.compile("[>\"']")
+_ATTR = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _WORDS = re.compile(r"[a-z]+")
 
 # Fixed element names.
@@ -57,6 +60,7 @@ _BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCK))})(?=[\s/>])", re.I)
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"ul", "ol", "table", "dl", "body", "div", "section", "article"}
+_LOOK = {name: sorted(_CLOSES.get(name, set()) | {"p"} | _SCOPE) for name in [*_CLOSES, "p"]}
 _DROP = {"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "head"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu",
           "menubar", "form"}
@@ -78,10 +82,11 @@ _NAMED = {"article", "main"}
 
 
 class _Node:
-    __slots__ = ("tag", "parts", "parent", "drop", "hinted", "classed", "titled", "c", "t", "lc", "lt", "density", "total")
+    __slots__ = ("tag", "parts", "parent", "drop", "hinted", "classed", "titled", "depth", "c", "t", "lc", "lt", "density", "total")
 
     def __init__(self, tag: str, parent: _Node | None):
         self.tag, self.parent, self.parts = tag, parent, []
+        self.depth = parent.depth + 1 if parent else 0
         self.drop = self.hinted = self.classed = self.titled = False
         self.c = self.t = self.lc = self.lt = 0
         self.density = self.total = 0.0
@@ -116,33 +121,92 @@ def _judge(node: _Node, attrs: str) -> None:
         node.hinted = True
 
 
+def _closing(page: str, at: int) -> tuple[list[int], list[int]]:
+    """Positions of quotes and ``>`` from ``at`` on, and where a tag that is open there ends (-1: nowhere)."""
+    signs = [m.start() for m in _SIGN.finditer(page, at)]
+    ends, later = [-1] * (len(signs) + 1), {}
+    for i in range(len(signs) - 1, -1, -1):
+        sign = page[signs[i]]
+        if sign == ">":
+            ends[i] = signs[i]
+        else:
+            if sign in later:
+                ends[i] = ends[later[sign] + 1]
+            later[sign] = i
+    return signs, ends
+
+
+class _Tags:
+    """Comments and tags of a page, from any position onwards.
+
+    A quote that is never closed does not hide the tags behind it: such a tag ends at its first ``>``. From the
+    first one on, the ends of all tags come from one pass over the rest, so that each character is seen a few times only.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.signs, self.ends = page, None, None
+
+    def after(self, at: int):
+        """(start, end, closing, name, attributes) of the next one, or None; name is empty where there is none."""
+        page = self.page
+        if self.signs is None:
+            m = _TAG.search(page, at)
+            if not m:
+                return None
+            if not m.group(4):
+                return m.start(), m.end(), m.group(1), (m.group(2) or "").lower(), m.group(3) or ""
+            at = m.start()
+            self.signs, self.ends = _closing(page, at)
+        while m := _START.search(page, at):
+            at, name = m.end(), m.group(2)
+            if m.group().startswith("<!--"):
+                return m.start(), at, "", "", ""
+            end = self.ends[bisect.bisect_left(self.signs, at)] if name else -1
+            if end < 0:
+                end = page.find(">", at)
+            if end >= 0:
+                return m.start(), end + 1, m.group(1), (name or "").lower(), page[at:end] if name else ""
+            # No tag can end any more; only a comment may still start.
+            at = page.find("<!--", at)
+            if at < 0:
+                return None
+        return None
+
+
 def parse(page: str) -> _Node:
     """Element tree of a page; text parts are decoded strings. Unclosed and stray tags are tolerated."""
     root = _Node("body", None)
     cur, at, size, unclosed = root, 0, len(page), set()
+    last = page.rfind(">") + 1
+    opened: dict[str, list[_Node]] = {}   # open elements by name, innermost last
+
+    def leave(node: _Node) -> _Node:
+        up = cur
+        while True:
+            opened[up.tag].pop()
+            if up is node:
+                return up.parent
+            up = up.parent
+
+    tags = _Tags(page)
     while at < size:
-        m = _TAG.search(page, at)
-        text = page[at:m.start()] if m else page[at:]
+        found = tags.after(at)
+        text = page[at:found[0]] if found else page[at:]
         if text:
             cur.parts.append(html.unescape(text) if "&" in text else text)
-        if not m:
+        if not found:
             break
-        at = m.end()
-        name = (m.group(2) or m.group(5) or "").lower()
+        _, at, closing, name, attrs = found
         if not name:
             continue
-        if m.group(1) or m.group(4):
-            up = cur
-            while up is not None and up.tag != name:
-                up = up.parent
-            if up is not None and up is not root:
-                cur = up.parent
+        if closing:
+            if opened.get(name):
+                cur = leave(opened[name][-1])
             elif name in _BLOCK:
                 cur.parts.append(" ")
             continue
-        attrs = m.group(3) or m.group(6) or ""
         if name in _RAW and not attrs.endswith("/"):
-            end = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            end = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at, last)
             if end:
                 at = end.end()
                 continue
@@ -156,13 +220,15 @@ def parse(page: str) -> _Node:
             cur.parts.append(" " if name in _BLOCK else "")
             continue
         if name in _BLOCK:
-            closes = _CLOSES.get(name, set()) | {"p"}
-            up = cur
-            while up is not root and up.tag not in closes and up.tag not in _SCOPE:
-                up = up.parent
-            if up.tag in closes:
-                cur = up.parent
+            # The innermost open element that it closes or that bounds the search.
+            near = root
+            for tag in _LOOK.get(name, _LOOK["p"]):
+                if opened.get(tag) and opened[tag][-1].depth > near.depth:
+                    near = opened[tag][-1]
+            if near.tag not in _SCOPE:
+                cur = leave(near)
         node = _Node(name, cur)
+        opened.setdefault(name, []).append(node)
         cur.parts.append(node)
         _judge(node, attrs)
         if name in ("h1", "main"):

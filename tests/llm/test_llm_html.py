@@ -2,11 +2,12 @@
 
 import re
 import html as H
+import time
 
 import pytest
 from conftest import SF_SMALL
 
-from hazardlake.llm.html_extract import extract_main_text, main_text
+from hazardlake.llm.html_extract import extract_main_text, main_text, parse
 
 LONG = "This is a long sentence of the article with many words in it and no link at all. " * 4
 
@@ -120,3 +121,20 @@ def test_null_rows(spark):
     df = spark.createDataFrame([(None, None, None), (1, "u", "<p>x</p>")], "page_id long, url string, html string")
     assert sorted((r.text, r.n_chars) for r in extract_main_text(df).collect()) == [("", 0), ("x", 1)]
     assert extract_main_text(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 80_000 + "</i>" * 150_000, '<a "' * 250_000, '<a " > "' * 120_000, "<b>" * 100_000 + "<h2>" * 100_000,
+    "<p><li>" * 80_000 + "<h2>" * 80_000, "</" * 400_000, "<a " + "x" * 1_000_000 + ">", "<svg>" * 200_000,
+    "<script></script" * 60_000 + ">", "<!-" * 300_000 + "<!--"])
+def test_megabytes_of_broken_markup_are_parsed_in_linear_time(page):
+    start = time.perf_counter()
+    parse(page)
+    assert time.perf_counter() - start < 15   # minutes to hours where each tag looks at all others
+
+
+def test_tags_behind_an_unclosed_quote():
+    assert main_text('<p>One two three <a title="x>four</a> five.</p><p>Six <b id=\'y>seven</b> eight nine.</p>') == (
+        "One two three four five. Six seven eight nine.")
+    assert main_text("<p>One two</b> three</i> four <x 'y") == "One two three four <x 'y"
+    assert main_text('<!DOCTYPE html PUBLIC "a>b"><p>One two</p></a "><p>three four</p>') == "b\"> One two three four"
