@@ -39,27 +39,65 @@ _LOW, _SPAN = 43, 80   # code points '+' .. 'z'
 SPAN_TYPE = "array<struct<start:long,rank:int,end:long>>"
 
 
-def _matches(text: Column, pattern: str, group: int, least: int, rank: int) -> Column:
-    """Spans of all leftmost non-overlapping matches whose ``group`` has ``least`` characters.
+def _running(items: Column, fields: dict[str, str], field: str, combine, backwards: bool = False) -> Column:
+    """Structs of ``fields`` whose ``field`` becomes the combination of its own and all earlier (later) ones.
+
+    By doubling: each pass combines with the element 1, 2, 4, ... places away, so n elements take log n passes.
+    """
+    kind = "struct<" + ",".join(f"{k}:{t}" for k, t in fields.items()) + ">"
+
+    def double(a, shift):
+        count = F.greatest(F.size(a) - shift, F.lit(0))
+        if backwards:
+            other = F.slice(a, shift + 1, count)
+        else:
+            other = F.concat(F.array_repeat(F.lit(None).cast(kind), shift), F.slice(a, F.lit(1), count))
+        both = F.zip_with(a, other, lambda c, o: F.struct(*[
+            (F.coalesce(combine(c[k], o[k]), c[k]) if k == field else c[k]).alias(k) for k in fields]))
+        return F.when(shift < F.size(a), both).otherwise(a)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(31)]), items.cast(f"array<{kind}>"), double)
+
+
+_STEP = {"at": "long", "m": "int", "v": "int", "token": "string"}
+_MERGED = {"start": "long", "end": "long", "token": "string", "far": "long", "near": "long"}
+
+
+def _found(text: Column, pattern: str, group: int) -> Column:
+    """Per match: its end in the text, length, length of its ``group``, its text.
 
     The pieces between matches and the matches themselves, added up, give the positions.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    lengths = F.zip_with(found, value, lambda m, v: F.struct(F.length(m).alias("m"), F.length(v).alias("v")))
+    texts = F.zip_with(found, value, lambda m, v: F.struct(m.alias("token"), F.length(v).alias("v")))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.zip_with(lengths, gaps, lambda x, g: F.struct(g.alias("gap"), x["m"].alias("m"), x["v"].alias("v")))
-    steps = F.filter(steps, lambda x: x["m"].isNotNull())
-    empty = F.array().cast(SPAN_TYPE)
+    steps = F.zip_with(texts, gaps, lambda x, g: F.struct(
+        (g + F.length(x["token"])).cast("long").alias("at"), F.length(x["token"]).alias("m"), x["v"].alias("v"),
+        x["token"].alias("token")))
+    return _running(F.filter(steps, lambda x: x["token"].isNotNull()), _STEP, "at", lambda a, b: a + b)
 
-    def add(acc, x):
-        start = acc["at"] + x["gap"]
-        span = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + x["m"]).alias("end")))
-        return F.struct((start + x["m"]).alias("at"),
-                        F.when(x["v"] >= least, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-    return F.aggregate(steps, start, add, lambda acc: acc["spans"])
+def _matches(text: Column, pattern: str, group: int, least: int, rank: int) -> Column:
+    """Spans of all leftmost non-overlapping matches whose ``group`` has ``least`` characters."""
+    return F.transform(F.filter(_found(text, pattern, group), lambda x: x["v"] >= least), lambda x: F.struct(
+        (x["at"] - x["m"]).alias("start"), F.lit(rank).alias("rank"), x["at"].alias("end")))
+
+
+def _free_tokens(text: Column, pattern: str, base: Column) -> Column:
+    """(start, end, token, far, near) of the pattern's matches that overlap no span of ``base``.
+
+    Matches and spans are merged by start; ``far`` is the largest end of the spans up to here, ``near`` the
+    smallest start of those from here on.
+    """
+    none, never = F.lit(-1).cast("long"), F.lit((1 << 63) - 1)
+    tokens = F.transform(_found(text, pattern, 0), lambda x: F.struct(
+        (x["at"] - x["m"]).alias("start"), x["at"].alias("end"), x["token"].alias("token"), none.alias("far"), never.alias("near")))
+    spans = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(None).cast("string").alias("token"),
+                                                 s["end"].alias("far"), s["start"].alias("near")))
+    merged = F.sort_array(F.concat(spans, tokens))
+    known = _running(_running(merged, _MERGED, "far", F.greatest), _MERGED, "near", F.least, backwards=True)
+    return F.filter(known, lambda x: x["token"].isNotNull() & (x["far"] <= x["start"]) & (x["near"] >= x["end"]))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -74,20 +112,8 @@ def base_spans(docs: DataFrame) -> DataFrame:
 def ordinary_words(docs: DataFrame) -> DataFrame:
     """(token, n): the words of two or more characters that overlap no match of a fixed pattern, counted."""
     d = base_spans(docs).withColumn("base", F.sort_array(F.concat(*KINDS[:3])))
-    text = F.translate("text", "\0", " ")
-
-    def piece(start: Column, end: Column) -> Column:
-        return F.substring(text, (start + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int"))
-
-    # Matches become a mark that joins the words around them.
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(
-        "base", begin,
-        lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                                F.concat(acc["out"], piece(acc["at"], s["start"]), F.lit("\0")).alias("out")),
-        lambda acc: F.concat(acc["out"], piece(acc["at"], F.length("text").cast("long"))))
     words = F.when(F.size("base") == 0, F.split("text", r"[^A-Za-z0-9+/_=-]+")).otherwise(
-        F.filter(F.split(masked, r"[^A-Za-z0-9+/_=\x00-]+"), lambda w: ~F.contains(w, F.lit("\0"))))
+        F.transform(_free_tokens(F.col("text"), r"[A-Za-z0-9+/_=-]+", F.col("base")), lambda t: t["token"]))
     return (d.select(F.explode(words).alias("token")).where(F.length("token") >= 2)
             .groupBy("token").agg(F.count("*").alias("n")))
 
@@ -145,14 +171,9 @@ def scan_secrets(docs: DataFrame, ratios: list[float] | None = None) -> DataFram
     ratios = ratios or train(docs)
     d = base_spans(docs.select(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")))
     d = d.withColumn("base", F.sort_array(F.concat(*KINDS[:3])))
-    rank = len(PATTERNS)
-    d = d.withColumn("long_tokens", F.when(F.col("text").rlike(TOKEN),
-                                           _matches(F.col("text"), TOKEN, 0, MARKOV_CHARS, rank)))
-    clear = F.filter("long_tokens", lambda t: ~F.exists(
-        "base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    d = d.withColumn("free", clear)
-    random = F.filter("free", lambda t: score(F.substring(
-        F.col("text"), (t["start"] + 1).cast("int"), (t["end"] - t["start"]).cast("int")), ratios) > THRESHOLD)
+    d = d.withColumn("free", F.when(F.col("text").rlike(TOKEN), _free_tokens(F.col("text"), TOKEN, F.col("base"))))
+    random = F.transform(F.filter("free", lambda t: score(t["token"], ratios) > THRESHOLD), lambda t: F.struct(
+        t["start"].alias("start"), F.lit(len(PATTERNS)).alias("rank"), t["end"].alias("end")))
     d = d.withColumn("markov", F.when(F.size("free") > 0, random).otherwise(F.array().cast(SPAN_TYPE)))
     d = d.withColumn("all", F.sort_array(F.concat("base", "markov")))
     kinds = F.array(*map(F.lit, KINDS))

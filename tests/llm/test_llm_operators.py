@@ -462,3 +462,14 @@ def test_empty_tables(spark, empty):
                 T.encode_documents(empty, tokenizer), M.mix_plan(empty), M.training_order(empty),
                 R.remove_repeats(empty)):
         assert out.count() == 0
+
+
+def test_long_text_of_many_spans(spark):
+    """Thousands of spans in one text: the spans of plain Python, and free tokens that touch none of them."""
+    text = " ".join(f"{i:016x} word{i} password={'Zq' * 8}{i} x{'Ab9' * 8}" for i in range(1500))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = S.scan_secrets(docs, [1.0] * S._SPAN ** 2).first()
+    assert row.base == B.secret_spans(text)
+    assert row.n_hex == row.n_assign == 1500 and row.n_markov == 1500
+    words = {r.token: r.n for r in S.ordinary_words(docs).collect()}
+    assert words == {f"word{i}": 1 for i in range(1500)} | {"x" + "Ab9" * 8: 1500}
