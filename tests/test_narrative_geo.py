@@ -87,3 +87,22 @@ def test_radius_at_the_seam_at_random_offsets(spark):
     for r in (137.0, 500.0, 1900.0):
         got = sorted((x.eid, x.pid) for x in GO.within_radius(e, p, r, "eid", "pid").collect())
         assert got == sorted((a, b) for a, la, lo in ev for b, pla, plo in ps if _hav(la, lo, pla, plo) <= r)
+
+
+def test_a_crowded_cell_is_dealt_over_many_tasks(spark):
+    """All points in one cell, some keys repeated or null: every pair once, no task with most of them."""
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(5)
+    ev = [(i % 190 or None, 10 + rnd.random(), 20 + rnd.random()) for i in range(200)] + [(900, None, 20.0)]
+    ps = [(i % 380 or None, 10 + rnd.random(), 20 + rnd.random()) for i in range(400)] + [(901, 10.0, None)]
+    e = spark.createDataFrame(ev, "eid int, latitude double, longitude double").coalesce(1)
+    p = spark.createDataFrame(ps, "pid int, latitude double, longitude double").coalesce(1)
+    sizes = {"block_events": 20, "block_posts": 20, "task_pairs": 2000}
+    got = GO.within_radius(e, p, 60.0, "eid", "pid", **sizes)
+    got = got.withColumn("task", F.spark_partition_id()).collect()
+    want = [(a, b) for a, la, lo in ev[:-1] for b, pla, plo in ps[:-1] if _hav(la, lo, pla, plo) <= 60.0]
+    key = lambda t: (t[0] or -1, t[1] or -1)
+    assert sorted(((x.eid, x.pid) for x in got), key=key) == sorted(want, key=key)
+    share = [sum(x.task == t for x in got) for t in {x.task for x in got}]
+    assert len(share) > 20 and max(share) < len(want) / 8
