@@ -13,7 +13,7 @@ RETENTION_DAYS, DELAY_HOURS = 10, 1
 
 
 def stream_retention(spark, sf):
-    """M5: all error events with the retention flag that a timer per event has set in a file-stream replay."""
+    """M5: all error events with the retention flag that timers, at the expiry of each event, have set in a file-stream replay."""
     schema = load(spark, sf, "events").schema
     stream = SI.read_landed(spark, sf, schema, glob="events.parquet").where(F.col("event_type") == C.HIT_TYPE)
     out, ckpt = SI.scratch_path(spark, "stream-expiries"), SI.scratch_path(spark, "stream-expiries-ckpt")

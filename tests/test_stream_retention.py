@@ -38,3 +38,18 @@ def test_restart_in_the_middle_equals_batch(spark):
     assert both == plain(first + second, 2) and (59, first[59][1]) not in both
     ended = {r.event_id: (r.ts, r.expired_at) for r in spark.read.parquet(out).collect()}
     assert all(abs(e - t - dt.timedelta(days=2)) < dt.timedelta(milliseconds=1) for t, e in ended.values())
+
+
+def test_many_events_share_the_state_rows_of_their_buckets(spark, monkeypatch):
+    """Repeated keys, revisions and several expiries in one bucket, over a restart: one state row per bucket."""
+    monkeypatch.setattr(RT, "BUCKETS", 4, raising=False)
+    rng = random.Random(8)
+    land, out, ckpt = (SI.scratch_path(spark, n) for n in ("land", "out", "ckpt"))
+    rows = [(rng.randint(-150, 150), START + dt.timedelta(minutes=rng.randint(0, 4000), microseconds=rng.randint(0, 999_999))) for _ in range(600)]
+    rows.sort(key=lambda r: r[1])
+    for n, part in enumerate((rows[:350], rows[350:] + [(999, START + dt.timedelta(hours=100))])):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(land)
+        stream = SI.read_landed(spark, land, spark.createDataFrame([], SCHEMA).schema, max_files_per_trigger=1)
+        RT.run_expiries(stream, out, ckpt, "event_id", "ts", 3, state_partitions=2)
+        assert spark.read.format("statestore").load(ckpt).count() <= 4
+    assert sorted((r.event_id, r.ts) for r in spark.read.parquet(out).collect()) == plain(rows + [(999, START + dt.timedelta(hours=100))], 3)
