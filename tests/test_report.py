@@ -43,3 +43,21 @@ def test_region_pages_follow_the_nation_keys(spark, tmp_path):
     from hazardlake.plans.catalog import report_assemble
     got, want = (report_assemble(spark, sf).where("region_text is null").count() for sf in (str(tmp_path), SF_SMALL))
     assert got == want
+
+
+def test_shared_texts_equal_those_given_per_event(spark):
+    """Sections by (day, place) and region texts by place: same rows as per event, also for repeated and null ids."""
+    ev = spark.createDataFrame([(1, "A", "d1"), (2, "A", "d1"), (2, "B", "d2"), (2, "A", "d1"), (3, "B", None), (None, "A", "d1"), (4, "C", "d9")],
+                               "event_id int, country string, day string") \
+        .withColumn("rupture_time", F.lit("2030-03-05 21:04:59").cast("timestamp_ntz")).withColumn("narrative", F.concat("country", F.lit(".")))
+    secs = spark.createDataFrame([("d1", "A", "Buildings", "Walls fell."), ("d1", "A", "Resilience", "Power back."), ("d2", "B", "Buildings", "All stood."),
+                                  ("d9", "A", "Buildings", "None.")], "day string, country string, section string, section_text string")
+    imp = spark.createDataFrame([(2, "F text.", "L text.")], "event_id int, fatality_text string, loss_text string")
+    place = spark.createDataFrame([("A", "Region A.", "a.png"), ("B", None, "b.png")], "country string, region string, pic string")
+    more = {"region_col": "region", "picture_cols": ["pic"]}
+    want = RP.assemble_reports(ev.join(place, "country", "left"), "event_id", None, ev.join(secs, ["day", "country"]), imp, **more)
+    got = RP.assemble_reports(ev, "event_id", None, secs, imp, section_keys=["day", "country"], places=place, **more)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    both = {r.buildings_text for r in got.where("event_id = 2").collect()}
+    assert both == {"Walls fell."} and got.where("event_id is null").first().buildings_text == ""
