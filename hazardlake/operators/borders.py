@@ -7,7 +7,7 @@ Boundary Detection" (2006): a word type that (nearly) always carries a full stop
 short and with inner full stops, is an abbreviation; a type met after
 a border far more often than elsewhere starts sentences.
 
-Training is one pass that counts word types in context, summed map-side first;
+Training is one pass that counts words in context as written, summed map-side first; types are taken of the distinct ones,
 all statistics derive from those counts. Splitting cuts a text at every
 possible border inside its row; only candidates (key, position, the words
 at both sides) meet the learned types, and held borders come back as one
@@ -26,11 +26,14 @@ from hazardlake.operators.common import checkpoint, spread
 # All patterns mean the same in Java and RE2.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 PIECE_RE = r"""(?s).+?(?:[.!?]+["')\]]*(?:[\x20\x09-\x0D]+|\z)|\z)"""
+LAST_RE = r"(?s)\A(?:.*[\x20\x09-\x0D])?([^\x20\x09-\x0D]+)"
 CORE_RE = r"(?s)[\p{L}\p{N}](?:.*[\p{L}\p{N}])?"
 TRIMMED_RE = r"(?s)[^\x20\x09-\x0D](?:.*[^\x20\x09-\x0D])?"
 INITIAL_RE = r"^\p{L}\z"
 DOT_RE = r"""\.["')\]]*\z"""
 STOP_RE = r"""[.!?]["')\]]*\z"""
+#: Last characters of a match of STOP_RE.
+MARKS = tuple(""".!?"')]""")
 UPPER_RE = r"^[^\p{L}\p{N}]*\p{Lu}"
 LOWER_RE = r"^[^\p{L}\p{N}]*\p{Ll}"
 
@@ -54,16 +57,21 @@ def word_contexts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     ``dot``: the word ends in a full stop; ``upper``/``lower``: its first letter. ``prev`` is the type of the word
     before if that one ends in a full stop, "" at the start of a text or after another end mark, else null.
     """
-    info = F.transform(F.regexp_extract_all(text_col, F.lit(WORD_RE), F.lit(0)), lambda w: F.struct(
-        word_type(w).alias("type"), w.rlike(DOT_RE).alias("dot"), w.rlike(UPPER_RE).alias("upper"),
-        w.rlike(LOWER_RE).alias("lower"),
-        F.when(w.rlike(DOT_RE), word_type(w)).when(w.rlike(STOP_RE), F.lit("")).alias("closes")))
-    words = spread(texts.select(text_col)).select(info.alias("_w")).where(F.size("_w") > 0)
-    before = F.concat(F.array(F.lit("")), F.transform(F.slice("_w", F.lit(1), F.size("_w") - 1), lambda w: w["closes"]))
-    rows = words.select(F.inline(F.zip_with("_w", before, lambda w, b: F.struct(
-        w["type"].alias("type"), w["dot"].alias("dot"), w["upper"].alias("upper"), w["lower"].alias("lower"),
-        b.alias("prev")))))
-    return rows.where("type <> ''").groupBy("type", "dot", "upper", "lower", "prev").agg(F.count("*").alias("n"))
+    words = spread(texts.select(text_col)).select(F.regexp_extract_all(text_col, F.lit(WORD_RE), F.lit(0)).alias("_w"))
+    pairs = F.arrays_zip(F.col("_w").alias("word"), F.concat(F.array(F.lit("")), "_w").alias("before"))
+    # An outer generator: the planner would test the size of an inner one's array in a filter, and compute it twice.
+    each = words.select(F.inline_outer(pairs)).where("word is not null")
+    closing = F.when(F.col("before") == "", F.lit("")).when(
+        F.substring("before", -1, 1).isin(*MARKS), F.when(F.col("before").rlike(STOP_RE), F.col("before")))
+    # Words as written are counted first: patterns are matched once per distinct word and closing word before it.
+    raw = each.groupBy("word", closing.alias("before")).agg(F.count("*").alias("_n"))
+    w, b = F.col("word"), F.col("before")
+    rows = raw.select(word_type(w).alias("type"), w.rlike(DOT_RE).alias("dot"), w.rlike(UPPER_RE).alias("upper"),
+                      w.rlike(LOWER_RE).alias("lower"),
+                      F.when(b.rlike(DOT_RE), word_type(b)).when(b.isNotNull(), F.lit("")).alias("prev"), "_n")
+    # Asked of the counts, as a filter on the type would be pushed down to every single word.
+    n = F.sum(F.when(F.col("type") != "", F.col("_n"))).alias("n")
+    return rows.groupBy("type", "dot", "upper", "lower", "prev").agg(n).where("n is not null")
 
 
 @dataclass
@@ -131,9 +139,9 @@ def split_trained(model: BorderModel, texts: DataFrame, keys: list[str], text_co
     src = spread(texts.select(*keys, text_col)).select(
         *keys, F.regexp_extract_all(text_col, F.lit(PIECE_RE), F.lit(0)).alias("_p"))
     sides = F.zip_with("_p", F.slice("_p", F.lit(2), F.size("_p")), lambda a, b: F.struct(
-        F.try_element_at(F.regexp_extract_all(a, F.lit(WORD_RE), F.lit(0)), F.lit(-1)).alias("last"),
+        F.regexp_extract(a, LAST_RE, 1).alias("last"),
         F.regexp_extract(b, WORD_RE, 0).alias("next")))
-    cands = (src.select(*keys, F.posexplode(sides).alias("_i", "_s"))
+    cands = (src.select(*keys, F.posexplode_outer(sides).alias("_i", "_s"))
              .where(F.col("_s.last").rlike(DOT_RE) & (F.col("_s.next") != ""))
              .select(*keys, "_i", word_type(F.col("_s.last")).alias("type"), word_type(F.col("_s.next")).alias("_next"),
                      F.col("_s.next").rlike(UPPER_RE).alias("_upper")))
@@ -142,9 +150,10 @@ def split_trained(model: BorderModel, texts: DataFrame, keys: list[str], text_co
     held = (cands.join(model.abbreviations, "type").join(openers, "_next", "left").where(~opens)
             .groupBy(*keys).agg(F.collect_list(F.col("_i") + 1).alias("_held")))
     size = F.size("_p")
-    starts = F.array_except(F.sequence(F.lit(0), size - 1), F.coalesce("_held", F.array().cast("array<int>")))
-    whole = src.where(size > 0).join(held, keys, "left").select(*keys, "_p", starts.alias("_a"))
+    starts = F.when(size > 0, F.array_except(F.sequence(F.lit(0), size - 1), F.coalesce("_held", F.array().cast("array<int>"))))
+    whole = src.join(held, keys, "left").select(*keys, "_p", starts.alias("_a"))
     ends = F.concat(F.slice("_a", F.lit(2), F.size("_a")), F.array(size))
     joined = F.zip_with("_a", ends, lambda a, b: F.regexp_extract(
         F.array_join(F.slice("_p", a + 1, b - a), ""), TRIMMED_RE, 0))
-    return whole.select(*keys, F.posexplode(F.filter(joined, lambda s: s != "")).alias(pos_col, "sentence"))
+    return (whole.select(*keys, F.posexplode_outer(F.filter(joined, lambda s: s != "")).alias(pos_col, "sentence"))
+            .where(F.col("sentence").isNotNull()))

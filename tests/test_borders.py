@@ -106,3 +106,17 @@ def test_nothing_to_learn_from(spark):
     assert B.split_trained(model, empty, ["id"]).count() == 0
     one = spark.createDataFrame([(1, "A b. C d.")], "id int, text string")
     assert [r.sentence for r in B.split_trained(model, one, ["id"]).orderBy("sent_pos").collect()] == ["A b.", "C d."]
+
+
+def test_words_are_counted_before_they_are_typed(spark):
+    """Below the first count no word is lower-cased; null, empty and blank texts add nothing and give no sentence."""
+    rows = [(1, "One. Two, e.g. two! 3 -- Two"), (2, None), (3, ""), (4, " \n\t "), (5, "One. Two?")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    found = B.word_contexts(df)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "lower(" not in plan[plan.rindex("Aggregate"):].split("\n", 1)[1]
+    got = {(r["type"], r["dot"], r["upper"], r["lower"], r["prev"], r["n"]) for r in found.collect()}
+    assert got == {("one", True, True, False, "", 2), ("two", False, True, False, "one", 2), ("e.g", True, False, True, None, 1),
+                   ("two", False, False, True, "e.g", 1), ("0", False, False, False, "", 1), ("two", False, True, False, None, 1)}
+    cut = B.split_trained(B.train_borders(df), df, ["doc_id"])
+    assert {r.doc_id for r in cut.collect()} == {1, 5}
