@@ -96,3 +96,20 @@ def test_label_sections_summarize_per_label(spark):
     w = _brute_textrank(SENTS)
     best = sorted(sorted(range(len(SENTS)), key=lambda i: -round(w[i], 9))[:math.ceil(0.2 * len(SENTS))])
     assert r.doc_id is None and r.section_text == " ".join(SENTS[i] for i in best)
+
+
+def test_a_step_moves_sums_of_cells_not_incidences(spark, monkeypatch):
+    sents = [" ".join(f"w{(i // 10 ** k) % 10}{k}" for k in range(4)) for i in range(900)]
+    laid, lay = [], SM.bucketed_copy
+
+    def counted(df, *args):
+        out = lay(df, *args)
+        laid.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(SM, "bucketed_copy", counted)
+    df = spark.createDataFrame([("g", i, s) for i, s in enumerate(sents)], "grp string, id int, sentence string")
+    got = {r.id: r.score for r in SM.textrank_scores(df, ["grp"], ["id"], "sentence", salt_buckets=4).collect()}
+    want = _brute_textrank(sents)
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in range(len(sents)))
+    assert laid[0] == 4 * len(sents) and laid[1] <= 4 * 40
