@@ -117,3 +117,22 @@ def test_event_without_terms_and_posts_without_tokens(spark):
     ev = spark.createDataFrame([(1, []), (2, None), (3, ["the"])], "eid int, terms array<string>")
     posts = spark.createDataFrame([(0, None), (1, ""), (2, "the")], "pid int, text string")
     assert [tuple(r) for r in M.all_terms_match(ev, posts, "eid", "terms", "pid", "text").collect()] == [(3, 2)]
+
+
+def test_bounded_relevance_page_moves_no_pairs(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{i % k}" for k in range(2, 9))) for i in range(300)]
+    d = spark.createDataFrame(docs, "doc_id int, text string")
+    q = spark.createDataFrame([(1, ["w1", "w3"]), (2, ["w0", "w5", "w6"])], "qid int, terms array<string>")
+    plans, write = [], M.checkpoint
+
+    def planned(df):
+        if "rank" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(M, "checkpoint", planned)
+    cols = ["qid", "doc_id", "score", "rank"]
+    fast = M.relevance_page_bounded(d, q, "doc_id", "text", "qid", "terms", 1, 20)
+    full = M.relevance_page(M.tfidf_scores(d, q, "doc_id", "text", "qid", "terms"), "qid", "doc_id", 1, 20)
+    assert sorted(tuple(r[c] for c in cols) for r in fast.collect()) == sorted(tuple(r[c] for c in cols) for r in full.collect())
+    assert plans and not any(re.search(r"Exchange hashpartitioning\([^)]*doc_id", p) for p in plans)
