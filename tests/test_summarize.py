@@ -113,3 +113,29 @@ def test_a_step_moves_sums_of_cells_not_incidences(spark, monkeypatch):
     want = _brute_textrank(sents)
     assert all(abs(got[i] - want[i]) < 1e-9 for i in range(len(sents)))
     assert laid[0] == 4 * len(sents) and laid[1] <= 4 * 40
+
+
+def test_small_groups_are_scored_whole_and_end_with_the_large_ones(spark, monkeypatch):
+    """Groups taken whole, cut into pieces, and both at once: the scores of all pairs, ended by the mean change of all."""
+    sents = [" ".join(f"w{(i // 10 ** k) % 10}{k}" for k in range(i % 4 + 1)) for i in range(120)]
+    rows = [("large", i, s) for i, s in enumerate(sents)] + [("small", i, s) for i, s in enumerate(SENTS)] + [(None, i, s) for i, s in enumerate(SENTS[:3])]
+    nodes = SM._nodes(spark.createDataFrame(rows + [("none", 0, "!?")], "grp string, id int, sentence string"), ["grp"])
+    ids = {r._id: (r.grp, r.id) for r in nodes.select("_id", "grp", "id").collect()}
+    laid, lay = [], SM.bucketed_copy
+    monkeypatch.setattr(SM, "bucketed_copy", lambda *a: laid.append(a) or lay(*a))
+    monkeypatch.setattr(SM, "KEPT_PAIRS", 50)
+    for whole, layouts in ((10 ** 6, 0), (100, 2), (0, 2)):
+        monkeypatch.setattr(SM, "WHOLE", whole)
+        laid.clear()
+        for tolerance in (2e-2, 0):
+            at = {}
+            for k in range(13):
+                want = {(g, i): w for g in ("large", "small", None) for i, w in enumerate(
+                    _brute_textrank([s for h, _, s in rows if h == g], iters=k, tolerance=-1))}
+                if at and sum(abs(want[key] - at[key]) for key in want) / len(want) <= tolerance:
+                    break
+                at = want
+            got = {ids[r._id]: r.score for r in SM._scores(nodes, "sentence", 0.85, 12, None, tolerance=tolerance).collect()}
+            assert got.pop(("none", 0)) == 1 - 0.85
+            assert all(abs(got[key] - want[key]) < 1e-9 for key in want) and got.keys() == want.keys()
+        assert len(laid) == 2 * layouts
