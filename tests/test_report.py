@@ -61,3 +61,23 @@ def test_shared_texts_equal_those_given_per_event(spark):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     both = {r.buildings_text for r in got.where("event_id = 2").collect()}
     assert both == {"Walls fell."} and got.where("event_id is null").first().buildings_text == ""
+
+
+def test_section_summaries_of_a_report_take_no_jobs_per_step(spark):
+    """Reports over summarized sections: as many Spark jobs as tables are made, however many steps the scores take."""
+    from hazardlake.operators import summarize as SM
+    sents = [" ".join(f"w{(i * k) % 11}" for k in range(1, 3 + i % 5)) for i in range(40)]
+    rows = [(d, "A", i, s, lab) for d in ("d1", "d2", None) for i, s in enumerate(sents) for lab in ("buildings", "resilience ")]
+    labelled = spark.createDataFrame(rows, "day string, country string, pos int, sentence string, label string")
+    ev = spark.createDataFrame([(1, "A", "d1"), (2, "A", "d9")], "event_id int, country string, day string") \
+        .withColumn("rupture_time", F.lit("2030-03-05 21:04:59").cast("timestamp_ntz"))
+    sc = spark.sparkContext
+    sc.setJobGroup("report-jobs", "jobs of one report")
+    try:
+        secs = SM.label_sections(labelled, ["day", "country"], ["pos"])
+        got = {r.event_id: r for r in RP.assemble_reports(ev, "event_id", None, secs, section_keys=["day", "country"]).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert got[1].buildings_text and got[1].resilience_text.startswith(got[1].buildings_text) and got[2].buildings_text == ""
+    assert len(sc.statusTracker().getJobIdsForGroup("report-jobs")) <= 60
