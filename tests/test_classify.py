@@ -48,3 +48,25 @@ def test_majority_vote_with_more_classes_than_any_packing(spark):
     votes = spark.createDataFrame([(1, "c1400"), (1, "c1400"), (1, "c3"), (2, "c1499"), (2, "c1000")], "id int, label string")
     got = {r.id: (r.label, r.votes) for r in CL.majority_vote(votes, "id", names=names).collect()}
     assert got == {1: ("c1400", 2), 2: ("c1000", 1)}
+
+
+def test_texts_of_labelled_documents_stay_where_they_lie(spark, tmp_path, monkeypatch):
+    """Up to a number of labels these go to the documents, not the texts to them; the same rows either way, repeated and null ids included."""
+    from hazardlake.plans import catalog
+    spark.createDataFrame([(1, "a b"), (2, "c"), (2, "d"), (3, None), (None, "e")], "doc_id bigint, text string").selectExpr(
+        "*", "'en' lang", "'s' source", "1L n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, 1), (1, 1, 1), (2, 1, 0), (3, 0, 0), (None, 0, 0), (9, 0, 0)], "doc_id bigint, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(catalog.CL, "fit_naive_bayes", lambda rows, *_: rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = []
+        for most, how in ((100, "BroadcastHashJoin"), (5, "SortMergeJoin")):
+            monkeypatch.setattr(catalog, "SENT_LABELS", most)
+            rows = catalog._sentence_model(spark, str(tmp_path))
+            assert how in rows._jdf.queryExecution().executedPlan().toString()
+            found.append(sorted(map(repr, rows.collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[0] == found[1] and len(found[0]) == 5
